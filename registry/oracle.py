@@ -207,7 +207,7 @@ SELECT site, line_id, shift_label, {_FLAG} AS changed FROM chg GROUP BY site, li
 
 _POINT = "event_id, site, line_id, _time, _field, _value"
 ORACLE["field_semijoin"] = f"{with_(CONFIG, TELEMETRY)} SELECT {_POINT} FROM req"
-ORACLE["minute_dedup"] = f"{with_(CONFIG, TELEMETRY, DEDUP)} SELECT {_POINT}, minute_level FROM kept"
+ORACLE["minute_dedup"] = f"{with_(CONFIG, TELEMETRY, DEDUP)} SELECT {_POINT.removeprefix('event_id, ')}, minute_level FROM kept"
 ORACLE["minute_dedup_off"] = f"{with_(CONFIG, TELEMETRY)} SELECT {_POINT}, _time AS minute_level FROM req"
 ORACLE["wide_minutes"] = f"""{with_(CONFIG, TELEMETRY, DEDUP)}
 SELECT site, line_id, minute_level, {', '.join(f"max(CASE WHEN _field = '{f}' THEN _value END) AS {f}" for f in FIELDS)}
@@ -552,7 +552,29 @@ SELECT site, run_at, recipients, upper(site) || ' process report: ' || first_lab
 ORACLE["run_counts"] = f"""{_SHORT}
 SELECT site, count(*) AS reports, count(*) FILTER (WHERE status = 'success') AS succeeded,
   count(*) FILTER (WHERE status = 'failed') AS failed FROM lrep GROUP BY site"""
-ORACLE["failed_lines"] = f"{_SHORT} SELECT site, line_id, run_at, error FROM lrep WHERE status = 'failed'"
+
+# Readings above 300 are stored a second time, one higher
+_REPEATED = TELEMETRY.replace("FROM events)", "FROM (SELECT * FROM events {where} UNION ALL SELECT * REPLACE (value + 1 AS value) FROM events {both}))")
+ORACLE["failed_lines"] = f"""{_SHORT},
+twice AS (SELECT DISTINCT line_id, {minute('_time')} AS minute_level FROM req WHERE _value > 300),
+bad AS (SELECT DISTINCT t.line_id, s.shift_start FROM twice t JOIN cal s
+  ON t.line_id = s.line_id AND t.minute_level BETWEEN s.shift_start AND s.shift_start + INTERVAL 12 hours)
+SELECT m.site, m.line_id, m.run_at, CASE WHEN m.measurement IS NULL THEN 'bucket names no measurement'
+  ELSE 'more than one reading for one time and control' END AS error
+FROM mac m LEFT JOIN bad b ON m.line_id = b.line_id AND m.shift_start = b.shift_start
+WHERE m.measurement IS NULL OR b.line_id IS NOT NULL"""
+_ONE_RUN = (CONFIG, _REPEATED.format(where="WHERE ts >= TIMESTAMP '2024-01-15 06:02:00'",
+                                     both="WHERE value > 300 AND ts >= TIMESTAMP '2024-01-15 06:02:00'"),
+            DEDUP, CALENDAR, closed_rows("kept", "minute_level"), OBSERVED, CHANGES,
+            RUNS.replace("TIMESTAMP '2024-01-02 06:02:00'", "TIMESTAMP '2024-01-16 06:02:00'").replace(
+                "TIMESTAMP '2024-01-31 06:02:00'", "TIMESTAMP '2024-01-16 06:02:00'"), MACHINE)
+ORACLE["failed_run"] = f"""{with_(*_ONE_RUN)},
+bad AS (SELECT DISTINCT line_id FROM (SELECT line_id FROM req GROUP BY line_id, _time, _field HAVING count(*) > 1)),
+o AS (SELECT m.*, CASE WHEN m.measurement IS NULL THEN 'bucket names no measurement'
+  WHEN b.line_id IS NOT NULL THEN 'more than one reading for one time and control' END AS error,
+  machine || {_NL2} || '{'-' * 40}<br>' || {_NL2} AS html FROM mac m LEFT JOIN bad b ON m.line_id = b.line_id)
+SELECT site, line_id, run_at, shift_label, CASE WHEN error IS NULL THEN 'success' ELSE 'failed' END AS status, error,
+  CASE WHEN error IS NULL THEN md5(html) END AS digest, CASE WHEN error IS NULL THEN length(html)::INTEGER END AS n_chars FROM o"""
 
 # Streaming: the shifts that ended an hour before the latest reading
 

@@ -39,7 +39,7 @@ def lines(spark: SparkSession) -> DataFrame:
 
 
 def control_dim(spark: SparkSession) -> DataFrame:
-    return controls.expand_controls(views.line_config(spark))
+    return controls.line_controls(views.line_config(spark))
 
 
 def scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +89,7 @@ def shift_changes_tiebreak(spark, sf_dir):
 def process_changes(spark, sf_dir):
     """The whole machine part: own measurement, first per minute, closed shifts."""
     rows = tables.scan_telemetry(views.telemetry(spark, sf_dir), lines=lines(spark))
-    kept = points.first_per_minute(points.requested(rows, control_dim(spark)))
+    kept = points.first_per_minute(points.unique_points(points.requested(rows, control_dim(spark))))
     found = changes.observed_changes(kept, "minute_level")
     return change_columns(changes.complete_changes(found, control_dim(spark)))
 
@@ -98,7 +98,7 @@ def process_changes(spark, sf_dir):
 def process_changes_run(spark, sf_dir):
     """One scheduled run: a 24-hour look-back, and the shift that run reports."""
     rows = tables.scan_telemetry(views.telemetry(spark, sf_dir), as_of=RUN_AT, measurement="opcua")
-    kept = points.first_per_minute(points.requested(rows, control_dim(spark)))
+    kept = points.first_per_minute(points.unique_points(points.requested(rows, control_dim(spark))))
     found = changes.complete_changes(changes.observed_changes(kept, "minute_level"), control_dim(spark))
     run = runs.scheduled_run(lines(spark), RUN_AT).select("site", "line_id", "shift_start")
     return change_columns(found.join(run, ["site", "line_id", "shift_start"]))
@@ -167,8 +167,7 @@ def field_semijoin(spark, sf_dir):
 @query
 def minute_dedup(spark, sf_dir):
     wanted = points.requested(scan(spark, sf_dir), control_dim(spark))
-    return points.first_per_minute(wanted).select(
-        "event_id", "site", "line_id", "_time", "_field", "_value", "minute_level")
+    return points.first_per_minute(wanted).select(*points.POINT, "minute_level")
 
 
 @query
@@ -209,7 +208,7 @@ def union_dedup(spark, sf_dir):
 def synthetic_telemetry(spark, sf_dir):
     """Made-up readings for the controls of every supplier, summed up per control."""
     made = synthetic.synthetic_telemetry(
-        controls.expand_controls(views.supplier_lines(spark, sf_dir)), AS_OF)
+        controls.line_controls(views.supplier_lines(spark, sf_dir)), AS_OF)
     first = F.col("_time") < F.lit(datetime(2024, 1, 30, 18, 2)).cast("timestamp_ntz")
     return made.groupBy("site", "line_id", "_field").agg(
         F.count("*").alias("n"), F.min("_time").alias("begins"), F.max("_time").alias("ends"),
@@ -222,8 +221,7 @@ def synthetic_telemetry(spark, sf_dir):
 
 @query
 def expand_controls(spark, sf_dir):
-    return controls.expand_controls(views.supplier_lines(spark, sf_dir)).select(
-        "site", "line_id", "kind", "control", "control_ordinal")
+    return controls.expand_controls(controls.line_controls(views.supplier_lines(spark, sf_dir)))
 
 
 @query
@@ -398,13 +396,14 @@ def event_json(spark, sf_dir):
 
 # Reports
 
-def backfill(spark, sf_dir, full=True):
+def backfill(spark, sf_dir, full=True, telemetry=None):
     dim = lines(spark)
     wanted = runs.backfill_runs(dim, FIRST_RUN, AS_OF)
     return reports.line_reports(
-        wanted, dim, control_dim(spark), tables.scan_telemetry(views.telemetry(spark, sf_dir)),
+        wanted, dim, control_dim(spark), tables.scan_telemetry(telemetry or views.telemetry(spark, sf_dir)),
         views.quality(spark, sf_dir) if full else None, views.specs(spark, sf_dir) if full else None,
-        views.alerts(spark, sf_dir) if full else None, site_tz="UTC", known_at_run=True)
+        views.alerts(spark, sf_dir) if full else None, site_tz="UTC", known_at_run=True,
+        fail_on="shift")
 
 
 def digest(df: DataFrame, column: str) -> list[Column]:
@@ -458,9 +457,25 @@ def run_counts(spark, sf_dir):
     return reports.run_counts(backfill(spark, sf_dir, full=False))
 
 
+def with_repeats(spark, sf_dir):
+    """Telemetry in which high readings were stored twice with another value."""
+    rows = views.telemetry(spark, sf_dir)
+    return rows.unionByName(rows.where(F.col("_value") > 300).withColumn("_value", F.col("_value") + 1))
+
+
 @query
 def failed_lines(spark, sf_dir):
-    return reports.failed_lines(backfill(spark, sf_dir, full=False))
+    """Reports that fail: no measurement, or a repeated reading in the shift."""
+    return reports.failed_lines(backfill(spark, sf_dir, full=False, telemetry=with_repeats(spark, sf_dir)))
+
+
+@query
+def failed_run(spark, sf_dir):
+    """One run in which a repeated reading anywhere in the fetch fails the line."""
+    rows = tables.scan_telemetry(with_repeats(spark, sf_dir), as_of=RUN_AT)
+    dim = lines(spark)
+    found = reports.line_reports(runs.scheduled_run(dim, RUN_AT), dim, control_dim(spark), rows)
+    return found.select("site", "line_id", "run_at", "shift_label", "status", "error", *digest(found, "html"))
 
 
 # Streaming

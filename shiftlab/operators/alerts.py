@@ -20,6 +20,8 @@ COLUMNS = {
     "disable_until": "Disable until",
 }
 
+PERIOD_DAYS = 30
+
 
 def site_clock(ts: Column, dtype: str, site_tz: str, bucket: str | None = "minute") -> Column:
     """Alert time on the site's clock, rounded to the minute unless ``bucket`` is None."""
@@ -57,6 +59,10 @@ def cutoff(run_at: Column, lookback: Column) -> Column:
     return run_at - lookback.cast("interval")
 
 
+def period(ts: Column) -> Column:
+    return F.floor(F.unix_date(ts.cast("date")) / PERIOD_DAYS)
+
+
 def alert_view(alerts: DataFrame, runs: DataFrame, site_tz: str = "America/Chicago",
                bucket: str | None = "minute", known_at_run: bool = False) -> DataFrame:
     """Alerts of each line in the look-back of each run.
@@ -66,12 +72,18 @@ def alert_view(alerts: DataFrame, runs: DataFrame, site_tz: str = "America/Chica
     lines and runs. With ``known_at_run`` a run in the past does not see what
     was changed after it.
     """
-    dim = runs.select(
-        *LINE, "run_at", cutoff(F.col("run_at"), F.col("lookback")).alias("cutoff"),
-        text.line_label(F.col("line_id")).alias("line_label"),
-    )
-    rows = alert_rows(alerts, site_tz, bucket).join(sized(dim), ["site", "line_label"])
-    rows = rows.where(F.col("changed_at") > F.col("cutoff"))
+    begin = cutoff(F.col("run_at"), F.col("lookback"))
+    dim = runs.select(*LINE, "run_at", begin.alias("cutoff"), text.line_label(F.col("line_id")).alias("line_label"))
+    rows = alert_rows(alerts, site_tz, bucket)
+    keys = ["site", "line_label"]
+    if known_at_run:
+        # Each alert is in one period, each run in the few its look-back touches,
+        # so a long backfill does not pair every run with every alert of its line.
+        first, last = period(F.col("cutoff")), period(F.col("run_at"))
+        dim = dim.withColumn("period", F.explode(F.sequence(first, last)))
+        rows = rows.withColumn("period", period(F.col("changed_at")))
+        keys.append("period")
+    rows = rows.join(sized(dim), keys).where(F.col("changed_at") > F.col("cutoff"))
     if known_at_run:
         rows = rows.where(F.col("changed_at") <= F.col("run_at"))
     return rows.select(*LINE, "run_at", *COLUMNS)

@@ -76,6 +76,7 @@ def observed_changes(points: DataFrame, time_col: str = "_time", dayshift_start:
         F.min(value).alias("low"),
         F.min(time_col).alias("earliest"),
         F.max(time_col).alias("latest"),
+        *([F.max("copies").alias("copies")] if "copies" in points.columns else []),
     )
     return with_timestamps(grouped)
 
@@ -93,21 +94,37 @@ def coverage(observed: DataFrame) -> DataFrame:
 def complete_changes(observed: DataFrame, controls: DataFrame) -> DataFrame:
     """Every configured control of every (line, shift) that has any row.
 
-    A control without readings has no start and end, and changes of zero.
+    A control without readings has no start and end, and changes of zero. The
+    grouped rows of a shift, one per configured control at most, are gathered
+    and looked up by the line's list of controls. Joining the grouped rows with
+    a frame of expected ones would read the points twice.
     """
-    per_control = sized(controls)
-    expected = observed.select(*SHIFT).distinct().join(per_control, LINE)
-    delta = F.coalesce(F.col("end_value") - F.col("start_value"), F.lit(0.0))
-    spread = F.coalesce(F.col("high") - F.col("low"), F.lit(0.0))
-    start = times.from_micros(F.col("start_micros"))
-    clock = F.substring(start.cast("string"), 12, 8)
-    letter = times.shift_letter_of_start(F.col("shift_start"), clock)
-    return expected.join(observed, [*SHIFT, "control"], "left").select(
+    counted = "copies" in observed.columns
+    readings = F.struct("start_value", "end_value", "high", "low")
+    gathered = observed.groupBy(*SHIFT).agg(
+        F.map_from_entries(F.collect_list(F.struct("control", readings))).alias("seen"),
+        F.min("earliest").alias("earliest"),
+        F.max("latest").alias("latest"),
+        *([F.max("copies").alias("copies")] if counted else []),
+    )
+    looked_up = F.transform("controls", lambda c: F.struct(
+        c["kind"].alias("kind"), c["control"].alias("control"), c["control_ordinal"].alias("control_ordinal"),
+        F.try_element_at(F.col("seen"), c["control"]).alias("r"),
+    ))
+    rows = gathered.join(sized(controls), LINE).select(
+        *SHIFT, "dayshift_start", "earliest", "latest", *(["copies"] if counted else []),
+        F.explode(looked_up).alias("c"),
+    )
+    start = F.col("shift_start")
+    letter = times.shift_letter_of_start(start, F.col("dayshift_start"))
+    return rows.select(
         *SHIFT,
-        times.shift_end(F.col("shift_start")).alias("shift_end"),
-        times.shift_label(F.col("shift_start"), letter).alias("shift_label"),
-        "kind", "control", "control_ordinal", "start_value", "end_value",
-        delta.alias("delta"), spread.alias("spread"),
+        times.shift_end(start).alias("shift_end"),
+        times.shift_label(start, letter).alias("shift_label"),
+        "earliest", "latest", *(["copies"] if counted else []),
+        "c.kind", "c.control", "c.control_ordinal", "c.r.start_value", "c.r.end_value",
+        F.coalesce(F.col("c.r.end_value") - F.col("c.r.start_value"), F.lit(0.0)).alias("delta"),
+        F.coalesce(F.col("c.r.high") - F.col("c.r.low"), F.lit(0.0)).alias("spread"),
     )
 
 

@@ -43,8 +43,8 @@ def line_dim(line_config: DataFrame) -> DataFrame:
     )
 
 
-def expand_controls(line_config: DataFrame) -> DataFrame:
-    """One row per control of a line: the numbered heats, then the listed others.
+def line_controls(line_config: DataFrame) -> DataFrame:
+    """One row per line with all its controls: the numbered heats, then the listed others.
 
     ``{x}`` in the heat name counts from 1. A count below one gives no heats;
     sequence(1, 0) would run backwards, hence the guard.
@@ -65,9 +65,22 @@ def expand_controls(line_config: DataFrame) -> DataFrame:
     return line_config.select(
         "site",
         text.line_id(F.col("site"), F.col("line")).alias("line_id"),
+        start.alias("dayshift_start"),
         (times.start_seconds(start) * times.SECOND).alias("start_micros"),
-        F.explode(F.concat(heats, nonheats)).alias("c"),
-    ).select("site", "line_id", "start_micros", "c.kind", "c.control", "c.control_ordinal")
+        F.concat(heats, nonheats).alias("controls"),
+    )
+
+
+def expand_controls(controls: DataFrame) -> DataFrame:
+    """One row per control, from :func:`line_controls`."""
+    rows = controls.select("site", "line_id", F.explode("controls").alias("c"))
+    return rows.select("site", "line_id", "c.kind", "c.control", "c.control_ordinal")
+
+
+def requested_names(controls: DataFrame) -> DataFrame:
+    """Each control name once per line, with the line's shift start."""
+    names = F.array_distinct(F.transform("controls", lambda c: c["control"]))
+    return controls.select("site", "line_id", "start_micros", F.explode(names).alias("_field"))
 
 
 def select_lines(line_config: DataFrame, site: str | None = None,

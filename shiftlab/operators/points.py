@@ -7,10 +7,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftlab.functions import times
+from shiftlab.operators.controls import requested_names
 from shiftlab.operators.sizes import sized
 
 POINT = ["site", "line_id", "_time", "_field", "_value"]
@@ -20,13 +21,11 @@ LINE = ["site", "line_id"]
 def requested(points: DataFrame, controls: DataFrame) -> DataFrame:
     """Points of controls the line's configuration names, with the line's shift start.
 
-    Names are compared literally, never as patterns. ``controls`` holds each
-    name once per line here, so the inner join is a semi join that also brings
-    the start along: one pass over the points, no shuffle while the
-    configuration is small.
+    Names are compared literally, never as patterns. Each name stands once per
+    line, so the inner join is a semi join that also brings the start along: one
+    pass over the points, no shuffle while the configuration is small.
     """
-    names = controls.select(*LINE, F.col("control").alias("_field"), "start_micros").distinct()
-    return points.join(sized(names), [*LINE, "_field"])
+    return points.join(sized(requested_names(controls)), [*LINE, "_field"])
 
 
 def union_distinct(frames: list[DataFrame]) -> DataFrame:
@@ -54,6 +53,17 @@ def lines_with_duplicates(points: DataFrame) -> DataFrame:
     return duplicate_keys(points).groupBy(*LINE).agg(F.count("*").alias("duplicate_keys"))
 
 
+def unique_points(points: DataFrame) -> DataFrame:
+    """One row per (line, control, time), with the number of points behind it.
+
+    The same grouping as :func:`duplicate_keys`, but the points stay, so that
+    reports find duplicates in the one pass they make anyway. Where ``copies``
+    is more than one the value is the highest and the report is not to be used.
+    """
+    keys = [*LINE, "_field", "_time", *[c for c in points.columns if c == "start_micros"]]
+    return points.groupBy(*keys).agg(F.max("_value").alias("_value"), F.count("*").alias("copies"))
+
+
 def first_per_minute(points: DataFrame, bucket: str | None = "minute") -> DataFrame:
     """Points at the first instant of each rounded minute of their line.
 
@@ -61,22 +71,35 @@ def first_per_minute(points: DataFrame, bucket: str | None = "minute") -> DataFr
     without a reading at that instant is not filled in from a later one. With
     ``bucket=None`` every instant is its own bucket and all points stay.
 
-    The first instants come from a grouping that shrinks before its shuffle.
-    The points then meet them on (line, instant), a key much finer than the
-    minute, so a busy minute or line does not land in one task.
+    Two levels: the first point per control and minute, which shrinks on both
+    sides of its shuffle, and among these the first instant of the minute. The
+    second level sees one row per control of the line and minute at most,
+    however many readings a busy minute holds. ``copies``, if present, becomes
+    the highest of the minute, so a duplicate shows even when its point goes.
     """
     if bucket is None:
         return points.withColumn("minute_level", F.col("_time"))
     if bucket != "minute":
         raise ValueError(f"bucket is 'minute' or None, not {bucket!r}")
-    firsts = (
-        points.select(*LINE, "_time", times.minute_micros(F.col("_time")).alias("minute"))
-        .groupBy(*LINE, "minute")
-        .agg(F.min("_time").alias("_time"))
-        .select(*LINE, "_time")
+    counted = "copies" in points.columns
+    keys = [*LINE, *[c for c in points.columns if c == "start_micros"]]
+    per_control = (
+        points.withColumn("minute", times.minute_micros(F.col("_time")))
+        .groupBy(*keys, "minute", "_field")
+        .agg(
+            F.min("_time").alias("_time"),
+            F.min_by("_value", "_time").alias("_value"),
+            *([F.max("copies").alias("copies")] if counted else []),
+        )
+    )
+    minute = Window.partitionBy(*LINE, "minute")
+    firsts = per_control.withColumn("first_time", F.min("_time").over(minute))
+    if counted:
+        firsts = firsts.withColumn("copies", F.max("copies").over(minute))
+    return firsts.where(F.col("_time") == F.col("first_time")).select(
+        *keys, "_time", "_field", "_value", *(["copies"] if counted else []),
+        times.from_micros(F.col("minute")).alias("minute_level"),
     )
-    kept = points.join(firsts, [*LINE, "_time"], "left_semi")
-    return kept.withColumn("minute_level", times.round_minute(F.col("_time")))
 
 
 def widen(points: DataFrame, fields: list[str], time_col: str = "_time") -> DataFrame:

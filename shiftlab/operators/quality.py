@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftlab.functions import numeric, text, times
@@ -107,23 +107,16 @@ def test_statistics(rows: DataFrame) -> DataFrame:
     return with_timestamps(grouped)
 
 
-def part_of_statistics(stats: DataFrame) -> DataFrame:
+def current_part(rows: DataFrame) -> DataFrame:
     """Part with the most rows per line and shift; on a tie the first by name."""
     counted = (
-        stats.where(F.col("part_item").isNotNull())
-        .groupBy(*SHIFT, "part_item")
-        .agg(F.sum("n_rows").alias("n_rows"))
+        rows.where(F.col("part_item").isNotNull())
+        .groupBy(*SHIFT, "part_item").agg(F.count("*").alias("n_rows"))
     )
     best = F.min(F.struct((-F.col("n_rows")).alias("order"), "part_item"))
     return counted.groupBy(*SHIFT).agg(best["part_item"].alias("part_item"))
 
 
-def current_part(rows: DataFrame) -> DataFrame:
-    """Part with the most rows per line and shift, from measurements."""
-    counted = rows.groupBy(*SHIFT, "part_item").agg(F.count("*").alias("n_rows"))
-    return part_of_statistics(counted)
-
-
 def latest_measurement(stats: DataFrame, site_tz: str = "America/Chicago") -> DataFrame:
     """Last measurement per line and shift over all parts, on the site's clock."""
     return stats.groupBy(*SHIFT).agg(F.max("latest").alias("latest")).withColumn(
@@ -135,20 +128,36 @@ def distinct_tests(rows: DataFrame) -> DataFrame:
     return rows.select(*SHIFT, "test_cleaned").distinct()
 
 
-def good_fractions(stats: DataFrame, keep_undefined: bool = False, clamp: bool = False) -> DataFrame:
-    """Good fraction per test of the part being made.
+def ranked_fractions(stats: DataFrame) -> DataFrame:
+    """Good fraction of every part and test, and whether it is the part being made.
 
-    The part is picked among the grouped rows, so measurements are neither read
-    nor shuffled a second time. ``clamp`` lifts negative fractions to zero.
+    The part is picked among the grouped rows of a shift, one per part and test,
+    so measurements are neither read nor shuffled a second time.
     """
-    part = part_of_statistics(stats)
     fraction = good_fraction_of(*[F.col(c) for c in (
         "n", "mean", "sd", "low", "high", "n_le", "below", "above", "lsl", "usl")])
+    rows = stats.select(*SHIFT, "part_item", "test_cleaned", "n_rows", "latest", "n", "lsl", "usl",
+                        fraction.alias("good_fraction"))
+    per_part = Window.partitionBy(*SHIFT, "part_item")
+    most = Window.partitionBy(*SHIFT).orderBy(
+        F.col("part_item").isNull(), F.desc("part_rows"), "part_item")
+    return rows.withColumn("part_rows", F.sum("n_rows").over(per_part)).withColumn(
+        "is_current", (F.rank().over(most) == 1) & F.col("part_item").isNotNull()
+    ).drop("part_rows")
+
+
+def good_fractions(stats: DataFrame, keep_undefined: bool = False, clamp: bool = False) -> DataFrame:
+    """Good fraction per test of the part being made.
+
+    ``clamp`` lifts negative fractions to zero.
+    """
+    found = ranked_fractions(stats).where(F.col("is_current"))
+    if not keep_undefined:
+        found = found.where(F.col("good_fraction").isNotNull())
+    fraction = F.col("good_fraction")
     if clamp:
         fraction = F.greatest(fraction, F.when(fraction.isNotNull(), F.lit(0.0)))
-    result = stats.join(part, [*SHIFT, "part_item"]).select(
-        *SHIFT, "part_item", "test_cleaned", "n", "lsl", "usl", fraction.alias("good_fraction"))
-    return result if keep_undefined else result.where(F.col("good_fraction").isNotNull())
+    return found.select(*SHIFT, "part_item", "test_cleaned", "n", "lsl", "usl", fraction.alias("good_fraction"))
 
 
 def worst_first(fractions: DataFrame) -> DataFrame:

@@ -62,6 +62,9 @@ def change_sections(changes: DataFrame, lines: DataFrame) -> DataFrame:
         html.joined_rows(order, F.when(~heat, rendered)).alias("nonheat_rows"),
         html.joined_rows(order, F.when(beyond, rendered)).alias("heat_rows"),
         F.bool_or(moved).alias("changed"),
+        F.min("earliest").alias("earliest"),
+        F.max("latest").alias("latest"),
+        *([F.max("copies").alias("copies")] if "copies" in changes.columns else []),
     )
 
 
@@ -86,14 +89,14 @@ def process_section(runs: DataFrame) -> Column:
 
 def quality_sections(stats: DataFrame, site_tz: str = "America/Chicago") -> DataFrame:
     """Per line and shift with measurements: the part, the last time, the table rows."""
-    fractions = quality_ops.good_fractions(stats)
+    rows = quality_ops.ranked_fractions(stats)
+    shown = F.col("is_current") & F.col("good_fraction").isNotNull()
     cells = html.row(html.cell(html.escape(F.col("test_cleaned"))), html.cell(six_decimals(F.col("good_fraction"))))
-    tables = fractions.groupBy(*SHIFT).agg(
-        html.joined_rows([F.round("good_fraction", 6), F.col("test_cleaned")], cells).alias("fraction_rows"),
-        F.max("part_item").alias("part_item"),
+    return rows.groupBy(*SHIFT).agg(
+        html.joined_rows([F.round("good_fraction", 6), F.col("test_cleaned")], F.when(shown, cells)).alias("fraction_rows"),
+        F.max(F.when(F.col("is_current"), F.col("part_item"))).alias("part_item"),
+        times.to_zone(F.max("latest"), "UTC", site_tz).alias("latest_local"),
     )
-    latest = quality_ops.latest_measurement(stats, site_tz).drop("latest")
-    return latest.join(tables, SHIFT, "left")
 
 
 def quality_section() -> Column:
@@ -106,7 +109,7 @@ def quality_section() -> Column:
         "<p>Latest data is until ", times.timestamp_text(F.col("latest_local")), ".</p>\n\n",
         "<b>Current part number</b>: ", html.escape(F.col("part_item")), "\n\n",
         html.table(FRACTION_HEADER, F.col("fraction_rows")), "\n\n")
-    body = F.when(F.col("fraction_rows").isNull(), F.lit(NO_SPECS)).otherwise(found)
+    body = F.when(F.col("fraction_rows") == "", F.lit(NO_SPECS)).otherwise(found)
     return F.when(F.col("latest_local").isNull(), empty).otherwise(
         html.text("<h2>Quality Report</h2>\n\n", body))
 
@@ -133,22 +136,28 @@ def alert_section() -> Column:
 def line_reports(runs: DataFrame, lines: DataFrame, controls: DataFrame, points: DataFrame,
                  quality: DataFrame | None = None, specs: DataFrame | None = None,
                  alerts: DataFrame | None = None, bucket: str | None = "minute",
-                 site_tz: str = "America/Chicago", known_at_run: bool = False) -> DataFrame:
+                 site_tz: str = "America/Chicago", known_at_run: bool = False,
+                 fail_on: str = "fetch") -> DataFrame:
     """One report per line and run; the machine part alone without quality and alerts.
 
-    A line with duplicate readings, or whose bucket names no measurement, gets
-    status ``failed`` and no document, and does not touch the other lines.
+    A line whose bucket names no measurement, or with more than one reading for
+    a control and time, gets status ``failed`` and no document, and does not
+    touch the other lines. ``fail_on="fetch"`` looks for such readings in all
+    points of the line, the rule of a single run. ``"shift"`` looks in the shift
+    reported, which suits a backfill: one bad minute does not fail a year. It
+    also needs no second pass over the points.
     """
+    if fail_on not in ("fetch", "shift"):
+        raise ValueError(f"fail_on is 'fetch' or 'shift', not {fail_on!r}")
     wanted = point_ops.requested(points, controls)
-    broken = point_ops.lines_with_duplicates(wanted)
-    kept = point_ops.first_per_minute(wanted, bucket)
+    kept = point_ops.first_per_minute(point_ops.unique_points(wanted), bucket)
     observed = change_ops.observed_changes(kept, "minute_level")
     sections = change_sections(change_ops.complete_changes(observed, controls), lines)
-    reports = (
-        runs.join(sections, SHIFT, "left")
-        .join(change_ops.coverage(observed), SHIFT, "left")
-        .join(broken, LINE, "left")
-    )
+    reports = runs.join(sections, SHIFT, "left")
+    duplicated = F.col("copies") > 1
+    if fail_on == "fetch":
+        reports = reports.join(point_ops.lines_with_duplicates(wanted), LINE, "left")
+        duplicated = F.col("duplicate_keys") > 0
     document = process_section(reports)
     if quality is not None:
         rows = quality_ops.with_limits(quality_ops.measurements(quality, lines, site_tz), specs)
@@ -164,7 +173,7 @@ def line_reports(runs: DataFrame, lines: DataFrame, controls: DataFrame, points:
         )
         document = html.text(document, alert_section())
     error = F.when(F.col("measurement").isNull(), F.lit(BUCKET_ERROR)).when(
-        F.col("duplicate_keys") > 0, F.lit(DUPLICATE_ERROR))
+        duplicated, F.lit(DUPLICATE_ERROR))
     ok = F.col("error").isNull()
     return reports.withColumn("error", error).select(
         *REPORT, "line", "ordinal", "recipients", "shift_start", "shift_label",

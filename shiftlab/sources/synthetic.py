@@ -12,6 +12,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shiftlab.operators.controls import requested_names
+
 # Levels, noise and drift of the two kinds of control.
 HEAT_BASE, HEAT_REACH, HEAT_NOISE, HEAT_RAMP = 350.0, 20, 2.0, 15.0
 OTHER_BASE, OTHER_REACH, OTHER_NOISE, OTHER_STEP = 100.0, 10, 0.5, 5.0
@@ -41,7 +43,8 @@ def synthetic_telemetry(controls: DataFrame, end: datetime, points: int = POINTS
     """
     key = [F.lit(seed), F.col("line_id"), F.col("control")]
     middle, third = points // 2, points // 3
-    per_control = controls.select("site", "line_id", "control").distinct().withColumns({
+    names = requested_names(controls).withColumnRenamed("_field", "control")
+    per_control = names.select("site", "line_id", "control").withColumns({
         "heat": F.contains(F.lower("control"), F.lit("heat")),
         "level": uniform("level", *key),
         "steps": uniform("steps", *key) < STEP_CHANCE,
