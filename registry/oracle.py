@@ -546,6 +546,10 @@ ORACLE["report_history"] = f"""{_SHORT}
 SELECT l.site, l.line, l.shift_label AS shift, {_PATH.format(label='s.first_label').replace('site ||', 'l.site ||').replace('(run_at', '(l.run_at')} AS blob_path,
   l.status, 'backfill-1' AS run_id, l.run_at AS generated_at
 FROM lrep l JOIN srep s ON l.site = s.site AND l.run_at = s.run_at WHERE l.status = 'success'"""
+ORACLE["document_parts"] = f"""{_SHORT}
+SELECT l.site, l.run_at, l.run_at::DATE AS report_date, s.last_label[-1] AS shift_letter, l.ordinal::INTEGER AS ordinal, l.line_id,
+  md5(l.html) AS digest, length(l.html)::INTEGER AS n_chars
+FROM lrep l JOIN srep s ON l.site = s.site AND l.run_at = s.run_at WHERE l.status = 'success'"""
 ORACLE["outbox"] = f"""{_SHORT}
 SELECT site, run_at, recipients, upper(site) || ' process report: ' || first_label AS subject,
   md5(full_html) AS digest, length(full_html)::INTEGER AS n_chars FROM srep"""

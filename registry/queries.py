@@ -80,7 +80,8 @@ def shift_changes_closed(spark, sf_dir):
 @query
 def shift_changes_tiebreak(spark, sf_dir):
     """Readings that share an instant, ordered by their id."""
-    coarse = scan(spark, sf_dir).withColumn("_time", F.date_trunc("HOUR", "_time").cast("timestamp_ntz"))
+    seconds = times.epoch_seconds(F.col("_time"))
+    coarse = scan(spark, sf_dir).withColumn("_time", times.from_seconds(seconds - seconds % 3600))
     return change_columns(changes.shift_changes(
         coarse, control_dim(spark), closed=False, tiebreak="event_id"))
 
@@ -441,8 +442,14 @@ def blob_paths(spark, sf_dir):
 
 @query
 def report_history(spark, sf_dir):
-    found = backfill(spark, sf_dir, full=False)
-    return reports.report_history(found, reports.site_reports(found), RUN_ID)
+    return reports.report_history(backfill(spark, sf_dir, full=False), RUN_ID)
+
+
+@query
+def document_parts(spark, sf_dir):
+    """Site documents as ordered pieces."""
+    found = reports.document_parts(backfill(spark, sf_dir, full=False), shift_of="last")
+    return found.select("site", "run_at", "report_date", "shift_letter", "ordinal", "line_id", *digest(found, "html"))
 
 
 @query

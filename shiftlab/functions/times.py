@@ -8,8 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SECOND = 1_000_000
-MINUTE = 60 * SECOND
+MINUTE = 60
 SHIFT = 12 * 60 * MINUTE
 DEFAULT_START = "07:00:00"
 
@@ -18,19 +17,34 @@ def epoch() -> Column:
     return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 
 
+def epoch_seconds(ts: Column) -> Column:
+    """TIMESTAMP_NTZ -> BIGINT whole seconds since 1970.
+
+    unix_timestamp takes wall clocks as they are. timestampdiff and date_trunc
+    would first read them in the session zone, and move times its clock skips.
+    """
+    return F.unix_timestamp(ts)
+
+
 def epoch_micros(ts: Column) -> Column:
     """TIMESTAMP_NTZ -> BIGINT microseconds since 1970."""
-    return F.timestamp_diff("MICROSECOND", epoch(), ts)
+    fraction = F.date_part(F.lit("SECOND"), ts) % 1
+    return epoch_seconds(ts) * 1_000_000 + (fraction * 1_000_000).cast("bigint")
 
 
-def from_micros(micros: Column) -> Column:
-    """BIGINT microseconds since 1970 -> TIMESTAMP_NTZ."""
-    return F.timestamp_add("MICROSECOND", micros, epoch())
+def from_seconds(seconds: Column) -> Column:
+    """BIGINT seconds since 1970 -> TIMESTAMP_NTZ."""
+    return F.timestamp_add("SECOND", seconds, epoch())
 
 
 def instant_to_utc(ts: Column) -> Column:
     """TIMESTAMP (an instant) -> TIMESTAMP_NTZ holding the UTC wall clock."""
-    return from_micros(F.unix_micros(ts))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), epoch())
+
+
+def utc_to_instant(ts: Column) -> Column:
+    """TIMESTAMP_NTZ holding the UTC wall clock -> TIMESTAMP."""
+    return F.timestamp_micros(epoch_micros(ts))
 
 
 def to_zone(ts: Column, source: str, target: str) -> Column:
@@ -44,18 +58,19 @@ def to_zone(ts: Column, source: str, target: str) -> Column:
     return F.convert_timezone(F.lit(source), F.lit(target), ts)
 
 
-def minute_micros(ts: Column) -> Column:
-    """Microseconds of the nearest minute; half minutes go to the even minute."""
-    micros = epoch_micros(ts)
-    rest = F.pmod(micros, F.lit(MINUTE))
-    floor = micros - rest
+def minute_seconds(ts: Column) -> Column:
+    """Seconds since 1970 of the nearest minute; half minutes go to the even minute."""
+    seconds = epoch_seconds(ts)
+    rest = F.pmod(seconds, F.lit(MINUTE))
+    floor = seconds - rest
     odd = F.pmod(floor, F.lit(2 * MINUTE)) != 0
-    up = (rest > MINUTE // 2) | ((rest == MINUTE // 2) & odd)
+    beyond_half = ts > from_seconds(seconds)
+    up = F.when(rest == MINUTE // 2, beyond_half | odd).otherwise(rest > MINUTE // 2)
     return floor + F.when(up, F.lit(MINUTE)).otherwise(F.lit(0))
 
 
 def round_minute(ts: Column) -> Column:
-    return from_micros(minute_micros(ts))
+    return from_seconds(minute_seconds(ts))
 
 
 def timestamp_text(ts: Column) -> Column:
@@ -66,9 +81,9 @@ def timestamp_text(ts: Column) -> Column:
     ).otherwise(text)
 
 
-def start_seconds(start: Column) -> Column:
+def clock_seconds(clock: Column) -> Column:
     """``HH:MM:SS`` -> seconds after midnight."""
-    part = F.split(start, ":")
+    part = F.split(clock, ":")
     return (
         F.get(part, 0).cast("bigint") * 3600
         + F.get(part, 1).cast("bigint") * 60
@@ -76,13 +91,13 @@ def start_seconds(start: Column) -> Column:
     )
 
 
-def shift_start_micros(ts: Column, start_micros: Column) -> Column:
+def shift_start_seconds(ts: Column, start_seconds: Column) -> Column:
     """Start of the half-open shift holding ``ts``, for a start that varies by row.
 
     Plain BIGINT arithmetic, so readings meet their shift without a range join.
     """
-    micros = epoch_micros(ts)
-    return micros - F.pmod(micros - start_micros, F.lit(SHIFT))
+    seconds = epoch_seconds(ts)
+    return seconds - F.pmod(seconds - start_seconds, F.lit(SHIFT))
 
 
 def shift_window(ts: Column, start: str) -> Column:
@@ -91,7 +106,7 @@ def shift_window(ts: Column, start: str) -> Column:
     Works in batch and in streams, and needs no per-row clock conversion.
     """
     hours, minutes, seconds = (int(x) for x in start.split(":"))
-    offset = (hours * 3600 + minutes * 60 + seconds) % (SHIFT // SECOND)
+    offset = (hours * 3600 + minutes * 60 + seconds) % SHIFT
     return F.window(ts, "12 hours", "12 hours", f"{offset} seconds")
 
 
@@ -124,7 +139,7 @@ def run_shift(run_at: Column, start: Column) -> Column:
     always the shift that holds ``run_at``.
     """
     midnight = run_at.cast("date").cast("timestamp_ntz")
-    day_start = F.timestamp_add("SECOND", start_seconds(start), midnight)
+    day_start = F.timestamp_add("SECOND", clock_seconds(start), midnight)
     night = F.hour(run_at) < 12
     left = F.when(night, day_start - F.expr("INTERVAL 12 HOURS")).otherwise(day_start)
     letter = F.when(night, F.lit("N")).otherwise(F.lit("D"))

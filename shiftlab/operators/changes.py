@@ -18,7 +18,7 @@ def assign_shift(rows: DataFrame, time_col: str, dayshift_start: str | None = No
     """Add ``shift_start``, the shift or shifts a row belongs to.
 
     ``dayshift_start`` given: one start for all rows, a plain tumbling window.
-    Not given: the row's own ``start_micros``. With ``closed`` a row exactly on a
+    Not given: the row's own ``start_seconds``. With ``closed`` a row exactly on a
     boundary counts in the shift that ends there and in the one that begins
     there; otherwise only in the latter. Rows without a time belong to none.
     """
@@ -32,11 +32,11 @@ def assign_shift(rows: DataFrame, time_col: str, dayshift_start: str | None = No
         return rows.withColumn(
             "shift_start", F.explode(F.when(ts == start, both).otherwise(F.array(start)))
         )
-    start = times.shift_start_micros(ts, F.col("start_micros"))
+    start = times.shift_start_seconds(ts, F.col("start_seconds"))
     rows = rows.where(ts.isNotNull())
     if closed:
         both = F.array(start, start - times.SHIFT)
-        on_edge = times.epoch_micros(ts) == start
+        on_edge = F.when(times.epoch_seconds(ts) == start, ts == times.from_seconds(start))
         start = F.explode(F.when(on_edge, both).otherwise(F.array(start)))
     return rows.withColumn("shift_start", start)
 
@@ -44,7 +44,7 @@ def assign_shift(rows: DataFrame, time_col: str, dayshift_start: str | None = No
 def with_timestamps(df: DataFrame) -> DataFrame:
     """Turn BIGINT shift starts into timestamps, once rows are few."""
     if dict(df.dtypes)["shift_start"] == "bigint":
-        return df.withColumn("shift_start", times.from_micros(F.col("shift_start")))
+        return df.withColumn("shift_start", times.from_seconds(F.col("shift_start")))
     return df
 
 

@@ -34,7 +34,7 @@ def line_dim(line_config: DataFrame) -> DataFrame:
         "line",
         text.line_id(F.col("site"), F.col("line")).alias("line_id"),
         start.alias("dayshift_start"),
-        (times.start_seconds(start) * times.SECOND).alias("start_micros"),
+        times.clock_seconds(start).alias("start_seconds"),
         heat_threshold().alias("threshold"),
         lookback_text().alias("lookback"),
         text.measurement_of(F.col("bucket")).alias("measurement"),
@@ -66,7 +66,7 @@ def line_controls(line_config: DataFrame) -> DataFrame:
         "site",
         text.line_id(F.col("site"), F.col("line")).alias("line_id"),
         start.alias("dayshift_start"),
-        (times.start_seconds(start) * times.SECOND).alias("start_micros"),
+        times.clock_seconds(start).alias("start_seconds"),
         F.concat(heats, nonheats).alias("controls"),
     )
 
@@ -80,7 +80,7 @@ def expand_controls(controls: DataFrame) -> DataFrame:
 def requested_names(controls: DataFrame) -> DataFrame:
     """Each control name once per line, with the line's shift start."""
     names = F.array_distinct(F.transform("controls", lambda c: c["control"]))
-    return controls.select("site", "line_id", "start_micros", F.explode(names).alias("_field"))
+    return controls.select("site", "line_id", "start_seconds", F.explode(names).alias("_field"))
 
 
 def select_lines(line_config: DataFrame, site: str | None = None,

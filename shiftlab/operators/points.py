@@ -60,7 +60,7 @@ def unique_points(points: DataFrame) -> DataFrame:
     reports find duplicates in the one pass they make anyway. Where ``copies``
     is more than one the value is the highest and the report is not to be used.
     """
-    keys = [*LINE, "_field", "_time", *[c for c in points.columns if c == "start_micros"]]
+    keys = [*LINE, "_field", "_time", *[c for c in points.columns if c == "start_seconds"]]
     return points.groupBy(*keys).agg(F.max("_value").alias("_value"), F.count("*").alias("copies"))
 
 
@@ -82,9 +82,9 @@ def first_per_minute(points: DataFrame, bucket: str | None = "minute") -> DataFr
     if bucket != "minute":
         raise ValueError(f"bucket is 'minute' or None, not {bucket!r}")
     counted = "copies" in points.columns
-    keys = [*LINE, *[c for c in points.columns if c == "start_micros"]]
+    keys = [*LINE, *[c for c in points.columns if c == "start_seconds"]]
     per_control = (
-        points.withColumn("minute", times.minute_micros(F.col("_time")))
+        points.withColumn("minute", times.minute_seconds(F.col("_time")))
         .groupBy(*keys, "minute", "_field")
         .agg(
             F.min("_time").alias("_time"),
@@ -98,7 +98,7 @@ def first_per_minute(points: DataFrame, bucket: str | None = "minute") -> DataFr
         firsts = firsts.withColumn("copies", F.max("copies").over(minute))
     return firsts.where(F.col("_time") == F.col("first_time")).select(
         *keys, "_time", "_field", "_value", *(["copies"] if counted else []),
-        times.from_micros(F.col("minute")).alias("minute_level"),
+        times.from_seconds(F.col("minute")).alias("minute_level"),
     )
 
 

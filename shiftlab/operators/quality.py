@@ -26,7 +26,7 @@ def measurements(quality: DataFrame, lines: DataFrame, site_tz: str = "America/C
         *LINE,
         text.table_site(F.col("line_id")).alias("table_site"),
         text.line_number(F.col("line_id")).alias("line_no"),
-        "start_micros",
+        "start_seconds",
     )
     rows = quality.withColumnRenamed("site", "table_site").join(sized(dim), ["table_site", "line_no"])
     rows = rows.withColumn("local_time", times.to_zone(F.col("datetime"), "UTC", site_tz))

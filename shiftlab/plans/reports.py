@@ -6,7 +6,7 @@ rows, in parallel; only the last step puts the pieces of one document together.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftlab.functions import html, times
@@ -185,6 +185,16 @@ def line_reports(runs: DataFrame, lines: DataFrame, controls: DataFrame, points:
     )
 
 
+def _pick(shift_of: str):
+    if shift_of not in ("first", "last"):
+        raise ValueError(f"shift_of is 'first' or 'last', not {shift_of!r}")
+    return F.min_by if shift_of == "first" else F.max_by
+
+
+def _success_order() -> Column:
+    return F.when(F.col("status") == "success", F.struct("ordinal", "line_id"))
+
+
 def site_reports(reports: DataFrame, shift_of: str = "first") -> DataFrame:
     """One document per site and run, lines in configured order.
 
@@ -192,15 +202,10 @@ def site_reports(reports: DataFrame, shift_of: str = "first") -> DataFrame:
     site with failed lines only gets none. The shift named is that of the first
     (or, with ``shift_of="last"``, the last) line that succeeded.
     """
-    if shift_of not in ("first", "last"):
-        raise ValueError(f"shift_of is 'first' or 'last', not {shift_of!r}")
-    ok = F.col("status") == "success"
-    order = F.when(ok, F.struct("ordinal", "line_id"))
-    pick = F.min_by if shift_of == "first" else F.max_by
     return (
         reports.groupBy("site", "run_at")
         .agg(
-            pick("shift_label", order).alias("shift_label"),
+            _pick(shift_of)("shift_label", _success_order()).alias("shift_label"),
             html.joined_rows([F.col("ordinal"), F.col("line_id")], F.col("html")).alias("full_html"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("recipients")))).alias("recipients"),
         )
@@ -231,12 +236,31 @@ def failed_lines(reports: DataFrame) -> DataFrame:
     return reports.where(F.col("status") == "failed").select(*REPORT, "error")
 
 
-def report_history(reports: DataFrame, sites: DataFrame, run_id: str) -> DataFrame:
+def with_site_label(reports: DataFrame, shift_of: str = "first") -> DataFrame:
+    """Add the shift its site's document names, without building the document."""
+    pick = _pick(shift_of)
+    document = Window.partitionBy("site", "run_at")
+    return reports.withColumn("site_label", pick("shift_label", _success_order()).over(document))
+
+
+def report_history(reports: DataFrame, run_id: str, shift_of: str = "first") -> DataFrame:
     """One row per line that succeeded, with the place of its site's document."""
-    paths = sites.select("site", "run_at", F.col("path").alias("blob_path"))
-    return reports.where(F.col("status") == "success").join(paths, ["site", "run_at"], "left").select(
-        "site", "line", F.col("shift_label").alias("shift"), "blob_path", "status",
-        F.lit(run_id).alias("run_id"), F.col("run_at").alias("generated_at"))
+    rows = with_site_label(reports, shift_of).where(F.col("status") == "success")
+    return rows.select(
+        "site", "line", F.col("shift_label").alias("shift"),
+        blob_path(F.col("site"), F.col("run_at"), F.col("site_label")).alias("blob_path"),
+        "status", F.lit(run_id).alias("run_id"), F.col("run_at").alias("generated_at"))
+
+
+def document_parts(reports: DataFrame, shift_of: str = "first") -> DataFrame:
+    """Site documents as ordered pieces, one per line, never joined into one value.
+
+    For sites with so many lines that a whole document is too large for a row.
+    """
+    rows = with_site_label(reports, shift_of).where(F.col("status") == "success")
+    return rows.select(
+        "site", "run_at", F.col("run_at").cast("date").alias("report_date"),
+        times.shift_letter(F.col("site_label")).alias("shift_letter"), "ordinal", "line_id", "html")
 
 
 def outbox(sites: DataFrame) -> DataFrame:

@@ -20,6 +20,39 @@ def write_documents(sites: DataFrame, path: str) -> None:
     )
 
 
+def write_document_parts(parts: DataFrame, path: str) -> None:
+    """The same folders, each document as text files that read in name order.
+
+    Pieces are spread by range, so a large site fills several tasks and files.
+    The order begins with the folder columns, and these are never null, so the
+    writer takes it as it is and does not sort again by folder alone.
+    """
+    folder = ["site", "report_date", "shift_letter"]
+    order = [*folder, "run_at", "ordinal", "line_id"]
+    named = parts.withColumns({c: F.coalesce(c, F.lit("")) for c in ("site", "shift_letter")})
+    (
+        named.repartitionByRange(*order).sortWithinPartitions(*order)
+        .select(*folder, F.col("html").alias("value"))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("site", "report_date", "shift_letter").text(path)
+    )
+
+
+def write_line_reports(reports: DataFrame, path: str, run_id: str) -> DataFrame:
+    """Store line reports under their run and read them back.
+
+    Site documents, history and mail all start from the stored rows, so the
+    tables behind them are read once, and a lost executor repeats little.
+    """
+    (
+        reports.withColumn("run_id", F.lit(run_id))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_id").parquet(path)
+    )
+    stored = reports.sparkSession.read.parquet(path)
+    return stored.where(F.col("run_id") == run_id).drop("run_id")
+
+
 def append_history(history: DataFrame, path: str) -> None:
     """Add a run's rows. A repeated run replaces its own rows and no others."""
     (
@@ -28,5 +61,10 @@ def append_history(history: DataFrame, path: str) -> None:
     )
 
 
-def write_outbox(mails: DataFrame, path: str) -> None:
-    mails.write.mode("append").parquet(path)
+def write_outbox(mails: DataFrame, path: str, run_id: str) -> None:
+    """Mail to send, under its run; a repeated run replaces its own."""
+    (
+        mails.withColumn("run_id", F.lit(run_id))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_id").parquet(path)
+    )

@@ -25,7 +25,7 @@ def stream_shift_changes(points: DataFrame, dayshift_start: str = times.DEFAULT_
     """
     rows = points.withColumns({
         "_value": numeric.missing_if_nan(F.col("_value")),
-        "_time": F.timestamp_micros(times.epoch_micros(F.col("_time"))),
+        "_time": times.utc_to_instant(F.col("_time")),
     })
     rows = rows.withWatermark("_time", lateness)
     if distinct:

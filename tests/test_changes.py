@@ -1,0 +1,165 @@
+import random
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from shiftlab.functions import times
+from shiftlab.operators import changes, points as point_ops
+from helpers import at, dims, points, rows_of
+
+DAY = "2024-03-05 "
+
+
+def small(spark):
+    p = points(spark, [(DAY + "07:10", "h_1", None), (DAY + "08:00", "h_1", 350.0), (DAY + "12:00", "h_1", 371.0),
+                       (DAY + "18:00", "h_1", 361.5)])
+    lines, per_line = dims(spark, dict(num_heats=2))
+    return p, lines, per_line
+
+
+def test_shift_change(spark):
+    p, _, per_line = small(spark)
+    found = changes.by_spread(changes.shift_changes(p, per_line)).collect()
+    assert [(r.control, r.start_value, r.end_value, r.delta, r.spread) for r in found] == [
+        ("h_1", 350.0, 361.5, 11.5, 21.0), ("h_2", None, None, 0.0, 0.0)]
+    assert (found[0].shift_start, found[0].shift_end, found[0].shift_label) == (
+        at(DAY + "07:00"), at(DAY + "19:00"), "2024_03_05 D")
+
+
+def test_coverage_counts_rows_without_a_value(spark):
+    p, _, per_line = small(spark)
+    seen = changes.observed_changes(point_ops.requested(p, per_line))
+    assert rows_of(changes.coverage(seen), "earliest", "latest") == [(at(DAY + "07:10"), at(DAY + "18:00"))]
+
+
+def test_a_shift_of_missing_readings_still_counts(spark):
+    _, per_line = dims(spark, dict(num_heats=1))
+    found = changes.shift_changes(points(spark, [(DAY + "08:00", "h_1", None)]), per_line)
+    assert rows_of(found, "control", "start_value", "delta") == [("h_1", None, 0.0)]
+
+
+def test_unrequested_fields_make_no_shift(spark):
+    _, per_line = dims(spark, dict(num_heats=1))
+    assert changes.shift_changes(points(spark, [(DAY + "08:00", "other", 1.0)]), per_line).count() == 0
+
+
+@pytest.mark.parametrize("start", [None, "07:00:00"])
+def test_boundaries(spark, start):
+    _, per_line = dims(spark, dict(num_heats=1))
+    p = points(spark, [(DAY + "07:00", "h_1", 1.0), (DAY + "19:00", "h_1", 5.0)])
+    closed = changes.shift_changes(p, per_line, dayshift_start=start)
+    assert rows_of(closed, "shift_label", "delta") == [("2024_03_04 N", 0.0), ("2024_03_05 D", 4.0), ("2024_03_05 N", 0.0)]
+    half_open = changes.shift_changes(p, per_line, dayshift_start=start, closed=False)
+    assert rows_of(half_open, "shift_label", "delta") == [("2024_03_05 D", 0.0), ("2024_03_05 N", 0.0)]
+
+
+def test_start_differs_by_line(spark):
+    _, per_line = dims(spark, dict(num_heats=1), dict(line="l2", num_heats=1, start="06:30:00"))
+    p = points(spark, [(DAY + "06:45", "h_1", 1.0)]).unionByName(points(spark, [(DAY + "06:45", "h_1", 1.0)], line_id="s-l2"))
+    assert rows_of(changes.shift_changes(p, per_line), "line_id", "shift_label") == [
+        ("s-l1", "2024_03_04 N"), ("s-l2", "2024_03_05 D")]
+
+
+def test_tiebreak(spark):
+    _, per_line = dims(spark, dict(num_heats=1))
+    p = points(spark, [(DAY + "08:00", "h_1", float(v)) for v in (3, 1, 2)]).withColumn(
+        "id", F.col("_value").cast("bigint") * -7)
+    found = changes.shift_changes(p, per_line, tiebreak="id")
+    assert rows_of(found, "start_value", "end_value") == [(3.0, 1.0)]
+
+
+def threshold_case(spark, deltas, **entry):
+    lines, per_line = dims(spark, dict(num_heats=len(deltas), **entry))
+    rows = []
+    for i, d in enumerate(deltas, 1):
+        rows += [(DAY + "08:00", f"h_{i}", 100.0), (DAY + "09:00", f"h_{i}", 100.0 + d)]
+    return changes.shift_changes(points(spark, rows), per_line), lines
+
+
+def test_threshold_is_strict_and_cut_toward_zero(spark):
+    found, lines = threshold_case(spark, [11.5, 10.0, -10.5])
+    assert rows_of(changes.over_threshold(found, lines), "control", "shown_delta", "shown_end") == [
+        ("h_1", 11, 111), ("h_3", -10, 89)]
+
+
+def test_threshold_of_the_heats_wins(spark):
+    found, lines = threshold_case(spark, [11.5, 12.5], threshold=12.0, heat_threshold=10.0)
+    assert rows_of(changes.over_threshold(found, lines), "control") == [("h_2",)]
+
+
+@pytest.mark.parametrize("last,changed", [(5.0, False), (4.9, True)])
+def test_changed_flag(spark, last, changed):
+    lines, per_line = dims(spark, dict(num_heats=1, nonheats=["a", "b"]))
+    p = points(spark, [(DAY + "08:00", "h_1", 1.0), (DAY + "09:00", "h_1", 9.0),
+                       (DAY + "08:00", "a", 1.0), (DAY + "08:00", "b", 5.0), (DAY + "09:00", "b", last)])
+    found = changes.changed_flag(changes.shift_changes(p, per_line), lines)
+    assert rows_of(found, "changed") == [(changed,)]
+
+
+def test_a_moved_heat_sets_the_flag(spark):
+    found, lines = threshold_case(spark, [-11.0])
+    assert rows_of(changes.changed_flag(found, lines), "changed") == [(True,)]
+
+
+def many(spark, n=6000):
+    rng = random.Random(11)
+    base = at("2024-03-01 00:00:00")
+    rows = [("s", f"s-l{rng.randint(1, 3)}", base + timedelta(seconds=i * 61), f"h_{rng.randint(1, 4)}",
+             rng.choice([None, round(rng.uniform(0, 100), 2)])) for i in range(n)]
+    frame = spark.createDataFrame(rows, "site string, line_id string, _time timestamp_ntz, _field string, _value double")
+    lines, per_line = dims(spark, *[dict(line=f"l{i}", num_heats=5) for i in (1, 2, 3)])
+    return frame, rows, lines, per_line
+
+
+def test_against_brute_force(spark):
+    frame, rows, _, per_line = many(spark)
+    groups = {}
+    for _, line, t, f, v in sorted(rows, key=lambda r: r[2]):
+        start = t - timedelta(seconds=(t - at("2024-01-01 07:00")).total_seconds() % 43200)
+        groups.setdefault((line, start), {}).setdefault(f, []).append(v)
+    expected = []
+    for (line, start), fields in groups.items():
+        for i in range(1, 6):
+            vs = [v for v in fields.get(f"h_{i}", []) if v is not None]
+            expected.append((line, start, f"h_{i}", vs[0] if vs else None, vs[-1] if vs else None,
+                             vs[-1] - vs[0] if vs else 0.0, max(vs) - min(vs) if vs else 0.0))
+    found = changes.shift_changes(frame, per_line, closed=False)
+    key = lambda r: tuple((x is None, x if x is not None else 0) for x in r)
+    got = [tuple(r) for r in found.select("line_id", "shift_start", "control", "start_value", "end_value", "delta", "spread").collect()]
+    assert sorted(got, key=key) == sorted(expected, key=key)
+
+
+def test_properties(spark):
+    frame, _, _, per_line = many(spark)
+    found = changes.shift_changes(frame, per_line)
+    assert found.where(F.col("spread") < F.abs("delta")).count() == 0
+    assert found.where(F.col("start_value").isNull() & (F.col("delta") != 0)).count() == 0
+    assert found.groupBy("line_id", "shift_start").count().where(F.col("count") != 5).count() == 0
+
+
+def test_result_does_not_depend_on_partitions(spark):
+    frame, _, _, per_line = many(spark)
+    results = []
+    for n in ("1", "200"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        kept = point_ops.first_per_minute(point_ops.unique_points(point_ops.requested(frame.repartition(int(n)), per_line)))
+        found = changes.complete_changes(changes.observed_changes(kept, "minute_level"), per_line)
+        results.append(sorted(map(str, found.collect())))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert results[0] == results[1]
+
+
+def test_large_configuration_joins_without_broadcast(spark, monkeypatch):
+    frame, _, _, per_line = many(spark)
+    expected = sorted(map(str, changes.shift_changes(frame, per_line).collect()))
+    monkeypatch.setattr("shiftlab.operators.sizes.sized.__defaults__", (1,))
+    shuffled = changes.shift_changes(frame, per_line)
+    assert "BroadcastHashJoin" not in shuffled._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, shuffled.collect())) == expected
+
+
+def test_clock_zone_of_telemetry(spark):
+    rows = points(spark, [(DAY + "14:00", "h_1", 1.0)]).withColumn("_time", times.to_zone(F.col("_time"), "UTC", "America/Chicago"))
+    _, per_line = dims(spark, dict(num_heats=1))
+    assert rows_of(changes.shift_changes(rows, per_line), "shift_label") == [("2024_03_05 D",)]

@@ -1,0 +1,169 @@
+import math
+import random
+from collections import Counter
+from statistics import NormalDist, mean, stdev
+
+import pytest
+from pyspark.sql import functions as F
+
+from shiftlab import schemas
+from shiftlab.operators import changes, quality
+from shiftlab.sources import tables
+from helpers import at, dims, rows_of
+
+DAY = "2024-01-10 "
+
+
+def measured(spark, rows):
+    """Measurements of one line from (time, test, val, part)."""
+    return spark.createDataFrame([("s", "1", at(t), test, val, part) for t, test, val, part in rows], schemas.QUALITY)
+
+
+def fraction(spark, values, lsl, usl, **options):
+    lines, _ = dims(spark, dict())
+    q = measured(spark, [(DAY + "12:00", "t", None if v is None else str(v), "p") for v in values])
+    specs = spark.createDataFrame([("s", "s-l1", "p", "t", lsl, usl)], schemas.SPECS)
+    stats = quality.test_statistics(quality.with_limits(quality.measurements(q, lines, "UTC"), specs))
+    found = quality.good_fractions(stats, keep_undefined=True, **options).collect()
+    return found[0].good_fraction if found else None
+
+
+CASES = [
+    ([48, 50, 52, 50], 46, 54, 0.985694), ([48, 50, 52, 50], 51, 60, -0.459709),
+    ([48, 50, 52, 50], None, 54, 0.985694), ([0.1, 0.1, 0.1], 0, 1, 1.0), ([0.1, 0.1, 0.1], 1, 2, 0.0),
+    ([0.1, 0.1], None, 2, 0.0), ([5], 0, 10, None), ([], 0, 10, None), (["x", "1d", None], 0, 10, None),
+    ([1, 2, 4, 8], 3, None, 0.5), ([1, 2, 2, 5], 3, None, 0.222222), ([1, 2, 3], 3, None, 0.0),
+    ([3, 4, 5], 3, None, 1.0), ([4, 5], 3, None, 1.0), ([1, 2], 3, None, 0.0), ([4], 3, None, None),
+    ([1, 2], None, None, None), (["inf", "1"], 0, 10, None),
+]
+
+
+@pytest.mark.parametrize("values,lsl,usl,expected", CASES)
+def test_good_fraction_cases(spark, values, lsl, usl, expected):
+    number = lambda x: None if x is None else float(x)
+    got = fraction(spark, values, number(lsl), number(usl))
+    assert got == (None if expected is None else pytest.approx(expected, abs=1e-6))
+
+
+def test_clamp(spark):
+    assert fraction(spark, [48, 50, 52, 50], 51.0, 60.0, clamp=True) == 0.0
+
+
+def by_definition(values, lsl, usl):
+    """The rule on a plain list: normal mass within the nearer limit, or the interpolated share above the lower one."""
+    if usl is None:
+        if len(values) <= 1 or lsl is None:
+            return None
+        if min(values) > lsl:
+            return 1.0
+        if max(values) < lsl:
+            return 0.0
+        xs = sorted(values)
+        i = max(k for k, x in enumerate(xs) if x <= lsl)
+        step = 0.0 if i + 1 == len(xs) else (lsl - xs[i]) / (xs[i + 1] - xs[i])
+        return 1 - (i + step) / (len(xs) - 1)
+    if len(values) <= 1:
+        return None
+    if min(values) == max(values):
+        return 1.0 if lsl is not None and lsl <= mean(values) <= usl else 0.0
+    sides = [usl - mean(values)] + ([] if lsl is None else [mean(values) - lsl])
+    s = min(sides) / stdev(values)
+    return NormalDist().cdf(s) - NormalDist().cdf(-s)
+
+
+def test_against_brute_force(spark):
+    rng = random.Random(5)
+    rows, groups, specs = [], {}, []
+    for g in range(300):
+        test = f"t{g}"
+        lsl, usl = rng.choice([(2.0, 8.0), (2.0, None), (None, 8.0), (None, None), (5.0, 5.5)])
+        specs.append(("s", "s-l1", "p", test, lsl, usl))
+        values = [round(rng.uniform(0, 10), rng.choice([0, 3])) for _ in range(rng.randint(1, 12))]
+        groups[test] = by_definition(values, lsl, usl)
+        rows += [(DAY + "12:00", test, str(v), "p") for v in values]
+    lines, _ = dims(spark, dict())
+    stats = quality.test_statistics(quality.with_limits(
+        quality.measurements(measured(spark, rows), lines, "UTC"), spark.createDataFrame(specs, schemas.SPECS)))
+    found = {r.test_cleaned: r.good_fraction for r in quality.good_fractions(stats, keep_undefined=True).collect()}
+    assert found.keys() == groups.keys()
+    for test, expected in groups.items():
+        assert found[test] == (None if expected is None else pytest.approx(expected, abs=1e-9)), test
+    assert all(v is None or -1 <= v <= 1 for v in found.values())
+    dropped = quality.good_fractions(stats)
+    assert dropped.count() == sum(v is not None for v in groups.values())
+
+
+def parts(spark, names):
+    lines, _ = dims(spark, dict())
+    q = measured(spark, [(DAY + "12:00", "t", "1", p) for p in names])
+    return quality.measurements(q, lines, "UTC")
+
+
+@pytest.mark.parametrize("names,expected", [("baab", ["a"]), ("bab", ["b"]), ([None, None, "c"], ["c"]), ([None], [])])
+def test_current_part(spark, names, expected):
+    rows = parts(spark, names)
+    assert [r[0] for r in quality.current_part(rows).select("part_item").collect()] == expected
+    ranked = quality.ranked_fractions(quality.test_statistics(quality.with_limits(rows, None)))
+    assert sorted({r.part_item for r in ranked.where("is_current").collect()}) == expected
+
+
+def test_current_part_counts_rows_without_a_number(spark):
+    lines, _ = dims(spark, dict())
+    q = measured(spark, [(DAY + "12:00", "t", v, p) for v, p in [("x", "a"), ("x", "a"), ("5", "b"), ("6", "a")]])
+    stats = quality.test_statistics(quality.with_limits(quality.measurements(q, lines, "UTC"), None))
+    assert rows_of(quality.good_fractions(stats, keep_undefined=True), "part_item", "n") == [("a", 1)]
+
+
+def test_only_the_current_part_counts(spark):
+    lines, _ = dims(spark, dict())
+    rng = random.Random(2)
+    rows = [(DAY + "12:00", rng.choice(["t", "u"]), str(rng.randint(0, 100)), rng.choice("aab")) for _ in range(60)]
+    top = Counter(r[3] for r in rows).most_common(1)[0][0]
+    stats = quality.test_statistics(quality.with_limits(quality.measurements(measured(spark, rows), lines, "UTC"), None))
+    for r in quality.good_fractions(stats).collect():
+        values = [float(v) for _, t, v, p in rows if t == r.test_cleaned and p == top]
+        assert (r.part_item, r.n) == (top, len(values))
+        assert r.good_fraction == pytest.approx(by_definition(values, 0.0, 100.0), abs=1e-9)
+
+
+def test_default_limits_and_one_sided_rows(spark):
+    rows = parts(spark, "p").withColumn("part_item", F.explode(F.array(F.lit("p"), F.lit("q"))))
+    specs = spark.createDataFrame([("s", "s-l1", "p", "t", 1.0, None)], schemas.SPECS)
+    assert rows_of(quality.with_limits(rows, specs).select("part_item", "lsl", F.coalesce("usl", F.lit(-1.0)).alias("usl")),
+                   "part_item", "lsl", "usl") == [("p", 1.0, -1.0), ("q", 0.0, 100.0)]
+
+
+def test_shift_is_told_on_the_site_clock(spark):
+    lines, _ = dims(spark, dict())
+    # 13:00 UTC is 07:00 in Chicago: the end of the night shift and the start of the day shift.
+    q = measured(spark, [(DAY + "13:00", "t", "1", "p"), (DAY + "12:59", "t", "1", "p")])
+    rows = changes.with_timestamps(quality.measurements(q, lines))
+    assert rows_of(rows, "shift_start", "datetime") == [
+        (at("2024-01-09 19:00"), at(DAY + "12:59")), (at("2024-01-09 19:00"), at(DAY + "13:00")),
+        (at(DAY + "07:00"), at(DAY + "13:00"))]
+    stats = quality.test_statistics(quality.with_limits(quality.measurements(q, lines), None))
+    assert rows_of(quality.latest_measurement(stats), "latest_local") == [(at(DAY + "07:00"),), (at(DAY + "07:00"),)]
+
+
+def test_other_lines_and_sites_stay_out(spark):
+    lines, _ = dims(spark, dict(line="l1"), dict(line="s-l22"))
+    q = spark.createDataFrame([("s", n, at(DAY + "12:00"), "t", "1", "p") for n in ("1", "2", "22")]
+                              + [("z", "1", at(DAY + "12:00"), "t", "1", "p")], schemas.QUALITY)
+    assert rows_of(quality.measurements(q, lines, "UTC"), "line_id") == [("s-l1",), ("s-l22",)]
+
+
+def test_scan_bounds_reach_the_files(spark, tmp_path):
+    q = measured(spark, [(DAY + f"{h:02d}:00", "t", "1", "p") for h in range(24)])
+    q.write.parquet(str(tmp_path / "q"))
+    found = tables.scan_quality(tables.read_quality(spark, str(tmp_path / "q")), at(DAY + "07:00"), at(DAY + "12:00"), "1")
+    assert rows_of(found, "datetime") == [(at(DAY + f"{h}:00"),) for h in range(13, 19)]
+    assert "GreaterThanOrEqual(datetime" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_worst_first(spark):
+    lines, _ = dims(spark, dict())
+    q = measured(spark, [(DAY + "12:00", t, str(v), "p") for t, vs in
+                         {"b": [40, 60], "a": [40, 60], "c": [90, 120]}.items() for v in vs])
+    stats = quality.test_statistics(quality.with_limits(quality.measurements(q, lines, "UTC"), None))
+    assert [r.test_cleaned for r in quality.worst_first(quality.good_fractions(stats)).collect()] == ["c", "a", "b"]
+    assert math.isfinite(quality.good_fractions(stats).first().good_fraction)
