@@ -131,7 +131,7 @@ def shift_for_run(spark, sf_dir):
 @query
 def heat_over_threshold(spark, sf_dir):
     found = changes.shift_changes(scan(spark, sf_dir), control_dim(spark), closed=False)
-    kept = changes.by_spread(changes.over_threshold(found, lines(spark)))
+    kept = changes.by_spread(changes.over_threshold(found))
     return kept.select("site", "line_id", "shift_label", "control", "threshold", r6("delta"),
                        "shown_start", "shown_end", "shown_delta", "shown_spread")
 
@@ -156,7 +156,7 @@ def shift_coverage(spark, sf_dir):
 @query
 def changed_flag(spark, sf_dir):
     found = changes.shift_changes(scan(spark, sf_dir), control_dim(spark), closed=False)
-    return changes.changed_flag(found, lines(spark)).drop("shift_start")
+    return changes.changed_flag(found).drop("shift_start")
 
 
 @query
@@ -282,7 +282,7 @@ def sanitize_tests(spark, sf_dir):
 def sanitize_documents(spark, sf_dir):
     """The same rules over whole prose texts."""
     cleaned = text.sanitize_test(F.col("text"))
-    return views.load(spark, sf_dir, "documents").select(
+    return tables.spread(views.load(spark, sf_dir, "documents"), "doc_id").select(
         "doc_id", F.length(cleaned).alias("n_chars"), F.md5(cleaned).alias("digest"))
 
 

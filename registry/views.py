@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shiftlab import schemas
 from shiftlab.functions import text
+from shiftlab.sources import tables
 
 FIELDS = ["heat_1", "heat_2", "heat_3", "plug_pos", "belt_speed"]
 EVENT_FIELD = dict(zip(["click", "view", "purchase", "error", "signup"], FIELDS))
@@ -38,13 +42,20 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def line_config(spark: SparkSession) -> DataFrame:
     rows = [
-        (x["site"], x["line"], x["heat_threshold"],
-         ((x["num_heats"], x["threshold"], "heat_{x}"), (x["nonheats"],)),
-         x["recipients"], x.get("email_recipients"), "2 6,18 * * *", True, x["start"],
-         x.get("timedelta"), x.get("days"), "X", x["bucket"], i)
+        {
+            "site": x["site"], "line": x["line"], "heat_threshold": x["heat_threshold"],
+            "controls": {
+                "heats": {"num_heats": x["num_heats"], "threshold": x["threshold"], "name": "heat_{x}"},
+                "nonheats": {"controls": x["nonheats"]},
+            },
+            "recipients": x["recipients"], "email_recipients": x.get("email_recipients"), "enabled": True,
+            "time_start_dayshift": x["start"], "alert_lookback_timedelta": x.get("timedelta"),
+            "alert_lookback_days": x.get("days"), "bucket": x["bucket"], "ordinal": i,
+        }
         for i, x in enumerate(LINES)
     ]
-    return spark.createDataFrame(rows, schemas.LINE_CONFIG)
+    stored = F.from_json(F.lit(json.dumps(rows)), T.ArrayType(schemas.LINE_CONFIG))
+    return spark.range(1).select(F.inline(stored))
 
 
 def number_of(key: str) -> Column:
@@ -81,7 +92,7 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A measurement per order line; the part table gives part and test names."""
     number = number_of("l_suppkey")
-    items = load(spark, sf_dir, "lineitem")
+    items = tables.spread(load(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_suppkey")
     parts = load(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
     val = (
         F.when(F.col("l_linenumber") == 7, F.lit("n/a"))
@@ -126,7 +137,7 @@ SPEC_ROWS = [
 
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An alert change per order, moved on to the weeks of the telemetry."""
-    orders = load(spark, sf_dir, "orders")
+    orders = tables.spread(load(spark, sf_dir, "orders"), "o_orderkey")
     customers = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     number = number_of("o_custkey")
     changed = F.timestamp_add(

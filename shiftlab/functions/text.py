@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Characters dropped from test names, and trigger suffixes dropped.
-DROPPED = "-,?+%"
+DROPPED = "[-,?+%]"
 TRIGGER_SUFFIXES = ("_alert_good_fraction", "_GEN_FLG_A_T")
 
 # Bracketed remarks, up to the first closing bracket on the same line. (?d)
@@ -20,10 +20,10 @@ SEPARATORS = r"(?U)[\s\x1c-\x1f./_]+"
 def sanitize_test(name: Column) -> Column:
     """A test name as an identifier.
 
-    Characters are dropped by translate, '#' is spelled out, remarks go, runs of
+    Some characters are dropped, '#' is spelled out, remarks go, runs of
     separators become one underscore, and the ends are trimmed.
     """
-    kept = F.translate(name, DROPPED, "")
+    kept = F.regexp_replace(name, DROPPED, "")
     spelled = F.replace(kept, F.lit("#"), F.lit("No"))
     plain = F.regexp_replace(spelled, REMARK, "")
     joined = F.regexp_replace(plain, SEPARATORS, "_")

@@ -112,7 +112,7 @@ def complete_changes(observed: DataFrame, controls: DataFrame) -> DataFrame:
         F.try_element_at(F.col("seen"), c["control"]).alias("r"),
     ))
     rows = gathered.join(sized(controls), LINE).select(
-        *SHIFT, "dayshift_start", "earliest", "latest", *(["copies"] if counted else []),
+        *SHIFT, "dayshift_start", "threshold", "earliest", "latest", *(["copies"] if counted else []),
         F.explode(looked_up).alias("c"),
     )
     start = F.col("shift_start")
@@ -121,7 +121,7 @@ def complete_changes(observed: DataFrame, controls: DataFrame) -> DataFrame:
         *SHIFT,
         times.shift_end(start).alias("shift_end"),
         times.shift_label(start, letter).alias("shift_label"),
-        "earliest", "latest", *(["copies"] if counted else []),
+        "threshold", "earliest", "latest", *(["copies"] if counted else []),
         "c.kind", "c.control", "c.control_ordinal", "c.r.start_value", "c.r.end_value",
         F.coalesce(F.col("c.r.end_value") - F.col("c.r.start_value"), F.lit(0.0)).alias("delta"),
         F.coalesce(F.col("c.r.high") - F.col("c.r.low"), F.lit(0.0)).alias("spread"),
@@ -137,18 +137,20 @@ def shift_changes(points: DataFrame, controls: DataFrame, time_col: str = "_time
     return complete_changes(observed, controls)
 
 
-def over_threshold(changes: DataFrame, lines: DataFrame) -> DataFrame:
-    """Heats that moved by more than their line's threshold, as shown in reports.
+def beyond_threshold() -> Column:
+    """Heats that moved by more than their line's threshold, either way."""
+    return (F.col("kind") == "heat") & (F.abs("delta") > F.col("threshold"))
+
+
+def over_threshold(changes: DataFrame) -> DataFrame:
+    """Heats beyond the threshold, as shown in reports.
 
     The four shown numbers are cut to whole numbers one by one, toward zero, so
     the shown change may differ from shown end minus shown start.
     """
-    heats = changes.where(F.col("kind") == "heat")
-    limits = lines.select(*LINE, "threshold")
-    kept = heats.join(sized(limits), LINE).where(F.abs("delta") > F.col("threshold"))
     shown = [F.col(c).cast("bigint").alias(f"shown_{c.removesuffix('_value')}")
              for c in ("start_value", "end_value", "delta", "spread")]
-    return kept.select("*", *shown)
+    return changes.where(beyond_threshold()).select("*", *shown)
 
 
 def by_spread(changes: DataFrame) -> DataFrame:
@@ -156,14 +158,11 @@ def by_spread(changes: DataFrame) -> DataFrame:
     return changes.orderBy(*SHIFT, "kind", F.desc_nulls_last("spread"), "control_ordinal")
 
 
-def changed_flag(changes: DataFrame, lines: DataFrame) -> DataFrame:
-    """Per line and shift: a heat beyond its threshold, or any move of another control."""
-    limits = lines.select(*LINE, "threshold")
-    moved = F.when(F.col("kind") == "heat", F.abs("delta") > F.col("threshold")).otherwise(
-        F.abs("delta") > 0
-    )
-    return (
-        changes.join(sized(limits), LINE)
-        .groupBy(*SHIFT, "shift_label")
-        .agg(F.bool_or(moved).alias("changed"))
-    )
+def moved() -> Column:
+    """A heat beyond its threshold, or any move of another control."""
+    return beyond_threshold() | ((F.col("kind") != "heat") & (F.abs("delta") > 0))
+
+
+def changed_flag(changes: DataFrame) -> DataFrame:
+    """Per line and shift: whether any control moved."""
+    return changes.groupBy(*SHIFT, "shift_label").agg(F.bool_or(moved()).alias("changed"))

@@ -44,7 +44,7 @@ def line_dim(line_config: DataFrame) -> DataFrame:
 
 
 def line_controls(line_config: DataFrame) -> DataFrame:
-    """One row per line with all its controls: the numbered heats, then the listed others.
+    """One row per line with its threshold and all its controls: numbered heats, then listed others.
 
     ``{x}`` in the heat name counts from 1. A count below one gives no heats;
     sequence(1, 0) would run backwards, hence the guard.
@@ -67,6 +67,7 @@ def line_controls(line_config: DataFrame) -> DataFrame:
         text.line_id(F.col("site"), F.col("line")).alias("line_id"),
         start.alias("dayshift_start"),
         times.clock_seconds(start).alias("start_seconds"),
+        heat_threshold().alias("threshold"),
         F.concat(heats, nonheats).alias("controls"),
     )
 

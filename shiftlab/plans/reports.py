@@ -15,7 +15,6 @@ from shiftlab.operators import changes as change_ops
 from shiftlab.operators import points as point_ops
 from shiftlab.operators import quality as quality_ops
 from shiftlab.operators.points import LINE
-from shiftlab.operators.sizes import sized
 
 REPORT = [*LINE, "run_at"]
 SHIFT = [*LINE, "shift_start"]
@@ -38,30 +37,27 @@ def six_decimals(value: Column) -> Column:
     return F.format_string("%.6f", value)
 
 
-def change_sections(changes: DataFrame, lines: DataFrame) -> DataFrame:
-    """Per line and shift: rendered rows of both tables, and the change flag.
+def change_sections(changes: DataFrame) -> DataFrame:
+    """Per line and shift: rendered rows of both tables, the change flag, the times seen.
 
-    A group holds one short string per configured control of the line.
+    A group holds one short string per configured control of the line, and is
+    already in one place, since the changes were completed by line and shift.
     """
-    limits = lines.select(*LINE, "threshold")
-    rows = changes.join(sized(limits), LINE)
     heat = F.col("kind") == "heat"
-    beyond = heat & (F.abs("delta") > F.col("threshold"))
-    numbers = ["start_value", "end_value", "delta", "spread"]
 
     def shown(name: str) -> Column:
         whole = F.coalesce(F.col(name).cast("bigint").cast("string"), F.lit("nan"))
         return F.when(heat, whole).otherwise(two_decimals(F.col(name)))
 
     sign = F.when(heat, F.signum(F.col("delta").cast("bigint"))).otherwise(F.signum("delta"))
-    cells = [html.signed_cell(shown(n), sign) if n == "delta" else html.cell(shown(n)) for n in numbers]
+    cells = [html.signed_cell(shown(n), sign) if n == "delta" else html.cell(shown(n))
+             for n in ("start_value", "end_value", "delta", "spread")]
     rendered = html.row(html.cell(html.escape(F.col("control"))), *cells)
     order = [-F.col("spread"), F.col("control_ordinal")]
-    moved = F.when(heat, beyond).otherwise(F.abs("delta") > 0)
-    return rows.groupBy(*SHIFT).agg(
+    return changes.groupBy(*SHIFT).agg(
         html.joined_rows(order, F.when(~heat, rendered)).alias("nonheat_rows"),
-        html.joined_rows(order, F.when(beyond, rendered)).alias("heat_rows"),
-        F.bool_or(moved).alias("changed"),
+        html.joined_rows(order, F.when(change_ops.beyond_threshold(), rendered)).alias("heat_rows"),
+        F.bool_or(change_ops.moved()).alias("changed"),
         F.min("earliest").alias("earliest"),
         F.max("latest").alias("latest"),
         *([F.max("copies").alias("copies")] if "copies" in changes.columns else []),
@@ -152,7 +148,7 @@ def line_reports(runs: DataFrame, lines: DataFrame, controls: DataFrame, points:
     wanted = point_ops.requested(points, controls)
     kept = point_ops.first_per_minute(point_ops.unique_points(wanted), bucket)
     observed = change_ops.observed_changes(kept, "minute_level")
-    sections = change_sections(change_ops.complete_changes(observed, controls), lines)
+    sections = change_sections(change_ops.complete_changes(observed, controls))
     reports = runs.join(sections, SHIFT, "left")
     duplicated = F.col("copies") > 1
     if fail_on == "fetch":

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Recording the call site of every column operation costs more than building it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

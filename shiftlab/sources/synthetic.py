@@ -19,6 +19,7 @@ HEAT_BASE, HEAT_REACH, HEAT_NOISE, HEAT_RAMP = 350.0, 20, 2.0, 15.0
 OTHER_BASE, OTHER_REACH, OTHER_NOISE, OTHER_STEP = 100.0, 10, 0.5, 5.0
 STEP_CHANCE = 0.3
 POINTS = 1441
+BLOCK = 60
 
 
 def uniform(*keys: Column | str) -> Column:
@@ -57,7 +58,11 @@ def synthetic_telemetry(controls: DataFrame, end: datetime, points: int = POINTS
     heat = HEAT_BASE - HEAT_REACH + F.floor(F.col("level") * 2 * HEAT_REACH) + HEAT_NOISE * noise + ramp
     other = OTHER_BASE - OTHER_REACH + F.floor(F.col("level") * 2 * OTHER_REACH) + OTHER_NOISE * noise + step
     begin = F.lit(end).cast("timestamp_ntz")
-    grid = per_control.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    blocks = F.explode(F.sequence(F.lit(0), F.lit(points - 1), F.lit(BLOCK)))
+    tasks = int(controls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = per_control.withColumn("block", blocks).repartition(tasks, "line_id", "control", "block")
+    end_of_block = F.least(F.col("block") + BLOCK, F.lit(points)) - 1
+    grid = spread.withColumn("i", F.explode(F.sequence(F.col("block"), end_of_block)))
     return grid.select(
         "site", "line_id",
         F.timestamp_add("MINUTE", i - (points - 1), begin).alias("_time"),

@@ -26,6 +26,16 @@ def _config(spark: SparkSession, path: str, fmt: str, schema) -> DataFrame:
     return reader.option("multiLine", True).json(path) if fmt == "json" else reader.format(fmt).load(path)
 
 
+def spread(table: DataFrame, *keys: str) -> DataFrame:
+    """Deal a small table out to all cores before heavy work per row.
+
+    A table that comes in at least as many splits as there are cores is left
+    alone, so nothing large is ever shuffled for this.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores, *keys)
+
+
 def read_telemetry(spark: SparkSession, path: str) -> DataFrame:
     """Long telemetry. Lay it out by site and date: ``telemetry/site=.../date=...``."""
     return spark.read.parquet(path)

@@ -70,36 +70,36 @@ def test_tiebreak(spark):
 
 
 def threshold_case(spark, deltas, **entry):
-    lines, per_line = dims(spark, dict(num_heats=len(deltas), **entry))
+    _, per_line = dims(spark, dict(num_heats=len(deltas), **entry))
     rows = []
     for i, d in enumerate(deltas, 1):
         rows += [(DAY + "08:00", f"h_{i}", 100.0), (DAY + "09:00", f"h_{i}", 100.0 + d)]
-    return changes.shift_changes(points(spark, rows), per_line), lines
+    return changes.shift_changes(points(spark, rows), per_line)
 
 
 def test_threshold_is_strict_and_cut_toward_zero(spark):
-    found, lines = threshold_case(spark, [11.5, 10.0, -10.5])
-    assert rows_of(changes.over_threshold(found, lines), "control", "shown_delta", "shown_end") == [
+    found = threshold_case(spark, [11.5, 10.0, -10.5])
+    assert rows_of(changes.over_threshold(found), "control", "shown_delta", "shown_end") == [
         ("h_1", 11, 111), ("h_3", -10, 89)]
 
 
 def test_threshold_of_the_heats_wins(spark):
-    found, lines = threshold_case(spark, [11.5, 12.5], threshold=12.0, heat_threshold=10.0)
-    assert rows_of(changes.over_threshold(found, lines), "control") == [("h_2",)]
+    found = threshold_case(spark, [11.5, 12.5], threshold=12.0, heat_threshold=10.0)
+    assert rows_of(changes.over_threshold(found), "control") == [("h_2",)]
 
 
 @pytest.mark.parametrize("last,changed", [(5.0, False), (4.9, True)])
 def test_changed_flag(spark, last, changed):
-    lines, per_line = dims(spark, dict(num_heats=1, nonheats=["a", "b"]))
+    _, per_line = dims(spark, dict(num_heats=1, nonheats=["a", "b"]))
     p = points(spark, [(DAY + "08:00", "h_1", 1.0), (DAY + "09:00", "h_1", 9.0),
                        (DAY + "08:00", "a", 1.0), (DAY + "08:00", "b", 5.0), (DAY + "09:00", "b", last)])
-    found = changes.changed_flag(changes.shift_changes(p, per_line), lines)
+    found = changes.changed_flag(changes.shift_changes(p, per_line))
     assert rows_of(found, "changed") == [(changed,)]
 
 
 def test_a_moved_heat_sets_the_flag(spark):
-    found, lines = threshold_case(spark, [-11.0])
-    assert rows_of(changes.changed_flag(found, lines), "changed") == [(True,)]
+    found = threshold_case(spark, [-11.0])
+    assert rows_of(changes.changed_flag(found), "changed") == [(True,)]
 
 
 def many(spark, n=6000):
