@@ -43,10 +43,10 @@ def line_dim(line_config: DataFrame) -> DataFrame:
     )
 
 
-def line_controls(line_config: DataFrame) -> DataFrame:
+def line_controls(line_config: DataFrame, enhanced: bool = True) -> DataFrame:
     """One row per line with its threshold and all its controls: numbered heats, then listed others.
 
-    ``{x}`` in the heat name counts from 1. A count below one gives no heats;
+    ``enhanced`` is the threshold rule, see :func:`heat_threshold`. ``{x}`` in the heat name counts from 1. A count below one gives no heats;
     sequence(1, 0) would run backwards, hence the guard.
     """
     count = F.coalesce(F.col("controls.heats.num_heats"), F.lit(0))
@@ -67,7 +67,7 @@ def line_controls(line_config: DataFrame) -> DataFrame:
         text.line_id(F.col("site"), F.col("line")).alias("line_id"),
         start.alias("dayshift_start"),
         times.clock_seconds(start).alias("start_seconds"),
-        heat_threshold().alias("threshold"),
+        heat_threshold(enhanced).alias("threshold"),
         F.concat(heats, nonheats).alias("controls"),
     )
 

@@ -133,7 +133,7 @@ def line_reports(runs: DataFrame, lines: DataFrame, controls: DataFrame, points:
                  quality: DataFrame | None = None, specs: DataFrame | None = None,
                  alerts: DataFrame | None = None, bucket: str | None = "minute",
                  site_tz: str = "America/Chicago", known_at_run: bool = False,
-                 fail_on: str = "fetch") -> DataFrame:
+                 fail_on: str = "fetch", telemetry_tz: str = "UTC", shift_tz: str = "UTC") -> DataFrame:
     """One report per line and run; the machine part alone without quality and alerts.
 
     A line whose bucket names no measurement, or with more than one reading for
@@ -142,11 +142,17 @@ def line_reports(runs: DataFrame, lines: DataFrame, controls: DataFrame, points:
     points of the line, the rule of a single run. ``"shift"`` looks in the shift
     reported, which suits a backfill: one bad minute does not fail a year. It
     also needs no second pass over the points.
+
+    Telemetry clocks count as the clock shifts are told on, unless two different
+    zones are named. Points are made unique and put in order before they move,
+    so an hour that the local clock repeats is not taken for duplicates.
+    Quality and alerts are stored in UTC and told on ``site_tz``.
     """
     if fail_on not in ("fetch", "shift"):
         raise ValueError(f"fail_on is 'fetch' or 'shift', not {fail_on!r}")
     wanted = point_ops.requested(points, controls)
     kept = point_ops.first_per_minute(point_ops.unique_points(wanted), bucket)
+    kept = kept.withColumn("minute_level", times.to_zone(F.col("minute_level"), telemetry_tz, shift_tz))
     observed = change_ops.observed_changes(kept, "minute_level")
     sections = change_sections(change_ops.complete_changes(observed, controls))
     reports = runs.join(sections, SHIFT, "left")

@@ -89,6 +89,20 @@ def test_as_stored_buckets(spark):
     assert "Earliest" in rounded.html and "No machine data" in exact.html
 
 
+def test_local_clock_that_repeats_an_hour(spark):
+    """06:30 and 07:30 UTC both read 01:30 in Chicago on 2024-11-03; neither is a duplicate."""
+    table = config(spark, dict(num_heats=1))
+    lines, per_line = controls.line_dim(table), controls.line_controls(table)
+    run = runs.scheduled_run(lines, at("2024-11-03 06:02"))
+    rows = [("s-l1", "2024-11-03 07:30", "h_1", 50.0), ("s-l1", "2024-11-03 06:30", "h_1", 10.0),
+            ("s-l1", "2024-11-03 00:30", "h_1", 99.0), ("s-l1", "2024-11-02 23:30", "h_1", 99.0)]
+    row = reports.line_reports(run, lines, per_line, frame(spark, rows), shift_tz="America/Chicago").first()
+    assert row.status == "success"
+    assert "<b>Earliest timepoint</b>: 2024-11-02 19:30:00" in row.html
+    assert "<td>99</td><td>50</td>" in row.html and "<td>-49</td><td>89</td>" in row.html.replace(
+        ' style="background-color:#199bd6aa; border: 2px solid #000066;"', "")
+
+
 def sections(spark, quality_rows, alert_rows):
     lines, per_line, run = setup(spark, dict(num_heats=1, days=10))
     quality = spark.createDataFrame([("s", "1", at(t), test, v, p) for t, test, v, p in quality_rows], schemas.QUALITY)
