@@ -166,8 +166,9 @@ ORACLE["process_changes"] = f"""
 {with_(CONFIG, TELEMETRY, DEDUP, _OWN, CALENDAR, closed_rows('own', 'minute_level'), OBSERVED, CHANGES)}
 SELECT {CHANGE_COLUMNS} FROM chg"""
 
+_FETCH = "ts >= TIMESTAMP '2024-01-15 06:02:00' AND ts < TIMESTAMP '2024-01-16 06:02:00'"
 ORACLE["process_changes_run"] = f"""
-{with_(CONFIG, TELEMETRY.replace('FROM events', "FROM events WHERE ts >= TIMESTAMP '2024-01-15 06:02:00'"), DEDUP, CALENDAR,
+{with_(CONFIG, TELEMETRY.replace('FROM events', f"FROM events WHERE {_FETCH}"), DEDUP, CALENDAR,
        closed_rows('kept', 'minute_level'), OBSERVED, CHANGES)}
 SELECT {CHANGE_COLUMNS} FROM chg JOIN cfg USING (site, line_id)
 WHERE shift_start = TIMESTAMP '2024-01-16 00:00:00' + start_after - INTERVAL 12 hours"""
@@ -567,8 +568,7 @@ SELECT m.site, m.line_id, m.run_at, CASE WHEN m.measurement IS NULL THEN 'bucket
   ELSE 'more than one reading for one time and control' END AS error
 FROM mac m LEFT JOIN bad b ON m.line_id = b.line_id AND m.shift_start = b.shift_start
 WHERE m.measurement IS NULL OR b.line_id IS NOT NULL"""
-_ONE_RUN = (CONFIG, _REPEATED.format(where="WHERE ts >= TIMESTAMP '2024-01-15 06:02:00'",
-                                     both="WHERE value > 300 AND ts >= TIMESTAMP '2024-01-15 06:02:00'"),
+_ONE_RUN = (CONFIG, _REPEATED.format(where=f"WHERE {_FETCH}", both=f"WHERE value > 300 AND {_FETCH}"),
             DEDUP, CALENDAR, closed_rows("kept", "minute_level"), OBSERVED, CHANGES,
             RUNS.replace("TIMESTAMP '2024-01-02 06:02:00'", "TIMESTAMP '2024-01-16 06:02:00'").replace(
                 "TIMESTAMP '2024-01-31 06:02:00'", "TIMESTAMP '2024-01-16 06:02:00'"), MACHINE)

@@ -53,6 +53,7 @@ def heading(title: Column, changed: Column) -> Column:
 
 
 def joined_rows(order: list[Column], html: Column) -> Column:
-    """Aggregate: the row pieces of one document section, in the given order."""
+    """Aggregate: the row pieces of one document section in the given order; missing ones left out."""
     keyed = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)], html.alias("html"))
-    return F.array_join(F.transform(F.array_sort(F.collect_list(keyed)), lambda s: s["html"]), "")
+    present = F.collect_list(F.when(html.isNotNull(), keyed))
+    return F.array_join(F.transform(F.array_sort(present), lambda s: s["html"]), "")

@@ -148,7 +148,7 @@ def over_threshold(changes: DataFrame) -> DataFrame:
     The four shown numbers are cut to whole numbers one by one, toward zero, so
     the shown change may differ from shown end minus shown start.
     """
-    shown = [F.col(c).cast("bigint").alias(f"shown_{c.removesuffix('_value')}")
+    shown = [F.col(c).try_cast("bigint").alias(f"shown_{c.removesuffix('_value')}")
              for c in ("start_value", "end_value", "delta", "spread")]
     return changes.where(beyond_threshold()).select("*", *shown)
 

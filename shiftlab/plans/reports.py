@@ -46,10 +46,10 @@ def change_sections(changes: DataFrame) -> DataFrame:
     heat = F.col("kind") == "heat"
 
     def shown(name: str) -> Column:
-        whole = F.coalesce(F.col(name).cast("bigint").cast("string"), F.lit("nan"))
+        whole = F.coalesce(F.col(name).try_cast("bigint").cast("string"), F.lit("nan"))
         return F.when(heat, whole).otherwise(two_decimals(F.col(name)))
 
-    sign = F.when(heat, F.signum(F.col("delta").cast("bigint"))).otherwise(F.signum("delta"))
+    sign = F.when(heat, F.signum(F.col("delta").try_cast("bigint"))).otherwise(F.signum("delta"))
     cells = [html.signed_cell(shown(n), sign) if n == "delta" else html.cell(shown(n))
              for n in ("start_value", "end_value", "delta", "spread")]
     rendered = html.row(html.cell(html.escape(F.col("control"))), *cells)

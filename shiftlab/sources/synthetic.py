@@ -53,7 +53,7 @@ def synthetic_telemetry(controls: DataFrame, end: datetime, points: int = POINTS
     })
     i = F.col("i")
     noise = normal("noise", *key, i)
-    ramp = F.when(i >= middle, (i - middle) * HEAT_RAMP / (points - middle - 1)).otherwise(0.0)
+    ramp = F.when(i >= middle, (i - middle) * HEAT_RAMP / max(points - middle - 1, 1)).otherwise(0.0)
     step = F.when(F.col("steps") & (i >= F.col("step_at")), F.lit(OTHER_STEP)).otherwise(0.0)
     heat = HEAT_BASE - HEAT_REACH + F.floor(F.col("level") * 2 * HEAT_REACH) + HEAT_NOISE * noise + ramp
     other = OTHER_BASE - OTHER_REACH + F.floor(F.col("level") * 2 * OTHER_REACH) + OTHER_NOISE * noise + step

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiftlab import schemas
-from shiftlab.functions import numeric, text
+from shiftlab.functions import numeric, text, times
+from shiftlab.operators.sizes import sized
 
 LOOKBACK = timedelta(hours=24)
 
@@ -64,37 +65,43 @@ def scan_telemetry(telemetry: DataFrame, lines: DataFrame | None = None, as_of:
                    measurement: str | None = None) -> DataFrame:
     """Points of a time range, as (site, line_id, _time, _field, _value).
 
-    ``as_of`` keeps the look-back before it, ``until`` bounds the other end;
-    without either the whole history is read. When the table has a ``date``
-    partition column the same bounds prune folders. ``lines`` keeps only points
+    ``as_of`` keeps the look-back before it, itself excluded, as a fetch at that
+    time would. ``until`` is a last time to keep. Without either the whole
+    history is read. When the table has a ``date`` partition column the same
+    bounds prune folders. ``lines`` keeps only points
     of each line's own measurement. NaN readings become missing.
     """
     if as_of is not None:
-        telemetry = _since(telemetry, as_of - lookback)
+        telemetry = _bounded(telemetry, F.col("_time") < _clock(as_of), as_of, before=True)
+        telemetry = _bounded(telemetry, F.col("_time") >= _clock(as_of - lookback), as_of - lookback)
     if until is not None:
-        telemetry = telemetry.where(F.col("_time") <= F.lit(until).cast("timestamp_ntz"))
-        if "date" in telemetry.columns:
-            telemetry = telemetry.where(F.col("date") <= F.lit(until.date()))
+        telemetry = _bounded(telemetry, F.col("_time") <= _clock(until), until, before=True)
     if measurement is not None:
         telemetry = telemetry.where(F.col("measurement") == measurement)
-    extra = [c for c in telemetry.columns if c not in ("site", "line", "measurement", "date", "_time", "_field", "_value")]
+    known = ("site", "line", "measurement", "date", "_time", "_field", "_value")
+    extra = [c for c in telemetry.columns if c not in known]
     points = telemetry.select(
         "site", text.line_id(F.col("site"), F.col("line")).alias("line_id"),
         *(["measurement"] if "measurement" in telemetry.columns else []),
         "_time", "_field", numeric.missing_if_nan(F.col("_value")).alias("_value"), *extra,
     )
     if lines is not None:
-        from shiftlab.operators.sizes import sized
         own = lines.select("site", "line_id", "measurement")
         points = points.join(sized(own), ["site", "line_id", "measurement"], "left_semi")
     return points.drop("measurement")
 
 
-def _since(telemetry: DataFrame, start: datetime) -> DataFrame:
-    telemetry = telemetry.where(F.col("_time") >= F.lit(start).cast("timestamp_ntz"))
-    if "date" in telemetry.columns:
-        telemetry = telemetry.where(F.col("date") >= F.lit(date(start.year, start.month, start.day)))
-    return telemetry
+def _clock(t: datetime) -> Column:
+    return F.lit(t).cast("timestamp_ntz")
+
+
+def _bounded(telemetry: DataFrame, bound: Column, t: datetime, before: bool = False) -> DataFrame:
+    """A time bound, and the same on the date folders if there are any."""
+    telemetry = telemetry.where(bound)
+    if "date" not in telemetry.columns:
+        return telemetry
+    day = F.lit(t.date())
+    return telemetry.where(F.col("date") <= day if before else F.col("date") >= day)
 
 
 def scan_quality(quality: DataFrame, left: datetime, right: datetime, line_no: str | None = None,
@@ -103,10 +110,7 @@ def scan_quality(quality: DataFrame, left: datetime, right: datetime, line_no: s
 
     The bounds move to UTC, not the column, so the filter reaches the files.
     """
-    bounds = [
-        F.convert_timezone(F.lit(site_tz), F.lit("UTC"), F.lit(t).cast("timestamp_ntz"))
-        for t in (left, right)
-    ]
+    bounds = [times.to_zone(_clock(t), site_tz, "UTC") for t in (left, right)]
     rows = quality.select("site", "line_no", "datetime", "test", "val", "part_item")
     rows = rows.where(F.col("datetime").between(*bounds))
     return rows if line_no is None else rows.where(F.col("line_no") == line_no)

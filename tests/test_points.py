@@ -88,11 +88,11 @@ def telemetry(spark, rows):
 def test_scan(spark):
     t = telemetry(spark, [
         ("l1", "opcua", "2024-01-01 06:02", "f", 1.0), ("s-l1", "opcua", "2024-01-01 06:01:59", "f", 2.0),
-        ("l1", "other", "2024-01-02 00:00", "f", 3.0), ("l1", "opcua", "2024-01-02 00:00", "f", float("nan"))])
+        ("l1", "opcua", "2024-01-02 06:02", "f", 5.0), ("l1", "other", "2024-01-02 00:00", "f", 3.0), ("l1", "opcua", "2024-01-02 00:00", "f", float("nan"))])
     scanned = tables.scan_telemetry(t, as_of=at("2024-01-02 06:02"), measurement="opcua")
     assert rows_of(scanned, "line_id", "_time", "_value") == [
         ("s-l1", at("2024-01-01 06:02"), 1.0), ("s-l1", at("2024-01-02 00:00"), None)]
-    assert tables.scan_telemetry(t).count() == 4
+    assert tables.scan_telemetry(t).count() == 5
     assert tables.scan_telemetry(t, until=at("2024-01-01 06:02")).count() == 2
     lines, _ = dims(spark, dict(), dict(line="l9", bucket="v/ch_other"))
     assert tables.scan_telemetry(t, lines=lines).count() == 3
