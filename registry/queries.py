@@ -210,7 +210,7 @@ def synthetic_telemetry(spark, sf_dir):
     """Made-up readings for the controls of every supplier, summed up per control."""
     made = synthetic.synthetic_telemetry(
         controls.line_controls(views.supplier_lines(spark, sf_dir)), AS_OF)
-    first = F.col("_time") < F.lit(datetime(2024, 1, 30, 18, 2)).cast("timestamp_ntz")
+    first = F.col("_time") < times.wall_clock(datetime(2024, 1, 30, 18, 2))
     return made.groupBy("site", "line_id", "_field").agg(
         F.count("*").alias("n"), F.min("_time").alias("begins"), F.max("_time").alias("ends"),
         r6("low", F.min("_value")), r6("high", F.max("_value")),
@@ -372,7 +372,7 @@ def alert_view(spark, sf_dir):
 def alert_local_times(spark, sf_dir):
     """Every change on the site's clock, whatever its age."""
     rows = alerts.alert_rows(views.alerts(spark, sf_dir), "America/Chicago", bucket="minute")
-    winter = rows.where(F.col("changed_at") >= F.lit(datetime(2023, 11, 20)).cast("timestamp_ntz"))
+    winter = rows.where(F.col("changed_at") >= times.wall_clock(datetime(2023, 11, 20)))
     return alerts.report_columns(winter)
 
 

@@ -5,6 +5,8 @@ Times are TIMESTAMP_NTZ. Nothing here depends on the session time zone.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,12 @@ SHIFT = 12 * 60 * MINUTE
 DEFAULT_START = "07:00:00"
 
 
+def wall_clock(t: datetime) -> Column:
+    """A TIMESTAMP_NTZ literal. By way of text, since a datetime literal is an
+    instant, whose clock depends on the zones of Python and of the session."""
+    return F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def epoch() -> Column:
     return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 

@@ -12,12 +12,12 @@ from shiftlab.functions import times
 
 def scheduled_run(lines: DataFrame, as_of: datetime) -> DataFrame:
     """One run of every line at one clock time."""
-    return _with_shift(lines.withColumn("run_at", F.lit(as_of).cast("timestamp_ntz")))
+    return _with_shift(lines.withColumn("run_at", times.wall_clock(as_of)))
 
 
 def backfill_runs(lines: DataFrame, first: datetime, last: datetime) -> DataFrame:
     """A run every 12 hours from ``first`` to ``last``, for every line."""
-    bounds = [F.lit(t).cast("timestamp_ntz") for t in (first, last)]
+    bounds = [times.wall_clock(t) for t in (first, last)]
     runs = F.explode(F.sequence(*bounds, F.expr("INTERVAL 12 HOURS")))
     return _with_shift(lines.withColumn("run_at", runs))
 

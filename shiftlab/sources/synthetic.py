@@ -12,6 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shiftlab.functions import times
 from shiftlab.operators.controls import requested_names
 
 # Levels, noise and drift of the two kinds of control.
@@ -57,7 +58,7 @@ def synthetic_telemetry(controls: DataFrame, end: datetime, points: int = POINTS
     step = F.when(F.col("steps") & (i >= F.col("step_at")), F.lit(OTHER_STEP)).otherwise(0.0)
     heat = HEAT_BASE - HEAT_REACH + F.floor(F.col("level") * 2 * HEAT_REACH) + HEAT_NOISE * noise + ramp
     other = OTHER_BASE - OTHER_REACH + F.floor(F.col("level") * 2 * OTHER_REACH) + OTHER_NOISE * noise + step
-    begin = F.lit(end).cast("timestamp_ntz")
+    begin = times.wall_clock(end)
     blocks = F.explode(F.sequence(F.lit(0), F.lit(points - 1), F.lit(BLOCK)))
     tasks = int(controls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = per_control.withColumn("block", blocks).repartition(tasks, "line_id", "control", "block")

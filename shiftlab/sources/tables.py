@@ -72,10 +72,10 @@ def scan_telemetry(telemetry: DataFrame, lines: DataFrame | None = None, as_of:
     of each line's own measurement. NaN readings become missing.
     """
     if as_of is not None:
-        telemetry = _bounded(telemetry, F.col("_time") < _clock(as_of), as_of, before=True)
-        telemetry = _bounded(telemetry, F.col("_time") >= _clock(as_of - lookback), as_of - lookback)
+        telemetry = _bounded(telemetry, F.col("_time") < times.wall_clock(as_of), as_of, before=True)
+        telemetry = _bounded(telemetry, F.col("_time") >= times.wall_clock(as_of - lookback), as_of - lookback)
     if until is not None:
-        telemetry = _bounded(telemetry, F.col("_time") <= _clock(until), until, before=True)
+        telemetry = _bounded(telemetry, F.col("_time") <= times.wall_clock(until), until, before=True)
     if measurement is not None:
         telemetry = telemetry.where(F.col("measurement") == measurement)
     known = ("site", "line", "measurement", "date", "_time", "_field", "_value")
@@ -91,10 +91,6 @@ def scan_telemetry(telemetry: DataFrame, lines: DataFrame | None = None, as_of:
     return points.drop("measurement")
 
 
-def _clock(t: datetime) -> Column:
-    return F.lit(t).cast("timestamp_ntz")
-
-
 def _bounded(telemetry: DataFrame, bound: Column, t: datetime, before: bool = False) -> DataFrame:
     """A time bound, and the same on the date folders if there are any."""
     telemetry = telemetry.where(bound)
@@ -110,7 +106,7 @@ def scan_quality(quality: DataFrame, left: datetime, right: datetime, line_no: s
 
     The bounds move to UTC, not the column, so the filter reaches the files.
     """
-    bounds = [times.to_zone(_clock(t), site_tz, "UTC") for t in (left, right)]
+    bounds = [times.to_zone(times.wall_clock(t), site_tz, "UTC") for t in (left, right)]
     rows = quality.select("site", "line_no", "datetime", "test", "val", "part_item")
     rows = rows.where(F.col("datetime").between(*bounds))
     return rows if line_no is None else rows.where(F.col("line_no") == line_no)

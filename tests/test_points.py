@@ -95,7 +95,7 @@ def test_scan(spark):
     assert tables.scan_telemetry(t).count() == 5
     assert tables.scan_telemetry(t, until=at("2024-01-01 06:02")).count() == 2
     lines, _ = dims(spark, dict(), dict(line="l9", bucket="v/ch_other"))
-    assert tables.scan_telemetry(t, lines=lines).count() == 3
+    assert tables.scan_telemetry(t, lines=lines).count() == 4
 
 
 def test_scan_pushes_its_filters(spark, tmp_path):

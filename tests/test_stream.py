@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shiftlab import session
+from shiftlab.functions import times
 from shiftlab.operators import changes
 from shiftlab.streaming import changes as stream
 from helpers import at, points, rows_of
@@ -47,7 +48,7 @@ def test_closed_shifts_equal_the_batch(spark, tmp_path):
     found = run(spark, folder, str(tmp_path / "out"))
     last = frame.agg(F.max("_time")).first()[0]
     batch = changes.observed_changes(frame, dayshift_start="07:00:00", closed=False)
-    batch = batch.where(F.col("shift_start") + F.expr("INTERVAL 13 HOURS") <= F.lit(last).cast("timestamp_ntz"))
+    batch = batch.where(F.col("shift_start") + F.expr("INTERVAL 13 HOURS") <= times.wall_clock(last))
     columns = ["line_id", "shift_start", "control", "start_value", "end_value"]
     assert rows_of(found, *columns) == rows_of(batch, *columns) and found.count() > 150
 
