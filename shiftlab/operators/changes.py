@@ -154,8 +154,12 @@ def over_threshold(changes: DataFrame) -> DataFrame:
 
 
 def by_spread(changes: DataFrame) -> DataFrame:
-    """Widest range first, then in configured order."""
-    return changes.orderBy(*SHIFT, "kind", F.desc_nulls_last("spread"), "control_ordinal")
+    """Each report's rows together, widest range first, then in configured order.
+
+    Completed changes already lie by line and shift, so sorting within
+    partitions is enough; a total order over all reports would shuffle again.
+    """
+    return changes.sortWithinPartitions(*SHIFT, "kind", F.desc_nulls_last("spread"), "control_ordinal")
 
 
 def moved() -> Column:

@@ -161,4 +161,8 @@ def good_fractions(stats: DataFrame, keep_undefined: bool = False, clamp: bool =
 
 
 def worst_first(fractions: DataFrame) -> DataFrame:
-    return fractions.orderBy(*SHIFT, "good_fraction", "test_cleaned")
+    """Each report's rows together, lowest fraction first.
+
+    The window that picked the part left them by line and shift.
+    """
+    return fractions.sortWithinPartitions(*SHIFT, "good_fraction", "test_cleaned")

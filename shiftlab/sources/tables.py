@@ -69,7 +69,8 @@ def scan_telemetry(telemetry: DataFrame, lines: DataFrame | None = None, as_of:
     time would. ``until`` is a last time to keep. Without either the whole
     history is read. When the table has a ``date`` partition column the same
     bounds prune folders. ``lines`` keeps only points
-    of each line's own measurement. NaN readings become missing.
+    of each line's own measurement. NaN readings become missing. A table that
+    stores ``line_id`` saves working it out for every point.
     """
     if as_of is not None:
         telemetry = _bounded(telemetry, F.col("_time") < times.wall_clock(as_of), as_of, before=True)
@@ -78,10 +79,12 @@ def scan_telemetry(telemetry: DataFrame, lines: DataFrame | None = None, as_of:
         telemetry = _bounded(telemetry, F.col("_time") <= times.wall_clock(until), until, before=True)
     if measurement is not None:
         telemetry = telemetry.where(F.col("measurement") == measurement)
-    known = ("site", "line", "measurement", "date", "_time", "_field", "_value")
+    stored = "line_id" in telemetry.columns
+    line_id = F.col("line_id") if stored else text.line_id(F.col("site"), F.col("line"))
+    known = ("site", "line", "line_id", "measurement", "date", "_time", "_field", "_value")
     extra = [c for c in telemetry.columns if c not in known]
     points = telemetry.select(
-        "site", text.line_id(F.col("site"), F.col("line")).alias("line_id"),
+        "site", line_id.alias("line_id"),
         *(["measurement"] if "measurement" in telemetry.columns else []),
         "_time", "_field", numeric.missing_if_nan(F.col("_value")).alias("_value"), *extra,
     )

@@ -80,6 +80,12 @@ def test_a_duplicate_of_another_shift(spark):
         reports.line_reports(run, lines, per_line, frame(spark, rows), fail_on="never")
 
 
+def test_a_duplicate_fails_a_line_without_data_in_its_shift(spark):
+    lines, per_line, run = setup(spark, dict(num_heats=1))
+    rows = [("s-l1", DAY + "05:00", "h_1", 1.0), ("s-l1", DAY + "05:00", "h_1", 2.0)]
+    assert reports.line_reports(run, lines, per_line, frame(spark, rows)).first().status == "failed"
+
+
 def test_as_stored_buckets(spark):
     """Without minute rounding a reading just after the end of the shift stays out."""
     lines, per_line, run = setup(spark, dict(num_heats=1))
