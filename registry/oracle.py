@@ -207,6 +207,12 @@ ORACLE["changed_flag"] = f"""{_OPEN}
 SELECT site, line_id, shift_label, {_FLAG} AS changed FROM chg GROUP BY site, line_id, shift_label"""
 
 _POINT = "event_id, site, line_id, _time, _field, _value"
+ORACLE["telemetry_scan"] = f"""{with_(CONFIG, TELEMETRY)}
+SELECT {_POINT} FROM tel WHERE _time >= TIMESTAMP '2024-01-15 06:02:00' AND _time < TIMESTAMP '2024-01-16 06:02:00'
+  AND line_id IN (SELECT line_id FROM cfg WHERE measurement = 'opcua')"""
+ORACLE["minute_rounding"] = f"SELECT event_id, {minute('ts')} AS minute_level FROM events"
+ORACLE["shift_changes_local"] = f"""{with_(CONFIG, TELEMETRY, "there AS (SELECT *, (_time AT TIME ZONE 'UTC') AT TIME ZONE 'America/Chicago' AS local_time FROM req)",
+       open_rows('there', 'local_time'), OBSERVED, CHANGES)} SELECT {CHANGE_COLUMNS} FROM chg"""
 ORACLE["field_semijoin"] = f"{with_(CONFIG, TELEMETRY)} SELECT {_POINT} FROM req"
 ORACLE["minute_dedup"] = f"{with_(CONFIG, TELEMETRY, DEDUP)} SELECT {_POINT.removeprefix('event_id, ')}, minute_level FROM kept"
 ORACLE["minute_dedup_off"] = f"{with_(CONFIG, TELEMETRY)} SELECT {_POINT}, _time AS minute_level FROM req"
@@ -247,6 +253,9 @@ SELECT 's' || s_suppkey AS site, 'l' || s_suppkey || '_' || i AS line,
   CASE WHEN i <= 2 AND s_acctbal > 0 THEN 20.0::DOUBLE END AS heat_threshold,
   CASE WHEN i <= 2 THEN 'v-x-' || s_suppkey || CASE WHEN s_acctbal > 0 THEN '/ch_opcua' ELSE '/raw' END END AS bucket,
   (i - 1)::INTEGER AS ordinal FROM s"""
+ORACLE["select_lines"] = f"""{with_(CONFIG)}
+SELECT g.site, g.line_id, count(*) AS points FROM cfg g JOIN (SELECT user_id % 5 + 1 AS n FROM events) e ON e.n::VARCHAR = g.line_no
+WHERE g.site = 'alpha' AND g.line_no IN ('1', '2') GROUP BY ALL"""
 ORACLE["line_ids"] = """
 SELECT c_custkey, 's' || c_nationkey || '-l' || c_custkey AS line_id, 'l' || c_custkey AS line_part,
   CASE WHEN c_acctbal > 0 THEN lower(c_mktsegment) END AS measurement,
@@ -498,10 +507,10 @@ qsec AS (SELECT m.line_id, m.run_at, CASE WHEN l.latest_local IS NULL THEN '<h2>
   LEFT JOIN qtab t ON m.line_id = t.line_id AND m.shift_start = t.shift_start)"""
 
 ALERT_HTML = f"""
-arow AS (SELECT r.line_id, r.run_at, string_agg('<tr>' || {' || '.join(
-    _cell(f"coalesce({_escape(f'a.{c}::VARCHAR')}, 'None')") for c in _ALERT_COLUMNS.split(', '))} || '</tr>', ''
-    ORDER BY a.changed_at, a.part, a.trigger, a.changed_by, a.disabled::VARCHAR, coalesce(a.disable_until::VARCHAR, '')) AS alert_rows
-  FROM rep r JOIN ala a ON a.site = r.site AND a.line_label = 'Line ' || r.line_no
+acell AS (SELECT *, '<tr>' || {' || '.join(
+    _cell(f"coalesce({_escape(f'{c}::VARCHAR')}, 'None')") for c in _ALERT_COLUMNS.split(', '))} || '</tr>' AS piece FROM ala),
+arow AS (SELECT r.line_id, r.run_at, string_agg(a.piece, '' ORDER BY a.changed_at, a.piece) AS alert_rows
+  FROM rep r JOIN acell a ON a.site = r.site AND a.line_label = 'Line ' || r.line_no
    AND a.changed_at > r.run_at - r.lookback_span AND a.changed_at <= r.run_at GROUP BY r.line_id, r.run_at),
 asec AS (SELECT r.line_id, r.run_at, CASE WHEN r.site NOT IN (SELECT site FROM ala)
     THEN '<h2>Alert Report</h2>' || chr(10) || '<p>No alert history available.</p>' || {_NL2}

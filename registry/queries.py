@@ -12,6 +12,7 @@ from registry import views
 from shiftlab import session
 from shiftlab.functions import numeric, text, times
 from shiftlab.operators import alerts, changes, controls, points, quality
+from shiftlab.operators.sizes import sized
 from shiftlab.plans import reports, runs
 from shiftlab.sources import synthetic, tables
 from shiftlab.streaming import changes as stream
@@ -159,6 +160,26 @@ def changed_flag(spark, sf_dir):
     return changes.changed_flag(found).drop("shift_start")
 
 
+@query
+def telemetry_scan(spark, sf_dir):
+    """The fetch of one run: 24 hours, each line's own measurement."""
+    rows = tables.scan_telemetry(views.telemetry(spark, sf_dir), lines=lines(spark), as_of=RUN_AT)
+    return rows.select("event_id", *points.POINT)
+
+
+@query
+def minute_rounding(spark, sf_dir):
+    return views.load(spark, sf_dir, "events").select("event_id", times.round_minute(F.col("ts")).alias("minute_level"))
+
+
+@query
+def shift_changes_local(spark, sf_dir):
+    """Shifts told on the clock of the site, for telemetry stored in UTC."""
+    local = times.to_zone(F.col("_time"), "UTC", "America/Chicago")
+    rows = scan(spark, sf_dir).withColumn("local_time", local)
+    return change_columns(changes.shift_changes(rows, control_dim(spark), time_col="local_time", closed=False))
+
+
 @query
 def field_semijoin(spark, sf_dir):
     return points.requested(scan(spark, sf_dir), control_dim(spark)).select(
@@ -240,6 +261,14 @@ def site_inherit(spark, sf_dir):
         "alert_lookback_timedelta", "heat_threshold", "bucket", "ordinal")
 
 
+@query
+def select_lines(spark, sf_dir):
+    """Points of the lines asked for, with or without their site in the name."""
+    wanted = controls.select_lines(views.line_config(spark), "alpha", ["alpha-l1", "l2"])
+    rows = scan(spark, sf_dir).join(sized(controls.line_dim(wanted).select("site", "line_id")), ["site", "line_id"])
+    return rows.groupBy("site", "line_id").agg(F.count("*").alias("points"))
+
+
 @query
 def line_ids(spark, sf_dir):
     """Line id, table, number, measurement and label for a line per customer."""

@@ -63,18 +63,15 @@ def period(ts: Column) -> Column:
     return F.floor(F.unix_date(ts.cast("date")) / PERIOD_DAYS)
 
 
-def alert_view(alerts: DataFrame, runs: DataFrame, site_tz: str = "America/Chicago",
-               bucket: str | None = "minute", known_at_run: bool = False) -> DataFrame:
-    """Alerts of each line in the look-back of each run.
+def in_lookback(rows: DataFrame, runs: DataFrame, known_at_run: bool = False) -> DataFrame:
+    """Rows of :func:`alert_rows` in the look-back of each run of their line.
 
     ``runs`` has site, line_id, run_at and lookback. A row exactly at the cutoff
-    is out. Re-enabled alerts (``disabled`` false) stay in. One scan serves all
-    lines and runs. With ``known_at_run`` a run in the past does not see what
-    was changed after it.
+    is out. With ``known_at_run`` a run in the past does not see what was changed
+    after it. One scan serves all lines and runs.
     """
     begin = cutoff(F.col("run_at"), F.col("lookback"))
     dim = runs.select(*LINE, "run_at", begin.alias("cutoff"), text.line_label(F.col("line_id")).alias("line_label"))
-    rows = alert_rows(alerts, site_tz, bucket)
     keys = ["site", "line_label"]
     if known_at_run:
         # Each alert is in one period, each run in the few its look-back touches,
@@ -83,10 +80,15 @@ def alert_view(alerts: DataFrame, runs: DataFrame, site_tz: str = "America/Chica
         dim = dim.withColumn("period", F.explode(F.sequence(first, last)))
         rows = rows.withColumn("period", period(F.col("changed_at")))
         keys.append("period")
-    rows = rows.join(sized(dim), keys).where(F.col("changed_at") > F.col("cutoff"))
-    if known_at_run:
-        rows = rows.where(F.col("changed_at") <= F.col("run_at"))
-    return rows.select(*LINE, "run_at", *COLUMNS)
+    found = rows.join(sized(dim), keys).where(F.col("changed_at") > F.col("cutoff"))
+    return found.where(F.col("changed_at") <= F.col("run_at")) if known_at_run else found
+
+
+def alert_view(alerts: DataFrame, runs: DataFrame, site_tz: str = "America/Chicago",
+               bucket: str | None = "minute", known_at_run: bool = False) -> DataFrame:
+    """Alerts of each line in the look-back of each run; re-enabled ones (``disabled`` false) stay in."""
+    found = in_lookback(alert_rows(alerts, site_tz, bucket), runs, known_at_run)
+    return found.select(*LINE, "run_at", *COLUMNS)
 
 
 def report_columns(view: DataFrame) -> DataFrame:

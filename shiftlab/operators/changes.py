@@ -111,7 +111,8 @@ def complete_changes(observed: DataFrame, controls: DataFrame) -> DataFrame:
         c["kind"].alias("kind"), c["control"].alias("control"), c["control_ordinal"].alias("control_ordinal"),
         F.try_element_at(F.col("seen"), c["control"]).alias("r"),
     ))
-    rows = gathered.join(sized(controls), LINE).select(
+    per_line = sized(controls, weight=F.size("controls"))
+    rows = gathered.join(per_line, LINE).select(
         *SHIFT, "dayshift_start", "threshold", "earliest", "latest", *(["copies"] if counted else []),
         F.explode(looked_up).alias("c"),
     )

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A configuration row is well below 1 KB, so this stays within a few hundred MB.
+# A row of names, numbers and labels is well below 1 KB, so this stays within a
+# few hundred MB.
 MAX_BROADCAST_ROWS = 250_000
 
 
-def sized(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def sized(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, weight: Column | None = None) -> DataFrame:
     """``dim`` with the join hint its measured size allows.
 
-    The count stops one row past the bound, so checking a large table stays
-    cheap. Within the bound the table is broadcast. Beyond it the join is a
-    sort-merge join, whose hot partitions adaptive execution splits. An exploded
-    table hides its true size from the optimizer's estimate, hence the count.
+    Within the bound the table is broadcast. Beyond it the join is a sort-merge
+    join, whose hot partitions adaptive execution splits. ``weight`` says how
+    many rows' worth a row with an array holds. The count stops one row past the
+    bound, so checking a large table stays cheap. An exploded table hides its
+    true size from the optimizer's estimate, hence the count.
     """
-    within = dim.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(dim) if within else dim.hint("merge")
+    worth = F.lit(1) if weight is None else F.greatest(weight, F.lit(1))
+    total = dim.limit(max_rows + 1).agg(F.sum(worth)).first()[0] or 0
+    return F.broadcast(dim) if total <= max_rows else dim.hint("merge")

@@ -110,13 +110,18 @@ def quality_section() -> Column:
         html.text("<h2>Quality Report</h2>\n\n", body))
 
 
-def alert_sections(view: DataFrame) -> DataFrame:
-    """Per report: rendered rows of its alert table, oldest change first."""
+def alert_sections(alerts: DataFrame, runs: DataFrame, site_tz: str = "America/Chicago",
+                   known_at_run: bool = False) -> DataFrame:
+    """Per report: rendered rows of its alert table, oldest change first.
+
+    An alert shows in every run of its look-back, so it is rendered before it
+    meets them.
+    """
     shown = [F.coalesce(html.escape(F.col(c).cast("string")), F.lit("None")) for c in alert_ops.COLUMNS]
-    order = [F.col("changed_at"), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in
-                                    ("part", "trigger", "changed_by", "disabled", "disable_until")]]
     rendered = html.row(*[html.cell(s) for s in shown])
-    return view.groupBy(*REPORT).agg(html.joined_rows(order, rendered).alias("alert_rows"))
+    rows = alert_ops.alert_rows(alerts, site_tz).select("site", "line_label", "changed_at", rendered.alias("row"))
+    found = alert_ops.in_lookback(rows, runs, known_at_run)
+    return found.groupBy(*REPORT).agg(html.joined_rows([F.col("changed_at")], F.col("row")).alias("alert_rows"))
 
 
 def alert_section() -> Column:
@@ -166,10 +171,9 @@ def line_reports(runs: DataFrame, lines: DataFrame, controls: DataFrame, points:
         reports = reports.join(quality_sections(quality_ops.test_statistics(rows), site_tz), SHIFT, "left")
         document = html.text(document, quality_section())
     if alerts is not None:
-        view = alert_ops.alert_view(alerts, runs, site_tz, known_at_run=known_at_run)
         history = alerts.select("site").distinct().withColumn("has_history", F.lit(True))
         reports = (
-            reports.join(alert_sections(view), REPORT, "left")
+            reports.join(alert_sections(alerts, runs, site_tz, known_at_run), REPORT, "left")
             .join(history, "site", "left")
             .withColumn("has_history", F.coalesce("has_history", F.lit(False)))
         )

@@ -153,7 +153,7 @@ def test_result_does_not_depend_on_partitions(spark):
 def test_large_configuration_joins_without_broadcast(spark, monkeypatch):
     frame, _, _, per_line = many(spark)
     expected = sorted(map(str, changes.shift_changes(frame, per_line).collect()))
-    monkeypatch.setattr("shiftlab.operators.sizes.sized.__defaults__", (1,))
+    monkeypatch.setattr("shiftlab.operators.sizes.sized.__defaults__", (1, None))
     shuffled = changes.shift_changes(frame, per_line)
     assert "BroadcastHashJoin" not in shuffled._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(str, shuffled.collect())) == expected

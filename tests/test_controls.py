@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from shiftlab import schemas
 from shiftlab.operators import controls
@@ -94,4 +95,7 @@ def test_broadcast_only_what_was_counted(spark):
     plan = lambda bound: big.join(sized(dim, bound), "id")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan(50)
     assert "SortMergeJoin" in plan(49)
+    wide = dim.withColumn("list", F.array(F.lit(1), F.lit(2)))
+    heavy = big.join(sized(wide, 99, weight=F.size("list")), "id")
+    assert "SortMergeJoin" in heavy._jdf.queryExecution().executedPlan().toString()
     assert big.join(sized(dim, 49), "id").count() == big.join(sized(dim, 50), "id").count() == 50
