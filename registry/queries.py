@@ -52,20 +52,25 @@ def change_columns(df: DataFrame) -> DataFrame:
                      r6("start_value"), r6("end_value"), r6("delta"), r6("spread"))
 
 
+def half_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes in half-open shifts; readings at one instant in the order of their ids."""
+    return changes.shift_changes(scan(spark, sf_dir), control_dim(spark), closed=False, tiebreak="event_id")
+
+
 # Telemetry and shift changes
 
 @query
 def shift_changes_all(spark, sf_dir):
     """Which controls moved in which shift, on every line."""
-    return change_columns(changes.shift_changes(
-        scan(spark, sf_dir), control_dim(spark), closed=False))
+    return change_columns(half_open(spark, sf_dir))
 
 
 @query
 def shift_changes_uniform_start(spark, sf_dir):
     """The same with one day-shift start for all lines, as the stream computes it."""
     found = changes.observed_changes(
-        points.requested(scan(spark, sf_dir), control_dim(spark)), dayshift_start="07:00:00", closed=False)
+        points.requested(scan(spark, sf_dir), control_dim(spark)), dayshift_start="07:00:00", closed=False,
+        tiebreak="event_id")
     return found.select(
         "site", "line_id", "shift_start", "control", r6("start_value"), r6("end_value"), r6("high"), r6("low"),
         "earliest", "latest")
@@ -75,12 +80,12 @@ def shift_changes_uniform_start(spark, sf_dir):
 def shift_changes_closed(spark, sf_dir):
     """Closed shifts on minutes, so that boundary readings count in both."""
     rounded = scan(spark, sf_dir).withColumn("minute_level", times.round_minute(F.col("_time")))
-    return change_columns(changes.shift_changes(rounded, control_dim(spark), time_col="minute_level"))
+    return change_columns(changes.shift_changes(rounded, control_dim(spark), time_col="minute_level", tiebreak="event_id"))
 
 
 @query
 def shift_changes_tiebreak(spark, sf_dir):
-    """Readings that share an instant, ordered by their id."""
+    """Hourly instants, so that most readings share theirs."""
     seconds = times.epoch_seconds(F.col("_time"))
     coarse = scan(spark, sf_dir).withColumn("_time", times.from_seconds(seconds - seconds % 3600))
     return change_columns(changes.shift_changes(
@@ -131,7 +136,7 @@ def shift_for_run(spark, sf_dir):
 
 @query
 def heat_over_threshold(spark, sf_dir):
-    found = changes.shift_changes(scan(spark, sf_dir), control_dim(spark), closed=False)
+    found = half_open(spark, sf_dir)
     kept = changes.by_spread(changes.over_threshold(found))
     return kept.select("site", "line_id", "shift_label", "control", "threshold", r6("delta"),
                        "shown_start", "shown_end", "shown_delta", "shown_spread")
@@ -141,7 +146,7 @@ def heat_over_threshold(spark, sf_dir):
 def change_ranking(spark, sf_dir):
     """Place of each control in its table: widest range first."""
     from pyspark.sql import Window
-    found = changes.shift_changes(scan(spark, sf_dir), control_dim(spark), closed=False)
+    found = half_open(spark, sf_dir)
     place = Window.partitionBy(*changes.SHIFT, "kind").orderBy(
         F.desc_nulls_last(F.round("spread", 6)), "control_ordinal")
     return found.select("site", "line_id", "shift_label", "kind", "control",
@@ -156,7 +161,7 @@ def shift_coverage(spark, sf_dir):
 
 @query
 def changed_flag(spark, sf_dir):
-    found = changes.shift_changes(scan(spark, sf_dir), control_dim(spark), closed=False)
+    found = half_open(spark, sf_dir)
     return changes.changed_flag(found).drop("shift_start")
 
 
@@ -177,7 +182,8 @@ def shift_changes_local(spark, sf_dir):
     """Shifts told on the clock of the site, for telemetry stored in UTC."""
     local = times.to_zone(F.col("_time"), "UTC", "America/Chicago")
     rows = scan(spark, sf_dir).withColumn("local_time", local)
-    return change_columns(changes.shift_changes(rows, control_dim(spark), time_col="local_time", closed=False))
+    return change_columns(changes.shift_changes(
+        rows, control_dim(spark), time_col="local_time", closed=False, tiebreak="event_id"))
 
 
 @query

@@ -36,8 +36,8 @@ def epoch_seconds(ts: Column) -> Column:
 
 def epoch_micros(ts: Column) -> Column:
     """TIMESTAMP_NTZ -> BIGINT microseconds since 1970."""
-    fraction = F.date_part(F.lit("SECOND"), ts) % 1
-    return epoch_seconds(ts) * 1_000_000 + (fraction * 1_000_000).cast("bigint")
+    of_minute = (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
+    return epoch_seconds(ts) * 1_000_000 + of_minute % 1_000_000
 
 
 def from_seconds(seconds: Column) -> Column:
