@@ -598,3 +598,4 @@ rows_in AS (SELECT site, line_id, time_bucket(INTERVAL 12 hours, _time, INTERVAL
 SELECT site, line_id, shift_start, shift_start + INTERVAL 12 hours AS shift_end, control, {r6('start_value')}, {r6('end_value')},
   {r6('end_value - start_value', 'delta')}, {r6('high - low', 'spread')}
 FROM obs WHERE shift_start + INTERVAL 12 hours <= (SELECT max(_time) FROM tel) - INTERVAL 1 hour"""
+ORACLE["stream_distinct"] = ORACLE["stream_shift_changes"]

@@ -522,15 +522,29 @@ def failed_run(spark, sf_dir):
 
 # Streaming
 
-@query
-def stream_shift_changes(spark, sf_dir):
-    """The stream over the event files up to now; shifts it has closed."""
+def event_stream(spark, sf_dir):
     schema = views.load(spark, sf_dir, "events").schema
     events = stream.read_stream(spark, sf_dir, schema, glob="events.parquet")
-    rows = tables.scan_telemetry(views.events_as_telemetry(events))
-    found = stream.stream_shift_changes(rows)
+    return tables.scan_telemetry(views.events_as_telemetry(events))
+
+
+def finished(spark, found):
+    """Run a stream over the files there are; the shifts it has closed."""
     out = session.work_folder(spark, "stream-changes")
     stream.write_stream(found, f"{out}/rows", f"{out}/state").awaitTermination()
     done = spark.read.schema(found.schema).parquet(f"{out}/rows")
     return done.select("site", "line_id", "shift_start", "shift_end", "control",
                        r6("start_value"), r6("end_value"), r6("delta"), r6("spread"))
+
+
+@query
+def stream_shift_changes(spark, sf_dir):
+    """Changes of closed shifts from a stream of the event files."""
+    return finished(spark, stream.stream_shift_changes(event_stream(spark, sf_dir), tiebreak="event_id"))
+
+
+@query
+def stream_distinct(spark, sf_dir):
+    """The same from a stream in which every reading comes twice."""
+    twice = event_stream(spark, sf_dir).unionByName(event_stream(spark, sf_dir))
+    return finished(spark, stream.stream_shift_changes(twice, distinct=True))

@@ -48,6 +48,14 @@ def with_timestamps(df: DataFrame) -> DataFrame:
     return df
 
 
+def reading_order(time: Column, micros: Column, tiebreak: str | None) -> Column:
+    """What orders the readings of a control; NULL, hence skipped, without a value."""
+    order = time
+    if tiebreak is not None:
+        order = micros.cast("decimal(18,0)") * F.expr(TIEBREAK_SPAN) + F.col(tiebreak).cast("decimal(19,0)")
+    return F.when(F.col("_value").isNotNull(), order)
+
+
 def observed_changes(points: DataFrame, time_col: str = "_time", dayshift_start: str | None = None,
                      closed: bool = True, tiebreak: str | None = None) -> DataFrame:
     """One row per (line, shift, control) seen, from requested points.
@@ -65,11 +73,7 @@ def observed_changes(points: DataFrame, time_col: str = "_time", dayshift_start:
     """
     rows = assign_shift(points, time_col, dayshift_start, closed)
     value = F.col("_value")
-    order: Column = F.col("_time")
-    if tiebreak is not None:
-        micros = times.epoch_micros(F.col("_time")).cast("decimal(18,0)")
-        order = micros * F.expr(TIEBREAK_SPAN) + F.col(tiebreak).cast("decimal(19,0)")
-    order = F.when(value.isNotNull(), order)
+    order = reading_order(F.col("_time"), times.epoch_micros(F.col("_time")), tiebreak)
     grouped = rows.groupBy(*SHIFT, F.col("_field").alias("control")).agg(
         F.min_by(value, order).alias("start_value"),
         F.max_by(value, order).alias("end_value"),

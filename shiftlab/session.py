@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Stream state on local disk rather than in executor memory.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Recording the call site of every column operation costs more than building it.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -7,21 +7,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shiftlab.functions import numeric, times
+from shiftlab.operators.changes import reading_order
 from shiftlab.operators.points import LINE
 
 
 def stream_shift_changes(points: DataFrame, dayshift_start: str = times.DEFAULT_START,
-                         lateness: str = "1 hour", distinct: bool = True) -> DataFrame:
+                         lateness: str = "1 hour", distinct: bool = False,
+                         tiebreak: str | None = None) -> DataFrame:
     """One final row per (line, shift, control) once the shift can get no more data.
 
     ``points`` is a streaming frame with wall-clock ``_time``. Watermarks reject
     that type, so the time passes through as the instant with the same clock in
-    UTC, whatever the session zone. A shift is final when
-    the watermark, the latest time seen less ``lateness``, passes its end. Its
-    intervals are half-open, and one start serves the whole query. ``distinct``
-    drops a repeated (line, control, time) that arrives within the lateness;
-    its state holds only that much time. State per open shift is one fixed-width
-    row per control, whatever the number of readings.
+    UTC, whatever the session zone. A shift is final when the watermark, the
+    latest time seen less ``lateness``, passes its end. Its intervals are
+    half-open, and one start serves the whole query. State per open shift is one
+    fixed-width row per control, whatever the number of readings.
+
+    Exact repeats change none of the results and need no state. ``distinct``
+    drops every later reading of a (line, control, time) that arrives within the
+    lateness, also one with another value; it keeps that much time in state.
+    ``tiebreak`` orders readings of one instant instead.
     """
     rows = points.withColumns({
         "_value": numeric.missing_if_nan(F.col("_value")),
@@ -31,7 +36,7 @@ def stream_shift_changes(points: DataFrame, dayshift_start: str = times.DEFAULT_
     if distinct:
         rows = rows.dropDuplicatesWithinWatermark([*LINE, "_field", "_time"])
     value = F.col("_value")
-    order = F.when(value.isNotNull(), F.col("_time"))
+    order = reading_order(F.col("_time"), F.unix_micros("_time"), tiebreak)
     window = times.shift_window(F.col("_time"), dayshift_start)
     grouped = rows.groupBy(window.alias("shift"), *LINE, F.col("_field").alias("control")).agg(
         F.min_by(value, order).alias("start_value"),
@@ -60,9 +65,16 @@ def write_stream(changes: DataFrame, path: str, checkpoint: str, once: bool = Tr
     return writer.start(path)
 
 
-def read_stream(spark: SparkSession, path: str, schema, glob: str | None = None) -> DataFrame:
-    """Telemetry files as they appear in a folder."""
+def read_stream(spark: SparkSession, path: str, schema, glob: str | None = None,
+                max_files: int | None = None) -> DataFrame:
+    """Telemetry files as they appear in a folder.
+
+    ``max_files`` cuts a backlog into batches. The watermark moves after each, so
+    use it only where files arrive in the order of their times.
+    """
     reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.parquet(path)

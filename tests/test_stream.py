@@ -1,3 +1,5 @@
+from functools import partial
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,8 +12,8 @@ from helpers import at, points, rows_of
 DAY = "2024-03-05 "
 
 
-def run(spark, folder, out, **options):
-    rows = stream.read_stream(spark, folder, spark.read.parquet(folder).schema)
+def run_stream(spark, folder, out, max_files=None, **options):
+    rows = stream.read_stream(spark, folder, spark.read.parquet(folder).schema, max_files=max_files)
     found = stream.stream_shift_changes(rows, **options)
     stream.write_stream(found, f"{out}/rows", f"{out}/state").awaitTermination()
     return spark.read.schema(found.schema).parquet(f"{out}/rows")
@@ -21,7 +23,9 @@ def write(spark, folder, rows):
     points(spark, rows).coalesce(1).write.mode("append").parquet(folder)
 
 
-def test_closed_shifts_come_out_once(spark, tmp_path):
+@pytest.mark.parametrize("distinct", [False, True])
+def test_closed_shifts_come_out_once(spark, tmp_path, distinct):
+    run = partial(run_stream, distinct=distinct)
     folder, out = str(tmp_path / "in"), str(tmp_path / "out")
     write(spark, folder, [(DAY + "08:00", "a", 1.0), (DAY + "09:00", "a", 4.0), (DAY + "09:00", "a", 4.0), (DAY + "08:30", "a", None)])
     assert run(spark, folder, out).count() == 0
@@ -37,6 +41,23 @@ def test_closed_shifts_come_out_once(spark, tmp_path):
         (at(DAY + "07:00"), at(DAY + "19:00"), "a", 1.0, 2.0, 1.0, 3.0)]
 
 
+def test_a_backlog_in_batches(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    for day in range(1, 5):
+        write(spark, folder, [(f"2024-03-0{day} {h:02d}:00", "a", float(h)) for h in range(24)])
+    once = run_stream(spark, folder, str(tmp_path / "once"))
+    cut = run_stream(spark, folder, str(tmp_path / "cut"), max_files=1)
+    assert rows_of(once, "shift_start", "delta") == rows_of(cut, "shift_start", "delta") and cut.count() == 8
+
+
+def test_tiebreak(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    rows = points(spark, [(DAY + "08:00", "a", 1.0), (DAY + "08:00", "a", 2.0), ("2024-03-06 00:00", "a", 0.0)])
+    rows.withColumn("id", -F.col("_value").cast("bigint")).write.parquet(folder)
+    found = run_stream(spark, folder, str(tmp_path / "out"), tiebreak="id")
+    assert rows_of(found, "start_value", "end_value") == [(2.0, 1.0)]
+
+
 def test_closed_shifts_equal_the_batch(spark, tmp_path):
     folder = str(tmp_path / "in")
     frame = spark.range(20000).select(
@@ -45,7 +66,7 @@ def test_closed_shifts_equal_the_batch(spark, tmp_path):
         F.concat(F.lit("c"), (F.col("id") % 4).cast("string")).alias("_field"),
         F.when(F.col("id") % 11 > 0, F.pmod(F.col("id") * 7919, F.lit(1009)).cast("double")).alias("_value"))
     frame.write.parquet(folder)
-    found = run(spark, folder, str(tmp_path / "out"))
+    found = run_stream(spark, folder, str(tmp_path / "out"))
     last = frame.agg(F.max("_time")).first()[0]
     batch = changes.observed_changes(frame, dayshift_start="07:00:00", closed=False)
     batch = batch.where(F.col("shift_start") + F.expr("INTERVAL 13 HOURS") <= times.wall_clock(last))
@@ -60,7 +81,7 @@ def test_session_zone_does_not_move_shifts(spark, tmp_path, zone):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        assert rows_of(run(spark, folder, str(tmp_path / "out")), "shift_start") == [(at(DAY + "07:00"),)]
+        assert rows_of(run_stream(spark, folder, str(tmp_path / "out")), "shift_start") == [(at(DAY + "07:00"),)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
 
