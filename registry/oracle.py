@@ -288,8 +288,12 @@ FROM m GROUP BY site, line_id, _field"""
 
 # Quality
 
+# The replacement rules, in order
 _SPACE = r"[\t-\r \x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
-_RULES = [(r"[-,?+%]", ""), ("[#]", "No"), (r"\(.*?\)", ""), (_SPACE, "_"), (r"[./]", "_"), ("_+", "_"), ("_+$", ""), ("^:", "")]
+_RULES = [
+    (r"[-,?+%]", ""), ("[#]", "No"), (r"\(.*?\)", ""), (_SPACE, "_"),
+    (r"[./]", "_"), ("_+", "_"), ("_+$", ""), ("^:", ""),
+]
 
 
 def sanitize(expression: str) -> str:

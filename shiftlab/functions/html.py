@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from string import Formatter
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Colours of the reports.
 UP = "e62525aa"
 DOWN = "199bd6aa"
-CHANGED = "80bfb7aa"
 BORDER = "border: 2px solid #000066;"
 
 
@@ -16,6 +17,15 @@ def text(*parts: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
+def fill(template: str, **values: Column | str) -> Column:
+    """A text with ``{name}`` places, filled from columns."""
+    parts: list[Column | str] = []
+    for literal, name, _, _ in Formatter().parse(template):
+        parts += [literal] if literal else []
+        parts += [values[name]] if name else []
+    return text(*parts)
+
+
 def escape(value: Column) -> Column:
     for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
         value = F.replace(value, F.lit(char), F.lit(entity))
@@ -45,13 +55,6 @@ def table(header: list[str], rows: Column) -> Column:
     return text(f"<table><tr>{head}</tr>", rows, "</table>")
 
 
-def heading(title: Column, changed: Column) -> Column:
-    """Line title, highlighted when something changed."""
-    return F.when(
-        changed, text(f'<h1 style="background-color:#{CHANGED};">', title, "</h1>\n\n")
-    ).otherwise(text("<h1>", title, "</h1>\n\n"))
-
-
 def joined_rows(order: list[Column], html: Column) -> Column:
     """Aggregate: the row pieces of one document section in the given order; missing ones left out."""
     keyed = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)], html.alias("html"))

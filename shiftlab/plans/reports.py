@@ -19,12 +19,31 @@ from shiftlab.operators.points import LINE
 REPORT = [*LINE, "run_at"]
 SHIFT = [*LINE, "shift_start"]
 
-# Headings, column titles and fallback texts of the documents.
+# Texts of the documents.
+TITLE = "<h1>{line}</h1>\n\n"
+CHANGED_TITLE = '<h1 style="background-color:#80bfb7aa;">{line}</h1>\n\n'
+SHIFT_TITLE = "<h2>Shift : {shift}</h2>\n\n"
+NO_DATA = "No machine data available between {start} and {end} for {line}\n"
+MACHINE = (
+    "<b>Earliest timepoint</b>: {earliest}\n\n<b>Latest timepoint</b>: {latest}\n\n"
+    "<h2>Non heats</h2> \n\n {nonheats} \n\n<h2>Heats</h2> \n\n {heats}\n"
+)
 CHANGE_HEADER = ["Control", "Shift start", "Shift end", "Shift end-start", "Shift max-min"]
-FRACTION_HEADER = ["Measurement", "Good Fraction"]
+NO_HEATS = "No heat exceeded {threshold} degrees."
+QUALITY_TITLE = "<h2>Quality Report</h2>\n\n"
+NO_QUALITY = "<h2>Quality Report</h2>\n<p>No quality data found between {start} and {end} for {line}.</p>\n"
 NO_SPECS = "<p>No quality measurements found with specifications.</p>\n\n"
+QUALITY = "<p>Latest data is until {latest}.</p>\n\n<b>Current part number</b>: {part}\n\n{table}\n\n"
+FRACTION_HEADER = ["Measurement", "Good Fraction"]
+ALERT_TITLE = "<h2>Alert Report</h2>\n\n"
 NO_HISTORY = "<h2>Alert Report</h2>\n<p>No alert history available.</p>\n\n"
-SEPARATOR = "\n\n" + "-" * 40 + "<br>\n\n"
+ALERTS = "<p>Disabled alerts in the last {lookback}.</p>\n\n{table}"
+NO_ALERTS = "<p>No disabled alerts in the last {lookback}.</p>\n\n"
+SEPARATOR = "\n\n----------------------------------------<br>\n\n"
+SUBJECT = "{line} process report : {shift}"
+SITE_SUBJECT = "{site} process report: {shift}"
+PATH = "{site}/{date}/process_change_{letter}.html"
+
 DUPLICATE_ERROR = "more than one reading for one time and control"
 BUCKET_ERROR = "bucket names no measurement"
 
@@ -64,23 +83,22 @@ def change_sections(changes: DataFrame) -> DataFrame:
     )
 
 
-def process_section(runs: DataFrame) -> Column:
-    """Machine part of a line report, from a run joined with its sections and coverage."""
-    title = html.heading(F.col("line_id"), F.coalesce("changed", F.lit(False)))
-    head = html.text(title, "<h2>Shift : ", F.col("shift_label"), "</h2>\n\n")
-    missing = html.text(
-        "No machine data available between ", times.timestamp_text(F.col("shift_start")), " and ",
-        times.timestamp_text(F.col("shift_end")), " for ", F.col("line_id"), "\n")
-    nonheats = html.table(CHANGE_HEADER, F.col("nonheat_rows"))
-    heats = F.when(
-        F.col("heat_rows") != "", html.table(CHANGE_HEADER, F.col("heat_rows"))
-    ).otherwise(html.text("No heat exceeded ", F.col("threshold").cast("string"), " degrees."))
-    body = html.text(
-        "<b>Earliest timepoint</b>: ", times.timestamp_text(F.col("earliest")), "\n\n",
-        "<b>Latest timepoint</b>: ", times.timestamp_text(F.col("latest")), "\n\n",
-        "<h2>Non heats</h2> \n\n ", nonheats, " \n\n",
-        "<h2>Heats</h2> \n\n ", heats, "\n")
-    return html.text(head, F.when(F.col("earliest").isNull(), missing).otherwise(body))
+def process_section() -> Column:
+    """Machine part of a line report, from a run joined with its section."""
+    line, start, end = F.col("line_id"), *_bounds()
+    title = F.when(F.col("changed"), html.fill(CHANGED_TITLE, line=line)).otherwise(html.fill(TITLE, line=line))
+    heats = F.when(F.col("heat_rows") != "", html.table(CHANGE_HEADER, F.col("heat_rows"))).otherwise(
+        html.fill(NO_HEATS, threshold=F.col("threshold").cast("string")))
+    found = html.fill(
+        MACHINE, earliest=times.timestamp_text(F.col("earliest")), latest=times.timestamp_text(F.col("latest")),
+        nonheats=html.table(CHANGE_HEADER, F.col("nonheat_rows")), heats=heats)
+    missing = html.fill(NO_DATA, start=start, end=end, line=line)
+    return html.text(title, html.fill(SHIFT_TITLE, shift=F.col("shift_label")),
+                     F.when(F.col("earliest").isNull(), missing).otherwise(found))
+
+
+def _bounds() -> tuple[Column, Column]:
+    return times.timestamp_text(F.col("shift_start")), times.timestamp_text(F.col("shift_end"))
 
 
 def quality_sections(stats: DataFrame, site_tz: str = "America/Chicago") -> DataFrame:
@@ -97,17 +115,13 @@ def quality_sections(stats: DataFrame, site_tz: str = "America/Chicago") -> Data
 
 def quality_section() -> Column:
     """Quality part of a line report."""
-    empty = html.text(
-        "<h2>Quality Report</h2>\n<p>No quality data found between ",
-        times.timestamp_text(F.col("shift_start")), " and ", times.timestamp_text(F.col("shift_end")),
-        " for ", F.col("line_id"), ".</p>\n")
-    found = html.text(
-        "<p>Latest data is until ", times.timestamp_text(F.col("latest_local")), ".</p>\n\n",
-        "<b>Current part number</b>: ", html.escape(F.col("part_item")), "\n\n",
-        html.table(FRACTION_HEADER, F.col("fraction_rows")), "\n\n")
+    start, end = _bounds()
+    empty = html.fill(NO_QUALITY, start=start, end=end, line=F.col("line_id"))
+    found = html.fill(
+        QUALITY, latest=times.timestamp_text(F.col("latest_local")), part=html.escape(F.col("part_item")),
+        table=html.table(FRACTION_HEADER, F.col("fraction_rows")))
     body = F.when(F.col("fraction_rows") == "", F.lit(NO_SPECS)).otherwise(found)
-    return F.when(F.col("latest_local").isNull(), empty).otherwise(
-        html.text("<h2>Quality Report</h2>\n\n", body))
+    return F.when(F.col("latest_local").isNull(), empty).otherwise(html.text(QUALITY_TITLE, body))
 
 
 def alert_sections(alerts: DataFrame, runs: DataFrame, site_tz: str = "America/Chicago",
@@ -126,12 +140,11 @@ def alert_sections(alerts: DataFrame, runs: DataFrame, site_tz: str = "America/C
 
 def alert_section() -> Column:
     """Alert part of a line report; a site without any history says so."""
-    rows = html.text(
-        "<p>Disabled alerts in the last ", F.col("lookback"), ".</p>\n\n",
-        html.table(list(alert_ops.COLUMNS.values()), F.col("alert_rows")))
-    none = html.text("<p>No disabled alerts in the last ", F.col("lookback"), ".</p>\n\n")
+    table = html.table(list(alert_ops.COLUMNS.values()), F.col("alert_rows"))
+    rows = html.fill(ALERTS, lookback=F.col("lookback"), table=table)
+    none = html.fill(NO_ALERTS, lookback=F.col("lookback"))
     body = F.when(F.col("alert_rows").isNull(), none).otherwise(rows)
-    return F.when(F.col("has_history"), html.text("<h2>Alert Report</h2>\n\n", body)).otherwise(F.lit(NO_HISTORY))
+    return F.when(F.col("has_history"), html.text(ALERT_TITLE, body)).otherwise(F.lit(NO_HISTORY))
 
 
 def line_reports(runs: DataFrame, lines: DataFrame, controls: DataFrame, points: DataFrame,
@@ -165,7 +178,7 @@ def line_reports(runs: DataFrame, lines: DataFrame, controls: DataFrame, points:
     if fail_on == "fetch":
         reports = reports.join(point_ops.lines_with_duplicates(wanted), LINE, "left")
         duplicated = F.col("duplicate_keys") > 0
-    document = process_section(reports)
+    document = process_section()
     if quality is not None:
         rows = quality_ops.with_limits(quality_ops.measurements(quality, lines, site_tz), specs)
         reports = reports.join(quality_sections(quality_ops.test_statistics(rows), site_tz), SHIFT, "left")
@@ -183,7 +196,7 @@ def line_reports(runs: DataFrame, lines: DataFrame, controls: DataFrame, points:
     ok = F.col("error").isNull()
     return reports.withColumn("error", error).select(
         *REPORT, "line", "ordinal", "recipients", "shift_start", "shift_label",
-        F.when(ok, html.text(F.col("line_id"), " process report : ", F.col("shift_label"))).alias("subject"),
+        F.when(ok, html.fill(SUBJECT, line=F.col("line_id"), shift=F.col("shift_label"))).alias("subject"),
         F.when(ok, html.text(document, SEPARATOR)).alias("html"),
         F.when(ok, F.coalesce("changed", F.lit(False))).alias("changed"),
         F.when(ok, F.lit("success")).otherwise(F.lit("failed")).alias("status"),
@@ -219,7 +232,7 @@ def site_reports(reports: DataFrame, shift_of: str = "first") -> DataFrame:
         .select(
             "site", "run_at", "shift_label",
             times.shift_letter(F.col("shift_label")).alias("shift_letter"),
-            html.text(F.upper("site"), " process report: ", F.col("shift_label")).alias("subject"),
+            html.fill(SITE_SUBJECT, site=F.upper("site"), shift=F.col("shift_label")).alias("subject"),
             "full_html", "recipients",
             blob_path(F.col("site"), F.col("run_at"), F.col("shift_label")).alias("path"),
         )
@@ -228,8 +241,7 @@ def site_reports(reports: DataFrame, shift_of: str = "first") -> DataFrame:
 
 def blob_path(site: Column, run_at: Column, label: Column) -> Column:
     """Place of a document; the date is that of the run, not of the shift."""
-    return html.text(site, "/", run_at.cast("date").cast("string"), "/process_change_",
-                     times.shift_letter(label), ".html")
+    return html.fill(PATH, site=site, date=run_at.cast("date").cast("string"), letter=times.shift_letter(label))
 
 
 def run_counts(reports: DataFrame) -> DataFrame:

@@ -66,17 +66,17 @@ def test_missing_if_nan(spark):
 
 def test_labels(spark):
     assert column(spark, ["line8", "line22"], "string", text.resource_label) == ["Line 8", "Line 22"]
-    assert column(spark, ["sch-l8", "noline"], "string", text.line_label) == ["Line 8", None]
+    assert column(spark, ["abc-l8", "noline"], "string", text.line_label) == ["Line 8", None]
     assert column(spark, ["TOP_LOAD_alert_good_fraction", "OVEN_GEN_FLG_A_T"], "string", text.trigger_label) == [
         "Top load", "Oven"]
     assert column(spark, ["top LOAD now", "", None], "string", text.capitalise) == ["Top load now", "", None]
 
 
 def test_line_ids(spark):
-    ids = column(spark, ["l8", "sch-l8", "schl8"], "string", lambda x: text.line_id(F.lit("sch"), x))
-    assert ids == ["sch-l8", "sch-l8", "sch-schl8"]
-    assert column(spark, ["sch-l22", "alone"], "string", text.table_site) == ["sch", "alone"]
-    assert column(spark, ["sch-l22", "alone"], "string", text.line_number) == ["22", None]
+    ids = column(spark, ["l8", "abc-l8", "abcl8"], "string", lambda x: text.line_id(F.lit("abc"), x))
+    assert ids == ["abc-l8", "abc-l8", "abc-abcl8"]
+    assert column(spark, ["abc-l22", "alone"], "string", text.table_site) == ["abc", "alone"]
+    assert column(spark, ["abc-l22", "alone"], "string", text.line_number) == ["22", None]
     assert column(spark, ["v-x-l8-1/ch_opcua", "none", None, "a_ch_b_ch_c"], "string", text.measurement_of) == [
         "opcua", None, None, "b_"]
     assert column(spark, ["a-l8", "l8", "a-b-c"], "string", text.line_part) == ["l8", "l8", "b-c"]
