@@ -96,17 +96,14 @@ def shift_changes_tiebreak(spark, sf_dir):
 def process_changes(spark, sf_dir):
     """The whole machine part: own measurement, first per minute, closed shifts."""
     rows = tables.scan_telemetry(views.telemetry(spark, sf_dir), lines=lines(spark))
-    kept = points.first_per_minute(points.unique_points(points.requested(rows, control_dim(spark))))
-    found = changes.observed_changes(kept, "minute_level")
-    return change_columns(changes.complete_changes(found, control_dim(spark)))
+    return change_columns(reports.process_changes(rows, control_dim(spark)))
 
 
 @query
 def process_changes_run(spark, sf_dir):
     """One scheduled run: a 24-hour look-back, and the shift that run reports."""
     rows = tables.scan_telemetry(views.telemetry(spark, sf_dir), as_of=RUN_AT, measurement="opcua")
-    kept = points.first_per_minute(points.unique_points(points.requested(rows, control_dim(spark))))
-    found = changes.complete_changes(changes.observed_changes(kept, "minute_level"), control_dim(spark))
+    found = reports.process_changes(rows, control_dim(spark))
     run = runs.scheduled_run(lines(spark), RUN_AT).select("site", "line_id", "shift_start")
     return change_columns(found.join(run, ["site", "line_id", "shift_start"]))
 
@@ -194,7 +191,7 @@ def field_semijoin(spark, sf_dir):
 
 @query
 def minute_dedup(spark, sf_dir):
-    wanted = points.requested(scan(spark, sf_dir), control_dim(spark))
+    wanted = points.requested(scan(spark, sf_dir).drop("event_id"), control_dim(spark))
     return points.first_per_minute(wanted).select(*points.POINT, "minute_level")
 
 
@@ -208,7 +205,7 @@ def minute_dedup_off(spark, sf_dir):
 
 @query
 def wide_minutes(spark, sf_dir):
-    wanted = points.requested(scan(spark, sf_dir), control_dim(spark))
+    wanted = points.requested(scan(spark, sf_dir).drop("event_id"), control_dim(spark))
     return points.widen(points.first_per_minute(wanted), views.FIELDS, "minute_level")
 
 

@@ -57,7 +57,8 @@ def reading_order(time: Column, micros: Column, tiebreak: str | None) -> Column:
 
 
 def observed_changes(points: DataFrame, time_col: str = "_time", dayshift_start: str | None = None,
-                     closed: bool = True, tiebreak: str | None = None) -> DataFrame:
+                     closed: bool = True, tiebreak: str | None = None, line: list[str] = LINE,
+                     control: str = "_field") -> DataFrame:
     """One row per (line, shift, control) seen, from requested points.
 
     A single grouping: first and last reading by time, highest, lowest, and the
@@ -65,7 +66,8 @@ def observed_changes(points: DataFrame, time_col: str = "_time", dayshift_start:
     hash-aggregates before the shuffle and only one row per group and task
     travels. Ordering by a struct would fall back to sorting all points.
 
-    Two readings of one control at one instant are duplicates, which
+    ``line`` and ``control`` are the columns that tell these, names or keys. Two
+    readings of one control at one instant are duplicates, which
     ``duplicate_keys`` reports and ``unique_points`` settles. Where points come
     without that step, ``tiebreak`` names a BIGINT column that orders them, so
     that results repeat; time and tie-break then share one 38-digit decimal,
@@ -74,7 +76,8 @@ def observed_changes(points: DataFrame, time_col: str = "_time", dayshift_start:
     rows = assign_shift(points, time_col, dayshift_start, closed)
     value = F.col("_value")
     order = reading_order(F.col("_time"), times.epoch_micros(F.col("_time")), tiebreak)
-    grouped = rows.groupBy(*SHIFT, F.col("_field").alias("control")).agg(
+    name = "control" if control == "_field" else control
+    grouped = rows.groupBy(*line, "shift_start", F.col(control).alias(name)).agg(
         F.min_by(value, order).alias("start_value"),
         F.max_by(value, order).alias("end_value"),
         F.max(value).alias("high"),

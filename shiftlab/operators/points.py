@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftlab.functions import times
@@ -16,6 +16,8 @@ from shiftlab.operators.sizes import sized
 
 POINT = ["site", "line_id", "_time", "_field", "_value"]
 LINE = ["site", "line_id"]
+KEYED_LINE = ["line_key"]
+SEEDS = 16
 
 
 def requested(points: DataFrame, controls: DataFrame) -> DataFrame:
@@ -28,6 +30,45 @@ def requested(points: DataFrame, controls: DataFrame) -> DataFrame:
     return points.join(sized(requested_names(controls)), [*LINE, "_field"])
 
 
+def _key(seed: int, *names: str) -> Column:
+    return F.xxhash64(F.lit(seed), *names)
+
+
+def name_keys(controls: DataFrame) -> DataFrame:
+    """Requested names, with one BIGINT for the line and one for the control.
+
+    They stand in for three strings wherever points are shuffled. A hash may be
+    used for a name only once a look at all names has shown that no two share
+    one; otherwise the next seed is tried.
+    """
+    names = requested_names(controls)
+    for seed in range(SEEDS):
+        keyed = names.withColumns({
+            "line_key": _key(seed, "site", "line_id"),
+            "control_key": _key(seed, "site", "line_id", "_field"),
+        })
+        pairs = keyed.select(F.inline(F.array(
+            F.struct(F.col("line_key").alias("key"), F.array(*LINE).alias("name")),
+            F.struct(F.col("control_key").alias("key"), F.array(*LINE, "_field").alias("name")),
+        )))
+        shared = pairs.groupBy("key").agg(F.min("name").alias("one"), F.max("name").alias("other"))
+        if shared.where(F.col("one") != F.col("other")).isEmpty():
+            return keyed
+    raise ValueError("names share their keys under every seed")
+
+
+def keyed_points(points: DataFrame, keys: DataFrame) -> DataFrame:
+    """:func:`requested` points with keys in place of names."""
+    wanted = points.join(sized(keys), [*LINE, "_field"])
+    return wanted.select("line_key", "control_key", "start_seconds", "_time", "_value")
+
+
+def named(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Names in place of keys again, once rows are few."""
+    names = keys.select("line_key", "control_key", *LINE, F.col("_field").alias("control"))
+    return rows.join(sized(names), ["line_key", "control_key"]).drop("line_key", "control_key")
+
+
 def union_distinct(frames: list[DataFrame]) -> DataFrame:
     """All result sets of one fetch as one, exact repeats removed."""
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -56,15 +97,17 @@ def lines_with_duplicates(points: DataFrame) -> DataFrame:
 def unique_points(points: DataFrame) -> DataFrame:
     """One row per (line, control, time), with the number of points behind it.
 
-    The same grouping as :func:`duplicate_keys`, but the points stay, so that
+    ``points`` has these columns, the value and nothing that tells copies apart.
+
+    The grouping of :func:`duplicate_keys`, but the points stay, so that
     reports find duplicates in the one pass they make anyway. Where ``copies``
     is more than one the value is the highest and the report is not to be used.
     """
-    keys = [*LINE, "_field", "_time", *[c for c in points.columns if c == "start_seconds"]]
+    keys = [c for c in points.columns if c != "_value"]
     return points.groupBy(*keys).agg(F.max("_value").alias("_value"), F.count("*").alias("copies"))
 
 
-def first_per_minute(points: DataFrame, bucket: str | None = "minute") -> DataFrame:
+def first_per_minute(points: DataFrame, bucket: str | None = "minute", line: list[str] = LINE) -> DataFrame:
     """Points at the first instant of each rounded minute of their line.
 
     The instant is the first over all requested controls of the line: a control
@@ -76,30 +119,28 @@ def first_per_minute(points: DataFrame, bucket: str | None = "minute") -> DataFr
     second level sees one row per control of the line and minute at most,
     however many readings a busy minute holds. ``copies``, if present, becomes
     the highest of the minute, so a duplicate shows even when its point goes.
+    Other columns must belong to the line or control.
     """
     if bucket is None:
         return points.withColumn("minute_level", F.col("_time"))
     if bucket != "minute":
         raise ValueError(f"bucket is 'minute' or None, not {bucket!r}")
-    counted = "copies" in points.columns
-    keys = [*LINE, *[c for c in points.columns if c == "start_seconds"]]
+    keys = [c for c in points.columns if c not in ("_time", "_value", "copies")]
+    counted = ["copies"] if "copies" in points.columns else []
     per_control = (
         points.withColumn("minute", times.minute_seconds(F.col("_time")))
-        .groupBy(*keys, "minute", "_field")
+        .groupBy(*keys, "minute")
         .agg(
             F.min("_time").alias("_time"),
             F.min_by("_value", "_time").alias("_value"),
-            *([F.max("copies").alias("copies")] if counted else []),
+            *[F.max(c).alias(c) for c in counted],
         )
     )
-    minute = Window.partitionBy(*LINE, "minute")
-    firsts = per_control.withColumn("first_time", F.min("_time").over(minute))
-    if counted:
-        firsts = firsts.withColumn("copies", F.max("copies").over(minute))
+    minute = Window.partitionBy(*line, "minute")
+    firsts = per_control.withColumns({
+        "first_time": F.min("_time").over(minute), **{c: F.max(c).over(minute) for c in counted}})
     return firsts.where(F.col("_time") == F.col("first_time")).select(
-        *keys, "_time", "_field", "_value", *(["copies"] if counted else []),
-        times.from_seconds(F.col("minute")).alias("minute_level"),
-    )
+        *keys, "_time", "_value", *counted, times.from_seconds(F.col("minute")).alias("minute_level"))
 
 
 def widen(points: DataFrame, fields: list[str], time_col: str = "_time") -> DataFrame:

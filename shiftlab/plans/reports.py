@@ -56,6 +56,22 @@ def six_decimals(value: Column) -> Column:
     return F.format_string("%.6f", value)
 
 
+def process_changes(points: DataFrame, controls: DataFrame, bucket: str | None = "minute",
+                    telemetry_tz: str = "UTC", shift_tz: str = "UTC") -> DataFrame:
+    """Changes as reports tell them: unique points, first per minute, closed shifts.
+
+    Points are shuffled for three of these steps; they carry keys, not names,
+    until they have become one row per control and shift.
+    """
+    keys = point_ops.name_keys(controls)
+    unique = point_ops.unique_points(point_ops.keyed_points(points, keys))
+    kept = point_ops.first_per_minute(unique, bucket, line=point_ops.KEYED_LINE)
+    kept = kept.withColumn("minute_level", times.to_zone(F.col("minute_level"), telemetry_tz, shift_tz))
+    observed = change_ops.observed_changes(
+        kept, "minute_level", line=point_ops.KEYED_LINE, control="control_key")
+    return change_ops.complete_changes(point_ops.named(observed, keys), controls)
+
+
 def change_sections(changes: DataFrame) -> DataFrame:
     """Per line and shift: rendered rows of both tables, the change flag, the times seen.
 
@@ -168,15 +184,11 @@ def line_reports(runs: DataFrame, lines: DataFrame, controls: DataFrame, points:
     """
     if fail_on not in ("fetch", "shift"):
         raise ValueError(f"fail_on is 'fetch' or 'shift', not {fail_on!r}")
-    wanted = point_ops.requested(points, controls)
-    kept = point_ops.first_per_minute(point_ops.unique_points(wanted), bucket)
-    kept = kept.withColumn("minute_level", times.to_zone(F.col("minute_level"), telemetry_tz, shift_tz))
-    observed = change_ops.observed_changes(kept, "minute_level")
-    sections = change_sections(change_ops.complete_changes(observed, controls))
+    sections = change_sections(process_changes(points, controls, bucket, telemetry_tz, shift_tz))
     reports = runs.join(sections, SHIFT, "left")
     duplicated = F.col("copies") > 1
     if fail_on == "fetch":
-        reports = reports.join(point_ops.lines_with_duplicates(wanted), LINE, "left")
+        reports = reports.join(point_ops.lines_with_duplicates(point_ops.requested(points, controls)), LINE, "left")
         duplicated = F.col("duplicate_keys") > 0
     document = process_section()
     if quality is not None:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from shiftlab.functions import times
 from shiftlab.operators import changes, points as point_ops
+from shiftlab.plans import reports
 from helpers import at, dims, points, rows_of
 
 DAY = "2024-03-05 "
@@ -150,6 +151,25 @@ def test_result_does_not_depend_on_partitions(spark):
     assert results[0] == results[1]
 
 
+def test_keys_stand_in_for_names(spark):
+    frame, _, _, per_line = many(spark)
+    wanted = point_ops.requested(frame, per_line)
+    kept = point_ops.first_per_minute(point_ops.unique_points(wanted))
+    by_name = changes.complete_changes(changes.observed_changes(kept, "minute_level"), per_line)
+    assert sorted(map(str, reports.process_changes(frame, per_line).collect())) == sorted(map(str, by_name.collect()))
+
+
+def test_shared_keys_are_seen(spark, monkeypatch):
+    frame, _, _, per_line = many(spark)
+    expected = sorted(map(str, reports.process_changes(frame, per_line).collect()))
+    fair = point_ops._key
+    monkeypatch.setattr(point_ops, "_key", lambda seed, *names: F.lit(0).cast("bigint") if seed < 2 else fair(seed, *names))
+    assert sorted(map(str, reports.process_changes(frame, per_line).collect())) == expected
+    monkeypatch.setattr(point_ops, "_key", lambda seed, *names: F.lit(0).cast("bigint"))
+    with pytest.raises(ValueError):
+        point_ops.name_keys(per_line)
+
+
 def test_large_configuration_joins_without_broadcast(spark, monkeypatch):
     frame, _, _, per_line = many(spark)
     expected = sorted(map(str, changes.shift_changes(frame, per_line).collect()))
