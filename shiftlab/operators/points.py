@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from shiftlab.functions import times
 from shiftlab.operators.controls import requested_names
-from shiftlab.operators.sizes import sized
+from shiftlab.operators.sizes import hinted, sized
 
 POINT = ["site", "line_id", "_time", "_field", "_value"]
 LINE = ["site", "line_id"]
@@ -39,7 +39,8 @@ def name_keys(controls: DataFrame) -> DataFrame:
 
     They stand in for three strings wherever points are shuffled. A hash may be
     used for a name only once a look at all names has shown that no two share
-    one; otherwise the next seed is tried.
+    one; otherwise the next seed is tried. The same look counts the names, so
+    the result comes with the join hint its size allows.
     """
     names = requested_names(controls)
     for seed in range(SEEDS):
@@ -52,21 +53,23 @@ def name_keys(controls: DataFrame) -> DataFrame:
             F.struct(F.col("control_key").alias("key"), F.array(*LINE, "_field").alias("name")),
         )))
         shared = pairs.groupBy("key").agg(F.min("name").alias("one"), F.max("name").alias("other"))
-        if shared.where(F.col("one") != F.col("other")).isEmpty():
-            return keyed
+        found = shared.agg(
+            F.count_if(F.col("one") != F.col("other")).alias("clashes"), F.count("*").alias("keys")).first()
+        if found["clashes"] == 0:
+            return hinted(keyed, found["keys"])
     raise ValueError("names share their keys under every seed")
 
 
 def keyed_points(points: DataFrame, keys: DataFrame) -> DataFrame:
     """:func:`requested` points with keys in place of names."""
-    wanted = points.join(sized(keys), [*LINE, "_field"])
+    wanted = points.join(keys, [*LINE, "_field"])
     return wanted.select("line_key", "control_key", "start_seconds", "_time", "_value")
 
 
 def named(rows: DataFrame, keys: DataFrame) -> DataFrame:
     """Names in place of keys again, once rows are few."""
     names = keys.select("line_key", "control_key", *LINE, F.col("_field").alias("control"))
-    return rows.join(sized(names), ["line_key", "control_key"]).drop("line_key", "control_key")
+    return rows.join(names, ["line_key", "control_key"]).drop("line_key", "control_key")
 
 
 def union_distinct(frames: list[DataFrame]) -> DataFrame:

@@ -21,4 +21,9 @@ def sized(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, weight: Column | N
     """
     worth = F.lit(1) if weight is None else F.greatest(weight, F.lit(1))
     total = dim.limit(max_rows + 1).agg(F.sum(worth)).first()[0] or 0
+    return hinted(dim, total, max_rows)
+
+
+def hinted(dim: DataFrame, total: int, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """The same for a size that is known already."""
     return F.broadcast(dim) if total <= max_rows else dim.hint("merge")

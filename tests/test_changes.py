@@ -159,6 +159,17 @@ def test_keys_stand_in_for_names(spark):
     assert sorted(map(str, reports.process_changes(frame, per_line).collect())) == sorted(map(str, by_name.collect()))
 
 
+@pytest.mark.parametrize("bound,join", [(250_000, "BroadcastHashJoin"), (1, "SortMergeJoin")])
+def test_keys_carry_the_hint_of_their_size(spark, monkeypatch, bound, join):
+    frame, _, _, per_line = many(spark)
+    monkeypatch.setattr("shiftlab.operators.sizes.hinted.__defaults__", (bound,))
+    keys = point_ops.name_keys(per_line)
+    observed = changes.observed_changes(
+        point_ops.unique_points(point_ops.keyed_points(frame, keys)), line=["line_key"], control="control_key")
+    plan = point_ops.named(observed, keys)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(f"{join} [") == 2
+
+
 def test_shared_keys_are_seen(spark, monkeypatch):
     frame, _, _, per_line = many(spark)
     expected = sorted(map(str, reports.process_changes(frame, per_line).collect()))
