@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftlab.llm import near_dedup
-from shiftlab.llm.common import documents
+from shiftlab.llm import near_dedup, packing, token_counts, token_files, tokens
+from shiftlab.llm.common import documents, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -21,3 +22,23 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of near duplicates of every document."""
     return near_dedup.near_duplicates(documents(spark, sf_dir))
+
+
+@query
+def op3_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document in sequences of 1024 tokens."""
+    return packing.packed(documents(spark, sf_dir), tokens.tokenizer_path("byte_bpe_50k.json"), end=0)
+
+
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every document in bytes and tokens."""
+    return token_counts.token_counts(documents(spark, sf_dir), tokens.tokenizer_path("piece_bpe_32k.model"))
+
+
+@query
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, written to bit-packed files and read back."""
+    folder = f"{shared_folder(spark)}/llm-token-files-{uuid.uuid4().hex}"
+    token_files.write(documents(spark, sf_dir), folder, tokens.tokenizer_path("word_bpe_49k.json"), end=1)
+    return token_files.read(spark, folder)
