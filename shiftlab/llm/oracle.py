@@ -26,5 +26,25 @@ found AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
 SELECT documents.doc_id, coalesce(sizes.n, 0)::BIGINT AS n_shingles, found.component_id,
   coalesce(documents.doc_id = found.component_id, true) AS kept
 FROM documents LEFT JOIN sizes ON sizes.doc_id = documents.doc_id LEFT JOIN found ON found.doc_id = documents.doc_id
+""",
+    "op10_source_mixing": r"""
+WITH sized AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+sources AS (SELECT source, sum(size)::BIGINT AS n,
+    [3, 1, 2][(row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1) % 3 + 1] AS w,
+    row_number() OVER (ORDER BY source IS NULL, encode(source)) AS i
+  FROM sized GROUP BY source),
+placed AS (SELECT *, sum(n) OVER () * 1.5 - coalesce(sum(2 * n) OVER (ORDER BY n / w, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+    sum(w) OVER (ORDER BY n / w, i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_w,
+    row_number() OVER (ORDER BY n / w, i) AS place FROM sources),
+full_to AS (SELECT coalesce(min(place), 1000000000) AS first_open FROM placed WHERE 2 * n * open_w > rest * w),
+shared AS (SELECT source, n, CASE WHEN place < first_open THEN (2 * n)::DOUBLE ELSE
+    (SELECT p.rest::DOUBLE FROM placed p WHERE p.place = first_open) * w / (SELECT p.open_w::DOUBLE FROM placed p WHERE p.place = first_open)
+    END AS target FROM placed, full_to),
+queued AS (SELECT doc_id, source, size, coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id, size
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first FROM sized)
+SELECT doc_id, size, n AS source_size, target,
+  (greatest(0, least(first + size, round_even(target, 0)) - first)
+   + greatest(0, least(first + size, round_even(target, 0) - n) - first))::BIGINT AS taken
+FROM queued JOIN shared ON queued.source IS NOT DISTINCT FROM shared.source
 """,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftlab.llm import near_dedup, packing, token_counts, token_files, tokens
+from shiftlab.llm import mixing, near_dedup, packing, token_counts, token_files, tokens
 from shiftlab.llm.common import documents, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,10 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_folder(spark)}/llm-token-files-{uuid.uuid4().hex}"
     token_files.write(documents(spark, sf_dir), folder, tokens.tokenizer_path("word_bpe_49k.json"), end=1)
     return token_files.read(spark, folder)
+
+
+@query
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mixture takes."""
+    taken, _ = mixing.mixed(documents(spark, sf_dir))
+    return taken.select("doc_id", "size", "source_size", "target", "taken")
