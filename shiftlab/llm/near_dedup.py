@@ -17,13 +17,14 @@
    cap, and no bucket is gathered into one task.
 
 A pair at exactly the threshold shares no band with probability
-``(1 - threshold ** rows) ** bands`` (4e-6 for the defaults at 0.85).
+``(1 - threshold ** rows) ** bands``; ``bands_for`` chooses bands to keep that below
+``UNMET`` (32 bands of 7 at 0.85, 52 at 0.8).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import comb
+from math import ceil, comb, log
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +37,20 @@ from shiftlab.llm.components import components
 
 THRESHOLD = (85, 100)
 SIMILAR = (80, 100)
-BANDS, ROWS = 32, 7
+ROWS = 7
+#: Highest probability that a pair at the threshold shares no band.
+UNMET = 5e-6
 BATCH = 32
-MISS = 1e-5
+MISS = 1e-4
 #: Members of a bucket that meet in one comparison of blocks.
 BLOCK = 256
 
 
+def bands_for(threshold: float, rows: int = ROWS, unmet: float = UNMET) -> int:
+    """Bands of ``rows`` minima after which a pair at the threshold has met with all but ``unmet`` probability."""
+    return ceil(log(unmet) / log(1 - threshold ** rows))
+
+
 def fewest_matches(threshold: float, hashes: int, batch: int = BATCH, miss: float = MISS) -> list[tuple[int, int]]:
     """(hashes compared, fewest matches to go on), after each batch.
 
@@ -110,7 +118,7 @@ def signer(bands: int, rows: int, size: int):
     return run
 
 
-def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = hashing.WORDS) -> DataFrame:
+def signatures(docs: DataFrame, bands: int, rows: int = ROWS, size: int = hashing.WORDS) -> DataFrame:
     """doc_id, n_shingles, digest_a, digest_b, signature; without words 0 and null."""
     return docs.select("doc_id", "text").mapInArrow(
         signer(bands, rows, size),
@@ -130,7 +138,8 @@ def pruner(steps):
     return run
 
 
-def block_pruner(steps):
+def block_pruner(steps, threshold: tuple[int, int], rows: int):
+    """Likely pairs across components, each from the first band that its two share, and none too unlike in size."""
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
@@ -142,7 +151,13 @@ def block_pruner(steps):
                 apart = of[0][:, None] != of[1][None, :]
                 if row["same"]:
                     apart &= ids[0][:, None] < ids[1][None, :]
+                sizes = [np.array([m["n_shingles"] for m in side]) for side in (x, y)]
+                low, high = np.minimum.outer(*sizes), np.maximum.outer(*sizes)
+                apart &= threshold[1] * low >= threshold[0] * high
                 i, j = likely_between(signs[0], signs[1], apart, steps)
+                shared = (signs[0][i] == signs[1][j]).reshape(len(i), -1, rows).all(2)
+                first = shared.argmax(1) == row["band"]
+                i, j = i[first], j[first]
                 a, b = ids[0][i], ids[1][j]
                 yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
     return run
@@ -174,7 +189,7 @@ def verifier(threshold: tuple[int, int], size: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
+def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, bands: int | None = None, rows: int = ROWS,
                     size: int = hashing.WORDS, batch: int = BATCH, miss: float = MISS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row for each row of ``docs`` (doc_id integer, text).
 
@@ -188,6 +203,7 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, ban
     """
     ship(docs.sparkSession)
     docs = own_columns(docs, doc_id=F.col("doc_id").cast("long"), text="text")
+    bands = bands or bands_for(threshold[0] / threshold[1], rows)
     steps = fewest_matches(threshold[0] / threshold[1], bands * rows, batch, miss)
     signed = stored(signatures(docs, bands, rows, size), "signatures")
     classes = stored(signed.where("n_shingles > 0 and doc_id is not null").groupBy("digest_a", "digest_b").agg(
@@ -196,7 +212,7 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, ban
         classes, (F.col("doc_id") == F.col("id"))
         & (signed.digest_a == classes.digest_a) & (signed.digest_b == classes.digest_b), "left_semi")
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("signature", 2 * rows * i + 1, 2 * rows)) for i in range(bands)])
-    banded = heads.select(F.col("doc_id").alias("id"), F.explode(keys).alias("bucket"))
+    banded = heads.select(F.col("doc_id").alias("id"), F.posexplode(keys).alias("band", "bucket"))
     buckets = stored(banded.groupBy("bucket").agg(
         F.min("id").alias("hub"), F.max("id").alias("last"), F.count("*").alias("members")).where("hub < last"), "buckets")
     members = stored(banded.join(buckets.drop("last"), "bucket"), "members")
@@ -225,14 +241,15 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, ban
     open_buckets = placed.groupBy("bucket").agg(
         F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
     blocks = placed.join(open_buckets, "bucket").withColumn(
-        "block", F.pmod(F.xxhash64("id"), F.ceil(F.col("members") / BLOCK))).select("bucket", "block", "id", "component")
-    blocks = blocks.join(told.select("id", "signature"), "id").groupBy("bucket", "block").agg(
-        F.collect_list(F.struct("id", "component", "signature")).alias("rows"))
+        "block", F.pmod(F.xxhash64("id"), F.ceil(F.col("members") / BLOCK))).select("bucket", "band", "block", "id", "component")
+    blocks = blocks.join(told.select("id", "n_shingles", "signature"), "id").groupBy("bucket", "band", "block").agg(
+        F.collect_list(F.struct("id", "component", "n_shingles", "signature")).alias("rows"))
     blocks = stored(blocks, "blocks")
-    x = blocks.select("bucket", F.col("block").alias("block_x"), F.col("rows").alias("x"))
+    x = blocks.select("bucket", "band", F.col("block").alias("block_x"), F.col("rows").alias("x"))
     y = blocks.select("bucket", F.col("block").alias("block_y"), F.col("rows").alias("y"))
-    met = x.join(y, "bucket").where("block_x <= block_y").select("x", "y", (F.col("block_x") == F.col("block_y")).alias("same"))
-    survivors = met.mapInArrow(block_pruner(steps), "a long, b long").distinct()
+    met = x.join(y, "bucket").where("block_x <= block_y").select(
+        "x", "y", "band", (F.col("block_x") == F.col("block_y")).alias("same"))
+    survivors = met.mapInArrow(block_pruner(steps, threshold, rows), "a long, b long").distinct()
     named = components(links.union(verified(survivors, "block-links")))
 
     found = classes.join(named, "id", "left").select(

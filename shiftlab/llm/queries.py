@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftlab.llm import mixing, near_dedup, packing, token_counts, token_files, tokens
+from shiftlab.llm import language_id, mixing, near_dedup, packing, token_counts, token_files, tokens
 from shiftlab.llm.common import documents, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,11 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document the mixture takes."""
     taken, _ = mixing.mixed(documents(spark, sf_dir))
     return taken.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from two thirds of them."""
+    docs = documents(spark, sf_dir)
+    model = language_id.train(docs.where(~language_id.held_out("doc_id")))
+    return language_id.identified(docs, model).drop("spans")
