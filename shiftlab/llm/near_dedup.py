@@ -219,7 +219,7 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, ban
 
     candidates = stored(members.select(F.col("id")).distinct(), "candidates")
     told = stored(heads.join(candidates, F.col("doc_id") == F.col("id"), "left_semi").select(
-        F.col("doc_id").alias("id"), "signature"), "candidate-signatures")
+        F.col("doc_id").alias("id"), "n_shingles", "signature"), "candidate-signatures")
     texts = stored(docs.join(candidates, F.col("doc_id") == F.col("id"), "left_semi").select(
         F.col("doc_id").alias("id"), "text"), "candidate-texts")
 
