@@ -155,7 +155,7 @@ def block_pruner(steps, threshold: tuple[int, int], rows: int):
                 low, high = np.minimum.outer(*sizes), np.maximum.outer(*sizes)
                 apart &= threshold[1] * low >= threshold[0] * high
                 i, j = likely_between(signs[0], signs[1], apart, steps)
-                shared = (signs[0][i] == signs[1][j]).reshape(len(i), -1, rows).all(2)
+                shared = (signs[0][i] == signs[1][j]).reshape(len(i), signs[0].shape[1] // rows, rows).all(2)
                 first = shared.argmax(1) == row["band"]
                 i, j = i[first], j[first]
                 a, b = ids[0][i], ids[1][j]
