@@ -55,7 +55,8 @@ class Schedule:
 
     def _stands(self, at: np.ndarray) -> np.ndarray:
         at = np.minimum(at, self.total)
-        early = np.maximum(at - 2.0 * len(self.totals) - 1, 0)
+        # Rounding gives each queue half a token more at most: never too many in all.
+        early = np.maximum(at - 0.5 * len(self.totals) - 1, 0)
         given = self._counts(np.interp(early, self.given, self.times))
         given[early == 0] = 0
         missing = at - given.sum(1)
@@ -82,7 +83,9 @@ class Schedule:
         row = np.repeat(np.arange(len(first)), many)
         win = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + low[row]
         wanted = np.unique(win)
-        begin, end = self.stands(wanted * window), self.stands((wanted + 1) * window)
+        edges = np.unique(np.r_[wanted, wanted + 1])
+        stands = self.stands(edges * window)
+        begin, end = (stands[np.searchsorted(edges, w)] for w in (wanted, wanted + 1))
         place = np.zeros_like(begin)
         np.cumsum((end - begin)[:, :-1], axis=1, out=place[:, 1:])
         at, q = np.searchsorted(wanted, win), queue[row]

@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterable
 import numpy as np
 
 #: Pieces a worker keeps, about 200 bytes each, and the longest piece it keeps.
-KEPT, LONGEST = 600_000, 48
+KEPT, LONGEST = 900_000, 48
 
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _SPACE_RUN = re.compile(r" \s")
@@ -70,10 +70,10 @@ class PieceCache:
         """The values of each text's pieces."""
         texts = list(texts)
         distinct = set().union(*texts)
-        missing = [p for p in distinct if p not in self.values]
+        missing = list(distinct.difference(self.values))
         if missing and len(self.values) + len(missing) > self.kept:
             self.values = dict(self.first)
-            missing = [p for p in distinct if p not in self.values]
+            missing = list(distinct.difference(self.values))
         self.values.update(zip(missing, self.encode(missing)))
         value = self.values.__getitem__
         found = [list(map(value, pieces)) for pieces in texts]
@@ -100,7 +100,7 @@ class IdEncoder:
         self.drops_space = bool(suffix)
         self.edge = np.zeros(self.vocabulary, bool)
         self.edge[[i for name, i in names.items() if (name.endswith(suffix) if suffix else name[0] == "Ġ")]] = True
-        self.words = PieceCache(self._words)
+        self.words = PieceCache(self._words, kept=KEPT // 2)
         self.bare = PieceCache(self._one_by_one, kept=50_000)
         self.pieces = PieceCache(self._pieces)
 
@@ -187,7 +187,7 @@ def piece_counter(path: str, frequent: dict[str, int]) -> PieceCounter:
     return _encoders["counts", path]
 
 
-def portions(texts, rows: int = 512, chars: int = 1 << 22):
+def portions(texts, rows: int = 2048, chars: int = 1 << 23):
     """Runs of a batch's texts, short enough for their pieces to fit in memory."""
     first, size = 0, 0
     for i, n in enumerate(map(lambda t: len(t or ""), texts)):
