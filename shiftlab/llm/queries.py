@@ -6,9 +6,10 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shiftlab.llm import language_id, mixing, near_dedup, packing, token_counts, token_files, tokens
-from shiftlab.llm.common import documents, shared_folder
+from shiftlab.llm import language_id, mixing, near_dedup, packing, simhash, token_counts, token_files, tokens
+from shiftlab.llm.common import documents, shared_folder, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -57,3 +58,18 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = language_id.train(docs.where(~language_id.held_out("doc_id")))
     return language_id.identified(docs, model).drop("spans")
+
+
+@query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return simhash.fingerprinted(documents(spark, sf_dir))
+
+
+@query
+def simhash_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints within the radius of those of every document whose id is divisible by 20, with their smallest document."""
+    found = stored(simhash.fingerprinted(documents(spark, sf_dir)).select("doc_id", "fingerprint"), "searched")
+    near = simhash.within_radius(found.where("doc_id % 20 = 0"), found)
+    smallest = found.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_documents"))
+    return near.join(smallest, "fingerprint")
