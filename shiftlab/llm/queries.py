@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftlab.llm import language_id, mixing, near_dedup, packing, simhash, token_counts, token_files, tokens
+from shiftlab.llm import language_id, mixing, near_dedup, neighbours, packing, simhash, token_counts, token_files, tokens
 from shiftlab.llm.common import documents, shared_folder, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,9 @@ def simhash_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = simhash.within_radius(found.where("doc_id % 20 = 0"), found)
     smallest = found.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_documents"))
     return near.join(smallest, "fingerprint")
+
+
+@query
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every twentieth embedding."""
+    return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))

@@ -106,12 +106,12 @@ def write(docs: DataFrame, folder: str, path: str, end: int, size: int = BLOCK)
 
 
 def blocks(spark: SparkSession, folder: str) -> DataFrame:
-    """The blocks, with ``first``: ids in all files before theirs. One short row per file is summed in order."""
+    """The blocks, with ``first``: ids in all files before theirs. One short row per file, of which there are as many as tasks, is summed in order and broadcast."""
     found = spark.read.schema(SCHEMA).parquet(folder)
     files = found.groupBy("file").agg(F.sum(F.element_at("offsets", -1)).alias("n"))
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     files = files.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    return found.join(files, "file")
+    return found.join(F.broadcast(files), "file")
 
 
 def reader(with_ids: bool):
