@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftlab.llm import language_id, mixing, near_dedup, neighbours, packing, simhash, token_counts, token_files, tokens
+from shiftlab.llm import language_id, mixing, near_dedup, neighbours, packing, passages, simhash, token_counts, token_files, tokens
 from shiftlab.llm.common import documents, shared_folder, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,9 @@ def simhash_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest rows of every twentieth embedding."""
     return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that an earlier document has too."""
+    return passages.repeated_passages(documents(spark, sf_dir))
