@@ -10,9 +10,11 @@ to its target, the last block in part.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shiftlab.llm import hashing
 from shiftlab.llm.common import WORD, own_columns, running_total, ship, stored
 
 CYCLE = (3, 1, 2)
@@ -139,3 +141,25 @@ def mixed(docs: DataFrame, cycle=CYCLE, share: float = SHARE, block: int = BLOCK
         "doc_id", "size", "source", "source_size", "target",
         F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("taken"))
     return documents, mixture.drop("key", "number", "first")
+
+
+def shortener(count: str):
+    def run(batches):
+        for batch in batches:
+            texts = []
+            for text, words in zip(batch.column("text").to_pylist(), batch.column(count).to_pylist()):
+                data, offsets = hashing.text_bytes(pa.array([text], pa.string()))
+                _, behind, _ = hashing.word_spans(data, offsets)
+                texts.append(data[:behind[words - 1]].tobytes().decode() if words else "")
+            changed = batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
+            if "n_chars" in batch.schema.names:
+                at = batch.schema.get_field_index("n_chars")
+                changed = changed.set_column(at, "n_chars", pa.array(list(map(len, texts)), batch.schema.field(at).type))
+            yield changed
+    return run
+
+
+def shortened(docs: DataFrame, count: str) -> DataFrame:
+    """Every text's first words, as many as the column ``count`` says; n_chars, if there, follows."""
+    ship(docs.sparkSession)
+    return docs.mapInArrow(shortener(count), docs.schema)

@@ -1,0 +1,106 @@
+"""Each stage of the pipeline on the table and on odd documents, against plain Python."""
+
+import collections
+import re
+
+import corpus_pipeline
+from shiftlab.llm import mixing
+from shiftlab.llm.common import documents, stored
+from tests.llm import cases
+from tests.llm.test_mixing import brute_targets
+from tests.llm.test_tokens import check_pieces
+
+SF = "/root/testdata/sf0.001"
+STAGES = dict(corpus_pipeline.STAGES)
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0d]+", text or "")
+
+
+def test_stages_on_a_table(spark):
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_dedup", "substring_dedup", "mixing", "packing"]
+    docs = documents(spark, SF)
+    raw = {r.doc_id: r for r in docs.collect()}
+
+    docs = stored(STAGES["language_id"](spark, docs, SF), "t1")
+    assert {r.doc_id: r for r in docs.collect()} == raw  # every text is in one language
+
+    docs = stored(STAGES["near_dedup"](spark, docs, SF), "t2")
+    rows = sorted(raw)
+    sets = cases.brute_sets([raw[i].text for i in rows])
+    name = cases.brute_components(rows, [(rows[x], rows[y]) for x in range(len(rows)) for y in range(x)
+                                         if sets[x] and sets[y] and 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y])])
+    kept = {r.doc_id: r for r in docs.collect()}
+    assert kept == {i: raw[i] for i in rows if name[i] == i} and len(kept) < len(raw)
+
+    docs = stored(STAGES["substring_dedup"](spark, docs, SF), "t3")
+    cut = {r.doc_id: r for r in docs.collect()}
+    seen = set()
+    for i in sorted(kept):
+        text = words(kept[i].text.lower())
+        grams = [tuple(text[j:j + 50]) for j in range(len(text) - 49)]
+        repeated = any(g in seen for g in grams)
+        seen.update(grams)
+        if not repeated and i in cut and cut[i].text == kept[i].text:
+            assert cut[i] == kept[i]
+        if repeated:
+            assert i not in cut or len(words(cut[i].text)) <= len(text) - 50 and cut[i].n_chars == len(cut[i].text)
+    after = [g for i in cut for t in [words(cut[i].text.lower())] for g in {tuple(t[j:j + 50]) for j in range(len(t) - 49)}]
+    assert len(after) == len(set(after))
+
+    docs = stored(STAGES["mixing"](spark, docs, SF), "t4")
+    mixed = docs.collect()
+    sizes = collections.Counter()
+    for r in cut.values():
+        sizes[r.source] += len(words(r.text))
+    taken = collections.Counter()
+    copies = collections.defaultdict(list)
+    for r in mixed:
+        taken[r.source] += len(words(r.text))
+        copies[r.doc_id].append(r.text)
+        assert cut[r.doc_id].text.startswith(r.text) and r.n_chars == len(r.text)
+    for source, target in brute_targets(sizes).items():
+        assert abs(taken[source] - target) <= 1
+    assert max(map(len, copies.values())) <= 2
+
+    found = STAGES["packing"](spark, docs, SF).collect()
+    check_pieces(found, [(r.doc_id, r.text) for r in mixed], 0, 1024)
+
+
+def test_odd_documents(spark):
+    docs = cases.odd(spark)
+    for stage, (name, function) in enumerate(corpus_pipeline.STAGES):
+        docs = stored(function(spark, docs, SF), f"odd-{name}")
+        ids = sorted(r.doc_id or 0 for r in docs.select("doc_id").distinct().collect())
+        assert ids == [[0, 4, 5, 6, 7, 8], [0, 4, 5, 7, 8], [0, 4, 5, 7, 8], [0, 4, 5, 7, 8], [0, 4, 5, 7, 8]][stage]
+        if stage < 4:
+            assert docs.columns == cases.odd(spark).columns
+
+
+def test_no_documents(spark):
+    docs = cases.docs(spark, [])
+    for name, function in corpus_pipeline.STAGES:
+        docs = stored(function(spark, docs, SF), f"none-{name}")
+        assert docs.count() == 0
+
+
+def test_repeated_passage_goes_from_later_documents(spark):
+    part = " ".join(f"p{i}" for i in range(60))
+    rows = [(3, f"own words here. {part} and an end"), (1, f"{part} at first"), (2, part), (4, "clean words " * 30)]
+    found = STAGES["substring_dedup"](spark, cases.small(spark, rows), SF).collect()
+    assert sorted((r.doc_id, r.text, r.n_chars) for r in found) == [
+        (1, f"{part} at first", len(part) + 9), (3, "own words here.  and an end", 27), (4, "clean words " * 30, 360)]
+
+
+def test_rejected_languages(spark):
+    rows = [(1, "12 34 --", "en", "s", 8), (2, None, "en", "s", 0), (3, "the cat sat on the mat", None, "s", 22)] + [
+        (10 + i, "the cat sat on the mat", "en", "s", 22) for i in range(9)]
+    found = STAGES["language_id"](spark, cases.docs(spark, rows), SF).collect()
+    assert sorted((r.doc_id, r.lang) for r in found) == [(3, "en")] + [(10 + i, "en") for i in range(9)]
+
+
+def test_mixture_holds_sources_in_proportion(spark):
+    _, mixture = mixing.mixed(documents(spark, SF), block=64)
+    rows = mixture.collect()
+    assert min(r.n_words for r in rows) > 0
