@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftlab.llm import language_id, mixing, near_dedup, neighbours, packing, passages, simhash, token_counts, token_files, tokens
+from shiftlab.llm import language_id, licences, mixing, near_dedup, neighbours, packing, passages, simhash, token_counts, token_files, tokens
 from shiftlab.llm.common import documents, shared_folder, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,9 @@ def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 50 words or more that an earlier document has too."""
     return passages.repeated_passages(documents(spark, sf_dir))
+
+
+@query
+def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence that every document shows, or takes from a folder above it."""
+    return licences.scanned(licences.laid_out(documents(spark, sf_dir)))
