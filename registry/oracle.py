@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from registry.views import EVENT_FIELD, FIELDS, LINES, SPEC_ROWS
+from registry.views import CLOCKS, EVENT_FIELD, FIELDS, LINES, LOOKBACKS, SPEC_ROWS
 
 
 def text(value: str | None) -> str:
@@ -253,6 +253,33 @@ SELECT 's' || s_suppkey AS site, 'l' || s_suppkey || '_' || i AS line,
   CASE WHEN i <= 2 AND s_acctbal > 0 THEN 20.0::DOUBLE END AS heat_threshold,
   CASE WHEN i <= 2 THEN 'v-x-' || s_suppkey || CASE WHEN s_acctbal > 0 THEN '/ch_opcua' ELSE '/raw' END END AS bucket,
   (i - 1)::INTEGER AS ordinal FROM s"""
+_NAMED = """
+SELECT '{asked}' AS asked, 's' || s_suppkey AS site, 'l' || s_suppkey || '_' || i AS line, {start} AS time_start_dayshift,
+  CASE WHEN i > 2 THEN NULL WHEN s_suppkey % 2 = 0 THEN 99.0::DOUBLE WHEN s_acctbal > 0 THEN 20.0::DOUBLE END AS heat_threshold,
+  CASE WHEN i <= 2 THEN 'v-x-' || s_suppkey || CASE WHEN s_acctbal > 0 THEN '/ch_opcua' ELSE '/raw' END END AS bucket,
+  (i - 1)::INTEGER AS ordinal FROM s WHERE {which}"""
+ORACLE["site_inherit_named"] = f"""
+WITH s AS (SELECT *, unnest(generate_series(1, s_suppkey % 4)) AS i FROM supplier WHERE s_suppkey <> 0)
+{" UNION ALL ".join(_NAMED.format(asked=f"s{n}", start="NULL::VARCHAR", which=f"s_suppkey = {n}") for n in (2, 3))}
+UNION ALL SELECT 's4', 's4', 's4', NULL, NULL, NULL, 0 FROM supplier WHERE s_suppkey = 4
+UNION ALL {_NAMED.format(asked="nowhere", start="CASE WHEN s_acctbal > 0 THEN '06:00:00' ELSE '07:00:00' END", which="true")}"""
+
+
+def _by_place(key: str, values: list[str]) -> str:
+    return f"CASE {key} % {len(values)} " + " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(values)) + " END"
+
+
+ORACLE["lookback_texts"] = f"""
+SELECT o_orderkey, {_by_place('o_orderkey', [text(t) for t in LOOKBACKS])} AS lookback,
+  o_orderdate::TIMESTAMP + to_minutes(o_custkey % 1440)
+    - to_seconds({_by_place('o_orderkey', ['NULL' if v is None else str(v) for v in LOOKBACKS.values()])}) AS cutoff FROM orders"""
+ORACLE["shift_letters"] = f"""
+WITH o AS (SELECT o_orderkey, o_orderdate::TIMESTAMP AS day, (o_custkey * 7) % 1440 AS minute,
+  {_by_place('o_orderkey', ['NULL' if v is None else str(v) for v in CLOCKS.values()])} AS start FROM orders),
+d AS (SELECT *, start % 720 AS half, CASE WHEN minute < start % 720 THEN start % 720 - 720
+  WHEN minute < start % 720 + 720 THEN start % 720 ELSE start % 720 + 720 END AS begins FROM o)
+SELECT o_orderkey, day + to_minutes(begins::BIGINT) AS shift_start,
+  CASE WHEN start IS NULL THEN NULL WHEN (begins + 1440) % 1440 = start THEN 'D' ELSE 'N' END AS letter FROM d"""
 ORACLE["select_lines"] = f"""{with_(CONFIG)}
 SELECT g.site, g.line_id, count(*) AS points FROM cfg g JOIN (SELECT user_id % 5 + 1 AS n FROM events) e ON e.n::VARCHAR = g.line_no
 WHERE g.site = 'alpha' AND g.line_no IN ('1', '2') GROUP BY ALL"""
@@ -369,12 +396,16 @@ SELECT test, test_cleaned, count(*) AS n FROM qual JOIN names USING (test) GROUP
 ORACLE["sanitize_documents"] = f"""
 WITH c AS (SELECT doc_id, {sanitize('text')} AS cleaned FROM documents)
 SELECT doc_id, length(cleaned)::INTEGER AS n_chars, md5(cleaned) AS digest FROM c"""
+_SPELLINGS = [  # text and what it means, each written out
+    ("p", "price"), ("' ' || p || ' '", "price"), ("p || 'e1'", "price * 10"), ("'+' || p", "price"), ("p || 'd'", "NULL"),
+    ("replace(p, '.', '_')", "NULL"), ("'n/a'", "NULL"), ("'Infinity'", "'Infinity'::DOUBLE"), ("'-inf'", "'-Infinity'::DOUBLE"),
+    ("p || 'e400'", "NULL"), ("'-' || p || 'E-2'", "(('-' || p || 'E-2')::DOUBLE)"), ("'0x1F'", "NULL")]
+_CASES = [" ".join(f"WHEN {i} THEN {pair[side]}" for i, pair in enumerate(_SPELLINGS)) for side in (0, 1)]
 ORACLE["numeric_coerce"] = f"""
-WITH v AS (SELECT l_orderkey, l_linenumber, l_partkey, CASE l_linenumber WHEN 1 THEN l_extendedprice::VARCHAR
-  WHEN 2 THEN ' ' || l_extendedprice::VARCHAR || ' ' WHEN 3 THEN l_extendedprice::VARCHAR || 'e1'
-  WHEN 4 THEN '+' || l_extendedprice::VARCHAR WHEN 5 THEN l_extendedprice::VARCHAR || 'd'
-  WHEN 6 THEN replace(l_extendedprice::VARCHAR, '.', '_') ELSE 'n/a' END AS val FROM lineitem)
-SELECT *, {coerce('val')} AS number FROM v"""
+WITH v AS (SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice::VARCHAR AS p, l_extendedprice::DOUBLE AS price,
+  (l_orderkey + l_linenumber * 5) % {len(_SPELLINGS)} AS place FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, CASE place {_CASES[0]} END AS val,
+  (CASE place {_CASES[1].replace("price * 10", "((p || 'e1')::DOUBLE)")} END)::DOUBLE AS number FROM v"""
 ORACLE["quality_scan_utc"] = f"""{with_(QUALITY)}
 SELECT site, line_no, datetime, (datetime AT TIME ZONE 'UTC') AT TIME ZONE 'America/Chicago' AS local_time, test, val, part_item,
   count(*) AS n FROM qual
@@ -423,7 +454,7 @@ def _chicago(column: str) -> str:
 ORACLE["alert_local_times"] = f"""{with_(ALERTS)},
 z AS (SELECT * REPLACE ({_chicago('changed_at')} AS changed_at, {_chicago('disable_until')} AS disable_until) FROM ala)
 SELECT line_label AS "Line", part AS "Part", trigger AS "Trigger", changed_by AS "Changed by", changed_at AS "Changed at",
-  disabled AS "Disabled", disable_until AS "Disable until" FROM z WHERE changed_at >= TIMESTAMP '2023-11-20 00:00:00'"""
+  disabled AS "Disabled", disable_until AS "Disable until" FROM z"""
 ORACLE["alert_json"] = f"""{with_(ALERTS)},
 j AS (SELECT o.o_orderkey, json_object('resource', 'line' || (o_custkey % 5 + 1), 'trigger', c_mktsegment || '_alert_good_fraction',
   'part_number', (o_custkey % 20)::VARCHAR) AS doc FROM orders o JOIN customer ON o_custkey = c_custkey)
@@ -439,7 +470,7 @@ RUNS = """
 runs AS (SELECT g.*, r.run_at, date_trunc('day', r.run_at)::TIMESTAMP + g.start_after
     - CASE WHEN hour(r.run_at) < 12 THEN INTERVAL 12 hours ELSE INTERVAL 0 hours END AS shift_start,
     CASE WHEN hour(r.run_at) < 12 THEN 'N' ELSE 'D' END AS letter
-  FROM cfg g, (SELECT unnest(generate_series(TIMESTAMP '2024-01-02 06:02:00', TIMESTAMP '2024-01-31 06:02:00', INTERVAL 12 hours)) AS run_at) r),
+  FROM cfg g, (SELECT unnest(generate_series(TIMESTAMP '2024-01-01 06:02:00', TIMESTAMP '2024-01-31 06:02:00', INTERVAL 12 hours)) AS run_at) r),
 rep AS (SELECT *, shift_start + INTERVAL 12 hours AS shift_end, strftime(shift_start, '%Y_%m_%d ') || letter AS shift_label FROM runs)"""
 
 
@@ -554,26 +585,26 @@ ORACLE["site_report"] = f"""{_FULL}
 SELECT site, run_at, first_label AS shift_label, first_label[-1] AS shift_letter,
   upper(site) || ' process report: ' || first_label AS subject, recipients, {_PATH.format(label='first_label')} AS path,
   md5(full_html) AS digest, length(full_html)::INTEGER AS n_chars FROM srep"""
-ORACLE["blob_paths"] = f"""{_SHORT}
+ORACLE["blob_paths"] = f"""{_FULL}
 SELECT site, run_at, last_label AS shift_label, last_label[-1] AS shift_letter, {_PATH.format(label='last_label')} AS path FROM srep"""
-ORACLE["report_history"] = f"""{_SHORT}
+ORACLE["report_history"] = f"""{_FULL}
 SELECT l.site, l.line, l.shift_label AS shift, {_PATH.format(label='s.first_label').replace('site ||', 'l.site ||').replace('(run_at', '(l.run_at')} AS blob_path,
   l.status, 'backfill-1' AS run_id, l.run_at AS generated_at
 FROM lrep l JOIN srep s ON l.site = s.site AND l.run_at = s.run_at WHERE l.status = 'success'"""
-ORACLE["document_parts"] = f"""{_SHORT}
+ORACLE["document_parts"] = f"""{_FULL}
 SELECT l.site, l.run_at, l.run_at::DATE AS report_date, s.last_label[-1] AS shift_letter, l.ordinal::INTEGER AS ordinal, l.line_id,
   md5(l.html) AS digest, length(l.html)::INTEGER AS n_chars
 FROM lrep l JOIN srep s ON l.site = s.site AND l.run_at = s.run_at WHERE l.status = 'success'"""
-ORACLE["outbox"] = f"""{_SHORT}
+ORACLE["outbox"] = f"""{_FULL}
 SELECT site, run_at, recipients, upper(site) || ' process report: ' || first_label AS subject,
   md5(full_html) AS digest, length(full_html)::INTEGER AS n_chars FROM srep"""
-ORACLE["run_counts"] = f"""{_SHORT}
+ORACLE["run_counts"] = f"""{_FULL}
 SELECT site, count(*) AS reports, count(*) FILTER (WHERE status = 'success') AS succeeded,
   count(*) FILTER (WHERE status = 'failed') AS failed FROM lrep GROUP BY site"""
 
 # Readings above 300 are stored a second time, one higher
 _REPEATED = TELEMETRY.replace("FROM events)", "FROM (SELECT * FROM events {where} UNION ALL SELECT * REPLACE (value + 1 AS value) FROM events {both}))")
-ORACLE["failed_lines"] = f"""{_SHORT},
+ORACLE["failed_lines"] = f"""{_FULL},
 twice AS (SELECT DISTINCT line_id, {minute('_time')} AS minute_level FROM req WHERE _value > 300),
 bad AS (SELECT DISTINCT t.line_id, s.shift_start FROM twice t JOIN cal s
   ON t.line_id = s.line_id AND t.minute_level BETWEEN s.shift_start AND s.shift_start + INTERVAL 12 hours)
@@ -583,7 +614,7 @@ FROM mac m LEFT JOIN bad b ON m.line_id = b.line_id AND m.shift_start = b.shift_
 WHERE m.measurement IS NULL OR b.line_id IS NOT NULL"""
 _ONE_RUN = (CONFIG, _REPEATED.format(where=f"WHERE {_FETCH}", both=f"WHERE value > 300 AND {_FETCH}"),
             DEDUP, CALENDAR, closed_rows("kept", "minute_level"), OBSERVED, CHANGES,
-            RUNS.replace("TIMESTAMP '2024-01-02 06:02:00'", "TIMESTAMP '2024-01-16 06:02:00'").replace(
+            RUNS.replace("TIMESTAMP '2024-01-01 06:02:00'", "TIMESTAMP '2024-01-16 06:02:00'").replace(
                 "TIMESTAMP '2024-01-31 06:02:00'", "TIMESTAMP '2024-01-16 06:02:00'"), MACHINE)
 ORACLE["failed_run"] = f"""{with_(*_ONE_RUN)},
 bad AS (SELECT DISTINCT line_id FROM (SELECT line_id FROM req GROUP BY line_id, _time, _field HAVING count(*) > 1)),
@@ -593,6 +624,18 @@ o AS (SELECT m.*, CASE WHEN m.measurement IS NULL THEN 'bucket names no measurem
 SELECT site, line_id, run_at, shift_label, CASE WHEN error IS NULL THEN 'success' ELSE 'failed' END AS status, error,
   CASE WHEN error IS NULL THEN md5(html) END AS digest, CASE WHEN error IS NULL THEN length(html)::INTEGER END AS n_chars FROM o"""
 
+_FETCHED = TELEMETRY.replace("FROM events)", f"FROM events WHERE {_FETCH})")
+_RUN = with_(CONFIG, _FETCHED, *_ONE_RUN[2:], QUALITY, measured(), PART, fractions(), QUALITY_HTML, ALERTS,
+             ALERT_HTML.replace(" AND a.changed_at <= r.run_at", ""),
+             _reports("machine || q.quality || a.alerts",
+                      "JOIN qsec q ON q.line_id = m.line_id AND q.run_at = m.run_at JOIN asec a ON a.line_id = m.line_id AND a.run_at = m.run_at"))
+ORACLE["line_report_run"] = f"{_RUN} SELECT {_LINE_COLUMNS} FROM lrep"
+ORACLE["failed_config"] = f"""{_RUN}
+SELECT site, line_id, run_at, CASE WHEN line_id = 'alpha-l1' THEN 'success' ELSE 'failed' END AS status,
+  CASE line_id WHEN 'alpha-l2' THEN 'day-shift start is no clock time' WHEN 'alpha-l3' THEN 'bucket names no measurement'
+    WHEN 'beta-l4' THEN 'alert look-back is no period' WHEN 'beta-l5' THEN 'line configured more than once' END AS error,
+  CASE WHEN line_id = 'alpha-l1' THEN changed END AS changed FROM lrep"""
+
 # Streaming: the shifts that ended an hour before the latest reading
 
 ORACLE["stream_shift_changes"] = f"""{with_(CONFIG, TELEMETRY)},

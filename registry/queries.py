@@ -19,7 +19,7 @@ from shiftlab.streaming import changes as stream
 
 AS_OF = datetime(2024, 1, 31, 6, 2)
 RUN_AT = datetime(2024, 1, 16, 6, 2)
-FIRST_RUN = datetime(2024, 1, 2, 6, 2)
+FIRST_RUN = datetime(2024, 1, 1, 6, 2)
 RUN_ID = "backfill-1"
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -264,6 +264,36 @@ def site_inherit(spark, sf_dir):
         "alert_lookback_timedelta", "heat_threshold", "bucket", "ordinal")
 
 
+@query
+def site_inherit_named(spark, sf_dir):
+    """One site asked for: with lines of its own, with common ones, without lines, and an unknown name."""
+    table, config = views.supplier_sites(spark, sf_dir), views.own_site_lines(spark, sf_dir)
+    found = [controls.resolve_sites(table, config, name).select(
+        F.lit(name).alias("asked"), "site", "line", "time_start_dayshift", "heat_threshold", "bucket", "ordinal")
+        for name in ("s2", "s3", "s4", "nowhere")]
+    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
+
+
+@query
+def lookback_texts(spark, sf_dir):
+    """Start of a look-back that orders spell in many ways."""
+    lookback = views.spelled("o_orderkey", views.LOOKBACKS)
+    run_at = F.timestamp_add("MINUTE", F.col("o_custkey") % 1440, F.col("o_orderdate"))
+    return views.load(spark, sf_dir, "orders").select(
+        "o_orderkey", lookback.alias("lookback"), alerts.cutoff(run_at, lookback).alias("cutoff"))
+
+
+@query
+def shift_letters(spark, sf_dir):
+    """The shift that holds a time, and its letter, for day-shift starts that orders spell in many ways."""
+    start = times.clock_seconds(views.spelled("o_orderkey", views.CLOCKS))
+    at = F.timestamp_add("MINUTE", (F.col("o_custkey") * 7) % 1440, F.col("o_orderdate"))
+    shift = times.from_seconds(times.shift_start_seconds(at, start))
+    letter = F.when(shift.isNotNull(), times.shift_letter_of_start(shift, start))
+    return views.load(spark, sf_dir, "orders").select(
+        "o_orderkey", shift.alias("shift_start"), letter.alias("letter"))
+
+
 @query
 def select_lines(spark, sf_dir):
     """Points of the lines asked for, with or without their site in the name."""
@@ -320,15 +350,15 @@ def sanitize_documents(spark, sf_dir):
 
 @query
 def numeric_coerce(spark, sf_dir):
+    """Prices in many spellings, numbers or not."""
     price = F.col("l_extendedprice").cast("string")
-    spellings = {
-        1: price, 2: F.concat(F.lit(" "), price, F.lit(" ")), 3: F.concat(price, F.lit("e1")),
-        4: F.concat(F.lit("+"), price), 5: F.concat(price, F.lit("d")), 6: F.replace(price, F.lit("."), F.lit("_")),
-    }
-    val = F.lit("n/a")
-    for number, spelled in spellings.items():
-        val = F.when(F.col("l_linenumber") == number, spelled).otherwise(val)
-    rows = views.load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", val.alias("val"))
+    spellings = [
+        price, F.concat(F.lit(" "), price, F.lit(" ")), F.concat(price, F.lit("e1")), F.concat(F.lit("+"), price),
+        F.concat(price, F.lit("d")), F.replace(price, F.lit("."), F.lit("_")), F.lit("n/a"), F.lit("Infinity"), F.lit("-inf"),
+        F.concat(price, F.lit("e400")), F.concat(F.lit("-"), price, F.lit("E-2")), F.lit("0x1F")]
+    place = (F.col("l_orderkey") + F.col("l_linenumber") * 5) % len(spellings) + 1
+    rows = views.load(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.element_at(F.array(*spellings), place.cast("int")).alias("val"))
     return rows.withColumn("number", numeric.to_number(F.col("val")))
 
 
@@ -404,8 +434,7 @@ def alert_view(spark, sf_dir):
 def alert_local_times(spark, sf_dir):
     """Every change on the site's clock, whatever its age."""
     rows = alerts.alert_rows(views.alerts(spark, sf_dir), "America/Chicago", bucket="minute")
-    winter = rows.where(F.col("changed_at") >= times.wall_clock(datetime(2023, 11, 20)))
-    return alerts.report_columns(winter)
+    return alerts.report_columns(rows)
 
 
 @query
@@ -468,32 +497,32 @@ def site_report(spark, sf_dir):
 
 @query
 def blob_paths(spark, sf_dir):
-    found = reports.site_reports(backfill(spark, sf_dir, full=False), shift_of="last")
+    found = reports.site_reports(backfill(spark, sf_dir), shift_of="last")
     return found.select("site", "run_at", "shift_label", "shift_letter", "path")
 
 
 @query
 def report_history(spark, sf_dir):
-    return reports.report_history(backfill(spark, sf_dir, full=False), RUN_ID)
+    return reports.report_history(backfill(spark, sf_dir), RUN_ID)
 
 
 @query
 def document_parts(spark, sf_dir):
     """Site documents as ordered pieces."""
-    found = reports.document_parts(backfill(spark, sf_dir, full=False), shift_of="last")
+    found = reports.document_parts(backfill(spark, sf_dir), shift_of="last")
     return found.select("site", "run_at", "report_date", "shift_letter", "ordinal", "line_id", *digest(found, "html"))
 
 
 @query
 def outbox(spark, sf_dir):
-    found = reports.outbox(reports.site_reports(backfill(spark, sf_dir, full=False)))
+    found = reports.outbox(reports.site_reports(backfill(spark, sf_dir)))
     return found.select("site", "run_at", F.array_join("recipients", ",").alias("recipients"), "subject",
                         *digest(found, "full_html"))
 
 
 @query
 def run_counts(spark, sf_dir):
-    return reports.run_counts(backfill(spark, sf_dir, full=False))
+    return reports.run_counts(backfill(spark, sf_dir))
 
 
 def with_repeats(spark, sf_dir):
@@ -505,7 +534,29 @@ def with_repeats(spark, sf_dir):
 @query
 def failed_lines(spark, sf_dir):
     """Reports that fail: no measurement, or a repeated reading in the shift."""
-    return reports.failed_lines(backfill(spark, sf_dir, full=False, telemetry=with_repeats(spark, sf_dir)))
+    return reports.failed_lines(backfill(spark, sf_dir, telemetry=with_repeats(spark, sf_dir)))
+
+
+@query
+def line_report_run(spark, sf_dir):
+    """One scheduled run with all its sections, as the service makes it twice a day."""
+    dim = lines(spark)
+    rows = tables.scan_telemetry(views.telemetry(spark, sf_dir), as_of=RUN_AT)
+    found = reports.line_reports(
+        runs.scheduled_run(dim, RUN_AT), dim, control_dim(spark), rows, views.quality(spark, sf_dir),
+        views.specs(spark, sf_dir), views.alerts(spark, sf_dir), site_tz="UTC")
+    return found.select("site", "line_id", "run_at", "shift_label", "subject", "status", "error", "changed",
+                        *digest(found, "html"))
+
+
+@query
+def failed_config(spark, sf_dir):
+    """One run in which wrongly configured lines fail alone."""
+    config = views.broken_config(spark)
+    dim = controls.line_dim(config)
+    rows = tables.scan_telemetry(views.telemetry(spark, sf_dir), as_of=RUN_AT)
+    found = reports.line_reports(runs.scheduled_run(dim, RUN_AT), dim, controls.line_controls(config), rows)
+    return found.select("site", "line_id", "run_at", "status", "error", "changed")
 
 
 @query

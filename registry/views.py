@@ -201,8 +201,37 @@ def supplier_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Own configuration of the first two lines of each of those sites."""
-    one = supplier_lines(spark, sf_dir)
+    """Configuration of the first two lines of each of those sites, which names no site."""
+    one = supplier_lines(spark, sf_dir).withColumn("site", F.lit(None).cast("string"))
     return one.withColumn("n", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn(
         "line", F.concat("line", F.lit("_"), F.col("n").cast("string"))
     ).drop("n")
+
+
+def own_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, and for every second site a configuration of its own under the same line names."""
+    common = site_lines(spark, sf_dir)
+    key = F.regexp_extract("line", r"^l(\d+)_", 1).cast("bigint")
+    own = common.where(key % 2 == 0).withColumns(
+        {"site": F.concat(F.lit("s"), key.cast("string")), "heat_threshold": F.lit(99.0)})
+    return common.unionByName(own)
+
+
+def broken_config(spark: SparkSession) -> DataFrame:
+    """Line configurations of which one has no clock, one no look-back, and one stands twice."""
+    rows = line_config(spark)
+    line = F.col("line")
+    rows = rows.withColumns({
+        "time_start_dayshift": F.when(line == "alpha-l2", F.lit("late")).otherwise(F.col("time_start_dayshift")),
+        "alert_lookback_timedelta": F.when(line == "l4", F.lit("soon")).otherwise(F.col("alert_lookback_timedelta"))})
+    return rows.unionByName(rows.where(line == "l5").withColumn("line", F.lit("beta-l5")))
+
+
+LOOKBACKS = {"60 days": 5184000, "60d": 5184000, "1440h": 5184000, "8w": 4838400, "60 days 00:00:00": 5184000,
+             "1 day 02:30:05": 95405, "90 min": 5400, "soon": None}
+CLOCKS = {"07:00:00": 420, "7:00:00": 420, "06:30": 390, "19:00": 1140, "0:15": 15, "late": None}
+
+
+def spelled(key: str, values: dict) -> Column:
+    """One of the texts, by an id."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (F.col(key) % len(values) + 1).cast("int"))

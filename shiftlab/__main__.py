@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import argparse
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,7 +40,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     config = tables.read_line_config(spark, args.lines)
     if args.sites:
         config = controls.resolve_sites(tables.read_site_config(spark, args.sites), config, args.site)
-    config = controls.select_lines(config, args.site, args.line)
+    known = args.site is None or not config.where(config.site == args.site).isEmpty()
+    config = controls.select_lines(config, args.site if known else None, args.line)
     if config.isEmpty():
         raise ValueError("no line configurations to report on")
     lines, per_line = controls.line_dim(config), controls.line_controls(config)
@@ -50,7 +51,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         spark, args.alerts, "parquet" if args.alerts.endswith("parquet") else "json")
     found = reports.line_reports(
         wanted, lines, per_line,
-        tables.scan_telemetry(tables.read_telemetry(spark, args.telemetry), lines=lines, as_of=args.as_of),
+        tables.scan_telemetry(
+            tables.read_telemetry(spark, args.telemetry), lines=lines, as_of=args.as_of,
+            since=args.first - timedelta(hours=24) if backfill else None,
+            until=args.last + timedelta(hours=24) if backfill else None),
         tables.read_quality(spark, args.quality) if args.quality else None,
         tables.read_specs(spark, args.specs) if args.specs else None,
         alerts or None, site_tz=args.site_tz, known_at_run=backfill, fail_on="shift" if backfill else "fetch")

@@ -22,7 +22,7 @@ ERF_MID_DEN = (1.23033935480374942e03, 3.43936767414372164e03, 4.362619090143247
 
 # Accepted spellings of a number. Engines differ on what else they take ('1d',
 # '1_0', '0x10'), so the shape is checked before the cast.
-NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf))\s*$"
+NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf(inity)?))\s*$"
 
 
 def polynomial(x: Column, coefficients: tuple[float, ...]) -> Column:
@@ -60,5 +60,7 @@ def missing_if_nan(x: Column) -> Column:
 
 
 def to_number(text: Column) -> Column:
-    """Text -> DOUBLE, NULL when it is not a number."""
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    """Text -> DOUBLE, NULL when it is not a number, or one too large to hold that does not say so."""
+    value = text.try_cast("double")
+    overflow = (F.abs(value) == float("inf")) & ~text.rlike("[nN]")
+    return F.when(text.rlike(NUMBER) & ~F.coalesce(overflow, F.lit(False)), value)

@@ -90,13 +90,35 @@ def timestamp_text(ts: Column) -> Column:
 
 
 def clock_seconds(clock: Column) -> Column:
-    """``HH:MM:SS`` -> seconds after midnight."""
-    part = F.split(clock, ":")
-    return (
-        F.get(part, 0).cast("bigint") * 3600
-        + F.get(part, 1).cast("bigint") * 60
-        + F.coalesce(F.get(part, 2).cast("bigint"), F.lit(0))
+    """``H:MM``, ``HH:MM`` or either with ``:SS`` -> seconds after midnight, NULL for any other text."""
+    part = F.split(F.trim(clock), ":")
+    seconds = (
+        F.get(part, 0).try_cast("bigint") * 3600
+        + F.get(part, 1).try_cast("bigint") * 60
+        + F.coalesce(F.get(part, 2).try_cast("bigint"), F.lit(0))
     )
+    return F.when(F.trim(clock).rlike(r"^([01]?\d|2[0-3]):[0-5]\d(:[0-5]\d)?$"), seconds)
+
+
+def period_seconds(text: Column) -> Column:
+    """Length of a period such as ``60 days``, ``8w``, ``1440h`` or ``1 day 02:30:00`` in seconds.
+
+    Numbers with units, and at most one clock at the end, in any case. NULL for
+    any other text.
+    """
+    plain = F.lower(F.trim(text))
+    units = {"weeks?|w": 604800, "days?|d": 86400, "hours?|hrs?|hr|h": 3600,
+             "minutes?|mins?|min|m|t": 60, "seconds?|secs?|sec|s": 1}
+    known = "|".join(units)
+    clock = F.regexp_extract(plain, r"(\d+:\d\d:\d\d)$", 1)
+    total = F.when(clock == "", F.lit(0.0)).otherwise(
+        F.get(F.split(clock, ":"), 0).try_cast("double") * 3600 + F.get(F.split(clock, ":"), 1).try_cast("double") * 60
+        + F.get(F.split(clock, ":"), 2).try_cast("double"))
+    for unit, seconds in units.items():
+        counts = F.regexp_extract_all(plain, F.lit(rf"(\d+(?:\.\d+)?)\s*(?:{unit})(?![a-z])"), F.lit(1))
+        total = total + F.aggregate(counts, F.lit(0.0), lambda sum_, n: sum_ + n.try_cast("double")) * seconds
+    shape = rf"^(\d+(\.\d+)?\s*({known})(?![a-z]),?\s*)*(\d+:\d\d:\d\d)?$"
+    return F.when(plain.rlike(shape) & (plain != ""), total.cast("bigint"))
 
 
 def shift_start_seconds(ts: Column, start_seconds: Column) -> Column:
@@ -118,10 +140,10 @@ def shift_window(ts: Column, start: str) -> Column:
     return F.window(ts, "12 hours", "12 hours", f"{offset} seconds")
 
 
-def shift_letter_of_start(shift_start: Column, start: Column) -> Column:
-    """D for the shift that begins at the day-shift start, N for the other."""
-    clock = F.substring(shift_start.cast("string"), 12, 8)
-    return F.when(clock == start, F.lit("D")).otherwise(F.lit("N"))
+def shift_letter_of_start(shift_start: Column, start_seconds: Column) -> Column:
+    """D for the shift that begins at the day-shift start, in seconds after midnight, N for the other."""
+    clock = F.pmod(epoch_seconds(shift_start), F.lit(86400))
+    return F.when(clock == start_seconds, F.lit("D")).otherwise(F.lit("N"))
 
 
 def shift_label(shift_start: Column, letter: Column) -> Column:

@@ -55,8 +55,8 @@ def alert_rows(alerts: DataFrame, site_tz: str = "America/Chicago", bucket: str
 
 
 def cutoff(run_at: Column, lookback: Column) -> Column:
-    """Start of the look-back, from text such as ``60 days``."""
-    return run_at - lookback.cast("interval")
+    """Start of the look-back, from text such as ``60 days``; NULL if the text names no period."""
+    return F.timestamp_add("SECOND", -times.period_seconds(lookback), run_at)
 
 
 def period(ts: Column) -> Column:

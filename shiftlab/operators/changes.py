@@ -121,11 +121,11 @@ def complete_changes(observed: DataFrame, controls: DataFrame) -> DataFrame:
     ))
     per_line = sized(controls, weight=F.size("controls"))
     rows = gathered.join(per_line, LINE).select(
-        *SHIFT, "dayshift_start", "threshold", "earliest", "latest", *(["copies"] if counted else []),
+        *SHIFT, "start_seconds", "threshold", "earliest", "latest", *(["copies"] if counted else []),
         F.explode(looked_up).alias("c"),
     )
     start = F.col("shift_start")
-    letter = times.shift_letter_of_start(start, F.col("dayshift_start"))
+    letter = times.shift_letter_of_start(start, F.col("start_seconds"))
     return rows.select(
         *SHIFT,
         times.shift_end(start).alias("shift_end"),

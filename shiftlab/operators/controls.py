@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftlab.functions import text, times
 
 DEFAULT_THRESHOLD = 10.0
 DEFAULT_LOOKBACK = "60 days"
+START_ERROR = "day-shift start is no clock time"
+LOOKBACK_ERROR = "alert look-back is no period"
+TWICE_ERROR = "line configured more than once"
 
 
 def heat_threshold(enhanced: bool = True) -> Column:
@@ -27,9 +30,16 @@ def lookback_text() -> Column:
 
 
 def line_dim(line_config: DataFrame) -> DataFrame:
-    """One row per line with every default filled in."""
+    """One row per line with every default filled in, and what is wrong with it in ``config_error``.
+
+    Of a line configured more than once the first row stays, and fails.
+    """
     start = F.coalesce(F.col("time_start_dayshift"), F.lit(times.DEFAULT_START))
-    return line_config.select(
+    ordinal = F.coalesce(F.col("ordinal"), F.lit(0))
+    same = Window.partitionBy("site", text.line_id(F.col("site"), F.col("line")))
+    rows = line_config.withColumns({
+        "_times": F.count("*").over(same), "_place": F.row_number().over(same.orderBy(ordinal, "line"))}).where("_place = 1")
+    return rows.select(
         "site",
         "line",
         text.line_id(F.col("site"), F.col("line")).alias("line_id"),
@@ -39,7 +49,10 @@ def line_dim(line_config: DataFrame) -> DataFrame:
         lookback_text().alias("lookback"),
         text.measurement_of(F.col("bucket")).alias("measurement"),
         F.coalesce("email_recipients", "recipients", F.array().cast("array<string>")).alias("recipients"),
-        F.coalesce(F.col("ordinal"), F.lit(0)).alias("ordinal"),
+        ordinal.alias("ordinal"),
+        F.when(F.col("_times") > 1, F.lit(TWICE_ERROR))
+        .when(times.clock_seconds(start).isNull(), F.lit(START_ERROR))
+        .when(times.period_seconds(lookback_text()).isNull(), F.lit(LOOKBACK_ERROR)).alias("config_error"),
     )
 
 
@@ -107,17 +120,27 @@ def resolve_sites(site_config: DataFrame, line_config: DataFrame, site: str | No
     For all sites, each line inherits day-shift start, recipients and look-back
     from its site; sites without lines and the ``default`` entry are left out.
     For one named site nothing is inherited, and a site without lines is its own
-    single line. An unknown name means all sites.
+    single line. An unknown name means all sites. A configuration that names a
+    site is that site's line, one that names none serves every site without its own.
     """
-    config = line_config.drop("site")
+    settings = [c for c in line_config.columns if c not in ("site", "line")]
+    stated = F.struct(*settings)
+    own = line_config.where(F.col("site").isNotNull()).select("site", "line", stated.alias("own"))
+    common = line_config.where(F.col("site").isNull()).select("line", stated.alias("common"))
+
+    def configured(wanted: DataFrame) -> DataFrame:
+        found = wanted.join(own, ["site", "line"], "left").join(common, "line", "left")
+        chosen = F.when(F.col("own").isNotNull(), F.col("own")).otherwise(F.col("common"))
+        return found.select(*wanted.columns, *[chosen[c].alias(f"_{c}") for c in settings])
+
     if site is not None:
         # An empty answer means the name is unknown; only then are all sites read.
         named = site_config.where(F.col("site") == site)
         if not named.isEmpty():
             lines = F.coalesce("lines", F.array("site"))
             wanted = named.select("site", F.posexplode(lines).alias("position", "line"))
-            return wanted.join(config.drop("ordinal"), "line", "left").select(
-                "site", "line", *[c for c in config.columns if c not in ("line", "ordinal")],
+            return configured(wanted).select(
+                "site", "line", *[F.col(f"_{c}").alias(c) for c in settings if c != "ordinal"],
                 F.col("position").alias("ordinal"),
             )
     inherited = ("time_start_dayshift", "email_recipients", "alert_lookback_timedelta")
@@ -130,8 +153,8 @@ def resolve_sites(site_config: DataFrame, line_config: DataFrame, site: str | No
         F.coalesce("alert_lookback_timedelta", F.lit(DEFAULT_LOOKBACK)).alias("alert_lookback_timedelta"),
         F.posexplode("lines").alias("ordinal", "line"),
     )
-    return wanted.join(config.drop("ordinal", *inherited), "line", "left").select(
+    return configured(wanted).select(
         "site", "line", *inherited,
-        *[c for c in config.columns if c not in ("line", "ordinal", *inherited)],
+        *[F.col(f"_{c}").alias(c) for c in settings if c not in ("ordinal", *inherited)],
         "ordinal",
     )

@@ -6,6 +6,8 @@ rows, in parallel; only the last step puts the pieces of one document together.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from shiftlab.operators import changes as change_ops
 from shiftlab.operators import points as point_ops
 from shiftlab.operators import quality as quality_ops
 from shiftlab.operators.points import LINE
+from shiftlab.sources import tables
 
 REPORT = [*LINE, "run_at"]
 SHIFT = [*LINE, "shift_start"]
@@ -163,6 +166,39 @@ def alert_section() -> Column:
     return F.when(F.col("has_history"), html.text(ALERT_TITLE, body)).otherwise(F.lit(NO_HISTORY))
 
 
+#: Added to both ends of a bound on a scan: a minute's rounding, and an hour that a clock repeats.
+MARGIN = timedelta(hours=3)
+
+
+def bounded_reads(runs: DataFrame, points: DataFrame, quality: DataFrame | None, alerts: DataFrame | None,
+                  site_tz: str, known_at_run: bool, whole_fetch: bool, telemetry_tz: str, shift_tz: str):
+    """The three inputs, cut to what the runs can use by literal bounds that reach the files.
+
+    One look at the runs, a table of lines and clock times, gives the first and
+    last instant. ``whole_fetch`` leaves the points as they were fetched.
+    """
+    begin = alert_ops.cutoff(F.col("run_at"), F.col("lookback"))
+    span = runs.agg(F.min("shift_start").alias("low"), F.max("shift_end").alias("high"), F.min(begin).alias("cutoff"),
+                    F.max("run_at").alias("last")).first()
+    if span.low is not None:
+        low, high = span.low - MARGIN, span.high + MARGIN
+        if not whole_fetch:
+            ends = [times.to_zone(times.wall_clock(t), shift_tz, telemetry_tz) for t in (low, high)]
+            points = points.where(F.col("_time").between(*ends))
+        if quality is not None:
+            quality = tables.scan_quality(quality, low, high, site_tz=site_tz)
+    if alerts is not None and span.cutoff is not None:
+        instant = dict(alerts.dtypes)["changed_at"] == "timestamp"
+
+        def on_site(t):
+            utc = times.to_zone(times.wall_clock(t), site_tz, "UTC")
+            return times.utc_to_instant(utc) if instant else utc
+        alerts = alerts.where(F.col("changed_at") >= on_site(span.cutoff - MARGIN))
+        if known_at_run:
+            alerts = alerts.where(F.col("changed_at") <= on_site(span.last + MARGIN))
+    return points, quality, alerts
+
+
 def line_reports(runs: DataFrame, lines: DataFrame, controls: DataFrame, points: DataFrame,
                  quality: DataFrame | None = None, specs: DataFrame | None = None,
                  alerts: DataFrame | None = None, bucket: str | None = "minute",
@@ -170,7 +206,8 @@ def line_reports(runs: DataFrame, lines: DataFrame, controls: DataFrame, points:
                  fail_on: str = "fetch", telemetry_tz: str = "UTC", shift_tz: str = "UTC") -> DataFrame:
     """One report per line and run; the machine part alone without quality and alerts.
 
-    A line whose bucket names no measurement, or with more than one reading for
+    A line that is configured wrongly (``config_error`` of :func:`controls.line_dim`),
+    whose bucket names no measurement, or with more than one reading for
     a control and time, gets status ``failed`` and no document, and does not
     touch the other lines. ``fail_on="fetch"`` looks for such readings in all
     points of the line, the rule of a single run. ``"shift"`` looks in the shift
@@ -184,6 +221,11 @@ def line_reports(runs: DataFrame, lines: DataFrame, controls: DataFrame, points:
     """
     if fail_on not in ("fetch", "shift"):
         raise ValueError(f"fail_on is 'fetch' or 'shift', not {fail_on!r}")
+    history = alerts
+    points, quality, alerts = bounded_reads(
+        runs, points, quality, alerts, site_tz, known_at_run, fail_on == "fetch", telemetry_tz, shift_tz)
+    lines = lines.where("config_error is null")
+    controls = controls.join(lines.select(*LINE), LINE, "left_semi")
     sections = change_sections(process_changes(points, controls, bucket, telemetry_tz, shift_tz))
     reports = runs.join(sections, SHIFT, "left")
     duplicated = F.col("copies") > 1
@@ -196,15 +238,15 @@ def line_reports(runs: DataFrame, lines: DataFrame, controls: DataFrame, points:
         reports = reports.join(quality_sections(quality_ops.test_statistics(rows), site_tz), SHIFT, "left")
         document = html.text(document, quality_section())
     if alerts is not None:
-        history = alerts.select("site").distinct().withColumn("has_history", F.lit(True))
+        history = history.select("site").distinct().withColumn("has_history", F.lit(True))
         reports = (
             reports.join(alert_sections(alerts, runs, site_tz, known_at_run), REPORT, "left")
             .join(history, "site", "left")
             .withColumn("has_history", F.coalesce("has_history", F.lit(False)))
         )
         document = html.text(document, alert_section())
-    error = F.when(F.col("measurement").isNull(), F.lit(BUCKET_ERROR)).when(
-        duplicated, F.lit(DUPLICATE_ERROR))
+    error = F.when(F.col("config_error").isNotNull(), F.col("config_error")).when(
+        F.col("measurement").isNull(), F.lit(BUCKET_ERROR)).when(duplicated, F.lit(DUPLICATE_ERROR))
     ok = F.col("error").isNull()
     return reports.withColumn("error", error).select(
         *REPORT, "line", "ordinal", "recipients", "shift_start", "shift_label",

@@ -12,6 +12,8 @@ from shiftlab.functions import numeric, text, times
 from shiftlab.operators.sizes import sized
 
 LOOKBACK = timedelta(hours=24)
+#: Clocks of two zones are never further apart.
+ZONES = timedelta(days=1)
 
 
 def read_line_config(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
@@ -62,12 +64,12 @@ def read_alerts(spark: SparkSession, path: str, fmt: str = "json", array_per_fil
 
 def scan_telemetry(telemetry: DataFrame, lines: DataFrame | None = None, as_of: datetime | None = None,
                    lookback: timedelta = LOOKBACK, until: datetime | None = None,
-                   measurement: str | None = None) -> DataFrame:
+                   measurement: str | None = None, since: datetime | None = None) -> DataFrame:
     """Points of a time range, as (site, line_id, _time, _field, _value).
 
     ``as_of`` keeps the look-back before it, itself excluded, as a fetch at that
-    time would. ``until`` is a last time to keep. Without either the whole
-    history is read. When the table has a ``date`` partition column the same
+    time would. ``since`` and ``until`` are the first and last times to keep.
+    Without any of them the whole history is read. When the table has a ``date`` partition column the same
     bounds prune folders. ``lines`` keeps only points
     of each line's own measurement. NaN readings become missing. A table that
     stores ``line_id`` saves working it out for every point.
@@ -75,6 +77,8 @@ def scan_telemetry(telemetry: DataFrame, lines: DataFrame | None = None, as_of:
     if as_of is not None:
         telemetry = _bounded(telemetry, F.col("_time") < times.wall_clock(as_of), as_of, before=True)
         telemetry = _bounded(telemetry, F.col("_time") >= times.wall_clock(as_of - lookback), as_of - lookback)
+    if since is not None:
+        telemetry = _bounded(telemetry, F.col("_time") >= times.wall_clock(since), since)
     if until is not None:
         telemetry = _bounded(telemetry, F.col("_time") <= times.wall_clock(until), until, before=True)
     if measurement is not None:
@@ -110,6 +114,8 @@ def scan_quality(quality: DataFrame, left: datetime, right: datetime, line_no: s
     The bounds move to UTC, not the column, so the filter reaches the files.
     """
     bounds = [times.to_zone(times.wall_clock(t), site_tz, "UTC") for t in (left, right)]
+    if "date" in quality.columns:
+        quality = quality.where(F.col("date").between(F.lit(left.date() - ZONES), F.lit(right.date() + ZONES)))
     rows = quality.select("site", "line_no", "datetime", "test", "val", "part_item")
     rows = rows.where(F.col("datetime").between(*bounds))
     return rows if line_no is None else rows.where(F.col("line_no") == line_no)

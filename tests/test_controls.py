@@ -99,3 +99,12 @@ def test_broadcast_only_what_was_counted(spark):
     heavy = big.join(sized(wide, 99, weight=F.size("list")), "id")
     assert "SortMergeJoin" in heavy._jdf.queryExecution().executedPlan().toString()
     assert big.join(sized(dim, 49), "id").count() == big.join(sized(dim, 50), "id").count() == 50
+
+
+def test_each_site_keeps_its_own_line(spark):
+    site_table = sites(spark, ("a", ["l1", "l2"]), ("b", ["l1"]))
+    lines = config(spark, dict(site="a", line="l1", heat_threshold=1.0), dict(site="b", line="l1", heat_threshold=2.0),
+                   dict(site=None, line="l1", heat_threshold=3.0), dict(site=None, line="l2", heat_threshold=4.0))
+    found = controls.resolve_sites(site_table, lines)
+    assert rows_of(found, "site", "line", "heat_threshold") == [("a", "l1", 1.0), ("a", "l2", 4.0), ("b", "l1", 2.0)]
+    assert rows_of(controls.resolve_sites(site_table, lines, "b"), "line", "heat_threshold") == [("l1", 2.0)]

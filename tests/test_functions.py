@@ -167,3 +167,19 @@ def test_html(spark):
     assert ["e62525aa" in c for c in cells] == [True, False, False, False]
     assert ["199bd6aa" in c for c in cells] == [False, True, False, False]
     assert cells[2] == cells[3] == "<td>v</td>"
+
+
+@pytest.mark.parametrize("text,seconds", [
+    ("60 days", 60 * 86400), ("60d", 60 * 86400), ("1440h", 60 * 86400), ("8w", 56 * 86400), ("60 days 00:00:00", 60 * 86400),
+    ("1 day 02:30:05", 95405), ("1 Day, 3 hours", 97200), ("90 min", 5400), ("1.5 hours", 5400), ("02:00:00", 7200), (" 7 days ", 604800),
+    ("soon", None), ("", None), ("60", None), ("60 dayz", None), ("5 parsecs", None), (None, None)])
+def test_periods(spark, text, seconds):
+    found = spark.range(1).select(times.period_seconds(F.lit(text).cast("string")).alias("s")).first().s
+    assert found == seconds
+
+
+@pytest.mark.parametrize("text,seconds", [
+    ("07:00:00", 25200), ("7:00:00", 25200), ("06:30", 23400), (" 19:00:01 ", 68401), ("late", None), ("24:00:00", None),
+    ("07:61:00", None), ("7", None), ("", None), (None, None)])
+def test_clocks(spark, text, seconds):
+    assert spark.range(1).select(times.clock_seconds(F.lit(text).cast("string")).alias("s")).first().s == seconds

@@ -51,4 +51,10 @@ def test_arguments_are_checked(spark, inputs):
         with pytest.raises(SystemExit):
             main.arguments([*inputs, *bad])
     with pytest.raises(ValueError):
-        main.run(spark, main.arguments([*inputs, "--as-of", "2024-03-05", "--site", "nowhere"]))
+        main.run(spark, main.arguments([*inputs, "--as-of", "2024-03-05", "--line", "nowhere"]))
+
+
+def test_unknown_site_means_all(spark, inputs):
+    counts = [sorted(map(tuple, main.run(spark, main.arguments([*inputs, "--as-of", "2024-03-05 06:02", *site])).collect()))
+              for site in ([], ["--site", "nowhere"])]
+    assert counts[0] == counts[1] and counts[0]
