@@ -646,3 +646,9 @@ SELECT site, line_id, shift_start, shift_start + INTERVAL 12 hours AS shift_end,
   {r6('end_value - start_value', 'delta')}, {r6('high - low', 'spread')}
 FROM obs WHERE shift_start + INTERVAL 12 hours <= (SELECT max(_time) FROM tel) - INTERVAL 1 hour"""
 ORACLE["stream_distinct"] = ORACLE["stream_shift_changes"]
+ORACLE["stream_line_shifts"] = f"""{with_(CONFIG, TELEMETRY, open_rows("req"), OBSERVED)},
+off AS (SELECT site, line_id, to_seconds((epoch(start_after)::BIGINT) % 43200) AS past FROM cfg),
+newest AS (SELECT max(_time - past) AS newest_time FROM req JOIN off USING (site, line_id))
+SELECT site, line_id, shift_start, shift_start + INTERVAL 12 hours AS shift_end, control, {r6('start_value')}, {r6('end_value')},
+  {r6('coalesce(end_value - start_value, 0)', 'delta')}, {r6('coalesce(high - low, 0)', 'spread')}
+FROM obs JOIN off USING (site, line_id), newest WHERE shift_start + INTERVAL 12 hours - past <= newest_time - INTERVAL 1 hour"""

@@ -596,3 +596,26 @@ def stream_distinct(spark, sf_dir):
     """The same from a stream in which every reading comes twice."""
     twice = event_stream(spark, sf_dir).unionByName(event_stream(spark, sf_dir))
     return finished(spark, stream.stream_shift_changes(twice, distinct=True))
+
+
+def arrivals(spark, sf_dir, batches=4):
+    """The events as they might arrive: in files by time, some up to 25 minutes late and some a second time."""
+    events = views.load(spark, sf_dir, "events")
+    ends = events.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    first = times.epoch_seconds(times.wall_clock(ends.low))
+    span = int((ends.high - ends.low).total_seconds()) // batches + 1
+    late = F.when(F.col("event_id") % 7 == 0, F.lit(1500)).otherwise(F.lit(0))
+    again = events.where(F.col("event_id") % 10 == 0).withColumn("delay", F.lit(3000))
+    rows = events.withColumn("delay", late).unionByName(again)
+    batch = F.floor((times.epoch_seconds(F.col("ts")) - first + F.col("delay")) / span)
+    folder = session.work_folder(spark, "arrivals")
+    for i in range(batches + 1):
+        rows.where(batch == i).select(events.columns).coalesce(1).write.mode("append").parquet(folder)
+    return stream.read_stream(spark, folder, events.schema, max_files=1)
+
+
+@query
+def stream_line_shifts(spark, sf_dir):
+    """Changes of closed shifts, each line from its own start, from files that bring late and repeated readings."""
+    points_in = tables.scan_telemetry(views.events_as_telemetry(arrivals(spark, sf_dir)))
+    return finished(spark, stream.stream_line_shifts(points_in, control_dim(spark), tiebreak="event_id"))

@@ -281,8 +281,9 @@ def site_reports(reports: DataFrame, shift_of: str = "first") -> DataFrame:
             _pick(shift_of)("shift_label", _success_order()).alias("shift_label"),
             html.joined_rows([F.col("ordinal"), F.col("line_id")], F.col("html")).alias("full_html"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("recipients")))).alias("recipients"),
+            F.count_if(F.col("status") == "success").alias("succeeded"),
         )
-        .where(F.col("full_html") != "")
+        .where(F.col("succeeded") > 0)
         .select(
             "site", "run_at", "shift_label",
             times.shift_letter(F.col("shift_label")).alias("shift_letter"),

@@ -8,7 +8,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shiftlab.functions import numeric, times
 from shiftlab.operators.changes import reading_order
+from shiftlab.operators.controls import requested_names
 from shiftlab.operators.points import LINE
+from shiftlab.operators.sizes import sized
 
 
 def stream_shift_changes(points: DataFrame, dayshift_start: str = times.DEFAULT_START,
@@ -54,6 +56,39 @@ def stream_shift_changes(points: DataFrame, dayshift_start: str = times.DEFAULT_
     )
 
 
+def stream_line_shifts(points: DataFrame, controls: DataFrame, lateness: str = "1 hour",
+                       tiebreak: str | None = None) -> DataFrame:
+    """The same for the requested controls, each line's shifts from its own start.
+
+    The configuration is a static side of the join. A line's times are told from
+    its own shift start, so that one 12-hour window serves all lines; the watermark
+    runs on these times. Lines whose starts differ by so much share that much of
+    the ``lateness``, so choose it above the widest difference.
+    """
+    wanted = points.join(sized(requested_names(controls)), [*LINE, "_field"])
+    offset = F.pmod(F.col("start_seconds"), F.lit(times.SHIFT))
+    rows = wanted.withColumns({
+        "_value": numeric.missing_if_nan(F.col("_value")),
+        "_time": times.utc_to_instant(F.col("_time")),
+        "_offset": offset,
+    }).withColumn("_since", F.timestamp_add("SECOND", -F.col("_offset"), F.col("_time"))).withWatermark("_since", lateness)
+    value = F.col("_value")
+    order = reading_order(F.col("_time"), F.unix_micros("_time"), tiebreak)
+    grouped = rows.groupBy(F.window("_since", "12 hours").alias("shift"), *LINE, "_offset", F.col("_field").alias("control")).agg(
+        F.min_by(value, order).alias("start_value"),
+        F.max_by(value, order).alias("end_value"),
+        F.max(value).alias("high"),
+        F.min(value).alias("low"),
+    )
+    start = F.timestamp_add("SECOND", F.col("_offset"), times.instant_to_utc(F.col("shift.start")))
+    return grouped.select(
+        *LINE, start.alias("shift_start"), times.shift_end(start).alias("shift_end"),
+        "control", "start_value", "end_value",
+        F.coalesce(F.col("end_value") - F.col("start_value"), F.lit(0.0)).alias("delta"),
+        F.coalesce(F.col("high") - F.col("low"), F.lit(0.0)).alias("spread"),
+    )
+
+
 def write_stream(changes: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
     """Append finished shifts to parquet files.
 
