@@ -36,9 +36,15 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; only where that is unset, a local folder of this session."""
+    """``spark.checkpoint.dir``, the folder that all executors share.
+
+    Where that is unset, a local master gets a folder of its own; a cluster gets an
+    error, since a folder of one machine would be lost with it.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = os.path.join(tempfile.gettempdir(), f"shiftlab-{spark.sparkContext.applicationId}")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -56,18 +62,6 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(*frames: DataFrame) -> None:
-    """Delete tables made by ``stored`` that no later step reads."""
-    for df in frames:
-        spark = df.sparkSession
-        base = shared_folder(spark)
-        for file in {os.path.dirname(f) for f in df.inputFiles()}:
-            if "/llm-" not in file or base.removeprefix("file:").lstrip("/") not in file:
-                raise ValueError(f"not a stored table: {file}")
-            path = spark._jvm.org.apache.hadoop.fs.Path(file)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

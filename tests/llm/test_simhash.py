@@ -82,3 +82,15 @@ def test_search_equals_all_pairs(spark, bits, radius, blocks):
     found = sorted(map(tuple, simhash.within_radius(queries, index, bits, radius, blocks).collect()))
     want = sorted({(a, b, d) for a in names[::7] for b in names if (d := bin(int(a, 16) ^ int(b, 16)).count("1")) <= radius})
     assert found == want
+
+
+def test_search_query(spark):
+    docs = {r.doc_id: r.fingerprint for r in QUERIES["op2_simhash"](spark, SF).collect()}
+    found = {(r.query, r.fingerprint): (r.distance, r.doc_id, r.n_documents) for r in QUERIES["simhash_neighbours"](spark, SF).collect()}
+    want = {}
+    for a in {f for i, f in docs.items() if i % 20 == 0}:
+        for b in set(docs.values()):
+            if (d := bin(int(a, 16) ^ int(b, 16)).count("1")) <= simhash.RADIUS:
+                ids = [i for i, f in docs.items() if f == b]
+                want[a, b] = d, min(ids), len(ids)
+    assert found == want
