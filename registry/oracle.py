@@ -616,6 +616,12 @@ _ONE_RUN = (CONFIG, _REPEATED.format(where=f"WHERE {_FETCH}", both=f"WHERE value
             DEDUP, CALENDAR, closed_rows("kept", "minute_level"), OBSERVED, CHANGES,
             RUNS.replace("TIMESTAMP '2024-01-01 06:02:00'", "TIMESTAMP '2024-01-16 06:02:00'").replace(
                 "TIMESTAMP '2024-01-31 06:02:00'", "TIMESTAMP '2024-01-16 06:02:00'"), MACHINE)
+# A line without any reading in the fetch says so
+_NO_FETCH = " || chr(10)\n    ELSE '<b>Earliest"
+assert MACHINE.count(_NO_FETCH) == 1
+_FETCHED_MACHINE = MACHINE.replace(_NO_FETCH, " || chr(10) || CASE WHEN r.line_id NOT IN (SELECT line_id FROM req) "
+                                   "THEN '<br>Error: No data found' || chr(10) ELSE '' END\n    ELSE '<b>Earliest")
+_ONE_RUN = (*_ONE_RUN[:-1], _FETCHED_MACHINE)
 ORACLE["failed_run"] = f"""{with_(*_ONE_RUN)},
 bad AS (SELECT DISTINCT line_id FROM (SELECT line_id FROM req GROUP BY line_id, _time, _field HAVING count(*) > 1)),
 o AS (SELECT m.*, CASE WHEN m.measurement IS NULL THEN 'bucket names no measurement'

@@ -97,6 +97,13 @@ def lines_with_duplicates(points: DataFrame) -> DataFrame:
     return duplicate_keys(points).groupBy(*LINE).agg(F.count("*").alias("duplicate_keys"))
 
 
+def fetched_lines(points: DataFrame) -> DataFrame:
+    """Per line with points: how many instants and controls there are, and how many of these more than once."""
+    counted = points.groupBy(*LINE, "_time", "_field").agg(F.count("*").alias("copies"))
+    return counted.groupBy(*LINE).agg(
+        F.count("*").alias("readings"), F.count_if(F.col("copies") > 1).alias("duplicate_keys"))
+
+
 def unique_points(points: DataFrame) -> DataFrame:
     """One row per (line, control, time), with the number of points behind it.
 

@@ -27,6 +27,7 @@ TITLE = "<h1>{line}</h1>\n\n"
 CHANGED_TITLE = '<h1 style="background-color:#80bfb7aa;">{line}</h1>\n\n'
 SHIFT_TITLE = "<h2>Shift : {shift}</h2>\n\n"
 NO_DATA = "No machine data available between {start} and {end} for {line}\n"
+NO_FETCH = "<br>Error: No data found\n"
 MACHINE = (
     "<b>Earliest timepoint</b>: {earliest}\n\n<b>Latest timepoint</b>: {latest}\n\n"
     "<h2>Non heats</h2> \n\n {nonheats} \n\n<h2>Heats</h2> \n\n {heats}\n"
@@ -102,8 +103,8 @@ def change_sections(changes: DataFrame) -> DataFrame:
     )
 
 
-def process_section() -> Column:
-    """Machine part of a line report, from a run joined with its section."""
+def process_section(empty_fetch: Column) -> Column:
+    """Machine part of a line report, from a run joined with its section; an empty fetch says so."""
     line, start, end = F.col("line_id"), *_bounds()
     title = F.when(F.col("changed"), html.fill(CHANGED_TITLE, line=line)).otherwise(html.fill(TITLE, line=line))
     heats = F.when(F.col("heat_rows") != "", html.table(CHANGE_HEADER, F.col("heat_rows"))).otherwise(
@@ -111,7 +112,8 @@ def process_section() -> Column:
     found = html.fill(
         MACHINE, earliest=times.timestamp_text(F.col("earliest")), latest=times.timestamp_text(F.col("latest")),
         nonheats=html.table(CHANGE_HEADER, F.col("nonheat_rows")), heats=heats)
-    missing = html.fill(NO_DATA, start=start, end=end, line=line)
+    missing = html.text(html.fill(NO_DATA, start=start, end=end, line=line),
+                        F.when(empty_fetch, F.lit(NO_FETCH)).otherwise(F.lit("")))
     return html.text(title, html.fill(SHIFT_TITLE, shift=F.col("shift_label")),
                      F.when(F.col("earliest").isNull(), missing).otherwise(found))
 
@@ -229,10 +231,11 @@ def line_reports(runs: DataFrame, lines: DataFrame, controls: DataFrame, points:
     sections = change_sections(process_changes(points, controls, bucket, telemetry_tz, shift_tz))
     reports = runs.join(sections, SHIFT, "left")
     duplicated = F.col("copies") > 1
+    empty_fetch = F.lit(False)
     if fail_on == "fetch":
-        reports = reports.join(point_ops.lines_with_duplicates(point_ops.requested(points, controls)), LINE, "left")
-        duplicated = F.col("duplicate_keys") > 0
-    document = process_section()
+        reports = reports.join(point_ops.fetched_lines(point_ops.requested(points, controls)), LINE, "left")
+        duplicated, empty_fetch = F.col("duplicate_keys") > 0, F.col("readings").isNull()
+    document = process_section(empty_fetch)
     if quality is not None:
         rows = quality_ops.with_limits(quality_ops.measurements(quality, lines, site_tz), specs)
         reports = reports.join(quality_sections(quality_ops.test_statistics(rows), site_tz), SHIFT, "left")
