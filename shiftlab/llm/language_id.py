@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiftlab.llm import hashing
+from shiftlab.llm import hashing, tokens
 from shiftlab.llm.common import own_columns, ship
 
 BUCKETS = 1 << 16
@@ -31,7 +31,7 @@ FOREIGN = -20.0
 WRITES = 0.01
 SMOOTHING = 0.5
 #: Words times languages that are worked on at once.
-CELLS = 1 << 23
+CELLS = 1 << 22
 
 #: First code point of each range and its script; 0 means no letters of a known script.
 RANGES = [
@@ -101,6 +101,7 @@ class Words:
 
 def counter(batches):
     """(lang, bucket, n) of the labelled texts of a task; scripts are buckets behind those of trigrams."""
+    tokens.forget()
     counts: dict[str, np.ndarray] = {}
     for batch in batches:
         data, offsets = hashing.text_bytes(batch.column("text"))
@@ -199,12 +200,13 @@ def paths(scores: np.ndarray, counts: np.ndarray, switch: float) -> np.ndarray:
 
 def identifier(shared, switch: float):
     def run(batches):
+        tokens.forget()
         model: Model = shared.value
         many = len(model.languages)
         for batch in batches:
             data, offsets = hashing.text_bytes(batch.column("text"))
             letter = batch.column("letter").to_numpy(zero_copy_only=False).astype(bool)
-            for a, b in hashing.slices(offsets, max(hashing.SLICE, CELLS // max(1, many)) * 2):
+            for a, b in hashing.slices(offsets, max(hashing.SLICE // 4, min(hashing.SLICE * 2, CELLS // max(1, many) * 2))):
                 yield label(model, many, batch.slice(a, b - a), data[offsets[a]:offsets[b]],
                             offsets[a:b + 1] - offsets[a], letter[a:b], switch)
     return run

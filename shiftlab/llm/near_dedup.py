@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiftlab.llm import hashing
+from shiftlab.llm import hashing, tokens
 from shiftlab.llm.common import own_columns, ship, stored
 from shiftlab.llm.components import components
 
@@ -97,6 +97,7 @@ def signer(bands: int, rows: int, size: int):
     shift = rng.integers(0, 1 << 32, bands * rows, dtype=np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
         for batch in batches:
             counts, high, low, signs = [], [], [], []
             for found in hashing.shingle_sets(batch.column("text"), size):

@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterable
 import numpy as np
 
 #: Pieces a worker keeps, about 200 bytes each, and the longest piece it keeps.
-KEPT, LONGEST = 900_000, 48
+KEPT, LONGEST = 500_000, 48
 
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _SPACE_RUN = re.compile(r" \s")
@@ -150,6 +150,11 @@ class IdEncoder:
         return [b"".join(h) + b"".join(t) for h, t in zip(heads, tails)]
 
 
+def forget() -> None:
+    """Give up what this worker keeps; work that needs memory of its own begins with it."""
+    _encoders.clear()
+
+
 def id_encoder(path: str) -> IdEncoder:
     """This worker's encoder for the file."""
     if ("ids", path) not in _encoders:
@@ -187,7 +192,7 @@ def piece_counter(path: str, frequent: dict[str, int]) -> PieceCounter:
     return _encoders["counts", path]
 
 
-def portions(texts, rows: int = 2048, chars: int = 1 << 23):
+def portions(texts, rows: int = 1024, chars: int = 1 << 22):
     """Runs of a batch's texts, short enough for their pieces to fit in memory."""
     first, size = 0, 0
     for i, n in enumerate(map(lambda t: len(t or ""), texts)):
