@@ -13,14 +13,14 @@ from shiftlab.llm.common import WORD, documents, stored
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: Share of a text's characters that its language must have.
-LEAST_SHARE = 0.5
+LEAST_SHARE = 0.4
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are mostly in one language stay; a missing ``lang`` is filled in.
 
     Rejected are texts that are null or without a letter, and those of which no
-    language has half. The model is counted over the labelled documents given.
+    language has that share. The model is counted over the labelled documents given.
     """
     model = language_id.train(docs.where(~language_id.held_out("doc_id")))
     found = language_id.identified(docs, model).drop("spans")
