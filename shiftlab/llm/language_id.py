@@ -13,6 +13,8 @@ buckets times languages.
 
 from __future__ import annotations
 
+import unicodedata
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -33,19 +35,52 @@ SMOOTHING = 0.5
 #: Words times languages that are worked on at once.
 CELLS = 1 << 22
 
-#: First code point of each range and its script; 0 means no letters of a known script.
-RANGES = [
-    (0x0000, 0), (0x0041, 1), (0x005B, 0), (0x0061, 1), (0x007B, 0), (0x00C0, 1), (0x00D7, 0), (0x00D8, 1), (0x00F7, 0),
-    (0x00F8, 1), (0x0250, 0), (0x0370, 2), (0x0400, 3), (0x0530, 4), (0x0590, 5), (0x0600, 6), (0x0700, 0), (0x0900, 7),
-    (0x0980, 8), (0x0A00, 0), (0x0B80, 9), (0x0C00, 0), (0x0E00, 10), (0x0E80, 0), (0x10A0, 11), (0x1100, 12), (0x1200, 0),
-    (0x1E00, 1), (0x1F00, 2), (0x2000, 0), (0x3040, 13), (0x3100, 0), (0x3400, 14), (0x4DC0, 0), (0x4E00, 14), (0xA000, 0),
-    (0xAC00, 12), (0xD7A4, 0),
-]
-SCRIPTS = 15
-_RANGE_STARTS = np.array([a for a, _ in RANGES])
-_RANGE_SCRIPTS = np.array([s for _, s in RANGES], np.int8)
-_ASCII_SCRIPT = np.zeros(256, np.int8)
-_ASCII_SCRIPT[[*range(65, 91), *range(97, 123)]] = 1
+#: First code point (hex) of each range and the script of its letters; "-" has marks that go with any script.
+RANGES = [r.split() for r in """
+0 Latin, 300 -, 370 Greek, 400 Cyrillic, 530 Armenian, 590 Hebrew, 600 Arabic, 700 Syriac, 750 Arabic, 780 Thaana, 7C0 Nko,
+800 Samaritan, 840 Mandaic, 860 Syriac, 870 Arabic, 900 Devanagari, 980 Bengali, A00 Gurmukhi, A80 Gujarati, B00 Odia, B80 Tamil,
+C00 Telugu, C80 Kannada, D00 Malayalam, D80 Sinhala, E00 Thai, E80 Lao, F00 Tibetan, 1000 Burmese, 10A0 Georgian, 1100 Hangul,
+1200 Ethiopic, 13A0 Cherokee, 1400 Canadian, 1680 Ogham, 16A0 Runic, 1700 Tagalog, 1720 Hanunoo, 1740 Buhid, 1760 Tagbanwa,
+1780 Khmer, 1800 Mongolian, 18B0 Canadian, 1900 Limbu, 1950 TaiLe, 1980 NewTaiLue, 1A00 Buginese, 1A20 TaiTham, 1AB0 -,
+1B00 Balinese, 1B80 Sundanese, 1BC0 Batak, 1C00 Lepcha, 1C50 OlChiki, 1C80 Cyrillic, 1C90 Georgian, 1CC0 Sundanese,
+1CD0 Devanagari, 1D00 Latin, 1DC0 -, 1E00 Latin, 1F00 Greek, 2000 Latin, 20D0 -, 2100 Latin, 2C00 Glagolitic, 2C60 Latin,
+2C80 Coptic, 2D00 Georgian, 2D30 Tifinagh, 2D80 Ethiopic, 2DE0 Cyrillic, 2E00 Latin, 2E80 Han, 3030 Kana, 3036 Han, 3040 Kana,
+3100 Bopomofo, 3130 Hangul, 3190 Han, 31A0 Bopomofo, 31C0 Han, 31F0 Kana, 3200 Han, A000 Yi, A4D0 Lisu, A500 Vai, A640 Cyrillic,
+A6A0 Bamum, A700 Latin, A800 SylotiNagri, A840 PhagsPa, A880 Saurashtra, A8E0 Devanagari, A900 KayahLi, A930 Rejang, A960 Hangul,
+A980 Javanese, A9E0 Burmese, AA00 Cham, AA60 Burmese, AA80 TaiViet, AAE0 Meetei, AB00 Ethiopic, AB30 Latin, AB70 Cherokee,
+ABC0 Meetei, AC00 Hangul, D800 -, F900 Han, FB00 Latin, FB13 Armenian, FB1D Hebrew, FB50 Arabic, FE00 -, FE70 Arabic, FF00 Latin,
+FF66 Kana, FFA0 Hangul, FFE0 -, 10000 LinearB, 10100 -, 10280 Lycian, 102A0 Carian, 102E0 -, 10300 OldItalic, 10330 Gothic,
+10350 OldPermic, 10380 Ugaritic, 103A0 OldPersian, 10400 Deseret, 10450 Shavian, 10480 Osmanya, 104B0 Osage, 10500 Elbasan,
+10530 Albanian, 10570 Vithkuqi, 105C0 Todhri, 10600 LinearA, 10780 Latin, 10800 Cypriot, 10840 Aramaic, 10860 Palmyrene,
+10880 Nabataean, 108E0 Hatran, 10900 Phoenician, 10920 Lydian, 10980 Meroitic, 10A00 Kharoshthi, 10A60 SouthArabian,
+10A80 NorthArabian, 10AC0 Manichaean, 10B00 Avestan, 10B40 Parthian, 10B60 Pahlavi, 10B80 Psalter, 10C00 OldTurkic,
+10C80 OldHungarian, 10D00 Rohingya, 10D40 Garay, 10E80 Yezidi, 10EC0 Arabic, 10F00 OldSogdian, 10F30 Sogdian, 10F70 OldUyghur,
+10FB0 Chorasmian, 10FE0 Elymaic, 11000 Brahmi, 11080 Kaithi, 110D0 Sora, 11100 Chakma, 11150 Mahajani, 11180 Sharada,
+111E0 Sinhala, 11200 Khojki, 11280 Multani, 112B0 Khudawadi, 11300 Grantha, 11380 Tigalari, 11400 Newa, 11480 Tirhuta,
+11580 Siddham, 11600 Modi, 11660 Mongolian, 11680 Takri, 116D0 Burmese, 11700 Ahom, 11800 Dogra, 118A0 WarangCiti,
+11900 DivesAkuru, 119A0 Nandinagari, 11A00 Zanabazar, 11A50 Soyombo, 11AB0 Canadian, 11AC0 PauCinHau, 11B00 Devanagari,
+11BC0 Sunuwar, 11C00 Bhaiksuki, 11C70 Marchen, 11D00 MasaramGondi, 11D60 GunjalaGondi, 11EE0 Makasar, 11F00 Kawi, 11FB0 Lisu,
+11FC0 Tamil, 12000 Cuneiform, 12F90 CyproMinoan, 13000 Egyptian, 14400 Anatolian, 16100 Gurung, 16800 Bamum, 16A40 Mro,
+16A70 Tangsa, 16AD0 Bassa, 16B00 PahawhHmong, 16D40 Kirat, 16E40 Medefaidrin, 16F00 Miao, 16FE0 Han, 17000 Tangut, 18B00 Khitan,
+18D00 Tangut, 1AFF0 Kana, 1B170 Nushu, 1BC00 Duployan, 1CC00 -, 1D400 Latin, 1D800 SignWriting, 1DF00 Latin, 1E000 Glagolitic,
+1E030 Cyrillic, 1E100 Nyiakeng, 1E290 Toto, 1E2C0 Wancho, 1E4D0 NagMundari, 1E5D0 OlOnal, 1E7E0 Ethiopic, 1E800 Mende,
+1E900 Adlam, 1EE00 Arabic, 1F000 -, 20000 Han, E0000 -
+""".split(",")]
+_NAMES = ["-", *dict.fromkeys(n for _, n in RANGES if n != "-")]
+SCRIPTS = len(_NAMES)
+
+
+def _scripts() -> np.ndarray:
+    """The script of every code point by its place in ``_NAMES``; 0 for all but letters and their marks."""
+    starts = [int(a, 16) for a, _ in RANGES] + [0x110000]
+    out = np.repeat(np.array([_NAMES.index(n) for _, n in RANGES], np.uint8), np.diff(starts))
+    out[[c for c in np.flatnonzero(out[:0x40000]).tolist() if unicodedata.category(chr(c))[0] not in "LM"]] = 0
+    out[0x40000:] = 0
+    return out
+
+
+_SCRIPT_OF = _scripts()
+_ASCII_SCRIPT = np.where(np.arange(256) < 128, _SCRIPT_OF[:256], 0).astype(np.uint8)
 
 
 def lowered(data: np.ndarray) -> np.ndarray:
@@ -64,8 +99,10 @@ def byte_scripts(data: np.ndarray) -> np.ndarray:
     if len(at):
         padded = np.r_[data, np.zeros(3, np.uint8)].astype(np.int32)
         a, b, c = padded[at], padded[at + 1] & 63, padded[at + 2] & 63
-        point = np.where(a < 0xE0, (a & 31) << 6 | b, np.where(a < 0xF0, (a & 15) << 12 | b << 6 | c, 0x10FFFF))
-        out[at] = _RANGE_SCRIPTS[np.searchsorted(_RANGE_STARTS, point, "right") - 1]
+        point = np.where(a < 0xE0, (a & 31) << 6 | b, (a & 15) << 12 | b << 6 | c)
+        far = np.flatnonzero(a >= 0xF0)
+        point[far] = (a[far] & 7) << 18 | b[far] << 12 | c[far] << 6 | padded[at[far] + 3] & 63
+        out[at] = _SCRIPT_OF[np.minimum(point, 0x10FFFF)]
     return out
 
 
@@ -91,7 +128,7 @@ class Words:
         self.at = np.cumsum(self.length) - self.length
         begins = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
         self.chars = begins[self.behind] - begins[self.first]
-        self.byte_script = byte_scripts(data)[inside[:len(data)]] if len(data) else np.zeros(0, np.int8)
+        self.byte_script = byte_scripts(data)[inside[:len(data)]] if len(data) else np.zeros(0, np.uint8)
         letters = np.flatnonzero(self.byte_script)
         nearest = np.searchsorted(letters, self.at)
         found = np.r_[letters, 1 << 60][nearest]
@@ -138,6 +175,8 @@ class Model:
         self.scores = np.ascontiguousarray(scores - scores.mean(1, keepdims=True) if len(self.languages) else scores, np.float32)
         letters = scripts[:, 1:].sum(1, keepdims=True)
         self.writes = (scripts >= WRITES * np.maximum(letters, 1)).T
+        if len(self.languages):
+            self.writes[1 + scripts[:, 1:].argmax(1), np.arange(len(self.languages))] = True
         self.writes[0] = True
         self.writes[~self.writes.any(1)] = True
         self.known = np.r_[False, (scripts[:, 1:] > 0).any(0)] if len(self.languages) else np.zeros(SCRIPTS, bool)
@@ -238,7 +277,8 @@ def label(model, many, batch, data, offsets, letter, switch):
         weight = np.bincount(words.row * many + state, words.chars * known, rows * many).reshape(rows, many)
         total = weight.sum(1)
         best = np.where(total > 0, weight.argmax(1), model.usual)
-        share = np.where(total > 0, weight.max(1) / np.maximum(total, 1), 0.0) * letter
+        letters = np.bincount(words.row, words.chars * (words.script > 0), rows)
+        share = np.where(total > 0, weight.max(1) / np.maximum(letters, 1), 0.0) * letter
         names = [model.languages[i] if has else "und" for i, has in zip(best, letter)]
         turn = np.flatnonzero(np.r_[True, (words.row[1:] != words.row[:-1]) | (state[1:] != state[:-1])]) if len(state) else []
         begins = np.cumsum(counts) - counts
@@ -262,7 +302,7 @@ def identified(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFra
 
     spans (first_word, n_words, lang) cover the words ``[^\\x20\\x09-\\x0D]+`` of a text
     in order. lang_pred has most characters of words, ties by code point; score is its
-    share, 0 to 1. A null or empty text, or one without a letter (\\p{L}), is ``und``
+    share of the characters of all words with letters, 0 to 1. A null or empty text, or one without a letter (\\p{L}), is ``und``
     with score 0 and no spans. Where no word is in a script that the model has met,
     the most common language is told with score 0. A model without languages
     tells ``und``. Other columns are ignored; doc_id may be null or repeat.

@@ -1,6 +1,8 @@
 """Languages: held-out accuracy, spans of mixed texts, and paths against all paths."""
 
 import itertools
+import sys
+import unicodedata
 import zlib
 
 import numpy as np
@@ -69,3 +71,33 @@ def test_nothing_to_learn_from(spark):
     found = language_id.identified(cases.small(spark, [(1, "text")]), model).collect()
     assert [(r.lang_pred, r.score, r.spans) for r in found] == [("und", 0.0, [])]
     assert language_id.identified(cases.docs(spark, []), model).collect() == []
+
+
+def test_every_letter_has_a_script():
+    """Letters by the character database, through the bytes of a text."""
+    points = [c for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    scripts = language_id.byte_scripts(np.frombuffer("".join(map(chr, points)).encode(), np.uint8))
+    width = np.array([len(chr(c).encode()) for c in points])
+    of = dict(zip(points, scripts[np.cumsum(width) - width].tolist()))
+    kinds = {c: unicodedata.category(chr(c))[0] for c in points}
+    assert [hex(c) for c in points if kinds[c] == "L" and not of[c]] == []
+    assert [hex(c) for c in points if kinds[c] not in "LM" and of[c]] == []
+    assert len({of[ord(c)] for c in "aαкԱאعकবਕકଓதతಕമකกລཀကგ가አខᠠ𞤀𐌰"}) == 27
+
+
+def test_labelled_languages_of_all_scripts(spark):
+    texts = {"am": "ሰላም ለዓለም ሁሉ ይሁን", "bo": "བོད ཡིག ནི ལེགས", "en": "the cat sat upon a good mat there", "ff": "𞤀𞤣𞤤𞤢𞤥 𞤆𞤵𞤤𞤢𞤪",
+             "gu": "ગુજરાતી ભાષા સારી છે", "km": "ភាសា ខ្មែរ ល្អ", "kn": "ಕನ್ನಡ ಭಾಷೆ ಒಳ್ಳೆಯದು", "lo": "ພາສາ ລາວ ດີ", "ml": "മലയാളം നല്ല ഭാഷ",
+             "mn": "ᠮᠣᠩᠭᠣᠯ ᠪᠢᠴᠢᠭ", "my": "မြန်မာ ဘာသာ ကောင်း", "or": "ଓଡ଼ିଆ ଭାଷା ଭଲ", "pa": "ਪੰਜਾਬੀ ਭਾਸ਼ਾ ਚੰਗੀ", "si": "සිංහල භාෂාව හොඳයි", "te": "తెలుగు భాష మంచిది"}
+    model = language_id.train(cases.docs(spark, [(i, t, lang, "s", 0) for i in range(5) for lang, t in texts.items()]))
+    names = sorted(texts)
+    found = language_id.identified(cases.small(spark, [(i, texts[x] + " 12") for i, x in enumerate(names)] + [
+        (100, texts["te"] + " ok")]), model).collect()
+    told = {r.doc_id: (r.lang_pred, r.score) for r in found}
+    assert [told[i] for i in range(len(names))] == [(x, 1.0) for x in names]
+    assert told[100][0] == "te" and told[100][1] > 0.8
+
+
+def test_a_word_does_not_name_a_text_in_an_unlabelled_script(spark):
+    found = language_id.identified(cases.small(spark, [(1, "తెలుగు భాష మంచిది cat")]), language_id.train(mixed(spark))).collect()
+    assert found[0].lang_pred == "en" and found[0].score < 0.4
