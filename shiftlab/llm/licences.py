@@ -1,8 +1,10 @@
 """Licences of files: TF-IDF cosine of their notices to templates, then inheritance along directories.
 
 Notices are looked for in the whole of every text: a notice is a run of words that
-occur in some template, with no more than ``GAP`` other words in a row. Its TF-IDF
-vector is held against each template's. Document frequencies of the templates'
+occur in some template, with no more than ``GAP`` other words in a row, or, where the
+whole run is like no template, the stretches of it that are most like one, so that
+prose around a notice does not hide it. Its TF-IDF vector is held against each
+template's. Document frequencies of the templates'
 terms are counted over all texts; any other word weighs as one that is in a single
 text. Files that show no licence take that of the nearest directory above them
 that holds a licence file which does.
@@ -41,6 +43,8 @@ TEMPLATES = [
 ]
 ALIKE = 0.75
 GAP = 2
+#: A stretch of a run has at most twice a template's terms and so many more.
+MORE = 16
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)([._-].*)?$"
 
 
@@ -86,6 +90,7 @@ class Templates:
         self.other = float(np.log((texts + 1) / 2) + 1)
         weights = self.counts * self.idf[:, None]
         self.unit = weights / np.sqrt((weights ** 2).sum(0))
+        self.sizes = self.counts.sum(0).astype(np.int64)
         return self
 
     def known(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -97,7 +102,7 @@ class Templates:
         return at[same], number[same]
 
     def notices(self, hashes: np.ndarray, row: np.ndarray, gap: int, alike: float):
-        """(row, first term, terms, template, cosine) of every run of known terms that is like a template."""
+        """(row, first term, terms, template, cosine) of every run of known terms, or stretch of one, that is like a template."""
         at, number = self.known(hashes)
         if not len(at):
             return []
@@ -106,18 +111,73 @@ class Templates:
         dots = np.add.reduceat(self.idf[number][:, None] * self.unit[number], heads, axis=0)
         # A cosine is at most the product over the length of the heaviest term alone.
         heaviest = np.maximum.reduceat(self.idf[number], heads)
+        # That of a stretch is at most the length of what the template has of the run's terms.
+        pairs = hashing.distinct(np.repeat(np.arange(len(heads)), lasts - heads + 1) * len(self.vocabulary) + number)
+        runs = pairs // len(self.vocabulary)
+        reach = np.add.reduceat(self.unit[pairs % len(self.vocabulary)] ** 2, np.searchsorted(runs, np.arange(len(heads))), axis=0)
+        whole = dots.max(1) >= alike * heaviest
+        near = reach >= alike ** 2 - 1e-9
         out = []
-        for i in np.flatnonzero(dots.max(1) >= alike * heaviest):
-            inside = number[heads[i]:lasts[i] + 1]
-            others = at[lasts[i]] - at[heads[i]] + 1 - len(inside)
-            counts = np.bincount(inside)
-            length = np.sqrt(((counts[counts > 0] * self.idf[np.flatnonzero(counts)]) ** 2).sum() + others * self.other ** 2)
-            best = int(dots[i].argmax())
-            cosine = float(dots[i, best] / length)
-            if cosine >= alike:
-                out.append((int(row[at[heads[i]]]), int(at[heads[i]]), int(at[lasts[i]] - at[heads[i]] + 1), best, min(cosine, 1.0)))
+        for i in np.flatnonzero(whole | near.any(1)):
+            inside, places = number[heads[i]:lasts[i] + 1], at[heads[i]:lasts[i] + 1]
+            best, cosine = 0, -1.0
+            if whole[i]:
+                others = places[-1] - places[0] + 1 - len(inside)
+                counts = np.bincount(inside)
+                length = np.sqrt(((counts[counts > 0] * self.idf[np.flatnonzero(counts)]) ** 2).sum() + others * self.other ** 2)
+                best = int(dots[i].argmax())
+                cosine = float(dots[i, best] / length)
+            found = [(0, len(inside) - 1, best, cosine)] if cosine >= alike else \
+                self.stretches(inside, places, np.flatnonzero(near[i]), alike) if near[i].any() else []
+            for first, last, template, value in found:
+                out.append((int(row[places[0]]), int(places[first]), int(places[last] - places[first] + 1), template, min(value, 1.0)))
         return out
 
+    def stretches(self, number: np.ndarray, places: np.ndarray, some: np.ndarray, alike: float) -> list[tuple[int, int, int, float]]:
+        """(first, last, template, cosine) of the stretches of a run that are most like one of ``some`` templates, without overlap, in order."""
+        n, wide = len(number), 2 * int(self.sizes[some].max()) + MORE
+        dots = np.zeros((n + 1, len(some)))
+        np.cumsum(self.idf[number][:, None] * self.unit[number][:, some], axis=0, out=dots[1:])
+        square = self.idf[number] ** 2
+        order = np.argsort(number, kind="stable")
+        earlier = np.full(n, -1)
+        same = number[order[1:]] == number[order[:-1]]
+        earlier[order[1:][same]] = order[:-1][same]
+        best, ends, kinds = np.full(n, -1.0), np.zeros(n, np.int64), np.zeros(n, np.int64)
+
+        def scan(low: int, high: int, behind: int) -> None:
+            """The best stretch from each place in [low, high), all before ``behind``."""
+            best[low:high] = -1.0
+            starts = np.arange(low, high)
+            length = np.zeros(high - low)
+            # Occurrences of the term at each place since the start of the stretch are counted along ``earlier``.
+            for d in range(min(wide, behind - low)):
+                starts = starts[:max(0, min(high, behind - d) - low)]
+                last = starts + d
+                times, back = np.zeros(len(starts)), earlier[last]
+                while (held := back >= starts).any():
+                    times += held
+                    back = np.where(held, earlier[back], -1)
+                length = length[:len(starts)] + square[last] * (2 * times + 1)
+                others = places[last] - places[starts] - d
+                cosine = (dots[last + 1] - dots[starts]) / np.sqrt(length + others * self.other ** 2)[:, None]
+                kind = cosine.argmax(1)
+                value = cosine[np.arange(len(starts)), kind]
+                better = np.flatnonzero(value > best[starts] + 1e-12)
+                best[starts[better]], ends[starts[better]], kinds[starts[better]] = value[better], last[better], kind[better]
+
+        scan(0, n, n)
+        out = []
+        while best[first := int(best.argmax())] >= alike:
+            last = int(ends[first])
+            out.append((first, last, int(some[kinds[first]]), float(best[first])))
+            best[first:last + 1] = -1.0
+            # Stretches from before that reach into this one are sought again up to it.
+            reaching = np.flatnonzero((best[:first] >= 0) & (ends[:first] >= first))
+            for low in reaching.tolist():
+                scan(low, low + 1, first)
+        return sorted(out)
+
 
 def frequencies(templates: Templates):
     """Texts of a task with each term of the vocabulary; their number under -1."""
