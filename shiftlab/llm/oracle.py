@@ -15,7 +15,64 @@ links AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
   FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2)
 """
 
+#: CRC-32 by its table: ``crc_step`` carries a state over the bytes of a text.
+_CRC = r"""
+crc_table AS MATERIALIZED (SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t)
+"""
+
+
+def _crc_bytes(text: str) -> str:
+    return (f"list_transform(range(0, strlen({text})), lambda i: "
+            f"('0x' || substr(hex({text}), (2 * i + 1)::BIGINT, 2))::BIGINT)")
+
+
+def _crc_over(state: str, numbers: str) -> str:
+    return f"list_reduce({numbers}, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), {state})"
+
+
+def _words_of(table: str, key: str) -> str:
+    return rf"""SELECT {key} AS id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM (SELECT {key}, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {table})"""
+
+
 ORACLE: dict[str, str] = {
+    "op12_exact_top_k": """
+WITH whole AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
+SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <= 5
+""",
+    "op13_importance_resampling": f"""
+WITH {_CRC},
+numbered AS (SELECT row_number() OVER () AS id, doc_id, text FROM documents),
+words AS MATERIALIZED (SELECT true AS own, * FROM ({_words_of("numbered", "id")})
+  UNION ALL SELECT false, * FROM ({_words_of("(SELECT row_number() OVER () AS id, text FROM benchmark)", "id")})),
+runs AS MATERIALIZED (SELECT own, id, w AS a, lead(w) OVER x AS b, lead(w, 2) OVER x AS c FROM words WINDOW x AS (PARTITION BY own, id ORDER BY i)),
+spelled AS MATERIALIZED (SELECT w, {_crc_bytes("w")} AS n FROM (SELECT DISTINCT w FROM words)),
+ones AS MATERIALIZED (SELECT w AS a, {_crc_over("4294967295", "n")} AS state FROM spelled, crc_table),
+twos AS MATERIALIZED (SELECT a, b, {_crc_over("state", "[32::BIGINT] || n")} AS state
+  FROM (SELECT DISTINCT a, b FROM runs WHERE b IS NOT NULL) JOIN ones USING (a) JOIN spelled ON spelled.w = b, crc_table),
+threes AS MATERIALIZED (SELECT a, b, c, {_crc_over("state", "[32::BIGINT] || n")} AS state
+  FROM (SELECT DISTINCT a, b, c FROM runs WHERE c IS NOT NULL) JOIN twos USING (a, b) JOIN spelled ON spelled.w = c, crc_table),
+features AS MATERIALIZED (SELECT own, id, xor(state, 4294967295) % 10000 AS bucket FROM (
+  SELECT own, id, state FROM runs JOIN ones USING (a) UNION ALL SELECT own, id, state FROM runs JOIN twos USING (a, b)
+  UNION ALL SELECT own, id, state FROM runs JOIN threes USING (a, b, c))),
+shares AS (SELECT bucket, count(*) FILTER (own) AS s, count(*) FILTER (NOT own) AS t FROM features GROUP BY bucket),
+totals AS (SELECT coalesce(sum(s), 0)::DOUBLE AS s_all, coalesce(sum(t), 0)::DOUBLE AS t_all FROM shares),
+gains AS (SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (s_all + 10000) / ((s + 1)::DOUBLE * (t_all + 10000))))::BIGINT AS gain FROM shares, totals),
+weights AS (SELECT id, count(*) AS n, sum(gain)::BIGINT AS weight FROM features JOIN gains USING (bucket) WHERE own GROUP BY id),
+n_words AS (SELECT id, count(*) AS n_words FROM words WHERE own GROUP BY id),
+scored AS (SELECT numbered.doc_id, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight, coalesce(n_words, 0) >= 20 AS enough,
+    (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(numbered.doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+      / 4294967296::DOUBLE))))::BIGINT AS score
+  FROM numbered LEFT JOIN weights USING (id) LEFT JOIN n_words USING (id)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY enough ORDER BY score DESC, doc_id NULLS FIRST, n_features) AS place,
+    count(*) FILTER (enough) OVER () * 5 // 100 AS drawn FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN enough AND place <= drawn THEN place END::BIGINT AS rank FROM placed
+""",
     "op1_minhash_near_dedup": f"""
 WITH RECURSIVE {_SETS},
 edges AS (SELECT links.a, links.b FROM links JOIN sizes x ON x.doc_id = links.a JOIN sizes y ON y.doc_id = links.b

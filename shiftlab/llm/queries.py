@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftlab.llm import language_id, licences, mixing, near_dedup, neighbours, packing, passages, simhash, token_counts, token_files, tokens
+from shiftlab.llm import (
+    ball_trees, language_id, licences, mixing, near_dedup, neighbours, packing, passages, resampling, simhash, token_counts,
+    token_files, tokens)
 from shiftlab.llm.common import documents, shared_folder, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +93,15 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The licence that every document shows, or takes from a folder above it."""
     return licences.scanned(licences.laid_out(documents(spark, sf_dir)))
+
+
+@query
+def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest scores of every fiftieth embedding, exactly."""
+    return ball_trees.largest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight of every document towards the benchmark, and which are drawn."""
+    return resampling.resampled(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
