@@ -36,7 +36,62 @@ def _words_of(table: str, key: str) -> str:
     translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {table})"""
 
 
+def _move(state: int, after: str) -> str:
+    """Least cost of one row and what follows it, from a state; ``after`` is the prefix of the later costs."""
+    to = (2, 2, 3, 2)[state]
+    kept = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}[state]
+    kept = " ".join(f"WHEN initial = '{i}' THEN extra + {after}{q}" for i, q in kept.items())
+    return f"least(2 + {after}{state}, CASE WHEN gone THEN NULL ELSE 1 + extra + {after}{to} END, CASE WHEN gone THEN NULL {kept} END)"
+
+
 ORACLE: dict[str, str] = {
+    "op11_conversation_repair": rf"""
+WITH RECURSIVE {_CRC},
+keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+kinds AS (SELECT * EXCLUDE (k), xor({_crc_over("4294967295", _crc_bytes("k"))}, 4294967295) % 20 AS kind FROM keyed, crc_table),
+damaged AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM kinds),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role)::VARCHAR || ':' || role || text)) AS i,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS solid, substr(role, 1, 1) AS initial FROM damaged),
+faults AS (SELECT *, solid = '' AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    right(solid, 1) NOT IN ('.', '!', '?') AS cut, lead(initial) OVER (PARTITION BY conv_id ORDER BY i) AS following FROM ordered),
+rows AS MATERIALIZED (SELECT *, blank OR again AS gone, CASE WHEN cut THEN 5 ELSE 0 END AS extra FROM faults),
+counted AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
+    count(*) FILTER (cut AND NOT blank AND NOT again) AS truncated,
+    count(*) FILTER (following IS NOT NULL AND initial || following NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM rows GROUP BY conv_id),
+steps AS (SELECT conv_id, n AS i, 0::BIGINT AS h0, 10::BIGINT AS h1, 5::BIGINT AS h2, 0::BIGINT AS h3 FROM counted
+  UNION ALL
+  SELECT conv_id, i, least(r0, 5 + r2, 10 + r3), least(r1, 5 + r2, 10 + r3), least(r2, 5 + r3), least(r3, 5 + r2)
+  FROM (SELECT steps.conv_id, steps.i - 1 AS i, {", ".join(f"{_move(q, 'h')} AS r{q}" for q in range(4))}
+    FROM steps JOIN rows ON rows.conv_id IS NOT DISTINCT FROM steps.conv_id AND rows.i = steps.i)),
+costs AS MATERIALIZED (SELECT conv_id, i, [h0, h1, h2, h3] AS h FROM steps),
+walk AS (SELECT conv_id, 0::BIGINT AS i, 0 AS q, '' AS audit, []::VARCHAR[] AS said FROM counted
+  UNION ALL
+  SELECT conv_id, CASE edit WHEN 'I' THEN i ELSE i + 1 END, CASE edit WHEN 'D' THEN q WHEN 'K' THEN kept ELSE to_q END, audit || edit,
+    CASE edit WHEN 'D' THEN said ELSE said || [CASE edit WHEN 'K' THEN role ELSE CASE to_q WHEN 2 THEN 'user' ELSE 'assistant' END END
+      || ':' || CASE edit WHEN 'I' THEN '' ELSE text END] END
+  FROM (SELECT *, CASE WHEN 2 + later[q + 1] = h[q + 1] THEN 'D' WHEN 5 + h[to_q + 1] = h[q + 1] THEN 'I'
+      WHEN NOT gone AND extra + later[kept + 1] = h[q + 1] THEN 'K' ELSE 'R' END AS edit
+    FROM (SELECT walk.*, costs.h, next.h AS later, rows.role, rows.text, rows.gone, rows.extra, [2, 2, 3, 2][q + 1] AS to_q,
+        CASE WHEN q = 0 AND initial = 's' THEN 1 WHEN q IN (0, 1, 3) AND initial = 'u' THEN 2 WHEN q = 2 AND initial = 'a' THEN 3 END AS kept
+      FROM walk JOIN costs ON costs.conv_id IS NOT DISTINCT FROM walk.conv_id AND costs.i = walk.i
+      LEFT JOIN costs next ON next.conv_id IS NOT DISTINCT FROM walk.conv_id AND next.i = walk.i + 1
+      LEFT JOIN rows ON rows.conv_id IS NOT DISTINCT FROM walk.conv_id AND rows.i = walk.i + 1
+      WHERE NOT (next.h IS NULL AND q IN (0, 3))))),
+ends AS (SELECT walk.conv_id, audit, said FROM walk JOIN counted ON counted.conv_id IS NOT DISTINCT FROM walk.conv_id
+  WHERE walk.i = n AND q IN (0, 3)),
+known AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT known.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(costs.h[1], 0)::BIGINT AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(said, chr(10)), '')) AS repaired_sha256
+FROM known LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM known.conv_id
+LEFT JOIN costs ON costs.conv_id IS NOT DISTINCT FROM known.conv_id AND costs.i = 0
+LEFT JOIN ends ON ends.conv_id IS NOT DISTINCT FROM known.conv_id
+""",
     "op12_exact_top_k": """
 WITH whole AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),

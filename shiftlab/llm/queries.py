@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiftlab.llm import (
-    ball_trees, language_id, licences, mixing, near_dedup, neighbours, packing, passages, resampling, simhash, token_counts,
+    ball_trees, conversations, language_id, licences, mixing, near_dedup, neighbours, packing, passages, resampling, simhash, token_counts,
     token_files, tokens)
 from shiftlab.llm.common import documents, shared_folder, stored
 
@@ -95,6 +95,13 @@ def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scanned(licences.laid_out(documents(spark, sf_dir)))
 
 
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation, and the cheapest edits that repair it."""
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversations.repaired(conversations.damaged(table), table.select("conv_id"))
+
+
 @query
 def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 highest scores of every fiftieth embedding, exactly."""
