@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from registry.views import CLOCKS, EVENT_FIELD, FIELDS, LINES, LOOKBACKS, SPEC_ROWS
+from registry.views import CLOCKS, EVENT_FIELD, FIELDS, LINES, LOOKBACKS, SPEC_ROWS, STREAM_STARTS
 
 
 def text(value: str | None) -> str:
@@ -30,10 +30,10 @@ def _recipients(x: dict) -> str:
     return "[" + ", ".join(text(n) for n in names) + "]::VARCHAR[]"
 
 
-def _config_rows() -> str:
+def _config_rows(starts: dict | None = None) -> str:
     rows = []
     for i, x in enumerate(LINES):
-        start = x["start"] or "07:00:00"
+        start = (starts or {}).get(x["line"]) or x["start"] or "07:00:00"
         bucket = x["bucket"].split("ch_")
         rows.append("(" + ", ".join([
             text(x["site"]), text(x["line"]), text(_line_id(x)), f"INTERVAL '{start}'", f"TIME '{start}'",
@@ -652,9 +652,7 @@ SELECT site, line_id, shift_start, shift_start + INTERVAL 12 hours AS shift_end,
   {r6('end_value - start_value', 'delta')}, {r6('high - low', 'spread')}
 FROM obs WHERE shift_start + INTERVAL 12 hours <= (SELECT max(_time) FROM tel) - INTERVAL 1 hour"""
 ORACLE["stream_distinct"] = ORACLE["stream_shift_changes"]
-ORACLE["stream_line_shifts"] = f"""{with_(CONFIG, TELEMETRY, open_rows("req"), OBSERVED)},
-off AS (SELECT site, line_id, to_seconds((epoch(start_after)::BIGINT) % 43200) AS past FROM cfg),
-newest AS (SELECT max(_time - past) AS newest_time FROM req JOIN off USING (site, line_id))
+ORACLE["stream_line_shifts"] = f"""{with_(CONFIG.replace(_config_rows(), _config_rows(STREAM_STARTS)), TELEMETRY, open_rows("req"), OBSERVED)}
 SELECT site, line_id, shift_start, shift_start + INTERVAL 12 hours AS shift_end, control, {r6('start_value')}, {r6('end_value')},
   {r6('coalesce(end_value - start_value, 0)', 'delta')}, {r6('coalesce(high - low, 0)', 'spread')}
-FROM obs JOIN off USING (site, line_id), newest WHERE shift_start + INTERVAL 12 hours - past <= newest_time - INTERVAL 1 hour"""
+FROM obs WHERE shift_start + INTERVAL 12 hours <= (SELECT max(_time) FROM tel) - INTERVAL 1 hour"""

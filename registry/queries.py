@@ -580,7 +580,10 @@ def finished(spark, found):
     """Run a stream over the files there are; the shifts it has closed."""
     out = session.work_folder(spark, "stream-changes")
     stream.write_stream(found, f"{out}/rows", f"{out}/state").awaitTermination()
-    done = spark.read.schema(found.schema).parquet(f"{out}/rows")
+    return stream_columns(spark.read.schema(found.schema).parquet(f"{out}/rows"))
+
+
+def stream_columns(done: DataFrame) -> DataFrame:
     return done.select("site", "line_id", "shift_start", "shift_end", "control",
                        r6("start_value"), r6("end_value"), r6("delta"), r6("spread"))
 
@@ -598,8 +601,8 @@ def stream_distinct(spark, sf_dir):
     return finished(spark, stream.stream_shift_changes(twice, distinct=True))
 
 
-def arrivals(spark, sf_dir, batches=4):
-    """The events as they might arrive: in files by time, some up to 25 minutes late and some a second time."""
+def arriving(spark, sf_dir, batches=4):
+    """(events by batch of arrival, number of batches): in the order of time, some up to 25 minutes late and some a second time."""
     events = views.load(spark, sf_dir, "events")
     ends = events.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
     first = times.epoch_seconds(times.wall_clock(ends.low))
@@ -608,14 +611,19 @@ def arrivals(spark, sf_dir, batches=4):
     again = events.where(F.col("event_id") % 10 == 0).withColumn("delay", F.lit(3000))
     rows = events.withColumn("delay", late).unionByName(again)
     batch = F.floor((times.epoch_seconds(F.col("ts")) - first + F.col("delay")) / span)
-    folder = session.work_folder(spark, "arrivals")
-    for i in range(batches + 1):
-        rows.where(batch == i).select(events.columns).coalesce(1).write.mode("append").parquet(folder)
-    return stream.read_stream(spark, folder, events.schema, max_files=1)
+    return rows.withColumn("batch", batch).drop("delay"), batches + 1
 
 
 @query
 def stream_line_shifts(spark, sf_dir):
-    """Changes of closed shifts, each line from its own start, from files that bring late and repeated readings."""
-    points_in = tables.scan_telemetry(views.events_as_telemetry(arrivals(spark, sf_dir)))
-    return finished(spark, stream.stream_line_shifts(points_in, control_dim(spark), tiebreak="event_id"))
+    """Changes of closed shifts, each line from its own start, run by run as files bring late and repeated readings."""
+    rows, batches = arriving(spark, sf_dir)
+    folder, out = session.work_folder(spark, "arrivals"), session.work_folder(spark, "stream-changes")
+    schema = rows.drop("batch").schema
+    for i in range(batches):
+        rows.where(F.col("batch") == i).drop("batch").write.mode("append").parquet(folder)
+        points_in = tables.scan_telemetry(views.events_as_telemetry(stream.read_stream(spark, folder, schema)))
+        found = stream.stream_line_shifts(
+            points_in, controls.line_controls(views.shifted_config(spark)), tiebreak="event_id")
+        stream.write_stream(found, f"{out}/rows", f"{out}/state").awaitTermination()
+    return stream_columns(spark.read.schema(found.schema).parquet(f"{out}/rows"))

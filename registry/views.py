@@ -227,6 +227,16 @@ def broken_config(spark: SparkSession) -> DataFrame:
     return rows.unionByName(rows.where(line == "l5").withColumn("line", F.lit("beta-l5")))
 
 
+#: Shift starts of the lines in streams: midnight, morning, evening, a half hour, and one on no quarter of an hour.
+STREAM_STARTS = {"l1": "00:00:00", "alpha-l2": "07:00:00", "l3": "19:00:00", "l4": "06:30:00", "l5": "06:37:30"}
+
+
+def shifted_config(spark: SparkSession) -> DataFrame:
+    """The line configurations with those starts."""
+    starts = F.create_map(*[F.lit(x) for pair in STREAM_STARTS.items() for x in pair])
+    return line_config(spark).withColumn("time_start_dayshift", starts[F.col("line")])
+
+
 LOOKBACKS = {"60 days": 5184000, "60d": 5184000, "1440h": 5184000, "8w": 4838400, "60 days 00:00:00": 5184000,
              "1 day 02:30:05": 95405, "90 min": 5400, "soon": None}
 CLOCKS = {"07:00:00": 420, "7:00:00": 420, "06:30": 390, "19:00": 1140, "0:15": 15, "late": None}

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -56,33 +59,59 @@ def stream_shift_changes(points: DataFrame, dayshift_start: str = times.DEFAULT_
     )
 
 
+#: Shift starts this many seconds apart share one grid of windows.
+GRID = 900
+
+
+def shift_grids(starts: list[int], grid: int = GRID) -> list[tuple[int, int, list[int]]]:
+    """(first window, step between windows, starts) of as few sliding windows as hold all starts.
+
+    A window of 12 hours begins at every start that lies on its grid. Starts on the
+    quarters of an hour need one grid, of 48 windows at most; a single start is a tumbling window.
+    """
+    found = []
+    for rest in sorted({s % grid for s in starts}):
+        own = sorted({s for s in starts if s % grid == rest})
+        step = math.gcd(times.SHIFT, *[s - own[0] for s in own])
+        found.append((own[0] % step, step, own))
+    return found
+
+
 def stream_line_shifts(points: DataFrame, controls: DataFrame, lateness: str = "1 hour",
                        tiebreak: str | None = None) -> DataFrame:
     """The same for the requested controls, each line's shifts from its own start.
 
-    The configuration is a static side of the join. A line's times are told from
-    its own shift start, so that one 12-hour window serves all lines; the watermark
-    runs on these times. Lines whose starts differ by so much share that much of
-    the ``lateness``, so choose it above the widest difference.
+    The configuration is a static side of the join. The watermark runs on the true
+    times of all points, so a reading counts as late by its age alone, whatever its
+    line's start. A shift needs a window that begins at its line's start: a
+    sliding window offers one for every start on a grid, and of these a reading
+    keeps the one of its line, so one state and one pass serve all starts on the quarters of
+    an hour. Other starts add a state each; with them, a new start needs a new checkpoint.
     """
-    wanted = points.join(sized(requested_names(controls)), [*LINE, "_field"])
-    offset = F.pmod(F.col("start_seconds"), F.lit(times.SHIFT))
-    rows = wanted.withColumns({
-        "_value": numeric.missing_if_nan(F.col("_value")),
-        "_time": times.utc_to_instant(F.col("_time")),
-        "_offset": offset,
-    }).withColumn("_since", F.timestamp_add("SECOND", -F.col("_offset"), F.col("_time"))).withWatermark("_since", lateness)
+    starts = F.pmod(F.col("start_seconds"), F.lit(times.SHIFT))
+    offsets = [r[0] for r in controls.select(starts.alias("s")).where("s is not null").distinct().collect()]
+    timed = points.withColumns({
+        "_value": numeric.missing_if_nan(F.col("_value")), "_time": times.utc_to_instant(F.col("_time"))})
+    wanted = timed.withWatermark("_time", lateness).join(sized(requested_names(controls)), [*LINE, "_field"])
+    rows = wanted.withColumn("_offset", starts)
     value = F.col("_value")
     order = reading_order(F.col("_time"), F.unix_micros("_time"), tiebreak)
-    grouped = rows.groupBy(F.window("_since", "12 hours").alias("shift"), *LINE, "_offset", F.col("_field").alias("control")).agg(
-        F.min_by(value, order).alias("start_value"),
-        F.max_by(value, order).alias("end_value"),
-        F.max(value).alias("high"),
-        F.min(value).alias("low"),
-    )
-    start = F.timestamp_add("SECOND", F.col("_offset"), times.instant_to_utc(F.col("shift.start")))
+
+    def on_grid(first: int, step: int, own: list[int]) -> DataFrame:
+        begins = F.unix_timestamp("shift.start")
+        shifted = rows.where(F.col("_offset").isin(own)).withColumn(
+            "shift", F.window("_time", "12 hours", f"{step} seconds", f"{first} seconds"))
+        shifted = shifted.where(F.pmod(begins - F.col("_offset"), F.lit(times.SHIFT)) == 0)
+        return shifted.groupBy("shift", *LINE, F.col("_field").alias("control")).agg(
+            F.min_by(value, order).alias("start_value"),
+            F.max_by(value, order).alias("end_value"),
+            F.max(value).alias("high"),
+            F.min(value).alias("low"),
+        )
+    grouped = reduce(DataFrame.unionByName, [on_grid(*g) for g in shift_grids(offsets or [0])])
     return grouped.select(
-        *LINE, start.alias("shift_start"), times.shift_end(start).alias("shift_end"),
+        *LINE, times.instant_to_utc(F.col("shift.start")).alias("shift_start"),
+        times.instant_to_utc(F.col("shift.end")).alias("shift_end"),
         "control", "start_value", "end_value",
         F.coalesce(F.col("end_value") - F.col("start_value"), F.lit(0.0)).alias("delta"),
         F.coalesce(F.col("high") - F.col("low"), F.lit(0.0)).alias("spread"),

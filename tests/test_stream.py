@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from shiftlab import session
 from shiftlab.functions import times
 from shiftlab.operators import changes
+from shiftlab.operators.points import requested
 from shiftlab.streaming import changes as stream
-from helpers import at, points, rows_of
+from helpers import at, dims, points, rows_of
 
 DAY = "2024-03-05 "
 
@@ -74,6 +75,66 @@ def test_closed_shifts_equal_the_batch(spark, tmp_path):
     assert rows_of(found, *columns) == rows_of(batch, *columns) and found.count() > 150
 
 
+def test_grids():
+    hour = 3600
+    assert stream.shift_grids([7 * hour]) == [(7 * hour, 12 * hour, [7 * hour])]
+    assert stream.shift_grids([0, 7 * hour]) == [(0, hour, [0, 7 * hour])]
+    assert stream.shift_grids([7 * hour, int(6.5 * hour)]) == [(0, 1800, [int(6.5 * hour), 7 * hour])]
+    found = stream.shift_grids([0, 450, 7 * hour, 7 * hour + 450, 7])
+    assert found == [(0, hour, [0, 7 * hour]), (7, 12 * hour, [7]), (450, hour, [450, 7 * hour + 450])]
+    for first, step, own in found:
+        assert 12 * hour % step == 0 and all((s - first) % step == 0 for s in own)
+
+
+STARTS = {"l1": "00:00:00", "l2": "07:00:00", "l3": "19:00:00", "l4": "06:30:00", "l5": "06:37:30", "l6": "late"}
+
+
+def line_readings(spark, days):
+    """A reading every 20 minutes on every line, and the last of each shift beside its end."""
+    hour = F.expr("INTERVAL 20 MINUTES")
+    rows = spark.range(days[0] * 72, days[1] * 72).select(
+        (F.expr("TIMESTAMP_NTZ'2024-03-01 00:00:00'") + F.col("id").cast("int") * hour).alias("_time"), F.col("id").cast("double").alias("_value"))
+    names = F.explode(F.array(*[F.lit(f"s-{x}") for x in STARTS]))
+    return rows.select(F.lit("s").alias("site"), names.alias("line_id"), "_time", F.lit("h_1").alias("_field"), "_value")
+
+
+def test_lines_of_different_starts_equal_the_batch(spark, tmp_path):
+    """Files in the order of time, none late, default lateness: no closed shift loses a reading."""
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    _, per_line = dims(spark, *[dict(line=x, num_heats=1, start=s) for x, s in STARTS.items()])
+    for day in range(4):
+        line_readings(spark, (day, day + 1)).write.mode("append").parquet(folder)
+        found = stream.stream_line_shifts(stream.read_stream(spark, folder, spark.read.parquet(folder).schema), per_line)
+        stream.write_stream(found, f"{out}/rows", f"{out}/state").awaitTermination()
+    everything = line_readings(spark, (0, 4))
+    last = everything.agg(F.max("_time")).first()[0]
+    wanted = requested(everything, per_line).where("start_seconds is not null")
+    batch = changes.observed_changes(wanted, closed=False)
+    batch = batch.where(F.col("shift_start") + F.expr("INTERVAL 13 HOURS") <= times.wall_clock(last))
+    columns = ["line_id", "shift_start", "control", "start_value", "end_value"]
+    got = rows_of(spark.read.parquet(f"{out}/rows"), *columns)
+    assert got == rows_of(batch, *columns)
+    assert {line for line, *_ in got} == {f"s-l{i}" for i in range(1, 6)} and len(got) >= 35
+
+
+def test_a_late_reading_counts_by_its_age(spark, tmp_path):
+    """Half an hour late counts, two hours late does not, on every line alike."""
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    _, per_line = dims(spark, dict(line="l1", num_heats=1, start="00:00:00"), dict(line="l2", num_heats=1, start="07:00:00"))
+    batches = [[("01:00", 1.0), ("12:20", 2.0), ("19:20", 2.0)], [("11:50", 5.0), ("18:50", 7.0), ("19:55", 2.0)],
+               [("18:55", 8.0), ("20:30", 2.0)], [("18:58", 9.0), ("23:59", 2.0)]]
+    for batch in batches:
+        both = points(spark, [(DAY + t, "h_1", v) for t, v in batch]).unionByName(
+            points(spark, [(DAY + t, "h_1", v) for t, v in batch], line_id="s-l2"))
+        both.write.mode("append").parquet(folder)
+        found = stream.stream_line_shifts(stream.read_stream(spark, folder, both.schema), per_line)
+        stream.write_stream(found, f"{out}/rows", f"{out}/state").awaitTermination()
+    got = {(r.line_id, r.shift_start): (r.start_value, r.end_value) for r in spark.read.parquet(f"{out}/rows").collect()}
+    # The first line's morning closed at 12:00 with 19:20 seen; the other line's day took 18:55 at 19:55, not 18:58 at 20:30.
+    assert got == {("s-l1", at(DAY + "00:00")): (1.0, 1.0), ("s-l2", at("2024-03-04 19:00")): (1.0, 1.0),
+                   ("s-l2", at(DAY + "07:00")): (5.0, 8.0)}
+
+
 @pytest.mark.parametrize("zone", ["Asia/Kolkata", "America/Chicago"])
 def test_session_zone_does_not_move_shifts(spark, tmp_path, zone):
     folder = str(tmp_path / "in")
