@@ -642,6 +642,21 @@ SELECT site, line_id, run_at, CASE WHEN line_id = 'alpha-l1' THEN 'success' ELSE
     WHEN 'beta-l4' THEN 'alert look-back is no period' WHEN 'beta-l5' THEN 'line configured more than once' END AS error,
   CASE WHEN line_id = 'alpha-l1' THEN changed END AS changed FROM lrep"""
 
+ORACLE["stored_documents"] = f"""{_FULL}
+SELECT s.site, s.run_at, {_PATH.format(label='s.first_label').replace('site ||', 's.site ||').replace('(run_at', '(s.run_at')} AS blob_path,
+  count(*) AS n_lines, md5(s.full_html) AS digest, length(s.full_html)::INTEGER AS n_chars
+FROM srep s JOIN lrep l ON l.site = s.site AND l.run_at = s.run_at WHERE l.status = 'success' GROUP BY ALL"""
+ORACLE["telemetry_clustered"] = f"""{with_(CONFIG, TELEMETRY)}
+SELECT event_id, '007' AS site, '007-l1' AS line_id, _time, _field, _value FROM tel
+WHERE line_id = 'alpha-l1' AND _time >= TIMESTAMP '2024-01-15 06:02:00' AND _time < TIMESTAMP '2024-01-16 06:02:00'"""
+_FILE_ERROR = "CASE WHEN part % 7 IN (3, 4) THEN 'not readable as declared' END"
+ORACLE["failed_files"] = f"""{with_(ALERTS)},
+files AS (SELECT 'lines' AS kind, s_nationkey::INTEGER AS part FROM supplier
+  UNION ALL SELECT 'alerts', (month(raw_at) + 12 * year(raw_at))::INTEGER FROM alr)
+SELECT kind, part, {_FILE_ERROR} AS error, CASE WHEN part % 7 IN (3, 4) THEN 0 ELSE count(*) END::BIGINT AS n_rows FROM files GROUP BY kind, part"""
+ORACLE["merged_shift_changes"] = ORACLE["shift_changes_all"]
+ORACLE["merged_good_fraction"] = ORACLE["good_fraction"]
+
 # Streaming: the shifts that ended an hour before the latest reading
 
 ORACLE["stream_shift_changes"] = f"""{with_(CONFIG, TELEMETRY)},

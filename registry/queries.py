@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from registry import views
 from shiftlab import session
 from shiftlab.functions import numeric, text, times
-from shiftlab.operators import alerts, changes, controls, points, quality
+from shiftlab.operators import alerts, changes, controls, partials, points, quality
 from shiftlab.operators.sizes import sized
-from shiftlab.plans import reports, runs
+from shiftlab.plans import documents, reports, runs, sinks
 from shiftlab.sources import synthetic, tables
 from shiftlab.streaming import changes as stream
 
@@ -169,6 +169,16 @@ def telemetry_scan(spark, sf_dir):
     return rows.select("event_id", *points.POINT)
 
 
+@query
+def telemetry_clustered(spark, sf_dir):
+    """The fetch of one line's 24 hours from telemetry that the library has laid out, sites named by numbers."""
+    folder = session.work_folder(spark, "telemetry")
+    rows = views.telemetry(spark, sf_dir).withColumn("site", F.replace("site", F.lit("alpha"), F.lit("007")))
+    sinks.write_telemetry(rows, folder)
+    found = tables.scan_telemetry(tables.read_telemetry(spark, folder).where("line = 'l1'"), as_of=RUN_AT, measurement="opcua")
+    return found.select("event_id", *points.POINT)
+
+
 @query
 def minute_rounding(spark, sf_dir):
     return views.load(spark, sf_dir, "events").select("event_id", times.round_minute(F.col("ts")).alias("minute_level"))
@@ -319,6 +329,23 @@ def line_ids(spark, sf_dir):
         text.line_label(key).alias("line_label"))
 
 
+@query
+def failed_files(spark, sf_dir):
+    """Folders of line configurations and alert histories in which some files are broken: what each gives, or why not."""
+    folder = session.work_folder(spark, "inputs")
+    lines_in = views.supplier_lines(spark, sf_dir).withColumn("part", F.substring("site", 2, 9).cast("int"))
+    alerts_in = views.alerts(spark, sf_dir).drop("o_orderkey").withColumn("part", F.month("changed_at") + 12 * F.year("changed_at"))
+    views.write_json_files(lines_in, f"{folder}/lines", cut=3, odd=4)
+    views.write_json_files(alerts_in, f"{folder}/alerts", cut=3, odd=4)
+    part = F.regexp_extract("file", r"part=(\d+)", 1).cast("int").alias("part")
+    out = []
+    for kind, rows in (("lines", tables.read_line_config(spark, f"{folder}/lines")), ("alerts", tables.read_alerts(spark, f"{folder}/alerts"))):
+        good = rows.groupBy(tables.plain_path(F.col("_metadata.file_path")).alias("file")).agg(F.count("*").alias("n_rows"))
+        out.append(good.select(F.lit(kind).alias("kind"), part, F.lit(None).cast("string").alias("error"), "n_rows"))
+        out.append(tables.broken_files(spark, f"{folder}/{kind}", kind).select("kind", part, "error", F.lit(0).cast("long").alias("n_rows")))
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
 # Quality
 
 def measured(spark, sf_dir, site_tz="UTC"):
@@ -497,8 +524,8 @@ def site_report(spark, sf_dir):
 
 @query
 def blob_paths(spark, sf_dir):
-    found = reports.site_reports(backfill(spark, sf_dir), shift_of="last")
-    return found.select("site", "run_at", "shift_label", "shift_letter", "path")
+    """Places of the documents, told without building them."""
+    return reports.document_paths(backfill(spark, sf_dir), shift_of="last")
 
 
 @query
@@ -508,8 +535,9 @@ def report_history(spark, sf_dir):
 
 @query
 def document_parts(spark, sf_dir):
-    """Site documents as ordered pieces."""
-    found = reports.document_parts(backfill(spark, sf_dir), shift_of="last")
+    """Site documents as ordered pieces, from stored line reports as the job keeps them."""
+    stored = sinks.write_line_reports(backfill(spark, sf_dir), session.work_folder(spark, "line-reports"), RUN_ID)
+    found = reports.document_parts(stored, shift_of="last")
     return found.select("site", "run_at", "report_date", "shift_letter", "ordinal", "line_id", *digest(found, "html"))
 
 
@@ -520,6 +548,20 @@ def outbox(spark, sf_dir):
                         *digest(found, "full_html"))
 
 
+@query
+def stored_documents(spark, sf_dir):
+    """Every document as it is read back from the very path that history names."""
+    out = session.work_folder(spark, "documents")
+    stored = sinks.write_line_reports(backfill(spark, sf_dir), f"{out}/line_reports", RUN_ID)
+    documents.write_at_paths(reports.site_reports(stored), f"{out}/documents", RUN_ID)
+    files = spark.read.text(f"{out}/documents", wholetext=True, recursiveFileLookup=True)
+    files = files.select(F.regexp_extract(F.col("_metadata.file_path"), "/documents/(.*)$", 1).alias("blob_path"),
+                         *digest(files, "value"))
+    named = reports.report_history(stored, RUN_ID).groupBy("site", "generated_at", "blob_path").agg(F.count("*").alias("n_lines"))
+    return named.join(files, "blob_path", "left").select(
+        "site", F.col("generated_at").alias("run_at"), "blob_path", "n_lines", "digest", "n_chars")
+
+
 @query
 def run_counts(spark, sf_dir):
     return reports.run_counts(backfill(spark, sf_dir))
@@ -568,6 +610,34 @@ def failed_run(spark, sf_dir):
     return found.select("site", "line_id", "run_at", "shift_label", "status", "error", *digest(found, "html"))
 
 
+# Partial states
+
+@query
+def merged_shift_changes(spark, sf_dir):
+    """Changes from the states of batches as they arrived, late and repeated readings in later ones; equal to those from all points."""
+    folder = session.work_folder(spark, "change-states")
+    rows, batches = arriving(spark, sf_dir)
+    for i in range(batches):
+        batch = tables.scan_telemetry(views.events_as_telemetry(rows.where(F.col("batch") == i)), measurement="opcua")
+        states = partials.change_states(batch, control_dim(spark), closed=False, tiebreak="event_id")
+        partials.write_states(states, folder, f"batch-{i}")
+    stored = partials.read_states(spark, folder, states.schema)
+    return change_columns(partials.changes_of(stored, control_dim(spark)))
+
+
+@query
+def merged_good_fraction(spark, sf_dir):
+    """Good fractions from the states of three batches of measurements that share all shifts."""
+    folder = session.work_folder(spark, "test-states")
+    for i in range(3):
+        own = views.quality(spark, sf_dir).where(F.pmod(F.xxhash64("datetime", "val"), F.lit(3)) == i)
+        rows = quality.with_limits(quality.measurements(own, lines(spark), "UTC"), views.specs(spark, sf_dir))
+        states = partials.test_states(rows)
+        partials.write_states(states, folder, f"batch-{i}")
+    stored = partials.read_states(spark, folder, states.schema)
+    return fraction_columns(quality.good_fractions(partials.statistics_of(stored)))
+
+
 # Streaming
 
 def event_stream(spark, sf_dir):

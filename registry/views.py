@@ -237,6 +237,16 @@ def shifted_config(spark: SparkSession) -> DataFrame:
     return line_config(spark).withColumn("time_start_dayshift", starts[F.col("line")])
 
 
+def write_json_files(rows: DataFrame, folder: str, cut: int, odd: int) -> None:
+    """One JSON array per ``part``; of every 7 parts one is cut short and one has values of other kinds."""
+    kept = [c for c in rows.columns if c != "part"]
+    files = rows.groupBy("part").agg(F.to_json(F.collect_list(F.struct(*kept))).alias("value"))
+    kind = F.col("part") % 7
+    files = files.withColumn("value", F.when(kind == cut, F.substring(F.col("value"), F.lit(1), F.length("value") - 2)).when(
+        kind == odd, F.lit('[{"site": "x", "line": "y", "ordinal": "z", "changed_at": "never"}]')).otherwise(F.col("value")))
+    files.write.partitionBy("part").text(folder)
+
+
 LOOKBACKS = {"60 days": 5184000, "60d": 5184000, "1440h": 5184000, "8w": 4838400, "60 days 00:00:00": 5184000,
              "1 day 02:30:05": 95405, "90 min": 5400, "soon": None}
 CLOCKS = {"07:00:00": 420, "7:00:00": 420, "06:30": 390, "19:00": 1140, "0:15": 15, "late": None}

@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 
 from shiftlab.operators import controls
-from shiftlab.plans import jobs, reports, runs
+from shiftlab.plans import jobs, reports, runs, sinks
 from shiftlab.session import build_session
 from shiftlab.sources import tables
 
@@ -36,7 +36,20 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     return args
 
 
+def broken_inputs(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    """Configuration and alert files that the run leaves out, with the reason."""
+    found = tables.broken_files(spark, args.lines, "lines")
+    if args.sites:
+        found = found.unionByName(tables.broken_files(spark, args.sites, "sites"))
+    if args.alerts and not args.alerts.endswith("parquet"):
+        found = found.unionByName(tables.broken_files(spark, args.alerts, "alerts"))
+    return found
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    """Publish the reports; files that are broken are listed below ``out/broken_files`` and hold up no other."""
+    run_id = args.run_id or (args.as_of or args.last).strftime("%Y-%m-%dT%H-%M")
+    sinks.write_broken_files(broken_inputs(spark, args), f"{args.out}/broken_files", run_id)
     config = tables.read_line_config(spark, args.lines)
     if args.sites:
         config = controls.resolve_sites(tables.read_site_config(spark, args.sites), config, args.site)
@@ -58,7 +71,6 @@ def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         tables.read_quality(spark, args.quality) if args.quality else None,
         tables.read_specs(spark, args.specs) if args.specs else None,
         alerts or None, site_tz=args.site_tz, known_at_run=backfill, fail_on="shift" if backfill else "fetch")
-    run_id = args.run_id or (args.as_of or args.last).strftime("%Y-%m-%dT%H-%M")
     return jobs.publish(found, args.out, run_id, whole=not args.parts)
 
 

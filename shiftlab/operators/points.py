@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from shiftlab.functions import times
 from shiftlab.operators.controls import requested_names
-from shiftlab.operators.sizes import hinted, sized
+from shiftlab.operators.sizes import hinted, join_names
 
 POINT = ["site", "line_id", "_time", "_field", "_value"]
 LINE = ["site", "line_id"]
@@ -27,20 +27,20 @@ def requested(points: DataFrame, controls: DataFrame) -> DataFrame:
     line, so the inner join is a semi join that also brings the start along: one
     pass over the points, no shuffle while the configuration is small.
     """
-    return points.join(sized(requested_names(controls)), [*LINE, "_field"])
+    return join_names(points, requested_names(controls), [*LINE, "_field"], ["_time"])
 
 
 def _key(seed: int, *names: str) -> Column:
     return F.xxhash64(F.lit(seed), *names)
 
 
-def name_keys(controls: DataFrame) -> DataFrame:
-    """Requested names, with one BIGINT for the line and one for the control.
+def name_keys(controls: DataFrame) -> tuple[DataFrame, int]:
+    """Requested names, with one BIGINT for the line and one for the control, and how many keys there are.
 
     They stand in for three strings wherever points are shuffled. A hash may be
     used for a name only once a look at all names has shown that no two share
-    one; otherwise the next seed is tried. The same look counts the names, so
-    the result comes with the join hint its size allows.
+    one; otherwise the next seed is tried. The same look counts the names, which
+    decides how they are joined.
     """
     names = requested_names(controls)
     for seed in range(SEEDS):
@@ -56,20 +56,20 @@ def name_keys(controls: DataFrame) -> DataFrame:
         found = shared.agg(
             F.count_if(F.col("one") != F.col("other")).alias("clashes"), F.count("*").alias("keys")).first()
         if found["clashes"] == 0:
-            return hinted(keyed, found["keys"])
+            return keyed, found["keys"]
     raise ValueError("names share their keys under every seed")
 
 
-def keyed_points(points: DataFrame, keys: DataFrame) -> DataFrame:
+def keyed_points(points: DataFrame, keys: tuple[DataFrame, int]) -> DataFrame:
     """:func:`requested` points with keys in place of names."""
-    wanted = points.join(keys, [*LINE, "_field"])
+    wanted = join_names(points, keys[0], [*LINE, "_field"], ["_time"], keys[1])
     return wanted.select("line_key", "control_key", "start_seconds", "_time", "_value")
 
 
-def named(rows: DataFrame, keys: DataFrame) -> DataFrame:
+def named(rows: DataFrame, keys: tuple[DataFrame, int]) -> DataFrame:
     """Names in place of keys again, once rows are few."""
-    names = keys.select("line_key", "control_key", *LINE, F.col("_field").alias("control"))
-    return rows.join(names, ["line_key", "control_key"]).drop("line_key", "control_key")
+    names = keys[0].select("line_key", "control_key", *LINE, F.col("_field").alias("control"))
+    return rows.join(hinted(names, keys[1]), ["line_key", "control_key"]).drop("line_key", "control_key")
 
 
 def union_distinct(frames: list[DataFrame]) -> DataFrame:

@@ -27,3 +27,26 @@ def sized(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, weight: Column | N
 def hinted(dim: DataFrame, total: int, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """The same for a size that is known already."""
     return F.broadcast(dim) if total <= max_rows else dim.hint("merge")
+
+
+#: Parts that each name's rows are dealt to where names are too many to broadcast.
+SALTS = 32
+
+
+def join_names(rows: DataFrame, names: DataFrame, keys: list[str], by: list[str], total: int | None = None,
+               max_rows: int | None = None) -> DataFrame:
+    """``rows`` with those of ``names`` (unique by ``keys``) that they match; the others go.
+
+    Within the bound, names are broadcast and nothing moves. Beyond it every name is sent to
+    ``SALTS`` parts and the rows of a name are dealt to them by a hash of ``by``, columns that tell its
+    rows apart. One hot name so fills many tasks, and since the parts are no key of
+    what follows, a later grouping by name combines rows before it shuffles them.
+    """
+    max_rows = MAX_BROADCAST_ROWS if max_rows is None else max_rows
+    if total is None:
+        total = names.limit(max_rows + 1).count()
+    if total <= max_rows:
+        return rows.join(F.broadcast(names), keys)
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int"))
+    sent = names.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return dealt.join(sent.hint("merge"), [*keys, "_salt"]).drop("_salt")

@@ -201,6 +201,19 @@ def bounded_reads(runs: DataFrame, points: DataFrame, quality: DataFrame | None,
     return points, quality, alerts
 
 
+def _with_fetch(runs: DataFrame, sections: DataFrame) -> DataFrame:
+    """Runs with the section of their shift, and the most copies of a reading in all shifts of their line's fetch.
+
+    A fetch of a day touches four shifts at most, so a line's sections are one short list.
+    """
+    held = [c for c in sections.columns if c not in LINE]
+    fetched = sections.groupBy(*LINE).agg(
+        F.max("copies").alias("fetch_copies"), F.collect_list(F.struct(*held)).alias("fetched"))
+    own = F.try_element_at(F.filter("fetched", lambda s: s["shift_start"] == F.col("shift_start")), F.lit(1))
+    joined = runs.join(fetched, LINE, "left").withColumn("own", own)
+    return joined.select("*", *[F.col("own")[c].alias(c) for c in held if c != "shift_start"]).drop("own", "fetched")
+
+
 def line_reports(runs: DataFrame, lines: DataFrame, controls: DataFrame, points: DataFrame,
                  quality: DataFrame | None = None, specs: DataFrame | None = None,
                  alerts: DataFrame | None = None, bucket: str | None = "minute",
@@ -213,8 +226,9 @@ def line_reports(runs: DataFrame, lines: DataFrame, controls: DataFrame, points:
     a control and time, gets status ``failed`` and no document, and does not
     touch the other lines. ``fail_on="fetch"`` looks for such readings in all
     points of the line, the rule of a single run. ``"shift"`` looks in the shift
-    reported, which suits a backfill: one bad minute does not fail a year. It
-    also needs no second pass over the points.
+    reported, which suits a backfill: one bad minute does not fail a year. Either
+    way the number of copies rides through the groupings that find the changes,
+    so the points are read and shuffled once.
 
     Telemetry clocks count as the clock shifts are told on, unless two different
     zones are named. Points are made unique and put in order before they move,
@@ -229,12 +243,12 @@ def line_reports(runs: DataFrame, lines: DataFrame, controls: DataFrame, points:
     lines = lines.where("config_error is null")
     controls = controls.join(lines.select(*LINE), LINE, "left_semi")
     sections = change_sections(process_changes(points, controls, bucket, telemetry_tz, shift_tz))
-    reports = runs.join(sections, SHIFT, "left")
-    duplicated = F.col("copies") > 1
-    empty_fetch = F.lit(False)
     if fail_on == "fetch":
-        reports = reports.join(point_ops.fetched_lines(point_ops.requested(points, controls)), LINE, "left")
-        duplicated, empty_fetch = F.col("duplicate_keys") > 0, F.col("readings").isNull()
+        reports = _with_fetch(runs, sections)
+        duplicated, empty_fetch = F.col("fetch_copies") > 1, F.col("fetch_copies").isNull()
+    else:
+        reports = runs.join(sections, SHIFT, "left")
+        duplicated, empty_fetch = F.col("copies") > 1, F.lit(False)
     document = process_section(empty_fetch)
     if quality is not None:
         rows = quality_ops.with_limits(quality_ops.measurements(quality, lines, site_tz), specs)
@@ -312,17 +326,40 @@ def failed_lines(reports: DataFrame) -> DataFrame:
     return reports.where(F.col("status") == "failed").select(*REPORT, "error")
 
 
+def site_labels(reports: DataFrame, shift_of: str = "first") -> DataFrame:
+    """The shift that each site's document names, where it has one; a short row per document, without its text."""
+    return reports.groupBy("site", "run_at").agg(
+        _pick(shift_of)("shift_label", _success_order()).alias("site_label"),
+        F.count_if(F.col("status") == "success").alias("succeeded")).where("succeeded > 0").drop("succeeded")
+
+
+def document_paths(reports: DataFrame, shift_of: str = "first") -> DataFrame:
+    """Place of every site's document, without building it."""
+    label = F.col("site_label")
+    return site_labels(reports, shift_of).select(
+        "site", "run_at", label.alias("shift_label"), times.shift_letter(label).alias("shift_letter"),
+        blob_path(F.col("site"), F.col("run_at"), label).alias("path"))
+
+
 def with_site_label(reports: DataFrame, shift_of: str = "first") -> DataFrame:
-    """Add the shift its site's document names, without building the document."""
-    pick = _pick(shift_of)
-    document = Window.partitionBy("site", "run_at")
-    return reports.withColumn("site_label", pick("shift_label", _success_order()).over(document))
+    """Add the shift its site's document names to every report that succeeded.
+
+    The labels are grouped by themselves and joined, so that no text of a report is
+    held in a window. The reports are read twice, the first time without their
+    texts: have them stored.
+    """
+    labels = site_labels(reports, shift_of).withColumnsRenamed({"site": "_site", "run_at": "_run_at"})
+    joined = reports.where(F.col("status") == "success").join(
+        labels, F.col("site").eqNullSafe(F.col("_site")) & F.col("run_at").eqNullSafe(F.col("_run_at")))
+    return joined.drop("_site", "_run_at")
 
 
 def report_history(reports: DataFrame, run_id: str, shift_of: str = "first") -> DataFrame:
     """One row per line that succeeded, with the place of its site's document."""
-    rows = with_site_label(reports, shift_of).where(F.col("status") == "success")
-    return rows.select(
+    document = Window.partitionBy("site", "run_at")
+    rows = reports.select("site", "line", "line_id", "run_at", "ordinal", "shift_label", "status").withColumn(
+        "site_label", _pick(shift_of)("shift_label", _success_order()).over(document))
+    return rows.where(F.col("status") == "success").select(
         "site", "line", F.col("shift_label").alias("shift"),
         blob_path(F.col("site"), F.col("run_at"), F.col("site_label")).alias("blob_path"),
         "status", F.lit(run_id).alias("run_id"), F.col("run_at").alias("generated_at"))
@@ -332,9 +369,9 @@ def document_parts(reports: DataFrame, shift_of: str = "first") -> DataFrame:
     """Site documents as ordered pieces, one per line, never joined into one value.
 
     For sites with so many lines that a whole document is too large for a row.
+    Give it stored reports, see :func:`with_site_label`.
     """
-    rows = with_site_label(reports, shift_of).where(F.col("status") == "success")
-    return rows.select(
+    return with_site_label(reports, shift_of).select(
         "site", "run_at", F.col("run_at").cast("date").alias("report_date"),
         times.shift_letter(F.col("site_label")).alias("shift_letter"), "ordinal", "line_id", "html")
 

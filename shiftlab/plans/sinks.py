@@ -6,22 +6,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_documents(sites: DataFrame, path: str) -> None:
-    """One text file per document under ``site=/report_date=/shift_letter=``.
+def write_telemetry(points: DataFrame, path: str, mode: str = "append") -> None:
+    """Telemetry by site and day, and inside a day by line, control and time.
 
-    Only the folders written to are replaced, so a rerun is repeatable and other
-    sites stay.
+    Row groups so hold few lines and a short time each, and with their statistics
+    and bloom filters a fetch of one line skips the others. Rows are dealt by
+    ranges of that order, so that a hot site, day or line spans many tasks and files.
     """
+    order = ["site", "date", "line", "_field", "_time"]
+    ranged = points.withColumn("date", F.to_date("_time")).repartitionByRange(*order).sortWithinPartitions(*order)
+    writer = ranged.write.mode(mode).partitionBy("site", "date")
+    for column in ("line", "_field"):
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    writer.parquet(path)
+
+
+def write_broken_files(broken: DataFrame, path: str, run_id: str) -> DataFrame:
+    """Input files that a run set aside, under the run; a repeated run replaces its own."""
     (
-        sites.select("site", F.col("run_at").cast("date").alias("report_date"), "shift_letter",
-                     F.col("full_html").alias("value"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("site", "report_date", "shift_letter").text(path)
+        broken.withColumn("run_id", F.lit(run_id))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").json(path)
     )
+    stored = broken.sparkSession.read.schema("kind string, file string, error string, run_id string").json(path)
+    return stored.where(F.col("run_id") == run_id)
 
 
 def write_document_parts(parts: DataFrame, path: str) -> None:
-    """The same folders, each document as text files that read in name order.
+    """Folders ``site=/report_date=/shift_letter=``, each document as text files that read in name order.
 
     Pieces are spread by range, so a large site fills several tasks and files.
     The order begins with the folder columns, and these are never null, so the

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +33,26 @@ def build_session(app: str = "shiftlab", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package on machines where it is not installed."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped or spark.sparkContext.master.startswith("local["):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="shiftlab-code-"), "shiftlab_core.zip")
+    with zipfile.ZipFile(target, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.join("shiftlab", os.path.relpath(path, root)))
+    spark.sparkContext.addPyFile(target)
+    _shipped.add(app)
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for stream state and stream output.
 

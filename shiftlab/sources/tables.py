@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shiftlab import schemas
 from shiftlab.functions import numeric, text, times
@@ -16,17 +17,68 @@ LOOKBACK = timedelta(hours=24)
 ZONES = timedelta(days=1)
 
 
+#: Why a file was set aside.
+NOT_READABLE = "not readable as declared"
+NO_NAME = "names no {column}"
+EMPTY = "empty file"
+#: What a row of each kind of file must name.
+LINE_NAMES, SITE_NAMES, ALERT_NAMES = ("line",), ("site",), ("site",)
+_BROKEN = "_broken"
+
+
 def read_line_config(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    return _config(spark, path, fmt, schemas.LINE_CONFIG)
+    """Line configurations; files that are broken stay out, see :func:`broken_files`."""
+    return _config(spark, path, fmt, schemas.LINE_CONFIG, LINE_NAMES)
 
 
 def read_site_config(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    return _config(spark, path, fmt, schemas.SITE_CONFIG)
+    """Site configurations; files that are broken stay out."""
+    return _config(spark, path, fmt, schemas.SITE_CONFIG, SITE_NAMES)
+
+
+def _config(spark: SparkSession, path: str, fmt: str, schema, names: tuple[str, ...]) -> DataFrame:
+    return _sound(spark, path, schema, names) if fmt == "json" else spark.read.schema(schema).format(fmt).load(path)
+
+
+def _with_errors(spark: SparkSession, path: str, schema, names: tuple[str, ...], array_per_file: bool) -> DataFrame:
+    """Rows of JSON files with their file and what is wrong with them."""
+    kept = T.StructType([*schema, T.StructField(_BROKEN, T.StringType())])
+    rows = spark.read.schema(kept).option("multiLine", array_per_file).option("mode", "PERMISSIVE").option(
+        "columnNameOfCorruptRecord", _BROKEN).json(path)
+    error = F.when(F.col(_BROKEN).isNotNull(), F.lit(NOT_READABLE))
+    for name in names:
+        error = error.when(F.col(name).isNull(), F.lit(NO_NAME.format(column=name)))
+    # A reader that is asked for some columns checks only these; this asks for all, so that no query sees rows that another does not.
+    values = F.coalesce(*[F.when(F.col(f.name).cast("string").isNotNull(), F.lit(1)) for f in schema])
+    error = error.when(values.isNull(), F.lit(NOT_READABLE))
+    return rows.select(*[F.col(f.name) for f in schema], plain_path(F.col("_metadata.file_path")).alias("file"), error.alias("error"))
+
+
+def plain_path(path: Column) -> Column:
+    """A local file's path in the one of its spellings that Spark's metadata uses."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
 
+def _sound(spark: SparkSession, path: str, schema, names: tuple[str, ...], array_per_file: bool = True) -> DataFrame:
+    return _with_errors(spark, path, schema, names, array_per_file).where("error is null").drop("file", "error")
 
-def _config(spark: SparkSession, path: str, fmt: str, schema) -> DataFrame:
-    reader = spark.read.schema(schema)
-    return reader.option("multiLine", True).json(path) if fmt == "json" else reader.format(fmt).load(path)
+
+def broken_files(spark: SparkSession, path: str, kind: str, array_per_file: bool = True) -> DataFrame:
+    """kind, file, error of JSON files that are not what they should be, one row per file and reason.
+
+    ``kind`` is ``lines``, ``sites`` or ``alerts``. A file that is cut short, no JSON or of another
+    shape than declared gives none of its rows to the readers and one row here; a
+    row without its names is left out alone. An empty file is broken, an empty list is not.
+    """
+    schema, names = {"lines": (schemas.LINE_CONFIG, LINE_NAMES), "sites": (schemas.SITE_CONFIG, SITE_NAMES),
+                     "alerts": (schemas.ALERT_HISTORY, ALERT_NAMES)}[kind]
+    rows = _with_errors(spark, path, schema, names, array_per_file).groupBy("file", "error").agg(F.count("*").alias("n"))
+    listed = spark.createDataFrame([(f,) for f in spark.read.text(path).inputFiles()], "file string").select(plain_path(F.col("file")).alias("file"))
+    text_files = spark.read.text(path, wholetext=True).where(F.regexp_like("value", F.lit(r"\S")))
+    told = rows.select("file").unionByName(text_files.select(plain_path(F.col("_metadata.file_path")).alias("file")))
+    empty = listed.join(told.distinct(), "file", "left_anti").withColumn("error", F.lit(EMPTY))
+    found = rows.where("error is not null").select("file", "error").unionByName(empty)
+    return found.select(F.lit(kind).alias("kind"), "file", "error")
 
 
 def spread(table: DataFrame, *keys: str) -> DataFrame:
@@ -39,9 +91,20 @@ def spread(table: DataFrame, *keys: str) -> DataFrame:
     return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores, *keys)
 
 
+#: What names of folders may stand for; any other is as found.
+_FOLDERS = {f.name: f.dataType for f in (*schemas.TELEMETRY, T.StructField("line_id", T.StringType()), T.StructField("date", T.DateType()))
+            if f.name != "_time"}
+
+
 def read_telemetry(spark: SparkSession, path: str) -> DataFrame:
-    """Long telemetry. Lay it out by site and date: ``telemetry/site=.../date=...``."""
-    return spark.read.parquet(path)
+    """Long telemetry with its declared types, so that a folder ``site=007`` stays a text.
+
+    Lay it out with :func:`shiftlab.plans.sinks.write_telemetry`, by site and date:
+    ``telemetry/site=.../date=...``. Columns beyond the declared ones keep the types found.
+    """
+    found = spark.read.parquet(path).schema
+    declared = [T.StructField(f.name, _FOLDERS.get(f.name, f.dataType)) for f in found]
+    return spark.read.schema(T.StructType(declared)).parquet(path)
 
 
 def read_quality(spark: SparkSession, path: str) -> DataFrame:
@@ -54,12 +117,14 @@ def read_specs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_alerts(spark: SparkSession, path: str, fmt: str = "json", array_per_file: bool = True) -> DataFrame:
-    """Alert history. One JSON array per file is read whole by one task, so keep
-    such files small; JSON lines (``array_per_file=False``) and parquet split."""
-    reader = spark.read.schema(schemas.ALERT_HISTORY)
+    """Alert history; JSON files that are broken stay out, see :func:`broken_files`.
+
+    One JSON array per file is read whole by one task, so keep such files small;
+    JSON lines (``array_per_file=False``) and parquet split.
+    """
     if fmt == "json":
-        return reader.option("multiLine", array_per_file).json(path)
-    return reader.format(fmt).load(path)
+        return _sound(spark, path, schemas.ALERT_HISTORY, ALERT_NAMES, array_per_file)
+    return spark.read.schema(schemas.ALERT_HISTORY).format(fmt).load(path)
 
 
 def scan_telemetry(telemetry: DataFrame, lines: DataFrame | None = None, as_of: datetime | None = None,

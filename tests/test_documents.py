@@ -1,0 +1,102 @@
+"""Documents at their paths: round trips, reruns, failed tasks, and plans that leave texts alone."""
+
+import hashlib
+import os
+from datetime import datetime
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from registry.queries import RUN_ID, backfill
+from shiftlab.plans import documents, reports, sinks
+
+DATA = "/root/testdata/sf0.001"
+KIND = "path string, run_at timestamp_ntz, full_html string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(p, datetime.fromisoformat(t), x) for p, t, x in rows], KIND)
+
+
+def held(folder):
+    """Every file that a reader can see, by its path."""
+    out = {}
+    for top, folders, names in os.walk(folder):
+        folders[:] = [f for f in folders if not f.startswith("_")]
+        for name in names:
+            if not name.startswith((".", "_")):
+                out[os.path.relpath(os.path.join(top, name), folder)] = open(os.path.join(top, name), newline="").read()
+    return out
+
+
+ROWS = [("s/2024-03-05/process_change_D.html", "2024-03-05 18:02", "one\nline"), ("s/2024-03-05/process_change_N.html", "2024-03-05 06:02", ""),
+        ("t/2024-03-05/process_change_D.html", "2024-03-05 18:02", "é\r\n<b>日本</b>" * 10_000)]
+
+
+@pytest.mark.parametrize("prefix", ["", "file://"])
+def test_documents_lie_at_their_paths(spark, tmp_path, prefix):
+    folder = str(tmp_path / "out")
+    rows = ROWS + [(None, "2024-03-05 18:02", "nowhere")]
+    told = documents.write_at_paths(frame(spark, rows).repartition(3), prefix + folder, "r1")
+    assert held(folder) == {p: x for p, _, x in ROWS}
+    assert {r.path: (r.bytes, r.sha256) for r in told.collect()} == {
+        p: (len(x.encode()), hashlib.sha256(x.encode()).hexdigest()) for p, _, x in ROWS}
+    assert not os.path.exists(f"{folder}/_staging/r1")
+
+
+def test_reruns_replace_their_own_documents_only(spark, tmp_path):
+    folder = str(tmp_path / "out")
+    for _ in range(2):
+        documents.write_at_paths(frame(spark, ROWS), folder, "r1")
+    documents.write_at_paths(frame(spark, [(ROWS[0][0], "2024-03-05 18:02", "new")]), folder, "r2")
+    documents.write_at_paths(frame(spark, []), folder, "r3")
+    assert held(folder) == {p: x for p, _, x in ROWS} | {ROWS[0][0]: "new"}
+
+
+def test_the_last_run_of_a_path_wins(spark, tmp_path):
+    rows = [("s/a.html", "2024-03-05 12:00", "early"), ("s/a.html", "2024-03-05 18:00", "late"), ("s/a.html", "2024-03-05 13:00", "middle")]
+    documents.write_at_paths(frame(spark, rows).repartition(3), str(tmp_path), "r1")
+    assert held(tmp_path) == {"s/a.html": "late"}
+
+
+def test_a_failed_task_leaves_nothing(spark, tmp_path):
+    folder = str(tmp_path / "out")
+    rows = frame(spark, ROWS).repartition(3)
+    bad = rows.withColumn("full_html", F.when(F.col("path").startswith("t/"), F.raise_error(F.lit("no such part"))).otherwise(F.col("full_html")))
+    with pytest.raises(Exception, match="no such part"):
+        documents.write_at_paths(bad, folder, "r1")
+    assert held(folder) == {} and not os.path.exists(f"{folder}/_staging/r1")
+    documents.write_at_paths(rows, folder, "r1")
+    assert held(folder) == {p: x for p, _, x in ROWS}
+
+
+def test_a_move_that_is_tried_again(tmp_path):
+    """The second attempt of a task finds its documents in place; one that is nowhere is an error."""
+    batch = pa.record_batch([pa.array([p for p, _, _ in ROWS]), pa.array([x.encode() for _, _, x in ROWS])], ["path", "body"])
+    staged = list(documents.stager(f"{tmp_path}/_staging/r1")([batch]))
+    assert held(tmp_path) == {}
+    list(documents.mover(str(tmp_path))(staged[:2]))
+    list(documents.mover(str(tmp_path))(staged))
+    assert held(tmp_path) == {p: x for p, _, x in ROWS}
+    (tmp_path / ROWS[0][0]).write_text("another")
+    with pytest.raises(OSError):
+        list(documents.mover(str(tmp_path))(staged))
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="test tables not present")
+def test_every_path_of_history_opens(spark, tmp_path):
+    stored = sinks.write_line_reports(backfill(spark, DATA), str(tmp_path / "reports"), RUN_ID)
+    sites = reports.site_reports(stored)
+    documents.write_at_paths(sites, str(tmp_path / "out"), RUN_ID)
+    found = held(tmp_path / "out")
+    assert found == {r.path: r.full_html for r in sites.collect()}
+    assert {r.blob_path for r in reports.report_history(stored, RUN_ID).collect()} == found.keys()
+    assert {r.path for r in reports.document_paths(stored).collect()} == found.keys()
+    plans = {name: df._jdf.queryExecution().executedPlan().toString() for name, df in (
+        ("parts", reports.document_parts(stored)), ("paths", reports.document_paths(stored)), ("history", reports.report_history(stored, RUN_ID)))}
+    assert "Window" not in plans["parts"] and "collect_" not in plans["parts"]
+    for name in ("paths", "history"):
+        assert "html#" not in plans[name] and "html:string" not in plans[name]
+    labels = [x for x in plans["parts"].splitlines() if "Aggregate" in x]
+    assert labels and not any("html#" in x for x in labels)

@@ -173,16 +173,6 @@ def texts(folder):
     return "".join(open(os.path.join(folder, f), newline="").read() for f in sorted(os.listdir(folder)) if f.startswith("part-"))
 
 
-def test_documents_replace_only_their_own(spark, tmp_path):
-    path = str(tmp_path / "documents")
-    sites = reports.site_reports(stored(spark))
-    sinks.write_documents(sites.unionByName(sites.withColumn("site", F.lit("other"))), path)
-    sinks.write_documents(sites.withColumn("full_html", F.lit("line one\nline two")), path)
-    folder = "{}/site={}/report_date=2024-03-05/shift_letter=N"
-    assert texts(folder.format(path, "s")) == "line one\nline two\n"
-    assert texts(folder.format(path, "other")) == "<1><3>\n"
-
-
 def test_document_parts_read_in_order(spark, tmp_path):
     path = str(tmp_path / "parts")
     many = spark.range(500).select(
@@ -203,7 +193,7 @@ def test_publish_is_repeatable(spark, tmp_path):
     assert rows_of(counts, "site", "reports", "succeeded", "failed") == [("s", 3, 2, 1), ("t", 1, 0, 1)]
     assert rows_of(spark.read.parquet(f"{out}/history").groupBy("run_id").count(), "run_id", "count") == [("r1", 2), ("r2", 2)]
     assert spark.read.parquet(f"{out}/outbox").count() == 2
-    assert texts(f"{out}/documents/site=s/report_date=2024-03-05/shift_letter=N") == "<1><3>\n"
+    assert open(f"{out}/documents/s/2024-03-05/process_change_N.html").read() == "<1><3>"
     jobs.publish(stored(spark), str(tmp_path / "parts"), "r1", whole=False)
     assert texts(f"{tmp_path}/parts/documents/site=s/report_date=2024-03-05/shift_letter=N") == "<1>\n<3>\n"
 
