@@ -671,3 +671,9 @@ ORACLE["stream_line_shifts"] = f"""{with_(CONFIG.replace(_config_rows(), _config
 SELECT site, line_id, shift_start, shift_start + INTERVAL 12 hours AS shift_end, control, {r6('start_value')}, {r6('end_value')},
   {r6('coalesce(end_value - start_value, 0)', 'delta')}, {r6('coalesce(high - low, 0)', 'spread')}
 FROM obs WHERE shift_start + INTERVAL 12 hours <= (SELECT max(_time) FROM tel) - INTERVAL 1 hour"""
+_STREAMED = CONFIG.replace(_config_rows(), _config_rows(STREAM_STARTS))
+ORACLE["stream_process_changes"] = f"""
+{with_(_STREAMED, TELEMETRY, DEDUP, CALENDAR, closed_rows("kept", "minute_level"), OBSERVED)}
+SELECT site, line_id, shift_start, shift_start + INTERVAL 12 hours AS shift_end, control, {r6('start_value')}, {r6('end_value')},
+  {r6('coalesce(end_value - start_value, 0)', 'delta')}, {r6('coalesce(high - low, 0)', 'spread')}
+FROM obs WHERE shift_start + INTERVAL 12 hours + INTERVAL 90 seconds <= (SELECT max(_time) FROM tel) - INTERVAL 1 hour"""

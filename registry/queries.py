@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -684,16 +685,26 @@ def arriving(spark, sf_dir, batches=4):
     return rows.withColumn("batch", batch).drop("delay"), batches + 1
 
 
-@query
-def stream_line_shifts(spark, sf_dir):
-    """Changes of closed shifts, each line from its own start, run by run as files bring late and repeated readings."""
+def by_arrival(spark, sf_dir, changes_of):
+    """What a stream has written after a run per batch of arrivals, over lines of several shift starts."""
     rows, batches = arriving(spark, sf_dir)
     folder, out = session.work_folder(spark, "arrivals"), session.work_folder(spark, "stream-changes")
     schema = rows.drop("batch").schema
     for i in range(batches):
         rows.where(F.col("batch") == i).drop("batch").write.mode("append").parquet(folder)
         points_in = tables.scan_telemetry(views.events_as_telemetry(stream.read_stream(spark, folder, schema)))
-        found = stream.stream_line_shifts(
-            points_in, controls.line_controls(views.shifted_config(spark)), tiebreak="event_id")
+        found = changes_of(points_in, controls.line_controls(views.shifted_config(spark)))
         stream.write_stream(found, f"{out}/rows", f"{out}/state").awaitTermination()
-    return stream_columns(spark.read.schema(found.schema).parquet(f"{out}/rows"))
+    return spark.read.schema(found.schema).parquet(f"{out}/rows")
+
+
+@query
+def stream_line_shifts(spark, sf_dir):
+    """Changes of closed shifts, each line from its own start, run by run as files bring late and repeated readings."""
+    return stream_columns(by_arrival(spark, sf_dir, partial(stream.stream_line_shifts, tiebreak="event_id")))
+
+
+@query
+def stream_process_changes(spark, sf_dir):
+    """The machine part of reports from the same arrivals: unique points, first instant per minute, closed shifts."""
+    return stream_columns(by_arrival(spark, sf_dir, stream.stream_process_changes))

@@ -20,7 +20,7 @@ COLUMNS = {
     "disable_until": "Disable until",
 }
 
-PERIOD_DAYS = 30
+PERIOD_DAYS = 7
 
 
 def site_clock(ts: Column, dtype: str, site_tz: str, bucket: str | None = "minute") -> Column:
@@ -63,6 +63,33 @@ def period(ts: Column) -> Column:
     return F.floor(F.unix_date(ts.cast("date")) / PERIOD_DAYS)
 
 
+def by_period(rows: DataFrame) -> DataFrame:
+    """Rendered rows (site, line_label, changed_at, row) gathered per line and period, oldest first, and put together.
+
+    A period is a week, so what is gathered does not grow with the history.
+    """
+    held = F.array_sort(F.collect_list(F.struct("changed_at", "row")))
+    grouped = rows.groupBy("site", "line_label", period(F.col("changed_at")).alias("period")).agg(held.alias("held"))
+    return grouped.withColumn("whole", F.array_join(F.col("held.row"), ""))
+
+
+def period_texts(periods: DataFrame, runs: DataFrame) -> DataFrame:
+    """(site, line_id, run_at, period, text): what each run shows of each period that its look-back touches.
+
+    Runs are told apart only here, after the rows were put together: a period that lies
+    within a look-back is taken whole, and only the two at its ends are cut.
+    """
+    begin = cutoff(F.col("run_at"), F.col("lookback"))
+    dim = runs.select(*LINE, "run_at", begin.alias("cutoff"), text.line_label(F.col("line_id")).alias("line_label"))
+    first, last = period(F.col("cutoff")), period(F.col("run_at"))
+    dim = dim.withColumns({"first": first, "last": last, "period": F.explode(F.sequence(first, last))})
+    found = periods.join(sized(dim), ["site", "line_label", "period"])
+    inner = (F.col("period") > F.col("first")) & (F.col("period") < F.col("last"))
+    cut = F.filter("held", lambda r: (r["changed_at"] > F.col("cutoff")) & (r["changed_at"] <= F.col("run_at")))
+    shown = F.when(inner, F.col("whole")).otherwise(F.array_join(F.transform(cut, lambda r: r["row"]), ""))
+    return found.select(*LINE, "run_at", "period", shown.alias("text"))
+
+
 def in_lookback(rows: DataFrame, runs: DataFrame, known_at_run: bool = False) -> DataFrame:
     """Rows of :func:`alert_rows` in the look-back of each run of their line.
 

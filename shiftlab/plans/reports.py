@@ -150,13 +150,18 @@ def alert_sections(alerts: DataFrame, runs: DataFrame, site_tz: str = "America/C
     """Per report: rendered rows of its alert table, oldest change first.
 
     An alert shows in every run of its look-back, so it is rendered before it
-    meets them.
+    meets them. In a backfill it is also put together with the others of its week
+    first, and a run gathers weeks, not rows.
     """
     shown = [F.coalesce(html.escape(F.col(c).cast("string")), F.lit("None")) for c in alert_ops.COLUMNS]
     rendered = html.row(*[html.cell(s) for s in shown])
     rows = alert_ops.alert_rows(alerts, site_tz).select("site", "line_label", "changed_at", rendered.alias("row"))
-    found = alert_ops.in_lookback(rows, runs, known_at_run)
-    return found.groupBy(*REPORT).agg(html.joined_rows([F.col("changed_at")], F.col("row")).alias("alert_rows"))
+    if known_at_run:
+        found, order, piece = alert_ops.period_texts(alert_ops.by_period(rows), runs), "period", "text"
+    else:
+        found, order, piece = alert_ops.in_lookback(rows, runs), "changed_at", "row"
+    whole = html.joined_rows([F.col(order)], F.col(piece))
+    return found.groupBy(*REPORT).agg(F.nullif(whole, F.lit("")).alias("alert_rows"))
 
 
 def alert_section() -> Column:

@@ -118,6 +118,57 @@ def stream_line_shifts(points: DataFrame, controls: DataFrame, lateness: str = "
     )
 
 
+def stream_process_changes(points: DataFrame, controls: DataFrame, lateness: str = "1 hour") -> DataFrame:
+    """Changes as reports tell them, from a stream: unique points, first instant per minute, closed shifts.
+
+    Three groupings follow one another on one watermark. The first keeps a control's
+    first reading in a rounded minute of its line, and of two at one instant the highest; the second
+    the controls read at the first instant of the minute, a list no longer than the
+    line's configuration; the third is the shift, in which a minute on a boundary
+    counts on both sides. A minute is final when ``lateness`` has passed, a shift soon
+    after its last minute; what arrives later is dropped. Rounding is half to even, so an
+    instant that rounds down from the half is taken a microsecond early.
+    """
+    seconds = F.unix_micros("_time") % F.lit(2 * times.MINUTE * 1_000_000)
+    early = F.timestamp_add("MICROSECOND", F.when(seconds == 30_000_000, F.lit(-1)).otherwise(F.lit(0)), F.col("_time"))
+    timed = points.withColumns({
+        "_value": numeric.missing_if_nan(F.col("_value")), "_time": times.utc_to_instant(F.col("_time"))})
+    timed = timed.withColumn("_near", early).withWatermark("_near", lateness)
+    rows = timed.join(sized(requested_names(controls)), [*LINE, "_field"])
+    starts = F.pmod(F.col("start_seconds"), F.lit(times.SHIFT))
+    offsets = [r[0] for r in controls.select(starts.alias("s")).where("s is not null").distinct().collect()]
+    minute = F.window("_near", "1 minute", "1 minute", "30 seconds")
+    first = F.min(F.struct("_time", F.col("_value").isNull().alias("missing"), (-F.col("_value")).alias("negative")))
+    firsts = rows.withColumn("_offset", starts).groupBy(minute.alias("minute"), *LINE, "_offset", F.col("_field").alias("control")).agg(
+        first.alias("first"))
+    read = F.collect_list(F.struct("control", "first"))
+    lines = firsts.groupBy("minute", *LINE, "_offset").agg(read.alias("read"), F.min("first._time").alias("instant"))
+    kept = lines.withColumn("read", F.explode(F.filter("read", lambda r: r["first"]["_time"] == F.col("instant"))))
+    level = F.timestamp_add("SECOND", F.lit(times.MINUTE // 2), F.col("minute.start"))
+    kept = kept.select(F.window_time("minute").alias("_at"), *LINE, "_offset", "read.control", "instant", level.alias("level"),
+                       (-F.col("read.first.negative")).alias("_value"))
+
+    def on_grid(begin: int, step: int, own: list[int]) -> DataFrame:
+        # The time of a minute is its window's last microsecond, so that far behind the minute lie the windows of shifts.
+        window = F.window("_at", "12 hours 1 minute", f"{step} seconds", f"{begin} seconds 29999999 microseconds")
+        start = F.timestamp_add("MICROSECOND", F.lit(-29_999_999), F.col("shift.start"))
+        shifted = kept.where(F.col("_offset").isin(own)).withColumn("shift", window)
+        # The extra minute is there for a boundary on the minute; of another one it would hold the minute after.
+        own_shift = F.pmod(F.unix_timestamp(start) - F.col("_offset"), F.lit(times.SHIFT)) == 0
+        shifted = shifted.where(own_shift & (F.col("level") <= F.timestamp_add("HOUR", F.lit(12), start)))
+        order = F.when(F.col("_value").isNotNull(), F.col("instant"))
+        return shifted.groupBy("shift", *LINE, "control").agg(
+            F.min_by("_value", order).alias("start_value"), F.max_by("_value", order).alias("end_value"),
+            F.max("_value").alias("high"), F.min("_value").alias("low"),
+            F.min("level").alias("earliest"), F.max("level").alias("latest")).withColumn("start", times.instant_to_utc(start))
+    grouped = reduce(DataFrame.unionByName, [on_grid(*g) for g in shift_grids(offsets or [0])])
+    return grouped.select(
+        *LINE, F.col("start").alias("shift_start"), times.shift_end(F.col("start")).alias("shift_end"), "control", "start_value", "end_value",
+        F.coalesce(F.col("end_value") - F.col("start_value"), F.lit(0.0)).alias("delta"),
+        F.coalesce(F.col("high") - F.col("low"), F.lit(0.0)).alias("spread"),
+        times.instant_to_utc(F.col("earliest")).alias("earliest"), times.instant_to_utc(F.col("latest")).alias("latest"))
+
+
 def write_stream(changes: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
     """Append finished shifts to parquet files.
 

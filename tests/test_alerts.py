@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from shiftlab import schemas
 from shiftlab.operators import alerts
-from shiftlab.plans import runs
+from shiftlab.plans import reports, runs
 from shiftlab.sources import tables
 from helpers import at, dims, rows_of
 
@@ -83,3 +83,34 @@ def test_read_json_array_and_lines(spark, tmp_path):
 def test_settings_as_text(spark):
     table = history(spark, ("2024-02-01 12:00", "line8", True)).withColumn("alert_config", F.to_json("alert_config"))
     assert rows_of(view(spark, table), "trigger", "part") == [("Top load", "7")]
+
+
+def test_weeks_put_together_tell_the_same(spark):
+    """A backfill gathers weeks: the same texts as row by row, and no rendered row crosses more than two shuffles."""
+    lines, _ = dims(spark, dict(line="l8", timedelta="45 days"), dict(line="l9", days=3), dict(line="l7", timedelta="10 hours"))
+    backfill = runs.backfill_runs(lines, at("2023-11-20 06:02"), at("2024-01-20 06:02"))
+    table = history(spark, *[(f"2023-{m:02d}-{d:02d} {h:02d}:02", f"line{7 + (d + h) % 3}", True)
+                             for m in (10, 11, 12) for d in range(1, 31) for h in (6, 7, 18)])
+    found = reports.alert_sections(table, backfill, "UTC", known_at_run=True)
+    rows = alerts.in_lookback(alerts.alert_rows(table, "UTC"), backfill, known_at_run=True)
+    shown = [F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in alerts.COLUMNS]
+    cells = F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), s, F.lit("</td>")) for s in shown], F.lit("</tr>"))
+    plain = rows.groupBy("line_id", "run_at").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("changed_at", cells.alias("r")))), lambda x: x["r"]), "").alias("t"))
+    shown = found.where("alert_rows is not null")
+    assert rows_of(shown, "line_id", "run_at", "alert_rows") == rows_of(plain, "line_id", "run_at", "t")
+    assert shown.count() > 100
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "_w0" not in line]
+    assert len(moved) == 2, plan
+
+
+def test_cut_edges(spark):
+    """The last row within and the first rows outside of a look-back, on the days where weeks begin."""
+    lines, _ = dims(spark, dict(line="l8", timedelta="14 days"))
+    for day in range(1, 9):
+        run_at = at(f"2024-03-{day + 14:02d} 06:02")
+        run = runs.scheduled_run(lines, run_at)
+        table = history(spark, *[(f"2024-03-{day:02d} 06:0{m}", "line8", True) for m in (1, 2, 3)],
+                        *[(f"2024-03-{day + 14:02d} 06:0{m}", "line8", True) for m in (1, 2, 3)])
+        (row,) = reports.alert_sections(table, run, "UTC", known_at_run=True).collect()
+        assert [row.alert_rows.count(f"2024-03-{d:02d} 06:0{m}") for d in (day, day + 14) for m in (1, 2, 3)] == [0, 0, 1, 1, 1, 0]

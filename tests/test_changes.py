@@ -163,6 +163,7 @@ def test_keys_stand_in_for_names(spark):
 def test_keys_carry_the_hint_of_their_size(spark, monkeypatch, bound, join):
     frame, _, _, per_line = many(spark)
     monkeypatch.setattr("shiftlab.operators.sizes.hinted.__defaults__", (bound,))
+    monkeypatch.setattr("shiftlab.operators.sizes.MAX_BROADCAST_ROWS", bound)
     keys = point_ops.name_keys(per_line)
     observed = changes.observed_changes(
         point_ops.unique_points(point_ops.keyed_points(frame, keys)), line=["line_key"], control="control_key")
@@ -185,6 +186,7 @@ def test_large_configuration_joins_without_broadcast(spark, monkeypatch):
     frame, _, _, per_line = many(spark)
     expected = sorted(map(str, changes.shift_changes(frame, per_line).collect()))
     monkeypatch.setattr("shiftlab.operators.sizes.sized.__defaults__", (1, None))
+    monkeypatch.setattr("shiftlab.operators.sizes.MAX_BROADCAST_ROWS", 1)
     shuffled = changes.shift_changes(frame, per_line)
     assert "BroadcastHashJoin" not in shuffled._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(str, shuffled.collect())) == expected
@@ -194,3 +196,30 @@ def test_clock_zone_of_telemetry(spark):
     rows = points(spark, [(DAY + "14:00", "h_1", 1.0)]).withColumn("_time", times.to_zone(F.col("_time"), "UTC", "America/Chicago"))
     _, per_line = dims(spark, dict(num_heats=1))
     assert rows_of(changes.shift_changes(rows, per_line), "shift_label") == [("2024_03_05 D",)]
+
+
+def test_a_hot_control_beyond_the_broadcast_bound(spark, monkeypatch):
+    """70 % of all points are of one control: they fill many tasks, and are combined before the next shuffle."""
+    _, per_line = dims(spark, dict(num_heats=3))
+    frame = spark.range(60_000).select(
+        F.lit("s").alias("site"), F.lit("s-l1").alias("line_id"),
+        F.timestamp_add("SECOND", F.col("id"), F.expr("TIMESTAMP_NTZ'2024-03-05 00:00:00'")).alias("_time"),
+        F.when(F.col("id") % 10 < 7, F.lit("h_1")).otherwise(F.lit("h_2")).alias("_field"), (F.col("id") % 101).cast("double").alias("_value"))
+    expected = {name: sorted(map(str, found.collect())) for name, found in (
+        ("plain", changes.shift_changes(frame, per_line)), ("report", reports.process_changes(frame, per_line)))}
+    monkeypatch.setattr("shiftlab.operators.sizes.MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr("shiftlab.operators.sizes.hinted.__defaults__", (0,))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = point_ops.requested(frame, per_line)
+        assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+        parts = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(parts) == 8 and max(parts) < 2 * sum(parts) / len(parts)
+        for name, found in (("plain", changes.shift_changes(frame, per_line)), ("report", reports.process_changes(frame, per_line))):
+            plan = found._jdf.queryExecution().executedPlan().toString().splitlines()
+            at_join = max(i for i, line in enumerate(plan) if "SortMergeJoin" in line and "_salt" in line)
+            above = [line for line in plan[:at_join] if "Exchange" in line or "HashAggregate" in line]
+            assert "partial_" in above[-1] and "Exchange" in above[-2], above
+            assert sorted(map(str, found.collect())) == expected[name]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -65,7 +65,7 @@ def plan_of(df) -> str:
 @pytest.mark.parametrize("name,table", [
     ("shift_changes_all", "value"), ("process_changes", "value"), ("machine_report_html", "value"),
     ("good_fraction", "l_extendedprice"), ("line_report_html", "value"), ("line_report_html", "l_extendedprice"),
-    ("report_history", "event_type")])
+    ("report_history", "event_type"), ("line_report_run", "event_type"), ("line_report_run", "l_extendedprice")])
 def test_fact_tables_are_read_once(spark, name, table):
     plan = plan_of(REGISTERED[name](spark, DATA))
     scans = [line for line in plan.splitlines() if "FileScan" in line and table in line.split("Batched")[0]]

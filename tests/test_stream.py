@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from shiftlab import session
 from shiftlab.functions import times
 from shiftlab.operators import changes
-from shiftlab.operators.points import requested
+from shiftlab.operators.points import first_per_minute, requested, unique_points
 from shiftlab.streaming import changes as stream
 from helpers import at, dims, points, rows_of
 
@@ -117,6 +117,33 @@ def test_lines_of_different_starts_equal_the_batch(spark, tmp_path):
     assert {line for line, *_ in got} == {f"s-l{i}" for i in range(1, 6)} and len(got) >= 35
 
 
+def test_process_changes_equal_the_batch(spark, tmp_path):
+    """Rounded minutes with halves, instants that several controls share, missing and repeated readings, boundaries of shifts."""
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    _, per_line = dims(spark, *[dict(line=x, num_heats=3, name="h_{x}", start=s) for x, s in STARTS.items()])
+    steps = spark.range(0, 3 * 86400 // 15 + 1).where("id % 13 < 8 or id % 240 < 3")
+    i = F.col("id")
+    rows = steps.select(
+        F.timestamp_add("SECOND", i * 15, F.expr("TIMESTAMP_NTZ'2024-03-01 00:00:00'")).alias("_time"), i,
+        F.explode(F.array(*[F.lit(f"s-{x}") for x in STARTS])).alias("line_id"))
+    rows = rows.select(F.lit("s").alias("site"), "line_id", "_time", "id", F.explode(F.array(*[F.lit(f"h_{n}") for n in (1, 2, 3)])).alias("_field"))
+    mark = F.pmod(F.xxhash64("line_id", "id", "_field"), F.lit(100))
+    rows = rows.where(mark < 60).withColumn("_value", F.when(mark % 11 > 0, (mark * 7 % 53).cast("double"))).drop("id")
+    rows = rows.unionByName(rows.where(mark % 10 == 0))
+    for day in range(1, 5):
+        part = rows.where(F.to_date("_time") == F.lit(f"2024-03-0{day}").cast("date"))
+        part.write.mode("append").parquet(folder)
+        found = stream.stream_process_changes(stream.read_stream(spark, folder, rows.schema), per_line)
+        stream.write_stream(found, f"{out}/rows", f"{out}/state").awaitTermination()
+    last = rows.agg(F.max("_time")).first()[0]
+    unique = unique_points(requested(rows, per_line).where("start_seconds is not null"))
+    batch = changes.observed_changes(first_per_minute(unique), "minute_level")
+    batch = batch.where(F.col("shift_start") + F.expr("INTERVAL 13 HOURS 90 SECONDS") <= times.wall_clock(last))
+    columns = ["line_id", "shift_start", "control", "start_value", "end_value", "earliest", "latest"]
+    got = rows_of(spark.read.parquet(f"{out}/rows"), *columns)
+    assert got == rows_of(batch, *columns) and len(got) >= 60
+
+
 def test_a_late_reading_counts_by_its_age(spark, tmp_path):
     """Half an hour late counts, two hours late does not, on every line alike."""
     folder, out = str(tmp_path / "in"), str(tmp_path / "out")
