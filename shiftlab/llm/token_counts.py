@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,20 +12,41 @@ from shiftlab.llm import tokens
 from shiftlab.llm.common import own_columns, ship
 
 LIMIT = 4096
-#: The broadcast tier: at most so many pieces, from so many rows of the table.
-FREQUENT, SAMPLED = 20_000, 1_000
+#: Entries of the broadcast tier, those that each task proposes, and the pieces a task counts at once.
+FREQUENT, PROPOSED, COUNTED = 20_000, 4_000, 200_000
+
+
+def tally(proposed: int, counted: int):
+    """(piece, n) of the most frequent pieces of a task's texts.
+
+    Where a task meets more pieces than it may count, the rarer half is forgotten.
+    """
+    def run(batches):
+        seen: Counter[str] = Counter()
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                if text:
+                    seen.update(text.split(" "))
+                    if len(seen) > counted:
+                        seen = Counter(dict(seen.most_common(counted // 2)))
+        kept = [(p, n) for p, n in seen.most_common(2 * proposed) if 0 < len(p) <= tokens.LONGEST and "▁" not in p][:proposed]
+        yield pa.record_batch([pa.array([p for p, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())], ["piece", "n"])
+    return run
 
 
-def frequent_lengths(docs: DataFrame, path: str, pieces: int = FREQUENT, rows: int = SAMPLED) -> dict[str, int]:
-    """Lengths of the most frequent pieces of a few rows.
+def frequent_pieces(docs: DataFrame, pieces: int = FREQUENT, proposed: int = PROPOSED, counted: int = COUNTED) -> DataFrame:
+    """(piece, n) of the most frequent pieces of the whole table, from what every task proposes.
 
-    What the table holds decides how much work is saved and never what is counted.
+    Texts stay where they are read: a task sends on a few thousand counts at most.
     """
+    found = docs.select("text").mapInArrow(tally(proposed, counted), "piece string, n long")
+    return found.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(pieces)
+
+
+def frequent_lengths(docs: DataFrame, path: str) -> dict[str, int]:
+    """Lengths of the most frequent pieces; they decide how much work is saved and never what is counted."""
     import sentencepiece
-    words = docs.where(F.col("text").isNotNull()).limit(rows).select(F.explode(F.split("text", " ")).alias("piece"))
-    words = words.where(F.length("piece").between(1, tokens.LONGEST) & ~F.contains("piece", F.lit("▁")))
-    most = words.groupBy("piece").count().orderBy(F.desc("count"), "piece").limit(pieces)
-    found = [r.piece for r in most.collect()]
+    found = [r.piece for r in frequent_pieces(docs).collect()]
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     return dict(zip(found, tokens.piece_lengths(model, found)))
 
@@ -46,9 +69,10 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     sentencepiece, .json: tokenizers) gives the whole text, without ids for its
     beginning and end; over_limit tells if there are more than ``limit``. A null
     text is empty; an empty text has 0 ids. Rows are independent: doc_id may be null
-    or repeat. Other columns are ignored. Nothing is shuffled: the most frequent
-    pieces travel as a broadcast table of at most ``FREQUENT`` entries, all others
-    are encoded once per worker and kept there.
+    or repeat. Other columns are ignored. No text is shuffled: the most frequent
+    pieces of the whole table, counted by every task over its own texts, travel as
+    a broadcast table of at most ``FREQUENT`` entries, all others are encoded once per
+    worker and kept there.
     """
     spark = docs.sparkSession
     ship(spark)
