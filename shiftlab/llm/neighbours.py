@@ -19,6 +19,7 @@ result can hold, so that a vector that a third of all rows share stays one entry
 from __future__ import annotations
 
 import heapq
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -209,8 +210,9 @@ def nearest(table: DataFrame, k: int = K, every: int = EVERY, trees: int = TREES
     ``table`` has vec_id (integer) and embedding (array of numbers). Scores are
     inner products in double precision; ties go to the smaller vec_id; a query is no
     candidate of its own. With ``k`` or fewer others, all are returned. Rows with
-    a null vec_id or embedding, or one that is empty, all zero, holds a null or a
-    non-finite number, or has another length than most, take no part. Rows that
+    a null vec_id or embedding, or one that is empty, all zero, or holds a null or a
+    non-finite number, take no part. Vectors of different lengths have no inner
+    product: each length is searched among its own, by a forest of its own. Rows that
     repeat a vec_id are one row, with the smallest of their vectors by bytes. Other columns
     are ignored. Without rows, no rows.
     """
@@ -219,12 +221,16 @@ def nearest(table: DataFrame, k: int = K, every: int = EVERY, trees: int = TREES
     rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(
         cleaner, "vec_id long, dims int, vector binary, norm double")
     rows = stored(rows.groupBy("vec_id").agg(F.min(F.struct("dims", "vector", "norm")).alias("x")).select("vec_id", "x.*"), "vectors")
-    widths = rows.groupBy("dims").agg(F.count("*").alias("n"), F.max("norm").alias("norm")).orderBy(F.desc("n"), "dims").limit(1).collect()
+    widths = rows.groupBy("dims").agg(F.count("*").alias("n"), F.max("norm").alias("norm")).orderBy("dims").collect()
     if not widths:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dims, total, longest = widths[0].dims, widths[0].n, widths[0].norm
-    rows = rows.where(F.col("dims") == dims)
+    return reduce(DataFrame.unionByName, [
+        _nearest_of(rows.where(F.col("dims") == w.dims), w.dims, w.n, w.norm, k, every, trees, visited) for w in widths])
 
+
+def _nearest_of(rows: DataFrame, dims: int, total: int, longest: float, k: int, every: int, trees: int, visited: float) -> DataFrame:
+    """:func:`nearest` over vectors of one length."""
+    spark = rows.sparkSession
     # One entry per vector, named by its smallest id, with the ids that a result may need.
     ties = Window.partitionBy("vector").orderBy("vec_id")
     ids = stored(rows.select("vector", "vec_id").withColumn("place", F.row_number().over(ties)).where(F.col("place") <= k + 1), "ids")

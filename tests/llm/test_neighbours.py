@@ -65,3 +65,14 @@ def test_blocks_and_bundles(spark, monkeypatch):
     rng = np.random.default_rng(5)
     rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(400, 6)).astype(np.float32))]
     assert found(neighbours.nearest(frame(spark, rows))) == brute(rows)
+
+
+def test_each_length_among_its_own(spark):
+    """Vectors of other lengths than most are searched too, whatever their share."""
+    rng = np.random.default_rng(8)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(60, 2)).astype(np.float32))]
+    rows += [(100, [1.0, 2.0, 3.0]), (120, [0.5, -1.0, 2.0]), (140, [7.0])]
+    rows += [(1000 + i, v.tolist()) for i, v in enumerate(rng.normal(size=(80, 5)).astype(np.float32))]
+    want = sorted(x for n in (1, 2, 3, 5) for x in brute([(i, v) for i, v in rows if len(v) == n]))
+    got = found(neighbours.nearest(frame(spark, rows)))
+    assert got == want and {(100, 1, 120), (120, 1, 100)} <= {(q, r, v) for q, r, v, _ in got}

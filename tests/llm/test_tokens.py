@@ -186,3 +186,46 @@ def test_schedule_is_the_token_by_token_rule():
             given[turn] += 1
             want.append(list(given))
         assert schedule.stands(np.arange(sum(totals) + 1)).tolist() == want
+
+
+ODD_BITS = ["a", "Bc", "it's", "don't", "'s", " ", "  ", "\n", "\n\n", "\r\n", "\t", " \n", "\n ", "é", "Ö", "×", "÷", "ÿ", "À", "日本", "5", "12",
+            ".", ",", "!?", "<", "<|endoftext|>", "_", "-", "\xa0", "\u0301", "\x85", "\u2028", "ß", "ΑΣ", "İ", "🙂", "the", "Word", "\x00",
+            "\x0b", "\x1c", "\u3000", "▁", "x" * 20, "y" * 50, "(a)", "[b]", "~", "a.b", "q\nq", "Q.\nW", "é\né", "!\n!", "1\n2"]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_units_equal_the_library(name):
+    """Random strings of odd parts in batches, with a cache that overflows."""
+    import random
+    from tokenizers import Tokenizer
+    path = tokens.tokenizer_path(name)
+    encoder, library = tokens.IdEncoder(path), Tokenizer.from_file(path)
+    encoder.kept = 300
+    rng = random.Random(4)
+    texts = ["".join(rng.choice(ODD_BITS) for _ in range(rng.randint(0, 14))) for _ in range(8000)] + [None, ""] + [" ".join(ODD_BITS)] * 3
+    for at in range(0, len(texts), 400):
+        part = texts[at:at + 400]
+        want = [e.ids for e in library.encode_batch_fast([t or "" for t in part], add_special_tokens=False)]
+        assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder(part)] == want
+    assert encoder([]) == [] and all(len(u) <= 300 for u in encoder.units) and sum(map(len, encoder.units)) > 0
+
+
+def test_units_of_one_hash_are_told_apart(monkeypatch):
+    """Were two units to share their hash, their texts go the longer way."""
+    encoder = tokens.IdEncoder(tokens.tokenizer_path("byte_bpe_50k.json"))
+    texts = ["some words here", "and others there", "a\x00b a b " + "z" * 30]
+    want = encoder(texts)
+    monkeypatch.setattr(tokens.hashing, "mix", lambda h: h & np.uint64(1))
+    assert encoder(texts) == want
+
+
+def test_frequent_pieces_are_of_the_whole_table(spark):
+    """Whatever the order of rows; and no text goes to one task."""
+    rows = [(i, f"early{i % 3} " * 5) for i in range(1200)] + [(5000 + i, "late one late two") for i in range(4000)]
+    found = token_counts.frequent_pieces(cases.small(spark, rows), pieces=4)
+    assert [(r.piece, r.n) for r in found.collect()] == [("late", 8000), ("one", 4000), ("two", 4000), ("early0", 2000)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "text" not in plan.split("MapInArrow")[0]
+    tight = token_counts.frequent_pieces(cases.small(spark, rows), pieces=1, proposed=2, counted=4)
+    assert [r.piece for r in tight.collect()] == ["late"]
+    assert token_counts.frequent_pieces(cases.docs(spark, [])).collect() == []
