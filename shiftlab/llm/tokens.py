@@ -21,7 +21,7 @@ import pyarrow as pa
 from shiftlab.llm import hashing
 
 #: Pieces and units a worker keeps, about 200 bytes each, and the longest one it keeps.
-KEPT, KEPT_UNITS, LONGEST = 500_000, 800_000, 48
+KEPT, KEPT_UNITS, LONGEST = 500_000, 600_000, 48
 
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _SPACE_RUN = re.compile(r" \s")
@@ -354,7 +354,7 @@ def piece_counter(path: str, frequent: dict[str, int]) -> PieceCounter:
     return _encoders["counts", path]
 
 
-def portions(texts, rows: int = 1024, chars: int = 1 << 22):
+def portions(texts, rows: int = 1024, chars: int = 1 << 21):
     """Runs of a batch's texts, short enough for their pieces to fit in memory."""
     first, size = 0, 0
     for i, n in enumerate(map(lambda t: len(t or ""), texts)):
