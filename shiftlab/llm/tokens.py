@@ -180,7 +180,7 @@ class IdEncoder:
         self.words = PieceCache(self._words, kept=50_000)
         self.bare = PieceCache(self._one_by_one, kept=50_000)
         self.pieces = PieceCache(self._pieces, kept=50_000)
-        self.units: list[dict[bytes, bytes]] = [{} for _ in range(4)]
+        self.units: list[list[dict[bytes, bytes]]] = [[{}, {}] for _ in range(4)]
         self.kept = KEPT_UNITS
 
     def _one_by_one(self, pieces: list[str]) -> list[bytes]:
@@ -221,12 +221,18 @@ class IdEncoder:
         return out
 
     def _known(self, kind: int, units: list[bytes]) -> list[bytes]:
-        """Ids of distinct units of one kind; those not met before go to the tokenizer."""
-        held = self.units[kind]
-        missing = [u for u in units if u not in held]
-        if len(held) + len(missing) > (self.kept if kind == HEAD else self.kept // 4):
-            held.clear()
-            missing = units
+        """Ids of distinct units of one kind; those not met before go to the tokenizer.
+
+        Two generations are kept. When the younger is full the older goes, and units
+        that are met again have moved to the younger by then, so that frequent ones stay.
+        """
+        older, held = self.units[kind]
+        if len(held) + len(units) > (self.kept if kind == HEAD else self.kept // 4) // 2:
+            older, held = self.units[kind] = [held, {}]
+        absent = [u for u in units if u not in held]
+        again = {u: older[u] for u in absent if u in older}
+        held.update(again)
+        missing = [u for u in absent if u not in again]
         names = [u.decode() for u in missing]
         if kind == HEAD:
             found = self._words(names)
