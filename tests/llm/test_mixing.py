@@ -104,7 +104,8 @@ def test_odd_documents(spark):
 def test_queries_equal_their_sql(spark, name):
     folder = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    for table in ("documents", "embeddings", "benchmark", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
     result = con.execute(ORACLE[name])
     columns = [d[0] for d in result.description]
     want = sorted(map(repr, result.fetchall()))
