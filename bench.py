@@ -2,8 +2,9 @@
 
 Reads the tables at $BENCH_SF_DIR (default /root/testdata/sf0.1) on
 local[$BENCH_CPUS]. Each query runs once to warm up and then $BENCH_RUNS times
-(default 3) into a sink that drops the rows; the median counts. Names on the
-command line limit the run.
+(default 3) into a sink that drops the rows; the median counts. A query that
+took over 10 seconds to warm up, such as a stream of several runs, runs once
+more only. Names on the command line limit the run.
 """
 
 from __future__ import annotations
@@ -20,6 +21,10 @@ from registry.queries import REGISTERED  # noqa: E402
 from shiftlab.session import build_session  # noqa: E402
 
 
+#: Seconds of warm-up beyond which one more run has to do.
+LONG = 10
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
@@ -31,7 +36,7 @@ def main() -> None:
     timings = {}
     for name in names:
         seconds = []
-        for _ in range(runs + 1):
+        while len(seconds) <= (runs if not seconds or seconds[0] < LONG else 1):
             begin = time.perf_counter()
             REGISTERED[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             seconds.append(time.perf_counter() - begin)
