@@ -219,7 +219,7 @@ def _with_fetch(runs: DataFrame, sections: DataFrame) -> DataFrame:
     return joined.select("*", *[F.col("own")[c].alias(c) for c in held if c != "shift_start"]).drop("own", "fetched")
 
 
-def line_reports(runs: DataFrame, lines: DataFrame, controls: DataFrame, points: DataFrame,
+def line_reports(runs: DataFrame, lines: DataFrame, controls: DataFrame, points: DataFrame | list[DataFrame],
                  quality: DataFrame | None = None, specs: DataFrame | None = None,
                  alerts: DataFrame | None = None, bucket: str | None = "minute",
                  site_tz: str = "America/Chicago", known_at_run: bool = False,
@@ -235,6 +235,9 @@ def line_reports(runs: DataFrame, lines: DataFrame, controls: DataFrame, points:
     way the number of copies rides through the groupings that find the changes,
     so the points are read and shuffled once.
 
+    ``points`` may be the several result sets of one fetch; readings that they repeat
+    exactly are one then, and no failure.
+
     Telemetry clocks count as the clock shifts are told on, unless two different
     zones are named. Points are made unique and put in order before they move,
     so an hour that the local clock repeats is not taken for duplicates.
@@ -242,6 +245,8 @@ def line_reports(runs: DataFrame, lines: DataFrame, controls: DataFrame, points:
     """
     if fail_on not in ("fetch", "shift"):
         raise ValueError(f"fail_on is 'fetch' or 'shift', not {fail_on!r}")
+    if isinstance(points, list):
+        points = point_ops.union_distinct(points)
     history = alerts
     points, quality, alerts = bounded_reads(
         runs, points, quality, alerts, site_tz, known_at_run, fail_on == "fetch", telemetry_tz, shift_tz)

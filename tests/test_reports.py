@@ -80,6 +80,17 @@ def test_a_duplicate_of_another_shift(spark):
         reports.line_reports(run, lines, per_line, frame(spark, rows), fail_on="never")
 
 
+def test_result_sets_of_one_fetch(spark):
+    """Readings that several result sets repeat are one; two values at one time still fail the line."""
+    lines, per_line, run = setup(spark, dict(num_heats=1, nonheats=["plug"]))
+    whole, part = frame(spark, MOVED), frame(spark, MOVED[1:])
+    alone, both = (reports.line_reports(run, lines, per_line, p).first() for p in (whole, [whole, part, part]))
+    assert (alone.status, alone.html) == ("success", both.html)
+    assert reports.line_reports(run, lines, per_line, whole.unionByName(part)).first().status == "failed"
+    other = frame(spark, [("s-l1", DAY + "08:00", "h_1", 7.0)])
+    assert reports.line_reports(run, lines, per_line, [whole, other]).first().status == "failed"
+
+
 def test_a_duplicate_fails_a_line_without_data_in_its_shift(spark):
     lines, per_line, run = setup(spark, dict(num_heats=1))
     rows = [("s-l1", DAY + "05:00", "h_1", 1.0), ("s-l1", DAY + "05:00", "h_1", 2.0)]
