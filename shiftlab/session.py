@@ -39,7 +39,7 @@ _shipped: set[str] = set()
 def ship(spark: SparkSession) -> None:
     """Let Python workers import this package on machines where it is not installed."""
     app = spark.sparkContext.applicationId
-    if app in _shipped or spark.sparkContext.master.startswith("local["):
+    if app in _shipped:
         return
     root = os.path.dirname(os.path.abspath(__file__))
     target = os.path.join(tempfile.mkdtemp(prefix="shiftlab-code-"), "shiftlab_core.zip")

@@ -100,3 +100,19 @@ def test_every_path_of_history_opens(spark, tmp_path):
         assert "html#" not in plans[name] and "html:string" not in plans[name]
     labels = [x for x in plans["parts"].splitlines() if "Aggregate" in x]
     assert labels and not any("html#" in x for x in labels)
+
+
+def test_workers_find_the_package_from_any_folder(tmp_path):
+    """The job started elsewhere, the package only on the driver's own path."""
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    job = (f"import sys; sys.path.insert(0, {root!r})\n"
+           "from shiftlab.session import build_session\nfrom shiftlab.plans import documents\n"
+           "spark = build_session('t', 'local[1]', **{'spark.sql.shuffle.partitions': '1'})\n"
+           "rows = spark.sql(\"select 's/a.html' path, timestamp_ntz'2024-03-05 06:02:00' run_at, 'text' full_html\")\n"
+           f"documents.write_at_paths(rows, {str(tmp_path / 'out')!r}, 'r1')\n")
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH" and not k.startswith(("PYSPARK", "SPARK"))}
+    done = subprocess.run([sys.executable, "-c", job], cwd=tmp_path, env=clean, capture_output=True, text=True, timeout=200)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert held(tmp_path / "out") == {"s/a.html": "text"}
