@@ -44,7 +44,7 @@ SIMILAR = (80, 100)
 BANDS, ROWS = 6, 3
 #: Rounds in which a document meets only the hub that most of its open stretches have.
 GREEDY = 2
-#: Equal places of a pair of texts that are looked at together, and up to which all are.
+#: Equal places of a pair of texts that are looked at together, and up to which all are listed.
 PAIRS, ALL_PAIRS = 1 << 19, 1 << 20
 
 _U = np.uint64
@@ -192,26 +192,6 @@ def refiler(t: int, shared: int):
     return run
 
 
-def _matches(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places in ``a`` that have an equal in ``b``, and one such place each; runs go on along a diagonal where they can."""
-    order = np.argsort(b, kind="stable")
-    ranked = b[order]
-    at = np.searchsorted(ranked, a)
-    at[at == len(b)] = 0
-    i = np.flatnonzero(ranked[at] == a) if len(b) else np.zeros(0, np.int64)
-    j = order[at[i]]
-    if len(i) and (ranked[1:] == ranked[:-1]).any():
-        places = j.tolist()
-        here, known = i.tolist(), b.tolist()
-        values = a.tolist()
-        for n in range(1, len(places)):
-            follow = places[n - 1] + here[n] - here[n - 1]
-            if follow < len(known) and known[follow] == values[here[n]]:
-                places[n] = follow
-        j = np.array(places)
-    return i, j
-
-
 def stretch_hashes(values: np.ndarray, width: int) -> np.ndarray:
     """A hash of the ``width`` values from each place on, as far as they reach."""
     if len(values) < width:
@@ -228,38 +208,87 @@ def stretch_hashes(values: np.ndarray, width: int) -> np.ndarray:
         bit *= 2
 
 
-def _diagonal_runs(i: np.ndarray, j: np.ndarray, width: int = 1) -> np.ndarray:
+def _diagonal_runs(i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Rows (first i, first j, length) of the places that follow each other on a diagonal."""
     by = np.lexsort((i, j - i))
     i, j = i[by], j[by]
     heads = np.flatnonzero(np.r_[True, (np.diff(i) != 1) | (np.diff(j) != 1)])[:len(i)]
-    return np.stack([i[heads], j[heads], np.diff(np.r_[heads, len(i)]) + width - 1], 1)
+    return np.stack([i[heads], j[heads], np.diff(np.r_[heads, len(i)])], 1)
+
+
+def _portions(counts: np.ndarray, limit: int):
+    """Runs of places that have about ``limit`` of the counts together; a larger one stands alone."""
+    done, first = np.cumsum(counts), 0
+    while first < len(counts):
+        before = int(done[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(done, before + limit, "right")))
+        yield first, last
+        first = last
+
+
+def _common_lengths(a: np.ndarray, b: np.ndarray):
+    """A function of places in ``a`` and ``b``: how many values are equal from there on, by hashes of 1, 2, 4.. values."""
+    levels = []
+    while len(a) and len(b) and np.isin(a, b).any():
+        levels.append((a, b))
+        step = 1 << (len(levels) - 1)
+        a, b = (hashing.mix(x[:max(0, len(x) - step)] * _U(0xBF58476D1CE4E5B9) + x[step:]) for x in (a, b))
+
+    def lengths(i, j):
+        out = np.zeros(len(i), np.int64)
+        for k in range(len(levels) - 1, -1, -1):
+            x, y = i + out, j + out
+            inside = np.flatnonzero((x < len(levels[k][0])) & (y < len(levels[k][1])))
+            out[inside[levels[k][0][x[inside]] == levels[k][1][y[inside]]]] += 1 << k
+        return out
+    return lengths
+
+
+def _runs_from_starts(a: np.ndarray, b: np.ndarray, pairs: int) -> list[np.ndarray]:
+    """All maximal runs, by the places where one starts: equal ones behind different ones, or behind an end.
+
+    Places of ``b`` are ranked by their value and the one before it. Those that start a run with a
+    place of ``a`` are all of its value but one stretch of that ranking.
+    """
+    values = np.unique(np.r_[a, b])
+    at_a, at_b = (np.searchsorted(values, x) + 1 for x in (a, b))
+    base = len(values) + 2
+    code = at_b * base + np.r_[0, at_b[:-1]]
+    order = np.argsort(code, kind="stable")
+    ranked = code[order]
+    same = at_a * base + np.r_[base - 1, at_a[:-1]]
+    low, high = np.searchsorted(ranked, at_a * base), np.searchsorted(ranked, (at_a + 1) * base)
+    left = np.searchsorted(ranked, same) - low
+    gap = np.searchsorted(ranked, same, "right") - low - left
+    many = high - low - gap
+    lengths, rows = _common_lengths(a, b), []
+    for first, last in _portions(many, pairs):
+        count = many[first:last]
+        i = np.repeat(np.arange(first, last), count)
+        nth = np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count)
+        j = order[low[i] + nth + np.where(nth < left[i], 0, gap[i])]
+        rows.append(np.stack([i, j, lengths(i, j)], 1))
+    return rows
 
 
 def equal_runs(a: np.ndarray, b: np.ndarray, t: int, pairs: int = PAIRS, all_pairs: int = ALL_PAIRS) -> np.ndarray:
-    """Rows (first in a, first in b, length) of the runs of equal shingles, by their place in ``a``.
+    """Rows (first in a, first in b, length) of all maximal runs of equal shingles, by their place in ``a``.
 
-    They are all maximal runs, found over portions of ``a`` with about ``pairs`` equal
-    places each and joined where a portion cuts one. Only where the texts repeat themselves
-    so often that more than ``all_pairs`` places are equal, they are those that go on along a
-    diagonal (``_matches``), and some that cover every stretch of ``t`` shingles that is in both.
+    Up to ``all_pairs`` equal places are listed, and joined to runs; of more, as of texts that
+    repeat themselves very often, only those that start a run. Both list the same runs, whatever
+    ``t``, over portions of ``a`` with about ``pairs`` places of ``b`` each.
     """
     order = np.argsort(b, kind="stable")
     ranked = b[order]
     low = np.searchsorted(ranked, a)
     many = np.searchsorted(ranked, a, "right") - low
-    done = np.cumsum(many)
-    total = int(done[-1]) if len(done) else 0
-    if total <= all_pairs:
-        rows, first = [], 0
-        while first < len(a):
-            before = int(done[first - 1]) if first else 0
-            last = max(first + 1, int(np.searchsorted(done, before + pairs, "right")))
+    if int(many.sum()) <= all_pairs:
+        rows = []
+        for first, last in _portions(many, pairs):
             count = many[first:last]
             i = np.repeat(np.arange(first, last), count)
             j = order[np.arange(len(i)) - np.repeat(np.cumsum(count) - count - low[first:last], count)]
             rows.append(_diagonal_runs(i, j))
-            first = last
         rows = np.concatenate(rows) if rows else np.zeros((0, 3), np.int64)
         rows = rows[np.lexsort((rows[:, 0], rows[:, 1] - rows[:, 0]))]
         apart = (np.diff(rows[:, 1] - rows[:, 0]) != 0) | (rows[1:, 0] != rows[:-1, 0] + rows[:-1, 2])
@@ -267,7 +296,7 @@ def equal_runs(a: np.ndarray, b: np.ndarray, t: int, pairs: int = PAIRS, all_pai
         if len(heads):
             rows = np.column_stack([rows[heads, :2], np.add.reduceat(rows[:, 2], heads)])
     else:
-        rows = np.concatenate([_diagonal_runs(*_matches(a, b)), _diagonal_runs(*_matches(stretch_hashes(a, t), stretch_hashes(b, t)), t)])
+        rows = np.concatenate(_runs_from_starts(a, b, pairs))
     return rows[np.lexsort((rows[:, 1], rows[:, 0]))]
 
 

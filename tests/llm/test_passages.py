@@ -282,3 +282,29 @@ def test_exact_stretches_are_filed_where_their_windows_are_shared():
 def test_equal_texts(spark):
     rows = [(1, "a b"), (2, "a b"), (2, "a b"), (3, "c"), (4, "a b"), (4, "other"), (5, "")]
     assert passages.equal_texts(cases.small(spark, rows)).collect() == [(2, 2, 1)]
+
+
+def test_runs_do_not_depend_on_how_many_places_are_equal():
+    rng = np.random.default_rng(19)
+    cases_of = [[rng.integers(0, kinds, n).astype(np.uint64) for n in sizes]
+                for kinds, sizes in ((1, (9, 14)), (2, (40, 60)), (3, (70, 50)), (30, (90, 90)), (5, (1, 30)))]
+    line = np.arange(7, dtype=np.uint64)
+    cases_of.append([np.r_[np.tile(line, 9), line + 9, np.tile(line, 3)], np.r_[line + 9, np.tile(line, 12)]])
+    for a, b in cases_of:
+        listed = passages.equal_runs(a, b, 5).tolist()
+        for pairs in (1, 40, 1 << 19):
+            assert passages.equal_runs(a, b, 5, pairs, all_pairs=0).tolist() == listed
+    assert passages.equal_runs(line, line + 9, 5, all_pairs=-1).tolist() == []
+
+
+def test_edited_passages_in_texts_with_very_many_equal_places(spark):
+    """A column of zeros makes more equal places than are listed; the edited passage goes on behind its edit all the same."""
+    rng = random.Random(20)
+    part, zeros = words_of(rng, 60), ["0"] * 1100
+    hub = zeros + [w for _ in range(3) for w in part[:27] + words_of(rng, 8)] + part
+    text = words_of(rng, 20) + part[:27] + ["edited"] + part[28:] + words_of(rng, 20) + zeros
+    b, a = passages.shingle_runs(pa.array([" ".join(t) for t in (hub, text)]))
+    assert (a[:, None] == b[None, :]).sum() > passages.ALL_PAIRS
+    assert (20, 75, len(hub) - 60) in [f[:3] for f in passages.shared_passages(a, b, 46, (80, 100))]
+    found = passages.repeated_passages(cases.small(spark, [(1, " ".join(hub)), (2, " ".join(text))])).collect()
+    assert (20, 60) in {(r.first_word, r.n_words) for r in found}
