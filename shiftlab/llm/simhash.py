@@ -29,13 +29,31 @@ CHUNK = 1 << 15
 RADIUS, BLOCKS = 3, 4
 
 
+def _lanes(found: np.ndarray, bits: int) -> list[np.ndarray]:
+    return [hashing.mix(found ^ np.uint64(0x632BE59BD9B4E019 * i % (1 << 64))) for i in range(1, bits // 64 + 1)]
+
+
 def _votes(found: np.ndarray, weight: np.ndarray, starts: np.ndarray, bits: int) -> np.ndarray:
-    lanes = [hashing.mix(found ^ np.uint64(0x632BE59BD9B4E019 * i % (1 << 64))) for i in range(1, bits // 64 + 1)]
-    spread = np.unpackbits(np.stack(lanes, 1).view(np.uint8), axis=1).astype(np.int32)
+    spread = np.unpackbits(np.stack(_lanes(found, bits), 1).view(np.uint8), axis=1).astype(np.int32)
     spread *= (2 * weight)[:, None]
     return np.add.reduceat(spread, starts, axis=0) - np.add.reduceat(weight, starts)[:, None]
 
 
+def _equal_votes(found: np.ndarray, starts: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(group, votes) of up to 255 terms of weight 1 at a time; bits are counted in the bytes of whole lanes."""
+    sizes = np.diff(np.r_[starts, len(found)])
+    pieces = -(-sizes // 255)
+    group = np.repeat(np.arange(len(starts)), pieces)
+    begins = starts[group] + 255 * (np.arange(len(group)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+    lanes = _lanes(found, bits)
+    counts = np.empty((len(group), len(lanes), 8, 8), np.int32)
+    for n, lane in enumerate(lanes):
+        for k in range(8):
+            sums = np.add.reduceat((lane >> np.uint64(7 - k)) & np.uint64(0x0101010101010101), begins)
+            counts[:, n, :, k] = sums.view(np.uint8).reshape(len(group), 8)
+    return group, 2 * counts.reshape(len(group), bits) - np.diff(np.r_[begins, len(found)])[:, None]
+
+
 def fingerprints(column: pa.Array, bits: int = BITS, term: int = TERM) -> np.ndarray:
     """A row of ``bits`` / 8 bytes for each text; without words all are 0."""
     data, offsets = hashing.text_bytes(column)
@@ -52,6 +70,16 @@ def fingerprints(column: pa.Array, bits: int = BITS, term: int = TERM) -> np.nda
         weight = np.rint(UNIT * (1 + np.log2(np.diff(np.r_[heads, len(found)])))).astype(np.int32)
         found, owner = found[heads], owner[heads]
         sums = np.zeros((last - first, bits), np.int64)
+        # Most terms occur once; their votes have one weight.
+        once = weight == UNIT
+        for at in range(0, len(found), CHUNK):
+            part = once[at:at + CHUNK]
+            some, single = owner[at:at + CHUNK][part], found[at:at + CHUNK][part]
+            if len(single):
+                starts = np.flatnonzero(np.r_[True, some[1:] != some[:-1]])
+                group, votes = _equal_votes(single, starts, bits)
+                np.add.at(sums, some[starts][group], UNIT * votes)
+        found, owner, weight = found[~once], owner[~once], weight[~once]
         for at in range(0, len(found), CHUNK):
             some = owner[at:at + CHUNK]
             starts = np.flatnonzero(np.r_[True, some[1:] != some[:-1]])

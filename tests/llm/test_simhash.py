@@ -94,3 +94,17 @@ def test_search_query(spark):
                 ids = [i for i, f in docs.items() if f == b]
                 want[a, b] = d, min(ids), len(ids)
     assert found == want
+
+
+def test_votes_of_equal_weight_are_counted_in_bytes():
+    """Groups of more than 255 terms take several pieces; the sums are those of the plain votes."""
+    rng = np.random.default_rng(4)
+    sizes = [1, 254, 255, 256, 3, 2000]
+    starts, n = np.r_[0, np.cumsum(sizes)[:-1]], sum(sizes)
+    for values in (rng.integers(0, 1 << 63, n).astype(np.uint64), np.full(n, 77, np.uint64)):
+        for bits in (64, 128):
+            group, votes = simhash._equal_votes(values, starts, bits)
+            sums = np.zeros((len(sizes), bits), np.int64)
+            np.add.at(sums, group, simhash.UNIT * votes)
+            assert (sums == simhash._votes(values, np.full(n, simhash.UNIT, np.int32), starts, bits)).all()
+            assert len(group) == 1 + 1 + 1 + 2 + 1 + 8
