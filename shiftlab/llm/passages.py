@@ -47,6 +47,9 @@ GREEDY = 2
 #: Equal places of a pair of texts that are looked at together, and up to which all are listed.
 PAIRS, ALL_PAIRS = 1 << 19, 1 << 20
 
+#: Runs before another up to which all are looked at, whatever their place in the other text.
+FEW = 256
+
 _U = np.uint64
 
 
@@ -92,23 +95,61 @@ def unbroken(t: int, similar: tuple[int, int]) -> int:
     return max(1, least)
 
 
-def window_keys(shingles: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(key, place, first, last) of every window of at least ``t`` shingles, by the centre with half of them on either side.
+def _extents(values: np.ndarray, c: np.ndarray, low: np.ndarray, high: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray]:
+    """How far left of ``c`` all values are larger, and right of it none is smaller; below ``t`` places, from low to high."""
+    out = np.zeros((2, len(c)), np.int64)
+    for side, step in enumerate((-1, 1)):
+        alive = np.arange(len(c))
+        for d in range(1, t):
+            at = c[alive] + step * d
+            inside = at >= low[alive] if step < 0 else at <= high[alive]
+            alive, at = alive[inside], at[inside]
+            alive = alive[values[at] > values[c[alive]] if step < 0 else values[at] >= values[c[alive]]]
+            if not len(alive):
+                break
+            out[side, alive] = d
+    return out[0], out[1]
+
+
+def window_rows(shingles: np.ndarray, cuts: np.ndarray, t: int) -> tuple[np.ndarray, ...]:
+    """(key, row, place, first, last) of every window of at least ``t`` shingles, by the centre with half of them on either side.
 
-    A place is twice the centre, and one more for the right side. Every stretch that
-    holds the ``t`` shingles from first to last has a window with this key.
+    A row has the shingles between two ``cuts``. A place is twice the centre in its row, and one more
+    for the right side. Every stretch that holds the ``t`` shingles from first to last has a window
+    with this key. Windows are those of ``compact_windows``.
     """
     side = (t - 1) // 2
+    none = np.zeros(0, np.int64)
+    if len(shingles) < t:
+        return np.zeros(0, _U), none, none, none, none
+    values = hashing.mix(shingles ^ _seed(0))
+    least = sliding_minima(values, side + 1)
+    starts = len(least)
+    # A centre is the smallest of half a window on one side of it at least.
+    able = np.zeros(len(values), bool)
+    able[:starts] = least == values[:starts]
+    able[side:] |= least == values[side:]
+    c = np.flatnonzero(able)
+    row = np.searchsorted(cuts, c, "right") - 1
+    begin, end = cuts[row], cuts[row + 1] - 1
+    left, right = _extents(values, c, begin, end, t)
+    wide = left + right + 1 >= t
+    c, row, begin, left, right = c[wide], row[wide], begin[wide], left[wide], right[wide]
+    first = np.clip(c - side, c - left, c + right - t + 1) - begin
     sides = stretch_hashes(shingles, side + 1)
-    keys, places, firsts = [np.zeros(0, _U)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    if len(shingles) >= t:
-        low, c, high = np.array(compact_windows(hashing.mix(shingles ^ _seed(0)), t), np.int64).T
-        for n, ok, start in ((0, c - side >= low, c - side), (1, c + side <= high, c)):
-            keys.append(hashing.mix(sides[start[ok]] + _seed(201 + n)))
-            places.append(2 * c[ok] + n)
-            firsts.append(np.clip(c - side, low, high - t + 1)[ok])
-    first = np.concatenate(firsts)
-    return np.concatenate(keys), np.concatenate(places), first, first + t - 1
+    keys, use = [], []
+    for n, ok, start in ((0, left >= side, c - side), (1, right >= side, c)):
+        use.append(np.flatnonzero(ok))
+        keys.append(hashing.mix(sides[start[ok]] + _seed(201 + n)))
+    places = np.concatenate([2 * (c - begin)[use[0]], 2 * (c - begin)[use[1]] + 1])
+    use = np.concatenate(use)
+    return np.concatenate(keys), row[use], places, first[use], first[use] + t - 1
+
+
+def window_keys(shingles: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(key, place, first, last) of ``window_rows`` for one text."""
+    keys, _, places, first, last = window_rows(shingles, np.array([0, len(shingles)]), t)
+    return keys, places, first, last
 
 
 def marked(n: int, firsts: np.ndarray, lasts: np.ndarray) -> np.ndarray:
@@ -121,48 +162,76 @@ def marked(n: int, firsts: np.ndarray, lasts: np.ndarray) -> np.ndarray:
     return np.cumsum(steps)[:-1] > 0
 
 
-def stretch_keys(shingles: np.ndarray, opened: np.ndarray, t: int, shared: int, bands: int = BANDS,
-                 rows: int = ROWS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, first, exact) of the stretches of ``t`` shingles around the ``opened`` places of windows of ``shared`` shingles.
+def stretch_rows(shingles: np.ndarray, cuts: np.ndarray, opened: np.ndarray, of: np.ndarray, t: int, shared: int,
+                 bands: int = BANDS, rows: int = ROWS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(key, row, first, exact) of the stretches of ``t`` shingles around the ``opened`` places of windows of ``shared`` shingles.
 
-    They are filed by signatures: next stretches with one signature make one interval,
+    A row has the shingles between two ``cuts``, and the opened places with its number in ``of``.
+    Stretches are filed by signatures: next stretches with one signature make one interval,
     filed once, by its middle. Those that can be in another text word for word, as they
     hold no window that other texts lack, are filed by their own hash too.
     """
-    n = len(shingles) - t + 1
-    if n < 1:
-        return np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, bool)
-    near = marked(n, opened // 2 - t + 1, opened // 2)
-    _, places, first, last = window_keys(shingles, shared)
-    own = ~np.isin(places, opened)
-    whole = np.flatnonzero(near & ~marked(n, last[own] - t + 1, first[own]))
+    def starts(row, firsts, lasts):
+        return marked(len(shingles), cuts[row] + np.maximum(firsts, 0), np.minimum(cuts[row] + lasts, cuts[row + 1] - t))
+
+    none = np.zeros(0, np.int64)
+    near = starts(of, opened // 2 - t + 1, opened // 2)
     use = np.flatnonzero(near)
-    keys, firsts = [hashing.mix(stretch_hashes(shingles, t)[whole] + _seed(300))], [whole]
+    if not len(use):
+        return np.zeros(0, _U), none, none, np.zeros(0, bool)
+    _, row, places, first, last = window_rows(shingles, cuts, shared)
+    own = ~np.isin((row << 32) + places, (of << 32) + opened)
+    whole = near & ~starts(row[own], last[own] - t + 1, first[own])
+    # Only shingles of such stretches matter; each stretch stays in one piece.
+    held = marked(len(shingles), use, use + t - 1)
+    shingles, at = shingles[held], (np.cumsum(held) - 1)[use]
+    whole = np.flatnonzero(whole[use])
+    keys, firsts = [hashing.mix(stretch_hashes(shingles, t)[at[whole]] + _seed(300))], [use[whole]]
+    apart = np.r_[True, np.diff(use) != 1]
     for band in range(bands):
         signature = np.zeros(len(use), _U)
         for k in range(rows):
             least = sliding_minima(hashing.mix(shingles ^ _seed(1 + band * rows + k)), t)
-            signature = hashing.mix(signature * _U(0x9E3779B97F4A7C15) + least[use])
-        heads = np.flatnonzero(np.r_[True, (np.diff(use) != 1) | (signature[1:] != signature[:-1])])[:len(use)]
+            signature = hashing.mix(signature * _U(0x9E3779B97F4A7C15) + least[at])
+        heads = apart.copy()
+        heads[1:] |= signature[1:] != signature[:-1]
+        heads = np.flatnonzero(heads)
         behind = np.r_[heads[1:], len(use)]
         keys.append(hashing.mix(signature[heads] + _seed(400 + band)))
         firsts.append(use[(heads + behind - 1) // 2])
     exact = np.zeros(sum(map(len, keys)), bool)
     exact[:len(whole)] = True
-    return np.concatenate(keys), np.concatenate(firsts), exact
+    firsts = np.concatenate(firsts)
+    row = np.searchsorted(cuts, firsts, "right") - 1
+    return np.concatenate(keys), row, firsts - cuts[row], exact
 
 
-def shingle_runs(column: pa.Array):
-    """The shingle hashes of every text, in order; fewer words than a shingle give none."""
+def stretch_keys(shingles: np.ndarray, opened: np.ndarray, t: int, shared: int, bands: int = BANDS,
+                 rows: int = ROWS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, first, exact) of ``stretch_rows`` for one text."""
+    keys, _, first, exact = stretch_rows(shingles, np.array([0, len(shingles)]), opened, np.zeros(len(opened), np.int64), t, shared,
+                                         bands, rows)
+    return keys, first, exact
+
+
+def shingle_slices(column: pa.Array):
+    """(first row, row behind, shingle hashes, cuts between rows) of runs of texts; fewer words than a shingle give none."""
     data, offsets = hashing.text_bytes(column)
     for first, last in hashing.slices(offsets):
         part = data[offsets[first]:offsets[last]]
         begins, behind, row = hashing.word_spans(part, offsets[first:last + 1] - offsets[first])
         found, owner = hashing.shingle_hashes(hashing.word_hashes(part, begins, behind), row)
-        cuts = np.searchsorted(owner, np.arange(last - first + 1))
-        words = np.bincount(row, minlength=last - first)
+        long = np.bincount(row, minlength=last - first)[owner] >= hashing.WORDS
+        if not long.all():
+            found, owner = found[long], owner[long]
+        yield first, last, found, np.searchsorted(owner, np.arange(last - first + 1))
+
+
+def shingle_runs(column: pa.Array):
+    """The shingle hashes of every text, in order; fewer words than a shingle give none."""
+    for first, last, found, cuts in shingle_slices(column):
         for i in range(last - first):
-            yield found[cuts[i]:cuts[i + 1]] if words[i] >= hashing.WORDS else found[:0]
+            yield found[cuts[i]:cuts[i + 1]]
 
 
 def filer(t: int):
@@ -171,12 +240,10 @@ def filer(t: int):
         tokens.forget()
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            rows = [window_keys(shingles, t) for shingles in shingle_runs(batch.column("text"))]
-            if rows:
-                keys, places, _, _ = zip(*rows)
-                owners = np.repeat(ids, list(map(len, keys)))
-                yield pa.record_batch([pa.array(np.concatenate(keys).view(np.int64)), pa.array(owners),
-                                       pa.array(np.concatenate(places).astype(np.int32))], ["key", "doc_id", "place"])
+            for first, _, shingles, cuts in shingle_slices(batch.column("text")):
+                keys, row, places, _, _ = window_rows(shingles, cuts, t)
+                yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(ids[first + row]),
+                                       pa.array(places.astype(np.int32))], ["key", "doc_id", "place"])
     return run
 
 
@@ -184,10 +251,12 @@ def refiler(t: int, shared: int):
     """Every stretch around an open window, by its own hash and by its signatures."""
     def run(batches):
         for batch in batches:
-            ids, places = batch.column("doc_id").to_pylist(), batch.column("places")
-            for n, shingles in enumerate(shingle_runs(batch.column("text"))):
-                keys, firsts, exact = stretch_keys(shingles, places[n].values.to_numpy().astype(np.int64), t, shared)
-                yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), ids[n], np.int64)),
+            ids, lists = batch.column("doc_id").to_numpy(zero_copy_only=False), batch.column("places")
+            for first, last, shingles, cuts in shingle_slices(batch.column("text")):
+                some = lists.slice(first, last - first)
+                of = np.repeat(np.arange(last - first), pa.compute.list_value_length(some).to_numpy(zero_copy_only=False))
+                keys, row, firsts, exact = stretch_rows(shingles, cuts, some.flatten().to_numpy().astype(np.int64), of, t, shared)
+                yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(ids[first + row]),
                                        pa.array(firsts.astype(np.int32)), pa.array(exact)], ["key", "doc_id", "first", "exact"])
     return run
 
@@ -300,6 +369,20 @@ def equal_runs(a: np.ndarray, b: np.ndarray, t: int, pairs: int = PAIRS, all_pai
     return rows[np.lexsort((rows[:, 1], rows[:, 0]))]
 
 
+def _runs_among(a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray, t: int) -> np.ndarray:
+    """The runs of ``equal_runs`` that lie in the places ``at_a`` and ``at_b``, of which runs have all or none."""
+    # Other places are left out; a value of its own for each text stands in every gap.
+    parts, maps = [], []
+    own = np.setdiff1d(np.arange(len(a) + len(b) + 2).astype(_U), np.r_[a, b])[:2]
+    for values, at, stop in ((a, at_a, own[0]), (b, at_b, own[1])):
+        breaks = np.flatnonzero(np.diff(at) != 1) + 1
+        parts.append(np.insert(values[at], breaks, stop))
+        maps.append(np.insert(at, breaks, 0))
+    runs = equal_runs(*parts, t)
+    runs[:, 0], runs[:, 1] = maps[0][runs[:, 0]], maps[1][runs[:, 1]]
+    return runs
+
+
 def dense(held: np.ndarray, t: int, similar: tuple[int, int]) -> np.ndarray:
     """Which places lie in some stretch of at least ``t`` places that are held in the share ``similar``; no passage has others."""
     sums = np.r_[0, np.cumsum(np.where(held, similar[1] - similar[0], -similar[0]))]
@@ -313,6 +396,40 @@ def dense(held: np.ndarray, t: int, similar: tuple[int, int]) -> np.ndarray:
     return np.cumsum(steps)[:-1] > 0
 
 
+def _held(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which values of ``a`` the ranked ``b`` has."""
+    if not len(b):
+        return np.zeros(len(a), bool)
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    return b[at] == a
+
+
+class Earlier:
+    """Those of the runs before one, by their places in both texts, that can end in reach of it."""
+
+    def __init__(self, runs: np.ndarray, width: int) -> None:
+        self.i, self.width = runs[:, 0], width
+        self.code = runs[:, 0] * width + runs[:, 1]
+        self.distinct = np.unique(self.i)
+
+    def near(self, n: int, reach: int, j_low: int, j_high: int) -> slice | np.ndarray:
+        """The runs before the ``n``-th that start at most ``reach`` before it in the one text, and from j_low to j_high in the other.
+
+        More may be among them where that is as fast.
+        """
+        low = int(self.i.searchsorted(self.i[n] - reach))
+        if n - low <= FEW:
+            return slice(low, n)
+        first, last = self.distinct.searchsorted((self.i[low], self.i[n])).tolist()
+        if 4 * (last + 1 - first) > n - low:
+            return slice(low, n)
+        of = self.distinct[first:last + 1] * self.width
+        first = self.code.searchsorted(of + max(0, j_low))
+        count = np.maximum(0, np.minimum(self.code.searchsorted(of + min(self.width, j_high)), n) - first)
+        return np.arange(count.sum()) + np.repeat(first - np.cumsum(count) + count, count)
+
+
 def shared_passages(a: np.ndarray, b: np.ndarray, t: int, similar: tuple[int, int]) -> list[tuple[int, int, int, int, float]]:
     """(first, last in a, first, last in b, similarity) of alike stretches of at least ``t`` shingles of ``a``.
 
@@ -321,12 +438,13 @@ def shared_passages(a: np.ndarray, b: np.ndarray, t: int, similar: tuple[int, in
     stretches have the similarity; runs between them that lie elsewhere do not
     matter. A passage inside another stretch of ``a`` that has more is left out.
     """
-    in_a = dense(np.isin(a, b), t, similar)
+    in_a = dense(_held(a, np.sort(b)), t, similar)
     if not in_a.any():
         return []
-    in_b = dense(np.isin(b, a), t, similar)
-    runs = equal_runs(a, b, t)
-    runs = runs[in_a[runs[:, 0]] & in_b[runs[:, 1]]]
+    in_b = dense(_held(b, np.sort(a)), t, similar)
+    # Runs lie in dense places from end to end, or have none of them.
+    at_a, at_b = np.flatnonzero(in_a), np.flatnonzero(in_b)
+    runs = equal_runs(a, b, t) if len(at_a) == len(a) and len(at_b) == len(b) else _runs_among(a, b, at_a, at_b, t)
     # Short runs add nothing where long ones hold every place that a passage can have.
     long = runs[runs[:, 2] >= t]
     steps = np.zeros(len(a) + 1, np.int64)
@@ -335,42 +453,46 @@ def shared_passages(a: np.ndarray, b: np.ndarray, t: int, similar: tuple[int, in
     area = np.cumsum(in_a & ~np.r_[False, in_a[:-1]])
     left = np.bincount(area[in_a & (np.cumsum(steps)[:-1] == 0)], minlength=len(a) + 1) > 0
     runs = runs[(runs[:, 2] >= t) | left[area[runs[:, 0]]]]
-    joins = left[area[runs[:, 0]]].tolist()
+    joins = np.flatnonzero(left[area[runs[:, 0]]])
 
     def alike(i0, i1, j0, j1):
         return hashing.jaccard_parts(hashing.distinct(a[i0:i1 + 1]), hashing.distinct(b[j0:j1 + 1]))
 
     # First and last in a, in b, and equal shingles, of the best passage that ends with each run.
-    ends = np.zeros((len(runs), 5), np.int64)
+    ends = np.stack([runs[:, 0], runs[:, 0] + runs[:, 2] - 1, runs[:, 1], runs[:, 1] + runs[:, 2] - 1, runs[:, 2]])
+    likeness = np.ones(len(runs))
     longest, most = int(runs[:, 2].max(initial=0)), 0
-    for n, (i, j, size) in enumerate(runs.tolist()):
-        ends[n] = i, i + size - 1, j, j + size - 1, size
-        if not joins[n]:
-            continue
+    earlier = Earlier(runs, len(b) + 1) if len(joins) else None
+    near, of = similar
+    for n, (i, j, size) in zip(joins.tolist(), runs[joins].tolist()):
         i1, j1 = i + size - 1, j + size - 1
-        # A run that starts before this ends too far off for the similarity.
-        gap = (most + size) * (similar[1] - similar[0]) // similar[0]
-        old = ends[int(np.searchsorted(runs[:, 0], i - gap - longest)):n]
-        skipped = np.maximum(0, np.maximum(old[:, 1] + 1 - i, old[:, 3] + 1 - j))
-        equal = old[:, 4] + size - skipped
-        wide = np.maximum(i1 - old[:, 0], j1 - old[:, 2]) + 1
-        able = np.flatnonzero((skipped < size) & (equal > size) & (similar[1] * equal >= similar[0] * wide))
-        for k in able[np.argsort(-equal[able], kind="stable")].tolist():
-            shared, union = alike(old[k, 0], i1, old[k, 2], j1)
-            if similar[1] * shared >= similar[0] * union:
-                ends[n] = old[k, 0], i1, old[k, 2], j1, equal[k]
-                break
-        most = max(most, int(ends[n, 4]))
-    long = ends[(ends[:, 1] - ends[:, 0] + 1 >= t) & (ends[:, 3] - ends[:, 2] + 1 >= t)]
+        # A run that ends before this ends too far off for the similarity.
+        gap = (most + size) * (of - near) // near
+        ks, best = earlier.near(n, gap + longest, j - gap - longest, j + size), size
+        last_a, last_b = ends[1][ks], ends[3][ks]
+        reached = np.flatnonzero((last_a >= i - gap - 1) & (last_b >= j - gap - 1) & (last_a < i1) & (last_b < j1))
+        if len(reached):
+            old = ends[:, reached + ks.start if isinstance(ks, slice) else ks[reached]]
+            skipped = np.maximum(0, np.maximum(old[1] + 1 - i, old[3] + 1 - j))
+            equal = old[4] + size - skipped
+            wide = np.maximum(i1 - old[0], j1 - old[2]) + 1
+            able = np.flatnonzero((skipped < size) & (equal > size) & (of * equal >= near * wide))
+            for k in able[np.argsort(-equal[able], kind="stable")].tolist() if len(able) else ():
+                shared, union = alike(old[0, k], i1, old[2, k], j1)
+                if of * shared >= near * union:
+                    best = int(equal[k])
+                    ends[:, n] = old[0, k], i1, old[2, k], j1, best
+                    likeness[n] = shared / union
+                    break
+        most = max(most, best)
+    long = np.flatnonzero((ends[1] - ends[0] + 1 >= t) & (ends[3] - ends[2] + 1 >= t))
+    long = long[np.argsort(-ends[4, long], kind="stable")]
     found = []
-    covered = np.zeros(len(a) + 1, np.int64)
-    for i0, i1, j0, j1, _ in long[np.argsort(-long[:, 4], kind="stable")].tolist():
-        if covered[i0:i1 + 1].all():
-            continue
-        shared, union = alike(i0, i1, j0, j1)
-        if similar[1] * shared >= similar[0] * union:
-            found.append((i0, i1, j0, j1, shared / union))
-            covered[i0:i1 + 1] = 1
+    covered = np.zeros(len(a) + 1, bool)
+    for (i0, i1, j0, j1, _), share in zip(ends[:, long].T.tolist(), likeness[long].tolist()):
+        if not covered[i0:i1 + 1].all():
+            found.append((i0, i1, j0, j1, share))
+            covered[i0:i1 + 1] = True
     return sorted(found)
 
 
@@ -392,12 +514,11 @@ def verifier(t: int, similar: tuple[int, int]):
             ids, others = batch.column("doc_id").to_pylist(), batch.column("other_id").to_pylist()
             texts, hubs = batch.column("text"), batch.column("other_text")
             passages, left = [], []
-            known: dict[int, np.ndarray] = {}
-            for n in range(batch.num_rows):
-                if others[n] not in known:
-                    known.clear()
-                    known[others[n]] = next(shingle_runs(hubs.slice(n, 1)))
-                a, b = next(shingle_runs(texts.slice(n, 1))), known[others[n]]
+            changes = [n for n in range(batch.num_rows) if not n or others[n] != others[n - 1]]
+            known, anew, b = shingle_runs(hubs.take(pa.array(changes, pa.int64()))), set(changes), None
+            for n, a in enumerate(shingle_runs(texts)):
+                if n in anew:
+                    b = next(known)
                 if len(a) == len(b) and (a == b).all():
                     passages.append((ids[n], 0, len(a) + extra, others[n], 0, len(b) + extra, 1.0))
                     continue

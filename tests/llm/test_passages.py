@@ -308,3 +308,56 @@ def test_edited_passages_in_texts_with_very_many_equal_places(spark):
     assert (20, 75, len(hub) - 60) in [f[:3] for f in passages.shared_passages(a, b, 46, (80, 100))]
     found = passages.repeated_passages(cases.small(spark, [(1, " ".join(hub)), (2, " ".join(text))])).collect()
     assert (20, 60) in {(r.first_word, r.n_words) for r in found}
+
+
+def test_windows_of_many_texts_at_once():
+    """Against the plain windows of each text, with equal values and with texts too short for one."""
+    rng = np.random.default_rng(21)
+    for t in (1, 2, 3, 8, 21):
+        for kinds in (3, 1 << 40):
+            sizes = rng.integers(0, 70, 12)
+            cuts = np.r_[0, np.cumsum(sizes)]
+            shingles = rng.integers(0, kinds, cuts[-1]).astype(np.uint64)
+            want, side = set(), (t - 1) // 2
+            for n in range(12):
+                for low, c, high in passages.compact_windows(passages.hashing.mix(shingles[cuts[n]:cuts[n + 1]] ^ passages._seed(0)), t):
+                    first = min(max(c - side, low), high - t + 1)
+                    want |= {(n, 2 * c + k, first, first + t - 1) for k, ok in ((0, c - side >= low), (1, c + side <= high)) if ok}
+            keys, *rows = passages.window_rows(shingles, cuts, t)
+            found = list(zip(*[x.tolist() for x in rows]))
+            assert set(found) == want and len(found) == len(want)
+            for key, (n, place, _, _) in zip(keys, found):
+                start = cuts[n] + place // 2 - (0 if place % 2 else side)
+                part = passages.stretch_hashes(shingles[start:start + side + 1], side + 1)
+                assert key == passages.hashing.mix(part + passages._seed(201 + place % 2))[0]
+
+
+def test_stretches_of_many_texts_at_once():
+    """A text's stretches do not depend on the texts beside it; places of a longer text with its doc_id add none."""
+    rng = np.random.default_rng(22)
+    sizes = [90, 10, 0, 46, 130, 45, 60]
+    cuts = np.r_[0, np.cumsum(sizes)]
+    shingles = rng.integers(0, 1 << 40, cuts[-1]).astype(np.uint64)
+    opened, of, want = [], [], []
+    for n, size in enumerate(sizes):
+        part = shingles[cuts[n]:cuts[n + 1]]
+        places = passages.window_keys(part, 21)[1]
+        some = np.r_[places[rng.random(len(places)) < 0.7], 2 * size, 2 * size + 31]
+        opened.append(some)
+        of.append(np.full(len(some), n))
+        keys, first, exact = passages.stretch_keys(part, some, 46, 21)
+        assert not len(first) or first.max() + 46 <= size
+        want += zip(keys.tolist(), [n] * len(keys), first.tolist(), exact.tolist())
+    found = passages.stretch_rows(shingles, cuts, np.concatenate(opened), np.concatenate(of), 46, 21)
+    assert sorted(zip(*[x.tolist() for x in found])) == sorted(want) and len(want) > 50
+
+
+def test_runs_among_dense_places():
+    rng = np.random.default_rng(23)
+    for _ in range(30):
+        a, b = (rng.integers(0, 9, 60).astype(np.uint64) for _ in range(2))
+        a[20:50], b[5:35] = np.arange(100, 130), np.arange(100, 130)
+        in_a, in_b = passages.dense(np.isin(a, b), 10, (80, 100)), passages.dense(np.isin(b, a), 10, (80, 100))
+        runs = passages.equal_runs(a, b, 10)
+        want = runs[in_a[runs[:, 0]] & in_b[runs[:, 1]]].tolist()
+        assert passages._runs_among(a, b, np.flatnonzero(in_a), np.flatnonzero(in_b), 10).tolist() == want
