@@ -47,8 +47,8 @@ GREEDY = 2
 #: Equal places of a pair of texts that are looked at together, and up to which all are listed.
 PAIRS, ALL_PAIRS = 1 << 19, 1 << 20
 
-#: Runs before another up to which all are looked at, whatever their place in the other text.
-FEW = 256
+#: Runs that are looked at together, and runs before one up to which all are looked at, whatever their place in the other text.
+RUNS, FEW = 1024, 256
 
 _U = np.uint64
 
@@ -281,8 +281,10 @@ def _diagonal_runs(i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Rows (first i, first j, length) of the places that follow each other on a diagonal."""
     by = np.lexsort((i, j - i))
     i, j = i[by], j[by]
-    heads = np.flatnonzero(np.r_[True, (np.diff(i) != 1) | (np.diff(j) != 1)])[:len(i)]
-    return np.stack([i[heads], j[heads], np.diff(np.r_[heads, len(i)])], 1)
+    apart = np.ones(len(i), bool)
+    apart[1:] = (i[1:] - i[:-1] != 1) | (j[1:] - j[:-1] != 1)
+    heads = np.flatnonzero(apart)
+    return np.stack([i[heads], j[heads], np.append(heads[1:], len(i))[:len(heads)] - heads], 1)
 
 
 def _portions(counts: np.ndarray, limit: int):
@@ -373,7 +375,8 @@ def _runs_among(a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray
     """The runs of ``equal_runs`` that lie in the places ``at_a`` and ``at_b``, of which runs have all or none."""
     # Other places are left out; a value of its own for each text stands in every gap.
     parts, maps = [], []
-    own = np.setdiff1d(np.arange(len(a) + len(b) + 2).astype(_U), np.r_[a, b])[:2]
+    own = [v for v in range(4) if not ((a == _U(v)).any() or (b == _U(v)).any())]
+    own = np.array(own, _U) if len(own) > 1 else np.setdiff1d(np.arange(len(a) + len(b) + 2).astype(_U), np.r_[a, b])
     for values, at, stop in ((a, at_a, own[0]), (b, at_b, own[1])):
         breaks = np.flatnonzero(np.diff(at) != 1) + 1
         parts.append(np.insert(values[at], breaks, stop))
@@ -405,29 +408,61 @@ def _held(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return b[at] == a
 
 
-class Earlier:
-    """Those of the runs before one, by their places in both texts, that can end in reach of it."""
-
-    def __init__(self, runs: np.ndarray, width: int) -> None:
-        self.i, self.width = runs[:, 0], width
-        self.code = runs[:, 0] * width + runs[:, 1]
-        self.distinct = np.unique(self.i)
+def _ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the range, place) of every place from each low to before its high."""
+    count = np.maximum(0, high - low)
+    of = np.repeat(np.arange(len(count)), count)
+    return of, np.arange(len(of)) + np.repeat(low - np.cumsum(count) + count, count)
 
-    def near(self, n: int, reach: int, j_low: int, j_high: int) -> slice | np.ndarray:
-        """The runs before the ``n``-th that start at most ``reach`` before it in the one text, and from j_low to j_high in the other.
 
-        More may be among them where that is as fast.
+class Earlier:
+    """Runs by their last places in both texts, to find those before a run that it can continue."""
+
+    def __init__(self, runs: np.ndarray, similar: tuple[int, int]) -> None:
+        self.i, self.j, self.size = runs.T
+        self.last_a, self.last_b = self.i + self.size - 1, self.j + self.size - 1
+        self.similar, self.width = similar, int(self.last_b.max(initial=0)) + 1
+        code = self.last_a * self.width + self.last_b
+        self.order = np.argsort(code, kind="stable")
+        self.code, self.ends = code[self.order], self.last_a[self.order]
+        self.distinct = np.unique(self.ends)
+
+    def near(self, first: int, last: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(n, k, skipped) of the ``n``-th runs from first to before last, by ``n``, and runs k before them that they can continue.
+
+        Skipped are the places of n that k ends behind. A passage that ends with k has at most ``most`` equal
+        shingles, and is at least as wide; what lies further off is not similar enough however wide it is.
         """
-        low = int(self.i.searchsorted(self.i[n] - reach))
-        if n - low <= FEW:
-            return slice(low, n)
-        first, last = self.distinct.searchsorted((self.i[low], self.i[n])).tolist()
-        if 4 * (last + 1 - first) > n - low:
-            return slice(low, n)
-        of = self.distinct[first:last + 1] * self.width
-        first = self.code.searchsorted(of + max(0, j_low))
-        count = np.maximum(0, np.minimum(self.code.searchsorted(of + min(self.width, j_high)), n) - first)
-        return np.arange(count.sum()) + np.repeat(first - np.cumsum(count) + count, count)
+        near, of = self.similar
+        i1, j1 = self.last_a[first:last], self.last_b[first:last]
+        reach = (of * self.size[first:last] + most * (of - near)) // near
+        n, low, high = np.arange(last - first), self.ends.searchsorted(i1 - reach), self.ends.searchsorted(i1)
+        if int((high - low).sum()) > FEW * (last - first):
+            n, at = _ranges(self.distinct.searchsorted(i1 - reach), self.distinct.searchsorted(i1))
+            at = self.distinct[at] * self.width
+            low, high = self.code.searchsorted(at + np.maximum(0, j1 - reach)[n]), self.code.searchsorted(at + j1[n])
+        found = [np.zeros((3, 0), np.int64)]
+        for begin, end in _portions(high - low, PAIRS):
+            number, at = _ranges(low[begin:end], high[begin:end])
+            x, k = first + n[begin + number], self.order[at]
+            able = np.flatnonzero((k < x) & (self.last_b[k] < self.last_b[x]))
+            x, k = x[able], k[able]
+            size, skipped = self.size[x], np.maximum(0, np.maximum(self.last_a[k] + 1 - self.i[x], self.last_b[k] + 1 - self.j[x]))
+            behind = np.maximum(self.last_a[x] - self.last_a[k], self.last_b[x] - self.last_b[k])
+            able = np.flatnonzero((skipped < size) & (near * behind <= of * (size - skipped) + most * (of - near)))
+            found.append(np.stack([x[able], k[able], skipped[able]]))
+        x, k, skipped = np.concatenate(found, 1)
+        while len(x):
+            # Runs that continue none are as wide as they are, so it is known what they can be part of.
+            later = np.zeros(last, bool)
+            later[:first], later[x] = True, True
+            equal = self.size[k] - skipped
+            wide = np.maximum(self.last_a[x] - self.i[k], self.last_b[x] - self.j[k]) + 1
+            able = later[k] | (equal > 0) & (of * (equal + self.size[x]) >= near * wide)
+            if able.all():
+                break
+            x, k, skipped = x[able], k[able], skipped[able]
+        return x, k, skipped
 
 
 def shared_passages(a: np.ndarray, b: np.ndarray, t: int, similar: tuple[int, int]) -> list[tuple[int, int, int, int, float]]:
@@ -461,38 +496,49 @@ def shared_passages(a: np.ndarray, b: np.ndarray, t: int, similar: tuple[int, in
     # First and last in a, in b, and equal shingles, of the best passage that ends with each run.
     ends = np.stack([runs[:, 0], runs[:, 0] + runs[:, 2] - 1, runs[:, 1], runs[:, 1] + runs[:, 2] - 1, runs[:, 2]])
     likeness = np.ones(len(runs))
-    longest, most = int(runs[:, 2].max(initial=0)), 0
-    earlier = Earlier(runs, len(b) + 1) if len(joins) else None
+    joined = runs[joins]
+    earlier = Earlier(joined, similar)
+    first_a, first_b, equal = (x.tolist() for x in joined.T)
     near, of = similar
-    for n, (i, j, size) in zip(joins.tolist(), runs[joins].tolist()):
-        i1, j1 = i + size - 1, j + size - 1
-        # A run that ends before this ends too far off for the similarity.
-        gap = (most + size) * (of - near) // near
-        ks, best = earlier.near(n, gap + longest, j - gap - longest, j + size), size
-        last_a, last_b = ends[1][ks], ends[3][ks]
-        reached = np.flatnonzero((last_a >= i - gap - 1) & (last_b >= j - gap - 1) & (last_a < i1) & (last_b < j1))
-        if len(reached):
-            old = ends[:, reached + ks.start if isinstance(ks, slice) else ks[reached]]
-            skipped = np.maximum(0, np.maximum(old[1] + 1 - i, old[3] + 1 - j))
-            equal = old[4] + size - skipped
-            wide = np.maximum(i1 - old[0], j1 - old[2]) + 1
-            able = np.flatnonzero((skipped < size) & (equal > size) & (of * equal >= near * wide))
-            for k in able[np.argsort(-equal[able], kind="stable")].tolist() if len(able) else ():
-                shared, union = alike(old[0, k], i1, old[2, k], j1)
+    begin, most = 0, 0
+    while begin < len(joined):
+        end = min(begin + RUNS, len(joined))
+        most = max(most, int(joined[begin:end, 2].max()))
+        # Enough for what the next runs add; where a passage has more, those behind it are looked at again.
+        bound = 2 * most
+        ns, ks, skipped = earlier.near(begin, end, bound)
+        if not len(ns):
+            begin = end
+            continue
+        heads = np.flatnonzero(np.append(True, ns[1:] != ns[:-1]))
+        cuts, firsts = [*heads.tolist(), len(ns)], ns[heads]
+        ks, skipped, begin = ks.tolist(), skipped.tolist(), end
+        for g, (n, i1, j1, size) in enumerate(zip(
+                firsts.tolist(), earlier.last_a[firsts].tolist(), earlier.last_b[firsts].tolist(), earlier.size[firsts].tolist())):
+            able = []
+            for k, gone in zip(ks[cuts[g]:cuts[g + 1]], skipped[cuts[g]:cuts[g + 1]]):
+                more = equal[k] - gone
+                if more > 0 and of * (more + size) >= near * (max(i1 - first_a[k], j1 - first_b[k]) + 1):
+                    able.append((-more, k))
+            for more, k in sorted(able):
+                shared, union = alike(first_a[k], i1, first_b[k], j1)
                 if of * shared >= near * union:
-                    best = int(equal[k])
-                    ends[:, n] = old[0, k], i1, old[2, k], j1, best
-                    likeness[n] = shared / union
+                    first_a[n], first_b[n], equal[n] = first_a[k], first_b[k], size - more
+                    likeness[joins[n]] = shared / union
                     break
-        most = max(most, best)
+            most = max(most, equal[n])
+            if most > bound:
+                begin = n + 1
+                break
+    ends[0, joins], ends[2, joins], ends[4, joins] = first_a, first_b, equal
     long = np.flatnonzero((ends[1] - ends[0] + 1 >= t) & (ends[3] - ends[2] + 1 >= t))
     long = long[np.argsort(-ends[4, long], kind="stable")]
     found = []
-    covered = np.zeros(len(a) + 1, bool)
+    covered = bytearray(len(a))
     for (i0, i1, j0, j1, _), share in zip(ends[:, long].T.tolist(), likeness[long].tolist()):
-        if not covered[i0:i1 + 1].all():
+        if covered.find(0, i0, i1 + 1) >= 0:
             found.append((i0, i1, j0, j1, share))
-            covered[i0:i1 + 1] = True
+            covered[i0:i1 + 1] = b"\1" * (i1 + 1 - i0)
     return sorted(found)
 
 
@@ -541,11 +587,13 @@ def verifier(t: int, similar: tuple[int, int]):
             columns = list(zip(*passages)) if passages else [[]] * 7
             yield pa.record_batch([*[pa.array(c, k) for c, k in zip(columns, kinds)],
                                    *[pa.nulls(len(passages), k) for k in kinds[7:]]], names)
-            for doc_id, other, rows in left:
-                n = len(rows)
-                yield pa.record_batch([pa.array([doc_id] * n), *[pa.nulls(n, pa.int64())] * 2, pa.array([other] * n),
-                                       *[pa.nulls(n, pa.int64())] * 2, pa.nulls(n, pa.float64()),
-                                       *[rows.field(c) for c in ("first", "exact", "hub")]], names)
+            if left:
+                rows = [len(own) for _, _, own in left]
+                doc_ids, met = (pa.array(np.repeat([x[c] for x in left], rows), pa.int64()) for c in (0, 1))
+                n = len(doc_ids)
+                yield pa.record_batch([doc_ids, *[pa.nulls(n, pa.int64())] * 2, met, *[pa.nulls(n, pa.int64())] * 2,
+                                       pa.nulls(n, pa.float64()),
+                                       *pa.concat_arrays([own for _, _, own in left]).flatten()], names)
     return run
 
 

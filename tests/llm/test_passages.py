@@ -1,12 +1,15 @@
 """Shared passages against a comparison of all pairs, with common lines and unrelated hubs in the way."""
 
+import os
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from shiftlab.llm import passages
+from shiftlab.llm import common, passages
 from tests.llm import cases
 
 
@@ -361,3 +364,103 @@ def test_runs_among_dense_places():
         runs = passages.equal_runs(a, b, 10)
         want = runs[in_a[runs[:, 0]] & in_b[runs[:, 1]]].tolist()
         assert passages._runs_among(a, b, np.flatnonzero(in_a), np.flatnonzero(in_b), 10).tolist() == want
+
+
+def edited_lines(rng, t):
+    """Two texts with lines in common, edited and repeated, of which no stretch of ``t`` shingles is equal."""
+    lines = [rng.integers(0, 1 << 40, int(rng.integers(3, t))) for _ in range(6)]
+    texts = []
+    for _ in range(2):
+        parts = [lines[k] for k in rng.integers(0, 6, 14)]
+        parts = [np.r_[p[:2], p[2:][rng.random(len(p) - 2) < 0.98]] for p in parts]
+        texts.append(np.concatenate([x for p in parts for x in (p, rng.integers(0, 1 << 40, int(rng.integers(1, 3))))]).astype(np.uint64))
+    return texts
+
+
+def joined_by_all(a, b, t, similar):
+    """``shared_passages`` by every run before each one."""
+    (near, of), sets = similar, lambda x, i, j: set(x[i:j + 1].tolist())
+    held = [np.flatnonzero(passages.dense(np.isin(x, y), t, similar)) for x, y in ((a, b), (b, a))]
+    rows = []
+    for i, j, size in passages._runs_among(a, b, *held, t).tolist():
+        assert size < t
+        i1, j1, able = i + size - 1, j + size - 1, []
+        best = (i, i1, j, j1, size, 1.0)
+        for n, (k0, k1, l0, l1, equal, _) in enumerate(rows):
+            skipped = max(0, k1 + 1 - i, l1 + 1 - j)
+            more = equal + size - skipped
+            if k1 < i1 and l1 < j1 and skipped < size < more and of * more >= near * (max(i1 - k0, j1 - l0) + 1):
+                able.append((-more, n))
+        for more, n in sorted(able):
+            x, y = sets(a, rows[n][0], i1), sets(b, rows[n][2], j1)
+            if of * len(x & y) >= near * len(x | y):
+                best = (rows[n][0], i1, rows[n][2], j1, -more, len(x & y) / len(x | y))
+                break
+        rows.append(best)
+    found, covered = [], set()
+    for i0, i1, j0, j1, _, share in sorted((r for r in rows if min(r[1] - r[0], r[3] - r[2]) + 1 >= t), key=lambda r: -r[4]):
+        if not covered.issuperset(range(i0, i1 + 1)):
+            found.append((i0, i1, j0, j1, share))
+            covered.update(range(i0, i1 + 1))
+    return sorted(found)
+
+
+@pytest.mark.parametrize("runs, few, pairs", [(1024, 256, 1 << 19), (3, 0, 5), (7, 1 << 30, 1 << 19)])
+def test_runs_are_joined_as_by_all_before_them(monkeypatch, runs, few, pairs):
+    """However many runs are looked at together."""
+    monkeypatch.setattr(passages, "RUNS", runs)
+    monkeypatch.setattr(passages, "FEW", few)
+    monkeypatch.setattr(passages, "PAIRS", pairs)
+    rng, joined = np.random.default_rng(24), 0
+    for _ in range(25):
+        a, b = edited_lines(rng, 12)
+        found = passages.shared_passages(a, b, 12, (70, 100))
+        assert found == joined_by_all(a, b, 12, (70, 100))
+        joined += sum(f[4] < 1 for f in found)
+    assert joined > 20
+
+
+def test_runs_that_no_passage_can_have_cost_no_steps():
+    """Short lines in another order are runs, and no join: what is done does not grow by steps with them."""
+    import cProfile
+    import pstats
+    rng = np.random.default_rng(25)
+    lines = rng.integers(0, 1 << 40, (400, 9)).astype(np.uint64)
+    a, b = (np.concatenate([lines[k] for k in rng.permutation(400)]) for _ in range(2))
+    with cProfile.Profile() as steps:
+        passages.shared_passages(a, b, 46, (80, 100))
+    assert len(passages.equal_runs(a, b, 46)) > 390
+    assert pstats.Stats(steps).total_calls < 4 * 390
+
+
+def test_pairs_of_a_batch_are_told_together():
+    """One batch of passages and one of what is left, however many pairs have either."""
+    rng = random.Random(26)
+    hubs, parts = [words_of(rng, 80) for _ in range(9)], [words_of(rng, 80) for _ in range(9)]
+    kind = pa.struct([("first", pa.int32()), ("exact", pa.bool_()), ("hub", pa.int64())])
+    open_ = [[{"first": 0, "exact": True, "hub": 0}, {"first": 80, "exact": True, "hub": 50 + n}] for n in range(9)]
+    batch = pa.record_batch([pa.array(range(100, 109)), pa.array(range(9)), pa.array([" ".join(h + p) for h, p in zip(hubs, parts)]),
+                             pa.array([" ".join(h) for h in hubs]), pa.array(open_, pa.list_(kind))],
+                            ["doc_id", "other_id", "text", "other_text", "windows"])
+    found = list(passages.verifier(46, (80, 100))(iter([batch])))
+    assert len(found) <= 2
+    rows = [tuple(r.values()) for b in found for r in b.to_pylist()]
+    assert sorted(r for r in rows if r[-1] is None) == [(100 + n, 0, 80, n, 0, 80, 1.0, None, None, None) for n in range(9)]
+    assert sorted((r[0], r[3], *r[7:]) for r in rows if r[-1] is not None) == [(100 + n, n, 80, True, 50 + n) for n in range(9)]
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    """They go when the table is written, not when the driver next collects garbage."""
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def files():
+        return {name for folder in folders for _, _, names in os.walk(folder) for name in names if name.startswith("shuffle_")}
+
+    old, before = files(), spark.conf.get(common.CLEANUP)
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n"))
+    found = common.stored(rows.repartition(3, "n"), "test")
+    until = time.monotonic() + 20
+    while files() - old and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not files() - old and spark.conf.get(common.CLEANUP) == before
+    assert found.count() == 7
