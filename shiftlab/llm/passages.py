@@ -48,7 +48,11 @@ GREEDY = 2
 PAIRS, ALL_PAIRS = 1 << 19, 1 << 20
 
 #: Runs that are looked at together, and runs before one up to which all are looked at, whatever their place in the other text.
-RUNS, FEW = 1024, 256
+RUNS, FEW = 128, 256
+#: Runs and those before them that are compared at once.
+NEAR = 1 << 16
+#: Open stretches of a batch of pairs that are told at once.
+TOLD = 1 << 14
 
 _U = np.uint64
 
@@ -442,7 +446,7 @@ class Earlier:
             at = self.distinct[at] * self.width
             low, high = self.code.searchsorted(at + np.maximum(0, j1 - reach)[n]), self.code.searchsorted(at + j1[n])
         found = [np.zeros((3, 0), np.int64)]
-        for begin, end in _portions(high - low, PAIRS):
+        for begin, end in _portions(high - low, NEAR):
             number, at = _ranges(low[begin:end], high[begin:end])
             x, k = first + n[begin + number], self.order[at]
             able = np.flatnonzero((k < x) & (self.last_b[k] < self.last_b[x]))
@@ -587,13 +591,14 @@ def verifier(t: int, similar: tuple[int, int]):
             columns = list(zip(*passages)) if passages else [[]] * 7
             yield pa.record_batch([*[pa.array(c, k) for c, k in zip(columns, kinds)],
                                    *[pa.nulls(len(passages), k) for k in kinds[7:]]], names)
-            if left:
-                rows = [len(own) for _, _, own in left]
-                doc_ids, met = (pa.array(np.repeat([x[c] for x in left], rows), pa.int64()) for c in (0, 1))
+            for first, last in _portions(np.array([len(own) for _, _, own in left], np.int64), TOLD):
+                part = left[first:last]
+                rows = [len(own) for _, _, own in part]
+                doc_ids, met = (pa.array(np.repeat([x[c] for x in part], rows), pa.int64()) for c in (0, 1))
                 n = len(doc_ids)
                 yield pa.record_batch([doc_ids, *[pa.nulls(n, pa.int64())] * 2, met, *[pa.nulls(n, pa.int64())] * 2,
                                        pa.nulls(n, pa.float64()),
-                                       *pa.concat_arrays([own for _, _, own in left]).flatten()], names)
+                                       *pa.concat_arrays([own for _, _, own in part]).flatten()], names)
     return run
 
 

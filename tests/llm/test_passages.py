@@ -410,7 +410,7 @@ def test_runs_are_joined_as_by_all_before_them(monkeypatch, runs, few, pairs):
     """However many runs are looked at together."""
     monkeypatch.setattr(passages, "RUNS", runs)
     monkeypatch.setattr(passages, "FEW", few)
-    monkeypatch.setattr(passages, "PAIRS", pairs)
+    monkeypatch.setattr(passages, "NEAR", pairs)
     rng, joined = np.random.default_rng(24), 0
     for _ in range(25):
         a, b = edited_lines(rng, 12)
