@@ -509,7 +509,7 @@ def shared_passages(a: np.ndarray, b: np.ndarray, t: int, similar: tuple[int, in
         end = min(begin + RUNS, len(joined))
         most = max(most, int(joined[begin:end, 2].max()))
         # Enough for what the next runs add; where a passage has more, those behind it are looked at again.
-        bound = 2 * most
+        bound = min(2 * most, len(a), len(b))
         ns, ks, skipped = earlier.near(begin, end, bound)
         if not len(ns):
             begin = end
